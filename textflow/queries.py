@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textflow.functions.text import word_array
-from textflow.operators import classify, features, report, split
+from textflow.operators import classify, features, hmm, report, split, vocab
+from textflow.plans.lineage import cut_lineage
 from textflow.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,8 +54,9 @@ def lang_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nb_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    x = doc_tfidf(spark, sf)
-    sp = lang_split(spark, sf)
+    # read three times below: write once to the checkpoint folder
+    x = cut_lineage(doc_tfidf(spark, sf))
+    sp = cut_lineage(lang_split(spark, sf))
     train = sp.filter(F.col("split") == "train").select("doc_id", "label")
     test = sp.filter(F.col("split") == "test").select("doc_id", "label")
     n_feat = x.agg(F.count_distinct("gram")).scalar()
@@ -91,3 +93,80 @@ def q_tfidf(spark, sf):
 @query("train_test_split")
 def q_train_test_split(spark, sf):
     return lang_split(spark, sf).select("doc_id", "split")
+
+
+# --------------------------------------------------------------------------
+# HMM tagging (events as tagged sequences, FIXTURES B6)
+# --------------------------------------------------------------------------
+
+def hmm_data(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(train, dev): sequences split 80/20 by seeded hash of the sequence."""
+    t = fx.tagged(spark, sf)
+    t = cut_lineage(t)
+    sents = t.select("sent_id").distinct()
+    flagged = split.hash_split(sents, "sent_id", 0.2, seed=fx.SEED)
+    t = t.join(flagged, "sent_id")
+    return (t.filter(~F.col("is_test")).drop("is_test"),
+            t.filter(F.col("is_test")).drop("is_test"))
+
+
+@query("prev_tag")
+def q_prev_tag(spark, sf):
+    return hmm.prev_tag(fx.tagged(spark, sf)).select(
+        "sent_id", "pos", "tag", "prev_tag")
+
+
+@query("tag_counts")
+def q_tag_counts(spark, sf):
+    return hmm.tag_counts(hmm_data(spark, sf)[0])
+
+
+@query("hmm_transition_counts")
+def q_hmm_transition_counts(spark, sf):
+    return hmm.transition_counts(hmm_data(spark, sf)[0])
+
+
+@query("hmm_transitions")
+def q_hmm_transitions(spark, sf):
+    return hmm.transitions(hmm_data(spark, sf)[0]).select(
+        "prev_tag", "tag", r6(F.col("prob")).alias("prob"))
+
+
+@query("hmm_emissions")
+def q_hmm_emissions(spark, sf):
+    return hmm.emissions(hmm_data(spark, sf)[0]).select(
+        "tag", "word", r6(F.col("prob")).alias("prob"))
+
+
+@query("hmm_param_counts")
+def q_hmm_param_counts(spark, sf):
+    tr = hmm_data(spark, sf)[0]
+    return hmm.param_counts(hmm.transitions(tr), hmm.emissions(tr))
+
+
+@query("unk_map")
+def q_unk_map(spark, sf):
+    tr, dev = hmm_data(spark, sf)
+    return vocab.unk_map(dev, vocab.word_count(tr, "word"), "word").select(
+        "sent_id", "pos", "word", "word_key")
+
+
+def _decoded(spark, sf, method):
+    tr, dev = hmm_data(spark, sf)
+    out = hmm.tag_sentences(tr, dev, method)
+    return out.join(dev.select("sent_id", "pos", "tag"), ["sent_id", "pos"])
+
+
+@query("hmm_greedy")
+def q_hmm_greedy(spark, sf):
+    return _decoded(spark, sf, "greedy").select("sent_id", "pos", "pred")
+
+
+@query("hmm_viterbi")
+def q_hmm_viterbi(spark, sf):
+    return _decoded(spark, sf, "viterbi").select("sent_id", "pos", "pred")
+
+
+@query("accuracy")
+def q_accuracy(spark, sf):
+    return report.accuracy(_decoded(spark, sf, "viterbi"), "tag", "pred")

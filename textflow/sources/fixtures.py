@@ -19,7 +19,21 @@ SEED = 42
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet table, spread over the cluster when the scan is narrower.
+
+    A file with a single row group scans as one task; the per-document
+    work after it (regexes, n-grams) would then run on one core.  Large
+    inputs already scan as many partitions and are left untouched.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
 
 
 def seeded_md5(*cols) -> F.Column:
