@@ -117,3 +117,355 @@ sql("nb_report", NB + ", pairs as (select label y, prediction p from np)," +
 sql("naive_bayes", NB + " select doc_id, label, prediction from np")
 sql("tfidf", f"with {TFIDF} select doc_id, gram, round(v, 6) tfidf from x")
 sql("train_test_split", f"with {LANG_SPLIT} select doc_id, split from sp")
+
+
+# ---- HMM (FIXTURES B6) ------------------------------------------------------
+
+TAGGED = """
+tg as (select user_id sent_id,
+              row_number() over (partition by user_id order by ts, event_id) pos,
+              event_type tag,
+              'b' || cast(cast(floor(value / 5) as integer) as varchar) word
+       from events),
+ss as (select sent_id,
+              row_number() over (order by md5('42:' || cast(sent_id as varchar)),
+                                 sent_id) rn,
+              count(*) over () n
+       from (select distinct sent_id from tg)),
+tr as (select tg.* from tg join ss using (sent_id) where rn > ceil(0.2 * n)),
+dv as (select tg.* from tg join ss using (sent_id) where rn <= ceil(0.2 * n))
+"""
+
+HMM_MODEL = TAGGED + """,
+tcnt as (select tag, count(*) cnt from tr group by tag
+         union all select 'START', count(distinct sent_id) from tr),
+trp as (select sent_id, pos, tag,
+               coalesce(lag(tag) over (partition by sent_id order by pos), 'START') prev_tag
+        from tr),
+tcounts as (select prev_tag, tag, count(*) cnt from trp group by prev_tag, tag),
+trans as (select c.prev_tag, c.tag, c.cnt / t.cnt prob
+          from tcounts c join tcnt t on t.tag = c.prev_tag),
+vc as (select word, count(*) cnt from tr group by word),
+ek as (select tr.tag, case when vc.cnt >= 2 then tr.word else '<unk>' end word
+       from tr join vc using (word)),
+emis as (select e.tag, e.word, count(*) / any_value(t.cnt) prob
+         from ek e join tcnt t using (tag) group by e.tag, e.word)
+"""
+
+sql("prev_tag", "with " + TAGGED + """
+select sent_id, pos, tag,
+       coalesce(lag(tag) over (partition by sent_id order by pos), 'START') prev_tag
+from tg""")
+sql("tag_counts", "with " + HMM_MODEL + " select tag, cnt from tcnt")
+sql("hmm_transition_counts", "with " + HMM_MODEL +
+    " select prev_tag, tag, cnt from tcounts")
+sql("hmm_transitions", "with " + HMM_MODEL +
+    " select prev_tag, tag, round(prob, 6) prob from trans")
+sql("hmm_emissions", "with " + HMM_MODEL +
+    " select tag, word, round(prob, 6) prob from emis")
+sql("hmm_param_counts", "with " + HMM_MODEL +
+    " select (select count(*) from trans) transition_params,"
+    " (select count(*) from emis) emission_params")
+sql("unk_map", "with " + HMM_MODEL + """
+select dv.sent_id, dv.pos, dv.word,
+       case when coalesce(vc.cnt, 0) >= 2 then dv.word else '<unk>' end word_key
+from dv left join vc using (word)""")
+
+HMM_DECODE = HMM_MODEL + """,
+tl as (select list(tag order by tag) tags, count(*) k
+       from (select distinct tag from tr)),
+tj as (select unnest(tags) t, generate_subscripts(tags, 1) j from tl),
+prevs as (select 0 i, 'START' p union all select j, t from tj),
+arow as (select pv.i, list(coalesce(trans.prob, 0.0) order by tj.j) r
+         from prevs pv cross join tj
+         left join trans on trans.prev_tag = pv.p and trans.tag = tj.t
+         group by pv.i),
+am as (select list(r order by i) a from arow),
+erow as (select ws.word, list(coalesce(emis.prob, 0.0) order by tj.j) e
+         from (select distinct word from emis) ws cross join tj
+         left join emis on emis.word = ws.word and emis.tag = tj.t
+         group by ws.word),
+dtok as (select dv.sent_id, dv.pos,
+                coalesce(erow.e, list_transform(range(tl.k), lambda x: 0.0)) e,
+                coalesce(vc.cnt, 0) >= 2 known
+         from dv cross join tl
+         left join vc on vc.word = dv.word
+         left join erow on erow.word =
+              case when coalesce(vc.cnt, 0) >= 2 then dv.word else '<unk>' end)
+"""
+
+_ROW = "am.a[{i} + 2]"
+_S = ("list_transform(range(1, tl.k + 1), lambda j: " + _ROW + "[j] * d.e[j])")
+
+
+def _greedy_choice(prev: str) -> str:
+    row = _ROW.format(i=prev)
+    s = _S.format(i=prev)
+    return (f"case when list_max({s}) > 0 then "
+            f"cast(list_position({s}, list_max({s})) - 1 as integer) "
+            f"when {prev} >= 0 and list_max({row}) > 0 then {prev} else 0 end")
+
+
+sql("hmm_greedy", "with recursive " + HMM_DECODE + f""",
+g(sent_id, pos, prev) as (
+  select d.sent_id, d.pos, {_greedy_choice('-1')}
+  from dtok d, am, tl where d.pos = 1
+  union all
+  select d.sent_id, d.pos, {_greedy_choice('g.prev')}
+  from g join dtok d on d.sent_id = g.sent_id and d.pos = g.pos + 1, am, tl
+)
+select g.sent_id, g.pos, tl.tags[g.prev + 1] pred from g, tl""")
+
+_CELL = "list_transform(range(1, tl.k + 1), lambda j2: (v.v[j2] * am.a[j2 + 1][j]) * d.e[j])"
+_VNEW = f"list_transform(range(1, tl.k + 1), lambda j: list_max({_CELL}))"
+_BP = (f"list_transform(range(1, tl.k + 1), lambda j: case when list_max({_CELL}) > 0 "
+       f"then cast(list_position({_CELL}, list_max({_CELL})) - 1 as integer) else 0 end)")
+_V0 = ("case when d.known then list_transform(range(1, tl.k + 1), "
+       "lambda j: am.a[1][j] * d.e[j]) "
+       "else list_transform(range(tl.k), lambda x: 0.0) end")
+_ONES = "list_transform(range(tl.k), lambda x: 1.0)"
+
+sql("hmm_viterbi", "with recursive " + HMM_DECODE + f""",
+v(sent_id, pos, v, bp) as (
+  select d.sent_id, d.pos,
+         case when list_max({_V0}) > 0 then {_V0} else {_ONES} end,
+         cast([] as integer[])
+  from dtok d, am, tl where d.pos = 1
+  union all
+  select d.sent_id, d.pos,
+         case when list_max({_VNEW}) > 0 then {_VNEW} else {_ONES} end,
+         {_BP}
+  from v join dtok d on d.sent_id = v.sent_id and d.pos = v.pos + 1, am, tl
+),
+last as (select sent_id, max(pos) pos from v group by sent_id),
+bt(sent_id, pos, j) as (
+  select v.sent_id, v.pos,
+         cast(list_position(v.v, list_max(v.v)) - 1 as integer)
+  from v join last using (sent_id, pos)
+  union all
+  select bt.sent_id, bt.pos - 1, v.bp[bt.j + 1]
+  from bt join v on v.sent_id = bt.sent_id and v.pos = bt.pos
+  where bt.pos > 1
+)
+select bt.sent_id, bt.pos, tl.tags[bt.j + 1] pred from bt, tl""")
+
+sql("accuracy", "with recursive " + HMM_DECODE + f""",
+v(sent_id, pos, v, bp) as (
+  select d.sent_id, d.pos,
+         case when list_max({_V0}) > 0 then {_V0} else {_ONES} end,
+         cast([] as integer[])
+  from dtok d, am, tl where d.pos = 1
+  union all
+  select d.sent_id, d.pos,
+         case when list_max({_VNEW}) > 0 then {_VNEW} else {_ONES} end,
+         {_BP}
+  from v join dtok d on d.sent_id = v.sent_id and d.pos = v.pos + 1, am, tl
+),
+last as (select sent_id, max(pos) pos from v group by sent_id),
+bt(sent_id, pos, j) as (
+  select v.sent_id, v.pos,
+         cast(list_position(v.v, list_max(v.v)) - 1 as integer)
+  from v join last using (sent_id, pos)
+  union all
+  select bt.sent_id, bt.pos - 1, v.bp[bt.j + 1]
+  from bt join v on v.sent_id = bt.sent_id and v.pos = bt.pos
+  where bt.pos > 1
+),
+pr as (select bt.sent_id, bt.pos, tl.tags[bt.j + 1] pred from bt, tl)
+select count(*) n, cast(sum(case when dv.tag = pr.pred then 1 else 0 end) as bigint) correct,
+       round(avg(case when dv.tag = pr.pred then 1.0 else 0.0 end), 6) accuracy
+from pr join dv using (sent_id, pos)""")
+
+
+# ---- row hygiene (FIXTURES B1) ---------------------------------------------
+
+REVIEWS = """
+reviews as (
+  select case when doc_id % 97 = 0 then null
+              else cast(1 + n_chars % 5 as varchar) end star_rating,
+         case when doc_id % 89 = 0 then null else text end review_body
+  from documents),
+cr as (select distinct star_rating, review_body from reviews
+       where star_rating is not null and review_body is not null)
+"""
+
+
+def rating_class_sql(c: str, numeric: bool = False) -> str:
+    r = f"try_cast({c} as integer)"
+    if numeric:
+        return (f"(case when {r} <= 2 then 0 when {r} = 3 then 1 "
+                f"when {r} >= 4 then 2 end)")
+    return (f"(case when {r} <= 2 then 'Class 1' when {r} = 3 then 'Class 2' "
+            f"when {r} >= 4 then 'Class 3' end)")
+
+
+sql("scan_reviews", f"with {REVIEWS} select star_rating, review_body from reviews")
+sql("drop_nulls", f"""with {REVIEWS} select star_rating, review_body from reviews
+where star_rating is not null and review_body is not null""")
+sql("dedup_rows", f"with {REVIEWS} select star_rating, review_body from cr")
+sql("rating_bucket", f"""with {REVIEWS}
+select star_rating rating, {rating_class_sql('star_rating')} star_class,
+       {rating_class_sql('star_rating', True)} star_code, review_body from cr""")
+sql("balanced_sample", f"""with {REVIEWS},
+c as (select {rating_class_sql('star_rating')} star_class, star_rating,
+             review_body,
+             md5('42:' || star_rating || ':' || review_body) h from cr),
+r as (select *, row_number() over (partition by star_class order by h, review_body) rn
+      from c)
+select star_class, star_rating, review_body from r where rn <= 20000""")
+sql("union_classes", f"""with {REVIEWS}
+select star_rating, review_body, 'Class 1' star_class from cr
+where try_cast(star_rating as integer) <= 2
+union all
+select star_rating, review_body, 'Class 2' from cr
+where try_cast(star_rating as integer) = 3
+union all
+select star_rating, review_body, 'Class 3' from cr
+where try_cast(star_rating as integer) >= 4""")
+sql("drop_empty", f"""with {REVIEWS}
+select star_rating, body from (select star_rating, {clean_sql('review_body')} body from cr)
+where length(body) > 0""")
+
+# ---- text cleaning -----------------------------------------------------------
+
+sql("html_text", f"select page_id, {html_sql('html')} text from pages")
+sql("strip_non_alpha",
+    "select doc_id, regexp_replace(text, '[^a-zA-Z]', ' ', 'g') text from documents")
+sql("clean_text", f"with clean as ({CLEAN}) select doc_id, body from clean")
+
+
+def _contractions_sql(c: str) -> str:
+    from textflow.functions.constants import CONTRACTIONS
+    s = c
+    for short, full in CONTRACTIONS:
+        s = (f"regexp_replace({s}, '\\b{short.replace(chr(39), chr(39) * 2)}\\b', "
+             f"'{full}', 'gi')")
+    return f"(case when position('''' in {c}) > 0 then {s} else {c} end)"
+
+
+def _inject_sql(c: str) -> str:
+    s = c
+    for word, short in (("the", "it's"), ("The", "It's"), ("and", "can't"),
+                        ("is", "isn't"), ("to", "they've"), ("of", "I'll")):
+        s = f"regexp_replace({s}, '\\b{word}\\b', '{short.replace(chr(39), chr(39) * 2)}', 'g')"
+    return s
+
+
+sql("expand_contractions", f"""
+select doc_id, {_contractions_sql('t')} text
+from (select doc_id, {_inject_sql('text')} t from documents)""")
+
+TOKENS = """
+tokens as (
+  select doc_id, lang, cast(unnest(range(0, len(l))) as bigint) pos, unnest(l) w
+  from (select doc_id, lang,
+               list_filter(string_split(lower(regexp_replace(text, '[^a-zA-Z]', ' ', 'g')), ' '),
+                           lambda x: length(x) >= 2) l
+        from documents))
+"""
+
+sql("tokens", f"with {TOKENS} select doc_id, pos, w from tokens")
+
+
+def _stop_values() -> str:
+    from textflow.functions.constants import STOP_WORDS
+    vals = ", ".join("('" + w.replace("'", "''") + "')"
+                     for w in sorted(set(STOP_WORDS)))
+    return f"stop as (select * from (values {vals}) s(w))"
+
+
+def _rule_values() -> str:
+    from textflow.functions.constants import LEMMA_RULES
+    vals = ", ".join(f"({i}, '{s}', '{r}')"
+                     for i, (_, s, r) in enumerate(LEMMA_RULES))
+    return f"rules as (select * from (values {vals}) r(i, s, r))"
+
+
+LEMMA = f"""
+{_rule_values()},
+words as (select distinct w from tokens),
+cand as (select w, i, left(w, length(w) - length(s)) || r cand
+         from words, rules where ends_with(w, s) and length(w) > length(s)),
+hit as (select w, arg_min(cand, i) lemma from cand
+        where cand <> w and cand in (select w from words) group by w),
+lemmas as (select words.w, coalesce(hit.lemma, words.w) lemma
+           from words left join hit using (w))
+"""
+
+sql("stopwords", f"""with {TOKENS}, {_stop_values()}
+select doc_id, pos, w from tokens where w not in (select w from stop)""")
+sql("lemmatize", f"with {TOKENS}, {LEMMA} select w, lemma from lemmas")
+
+PRE = f"""{TOKENS}, {_stop_values()}, {LEMMA},
+pre as (select t.doc_id, string_agg(l.lemma, ' ' order by t.pos) body
+        from tokens t join lemmas l using (w)
+        where t.w not in (select w from stop) group by t.doc_id)
+"""
+sql("preprocess_text", f"with {PRE} select doc_id, body from pre")
+
+WORD_VECTORS = """
+wv as (select k.w word, e.embedding vec
+       from (select w, row_number() over (order by count(*) desc, w) r
+             from tokens group by w) k
+       join embeddings e on e.vec_id = k.r - 1)
+"""
+sql("vocab_filter", f"""with {TOKENS}, {WORD_VECTORS}
+select doc_id, string_agg(w, ' ' order by pos) body
+from tokens where w in (select word from wv) group by doc_id""")
+sql("length_metrics", f"""with {PRE}, clean as ({CLEAN}),
+d as (select doc_id, length(text) l_raw from documents),
+c as (select doc_id, length(body) l_clean from clean)
+select round(avg(l_raw), 6) before_cleaning, round(avg(l_clean), 6) after_cleaning,
+       round(avg(l_clean), 6) before_preprocessing,
+       round(avg(coalesce(length(pre.body), 0)), 6) after_preprocessing
+from d join c using (doc_id) left join pre using (doc_id)""")
+
+ENTITY = """
+et as (select doc_id sent_id, cast(unnest(range(1, len(l) + 1)) as bigint) pos,
+              unnest(l) word
+       from (select doc_id, list_filter(string_split(regexp_replace(text, '[^a-zA-Z]', ' ', 'g'), ' '),
+                                        lambda x: length(x) > 0) l from documents)),
+ec as (select *, case when regexp_matches(substr(word, 1, 1), '^[A-Z]$') then 1 else 0 end cap
+       from et),
+ea as (select *, coalesce(lag(cap) over (partition by sent_id order by pos), 0) pc from ec),
+eb as (select *, sum(case when cap = 1 and pc = 0 then 1 else 0 end)
+                   over (partition by sent_id order by pos rows between unbounded preceding and current row) grp
+       from ea),
+eg as (select sent_id, pos, word, cap,
+              case when cap = 0 then 'O'
+                   else (case when pc = 1 then 'I-' else 'B-' end) ||
+                        (case min(case when cap = 1 then length(word) end)
+                                over (partition by sent_id, grp) % 4
+                              when 0 then 'PER' when 1 then 'ORG' when 2 then 'LOC'
+                              else 'MISC' end) end gold
+       from eb),
+ent as (select *, case when substr(md5('42:' || cast(sent_id as varchar) || ':' || cast(pos as varchar)), 1, 1)
+                            in ('0', '1') then 'O' else gold end pred
+        from eg)
+"""
+sql("cap_code", f"""with {ENTITY}
+select sent_id, pos, word,
+       case when upper(word) = word and lower(word) <> word then 2
+            when upper(substr(word, 1, 1)) = substr(word, 1, 1)
+                 and lower(substr(word, 1, 1)) <> substr(word, 1, 1) then 1
+            else 0 end cap_code
+from ent""")
+
+# ---- counting and vocabularies -------------------------------------------------
+
+sql("word_count", f"with {TOKENS} select w word, count(*) cnt from tokens group by w")
+sql("vocab_threshold", f"""with {TOKENS},
+st as (select w word, count(*) cnt, min((doc_id, pos)) f from tokens group by w)
+select '<unk>' word, cast(0 as bigint) id, cast(coalesce(sum(cnt), 0) as bigint) cnt
+from st where cnt < 2
+union all
+select word, row_number() over (order by cnt desc, f, word) id, cnt from st where cnt >= 2""")
+sql("vocab_stats", f"""with {TOKENS},
+c as (select w, count(*) cnt from tokens group by w)
+select cast(count(*) filter (where cnt >= 2)
+            + case when count(*) filter (where cnt < 2) > 0 then 1 else 0 end as bigint) vocab_size,
+       cast(coalesce(sum(cnt) filter (where cnt < 2), 0) as bigint) unk_total
+from c""")
+sql("ngrams", f"with {TFIDF} select gram, count(*) cnt from grams group by gram")
+sql("term_freq", f"with {TFIDF} select doc_id, gram, tf from tf")
+sql("doc_freq", f"with {TFIDF} select gram, df from dfq")

@@ -13,8 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textflow.functions import text as text_fn
 from textflow.functions.text import word_array
-from textflow.operators import classify, features, hmm, report, split, vocab
+from textflow.operators import (classify, clean, features, hmm, report, split,
+                                 vocab)
 from textflow.plans.lineage import cut_lineage
 from textflow.sources import fixtures as fx
 
@@ -170,3 +172,184 @@ def q_hmm_viterbi(spark, sf):
 @query("accuracy")
 def q_accuracy(spark, sf):
     return report.accuracy(_decoded(spark, sf, "viterbi"), "tag", "pred")
+
+
+# --------------------------------------------------------------------------
+# row hygiene (FIXTURES B1 reviews)
+# --------------------------------------------------------------------------
+
+def clean_reviews(spark, sf):
+    return clean.dedup_rows(clean.drop_nulls(fx.reviews(spark, sf)))
+
+
+@query("scan_reviews")
+def q_scan_reviews(spark, sf):
+    return fx.reviews(spark, sf).select("star_rating", "review_body")
+
+
+@query("drop_nulls")
+def q_drop_nulls(spark, sf):
+    return clean.drop_nulls(fx.reviews(spark, sf))
+
+
+@query("dedup_rows")
+def q_dedup_rows(spark, sf):
+    return clean_reviews(spark, sf)
+
+
+@query("rating_bucket")
+def q_rating_bucket(spark, sf):
+    r = clean_reviews(spark, sf)
+    return r.select(F.col("star_rating").alias("rating"),
+                    text_fn.rating_class("star_rating").alias("star_class"),
+                    text_fn.rating_class("star_rating", numeric=True)
+                    .alias("star_code"), "review_body")
+
+
+@query("balanced_sample")
+def q_balanced_sample(spark, sf):
+    """3 x 20,000 per class, the reference's sample size."""
+    r = clean_reviews(spark, sf).withColumn(
+        "star_class", text_fn.rating_class("star_rating"))
+    s = split.balanced_sample(r, "star_class", 20000,
+                              ["star_rating", "review_body"], "review_body")
+    return s.select("star_class", "star_rating", "review_body")
+
+
+@query("union_classes")
+def q_union_classes(spark, sf):
+    frames = clean.class_frames(clean_reviews(spark, sf))
+    named = [f.withColumn("star_class", F.lit(c)) for f, c in
+             zip(frames, ["Class 1", "Class 2", "Class 3"])]
+    return clean.union_classes(named)
+
+
+@query("drop_empty")
+def q_drop_empty(spark, sf):
+    r = clean_reviews(spark, sf).select(
+        "star_rating", text_fn.clean_text("review_body").alias("body"))
+    return clean.drop_empty(r, "body")
+
+
+# --------------------------------------------------------------------------
+# text cleaning
+# --------------------------------------------------------------------------
+
+@query("html_text")
+def q_html_text(spark, sf):
+    p = fx.table(spark, sf, "pages")
+    return p.select("page_id", text_fn.html_to_text("html").alias("text"))
+
+
+@query("strip_non_alpha")
+def q_strip_non_alpha(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return d.select("doc_id", text_fn.strip_non_alpha("text").alias("text"))
+
+
+@query("clean_text")
+def q_clean_text(spark, sf):
+    return fx.clean_docs(spark, sf).select("doc_id", "body")
+
+
+@query("expand_contractions")
+def q_expand_contractions(spark, sf):
+    c = fx.contraction_texts(spark, sf)
+    return c.select("doc_id", text_fn.expand_contractions("text")
+                    .alias("text"))
+
+
+@query("tokens")
+def q_tokens(spark, sf):
+    return fx.tokens(spark, sf).select("doc_id", "pos", "w")
+
+
+@query("stopwords")
+def q_stopwords(spark, sf):
+    return clean.stopword_tokens(fx.tokens(spark, sf)).select(
+        "doc_id", "pos", "w")
+
+
+@query("lemmatize")
+def q_lemmatize(spark, sf):
+    return clean.lemma_map(fx.tokens(spark, sf))
+
+
+def preprocessed(spark, sf):
+    return clean.rebuild_text(clean.preprocess_tokens(fx.tokens(spark, sf)))
+
+
+@query("preprocess_text")
+def q_preprocess_text(spark, sf):
+    return preprocessed(spark, sf)
+
+
+@query("vocab_filter")
+def q_vocab_filter(spark, sf):
+    kept = clean.vocab_filter(fx.tokens(spark, sf), fx.word_vectors(spark, sf))
+    return clean.rebuild_text(kept)
+
+
+@query("length_metrics")
+def q_length_metrics(spark, sf):
+    d = fx.table(spark, sf, "documents").select(
+        "doc_id", F.length("text").alias("l_raw"),
+        F.length(text_fn.clean_text("text")).alias("l_clean"))
+    p = preprocessed(spark, sf).select("doc_id",
+                                       F.length("body").alias("l_pre"))
+    j = d.join(p, "doc_id", "left")
+    return j.agg(r6(F.avg("l_raw")).alias("before_cleaning"),
+                 r6(F.avg("l_clean")).alias("after_cleaning"),
+                 r6(F.avg("l_clean")).alias("before_preprocessing"),
+                 r6(F.avg(F.coalesce("l_pre", F.lit(0))))
+                 .alias("after_preprocessing"))
+
+
+@query("cap_code")
+def q_cap_code(spark, sf):
+    e = fx.entity_tokens(spark, sf)
+    return e.select("sent_id", "pos", "word",
+                    text_fn.cap_code("word").alias("cap_code"))
+
+
+# --------------------------------------------------------------------------
+# counting and vocabularies
+# --------------------------------------------------------------------------
+
+@query("word_count")
+def q_word_count(spark, sf):
+    return vocab.word_count(fx.tokens(spark, sf))
+
+
+@query("vocab_threshold")
+def q_vocab_threshold(spark, sf):
+    return vocab.vocab_threshold(fx.tokens(spark, sf), "w",
+                                 ("doc_id", "pos"))
+
+
+@query("vocab_stats")
+def q_vocab_stats(spark, sf):
+    return vocab.vocab_stats(fx.tokens(spark, sf))
+
+
+def doc_words(spark, sf):
+    docs = fx.clean_docs(spark, sf)
+    return docs.select("doc_id", word_array("body", 2).alias("w"))
+
+
+@query("ngrams")
+def q_ngrams(spark, sf):
+    g = features.ngrams(doc_words(spark, sf), "w", ("doc_id",), 1, 5)
+    return g.groupBy("gram").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query("term_freq")
+def q_term_freq(spark, sf):
+    return features.term_freq(
+        features.ngrams(doc_words(spark, sf), "w", ("doc_id",), 1, 5))
+
+
+@query("doc_freq")
+def q_doc_freq(spark, sf):
+    return features.doc_freq(features.term_freq(
+        features.ngrams(doc_words(spark, sf), "w", ("doc_id",), 1, 5)))
