@@ -469,3 +469,202 @@ from c""")
 sql("ngrams", f"with {TFIDF} select gram, count(*) cnt from grams group by gram")
 sql("term_freq", f"with {TFIDF} select doc_id, gram, tf from tf")
 sql("doc_freq", f"with {TFIDF} select gram, df from dfq")
+
+
+# ---- entity tagging (FIXTURES B7) ---------------------------------------------
+
+def _code_values() -> str:
+    from textflow.functions.constants import NER_LABELS
+    vals = ", ".join(f"('{l}', {c})" for l, c in NER_LABELS)
+    return f"codes as (select * from (values {vals}) c(label, code))"
+
+
+sql("label_codes", f"""with {ENTITY}, {_code_values()}
+select sent_id, pos, gold, code from ent left join codes on codes.label = ent.gold""")
+sql("class_weights", f"""with {ENTITY},
+c as (select gold label, count(*) n from ent group by gold),
+t as (select count(*) total from ent)
+select label, n, round(n / total, 6) freq, round(total / n, 6) weight from c, t""")
+VFS = """
+vfs as (select word, row_number() over (order by min((sent_id, pos)), word) id
+        from ent group by word)
+"""
+sql("vocab_first_seen", f"with {ENTITY}, {VFS} select word, id from vfs")
+sql("classification_report", f"with {ENTITY}, pairs as (select gold y, pred p from ent),"
+    + REPORT_TAIL)
+sql("align_predictions", f"with {ENTITY} select sent_id, pos, word, gold, pred from ent")
+sql("eval_lines", f"""with {ENTITY}
+select sent_id, pos, concat_ws(' ', cast(pos as varchar), word, gold, pred) line from ent""")
+SENT = f"""{ENTITY}, {_code_values()}, {VFS},
+nv as (select count(*) nv from vfs),
+tk as (select ent.sent_id, ent.pos, coalesce(vfs.id, nv.nv + 1) wid, codes.code
+       from ent cross join nv left join vfs using (word)
+       left join codes on codes.label = ent.gold),
+sa as (select sent_id, cast(count(*) as bigint) len,
+              string_agg(cast(wid as varchar), ',' order by pos) ids,
+              string_agg(cast(code as varchar), ',' order by pos) codes
+       from tk group by sent_id),
+pb as (select *, cast((row_number() over (order by sent_id) - 1) // 16 as bigint) batch from sa),
+pl as (select *, max(len) over (partition by batch) padded_len from pb)
+"""
+sql("sentence_arrays", f"with {SENT} select sent_id, len, ids, codes from sa")
+sql("pad_batches", f"""with {SENT}
+select sent_id, batch, len, padded_len,
+       ids || repeat(',0', cast(padded_len - len as integer)) ids,
+       codes || repeat(',9', cast(padded_len - len as integer)) codes
+from pl""")
+sql("unpad", f"with {SENT} select sent_id, pos, code from tk")
+sql("context_features", f"""with {ENTITY}
+select sent_id, pos, word, cap,
+       lag(word, 2) over w word_m2, lag(word, 1) over w word_m1,
+       lead(word, 1) over w word_p1, lead(word, 2) over w word_p2,
+       lag(cap, 2) over w cap_m2, lag(cap, 1) over w cap_m1,
+       lead(cap, 1) over w cap_p1, lead(cap, 2) over w cap_p2
+from ent window w as (partition by sent_id order by pos)""")
+
+
+def spans_sql(label: str, name: str) -> str:
+    return f"""
+{name}_b as (select sent_id, pos, {label} lab,
+                    lag({label}) over w prv, lead({label}) over w nxt
+             from ent window w as (partition by sent_id order by pos)),
+{name}_t as (select *, case when lab = 'O' then null else substr(lab, 3) end tc,
+                    case when prv is null or prv = 'O' then null else substr(prv, 3) end tp,
+                    case when nxt is null or nxt = 'O' then null else substr(nxt, 3) end tn
+             from {name}_b),
+{name}_f as (select sent_id, pos, tc type,
+                    tc is not null and (starts_with(lab, 'B-') or tp is null or tp <> tc) s,
+                    tc is not null and not coalesce(tn is not null and not
+                        (starts_with(nxt, 'B-') or tc is null or tc <> tn), false) e
+             from {name}_t),
+{name}_s as (select sent_id, pos start, type,
+                    row_number() over (partition by sent_id order by pos) k
+             from {name}_f where s),
+{name}_e as (select sent_id, pos "end",
+                    row_number() over (partition by sent_id order by pos) k
+             from {name}_f where e),
+{name} as (select sent_id, start, "end", type from {name}_s join {name}_e using (sent_id, k))
+"""
+
+
+sql("bio_spans", f"""with {ENTITY}, {spans_sql('pred', 'ps')}
+select sent_id, start, "end", type from ps""")
+sql("span_f1", f"""with {ENTITY}, {spans_sql('gold', 'gs')}, {spans_sql('pred', 'ps')},
+r as (select type, 1 g, 0 p, 0 c from gs
+      union all select type, 0, 1, 0 from ps
+      union all select gs.type, 0, 0, 1 from gs join ps using (sent_id, start, "end", type)),
+a as (select coalesce(type, 'ALL') type, cast(sum(g) as bigint) n_gold,
+             cast(sum(p) as bigint) n_pred, cast(sum(c) as bigint) n_correct
+      from r group by rollup (type)),
+m as (select *, case when n_pred > 0 then n_correct / n_pred else 0.0 end "precision",
+             case when n_gold > 0 then n_correct / n_gold else 0.0 end recall from a),
+acc as (select avg(case when gold = pred then 1.0 else 0.0 end) acc from ent)
+select type, n_gold, n_pred, n_correct, round("precision", 6) "precision",
+       round(recall, 6) recall,
+       round(case when "precision" + recall > 0
+                  then 2 * "precision" * recall / ("precision" + recall) else 0.0 end, 6) f1,
+       round(case when type = 'ALL' then acc end, 6) accuracy
+from m, acc""")
+sql("argmax_class", """select vec_id,
+cast(list_position(embedding, list_max(embedding)) - 1 as bigint) argmax from embeddings""")
+sql("minibatch_ids", """
+with r as (select doc_id, row_number() over (order by md5('42:' || cast(doc_id as varchar)), doc_id) rn
+           from documents)
+select doc_id, cast((rn - 1) // 64 as bigint) batch, cast((rn - 1) % 64 as bigint) slot from r""")
+sql("validation_split", f"""with {LANG_SPLIT},
+trn as (select doc_id from sp where split = 'train'),
+r as (select doc_id, row_number() over (order by md5('43:' || cast(doc_id as varchar)), doc_id) rn,
+             count(*) over () n from trn)
+select doc_id, case when rn <= ceil(0.1 * n) then 'val' else 'train' end split from r""")
+sql("cross_entropy", NB + """,
+lse as (select doc_id, max(score) mx from sc group by doc_id),
+l2 as (select sc.doc_id, lse.mx, ln(sum(exp(sc.score - lse.mx))) l
+       from sc join lse using (doc_id) group by sc.doc_id, lse.mx),
+own as (select exp(sc.score - l2.mx - l2.l) p
+        from sc join te on te.doc_id = sc.doc_id and te.label = sc.c
+        join l2 on l2.doc_id = sc.doc_id)
+select round(sum(-ln(p)) / count(*), 6) loss, count(*) n from own""")
+
+# ---- word vectors (FIXTURES B8) ---------------------------------------------------
+
+WV = f"""{TOKENS},
+wvr as (select k.w word, list_transform(e.embedding, lambda x: cast(x as double)) vec, k.r
+        from (select w, row_number() over (order by count(*) desc, w) r
+              from tokens group by w) k
+        join embeddings e on e.vec_id = k.r - 1),
+dim as (select max(len(embedding)) d from embeddings)
+"""
+sql("doc_mean_vec", f"""with {WV},
+j as (select t.doc_id, unnest(wvr.vec) x, generate_subscripts(wvr.vec, 1) - 1 dim
+      from tokens t join wvr on wvr.word = t.w)
+select doc_id, cast(dim as bigint) dim, round(avg(x), 6) value from j group by doc_id, dim""")
+sql("doc_concat_vec", f"""with {WV},
+f as (select t.doc_id, t.pos, wvr.vec,
+             row_number() over (partition by t.doc_id order by t.pos) r
+      from tokens t join wvr on wvr.word = t.w),
+c as (select doc_id, flatten(list(vec order by r)) v from f where r <= 10 group by doc_id),
+p as (select doc_id, list_concat(v, list_transform(range(10 * dim.d - len(v)), lambda x: 0.0)) v
+      from c, dim)
+select doc_id, cast(generate_subscripts(v, 1) - 1 as bigint) dim, round(unnest(v), 6) value from p""")
+sql("doc_seq_vec", f"""with {WV},
+docs as (select distinct doc_id from tokens),
+grid as (select doc_id, cast(unnest(range(0, 20)) as bigint) step from docs),
+f as (select t.doc_id, t.pos step, wvr.vec from tokens t
+      left join wvr on wvr.word = t.w where t.pos < 20)
+select g.doc_id, g.step,
+       round(coalesce(list_sum(f.vec), 0.0), 6) total,
+       round(coalesce(list_sum(list_transform(f.vec, lambda x: x * x)), 0.0), 6) sq
+from grid g left join f using (doc_id, step)""")
+sql("embedding_matrix", f"""with {ENTITY}, {VFS}, {WV},
+m as (select vfs.id, vfs.word,
+             list_concat(wvr.vec, [cast(case when upper(vfs.word) = vfs.word and lower(vfs.word) <> vfs.word then 2
+                  when upper(substr(vfs.word, 1, 1)) = substr(vfs.word, 1, 1)
+                       and lower(substr(vfs.word, 1, 1)) <> substr(vfs.word, 1, 1) then 1
+                  else 0 end as double)]) v
+      from vfs join wvr on wvr.word = lower(vfs.word))
+select id, word, cast(generate_subscripts(v, 1) - 1 as bigint) dim, round(unnest(v), 6) value from m""")
+sql("analogy_topk", f"""with {WV},
+un as (select word, r, vec, sqrt(list_sum(list_transform(vec, lambda x: x * x))) n from wvr),
+uu as (select word, r, list_transform(vec, lambda x: x / n) u from un),
+qe as (select unnest(u) x, generate_subscripts(u, 1) i,
+              case when r in (1, 3) then 1.0 else -1.0 end s from uu where r in (1, 2, 3)),
+q as (select list(m order by i) q from (select i, sum(x * s) / 3 m from qe group by i)),
+qn as (select q, sqrt(list_sum(list_transform(q, lambda x: x * x))) qn from q),
+sim as (select word, list_sum(list_transform(list_zip(u, q), lambda z: z[1] * z[2])) / qn sim
+        from uu, qn where r not in (1, 2, 3))
+select word, round(sim, 6) similarity from sim order by sim desc, word limit 10""")
+
+# ---- spelling ------------------------------------------------------------------------
+
+SPELL = f"""{TOKENS},
+wc as (select lang, w word, count(*) cnt from tokens group by lang, w),
+dic as (select * from wc where cnt >= 20),
+pr as (select * from wc where cnt < 20),
+nb as (select doc_id, pos, lang, w, lead(w) over (partition by doc_id order by pos) nw
+       from tokens)
+"""
+sql("spell_correct", f"""with {SPELL},
+pairs as (select p.lang, p.word, d.word cand, d.cnt cc, levenshtein(p.word, d.word) dist
+          from pr p join dic d on p.lang = d.lang
+          and abs(length(p.word) - length(d.word)) <= 2)
+select lang, word, first(cand order by dist, cc desc, cand) correction,
+       cast(min(dist) as bigint) distance
+from pairs where dist <= 2 group by lang, word""")
+sql("spell_merge", f"""with {SPELL}
+select doc_id, pos, lang, w, nw next_w, w || nw merged from nb m
+where nw is not null
+  and exists (select 1 from dic d where d.lang = m.lang and d.word = m.w || m.nw)
+  and (not exists (select 1 from dic d where d.lang = m.lang and d.word = m.w)
+       or not exists (select 1 from dic d where d.lang = m.lang and d.word = m.nw))""")
+sql("spell_split", f"""with {SPELL},
+cuts as (select lang, word, i, left(word, i) l, substr(word, i + 1) r
+         from (select lang, word, unnest(range(1, length(word))) i from pr
+               where length(word) >= 2)),
+big as (select lang, w l, nw r, count(*) bc from nb where nw is not null group by lang, w, nw),
+c as (select cuts.*, dl.cnt cl, dr.cnt cr, coalesce(big.bc, 0) bc
+      from cuts join dic dl on dl.lang = cuts.lang and dl.word = cuts.l
+      join dic dr on dr.lang = cuts.lang and dr.word = cuts.r
+      left join big on big.lang = cuts.lang and big.l = cuts.l and big.r = cuts.r)
+select lang, word, first(l order by bc desc, cl * cr desc, i) "left",
+       first(r order by bc desc, cl * cr desc, i) "right"
+from c group by lang, word""")

@@ -26,9 +26,11 @@ def sentence_arrays(tokens: DataFrame, cols: Sequence[str],
     unit the consumers (batching, decoding) work on."""
     s = tokens.groupBy(key).agg(F.array_sort(F.collect_list(
         F.struct(pos, *cols))).alias("_t"))
+    def field(c):
+        return F.transform("_t", lambda x: x[c]).alias(c)
+
     return s.select(key, F.size("_t").cast("long").alias("len"),
-                    *[F.transform("_t", lambda x, c=c: x[c]).alias(c)
-                      for c in cols])
+                    *[field(c) for c in cols])
 
 
 def pad_batches(sent: DataFrame, batch_size: int = 16, key: str = "sent_id",

@@ -74,7 +74,7 @@ def spell_corrections(tokens: DataFrame, word: str = "w",
         F.struct("cand", "dist"),
         F.struct("dist", -F.col("cc"), "cand")).alias("b"))
     return best.select(*g, "word", F.col("b.cand").alias("correction"),
-                       F.col("b.dist").cast("int").alias("distance"))
+                       F.col("b.dist").cast("long").alias("distance"))
 
 
 def apply_corrections(tokens: DataFrame, corrections: DataFrame,

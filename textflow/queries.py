@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from textflow.functions import text as text_fn
 from textflow.functions.text import word_array
-from textflow.operators import (classify, clean, features, hmm, report, split,
+from textflow.operators import (classify, clean, features, hmm, report,
+                                 sequence, spell, split, vectors,
                                  vocab)
 from textflow.plans.lineage import cut_lineage
 from textflow.sources import fixtures as fx
@@ -353,3 +354,215 @@ def q_term_freq(spark, sf):
 def q_doc_freq(spark, sf):
     return features.doc_freq(features.term_freq(
         features.ngrams(doc_words(spark, sf), "w", ("doc_id",), 1, 5)))
+
+
+# --------------------------------------------------------------------------
+# entity tagging (FIXTURES B7: whole documents as sentences)
+# --------------------------------------------------------------------------
+
+@query("label_codes")
+def q_label_codes(spark, sf):
+    e = fx.entity_tokens(spark, sf)
+    return clean.encode_labels(e, "gold").select("sent_id", "pos", "gold",
+                                                 "code")
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    w = sequence.class_weights(fx.entity_tokens(spark, sf), "gold")
+    return w.select(F.col("gold").alias("label"), "n",
+                    r6(F.col("freq")).alias("freq"),
+                    r6(F.col("weight")).alias("weight"))
+
+
+@query("vocab_first_seen")
+def q_vocab_first_seen(spark, sf):
+    return vocab.vocab_first_seen(fx.entity_tokens(spark, sf), "word")
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    return report.classification_report(fx.entity_tokens(spark, sf),
+                                         "gold", "pred")
+
+
+@query("align_predictions")
+def q_align_predictions(spark, sf):
+    e = fx.entity_tokens(spark, sf)
+    gold = e.select("sent_id", "pos", "word", "gold")
+    pred = e.select("sent_id", "pos", "pred")
+    return sequence.align_predictions(gold, pred)
+
+
+@query("eval_lines")
+def q_eval_lines(spark, sf):
+    e = fx.entity_tokens(spark, sf)
+    return sequence.eval_lines(e).select("sent_id", "pos", "line")
+
+
+def entity_arrays(spark, sf):
+    e = fx.entity_tokens(spark, sf)
+    ids = vocab.vocab_first_seen(e, "word")
+    t = vocab.ids_with_unknown(e, ids, "word", "wid")
+    t = clean.encode_labels(t, "gold")
+    return sequence.sentence_arrays(t, ["wid", "code"])
+
+
+def _csv(c):
+    return F.array_join(F.col(c).cast("array<string>"), ",")
+
+
+@query("sentence_arrays")
+def q_sentence_arrays(spark, sf):
+    s = entity_arrays(spark, sf)
+    return s.select("sent_id", "len", _csv("wid").alias("ids"),
+                    _csv("code").alias("codes"))
+
+
+@query("pad_batches")
+def q_pad_batches(spark, sf):
+    p = sequence.pad_batches(entity_arrays(spark, sf), 16, ids="wid",
+                             labels="code")
+    return p.select("sent_id", "batch", "len", "padded_len",
+                    _csv("wid").alias("ids"), _csv("code").alias("codes"))
+
+
+@query("unpad")
+def q_unpad(spark, sf):
+    p = sequence.pad_batches(entity_arrays(spark, sf), 16, ids="wid",
+                             labels="code")
+    return sequence.unpad(p, "code")
+
+
+@query("context_features")
+def q_context_features(spark, sf):
+    e = fx.entity_tokens(spark, sf).select("sent_id", "pos", "word", "cap")
+    return sequence.context_features(e, ["word", "cap"], 2)
+
+
+@query("bio_spans")
+def q_bio_spans(spark, sf):
+    return sequence.bio_spans(fx.entity_tokens(spark, sf), "pred")
+
+
+@query("span_f1")
+def q_span_f1(spark, sf):
+    e = cut_lineage(fx.entity_tokens(spark, sf))
+    out = sequence.span_f1(sequence.bio_spans(e, "gold"),
+                           sequence.bio_spans(e, "pred"), e)
+    return out.select("type", "n_gold", "n_pred", "n_correct",
+                      *[r6(F.col(c)).alias(c) for c in
+                        ("precision", "recall", "f1", "accuracy")])
+
+
+@query("argmax_class")
+def q_argmax_class(spark, sf):
+    e = fx.table(spark, sf, "embeddings")
+    a = F.col("embedding")
+    return e.select("vec_id", (F.array_position(a, F.array_max(a)) - 1)
+                    .cast("long").alias("argmax"))
+
+
+@query("minibatch_ids")
+def q_minibatch_ids(spark, sf):
+    d = fx.table(spark, sf, "documents").select("doc_id")
+    return split.minibatch_ids(d, "doc_id", 64)
+
+
+@query("validation_split")
+def q_validation_split(spark, sf):
+    tr = lang_split(spark, sf).filter(F.col("split") == "train").select(
+        "doc_id")
+    return split.validation_split(tr, "doc_id", 0.1).select("doc_id", "split")
+
+
+@query("cross_entropy")
+def q_cross_entropy(spark, sf):
+    """Mean negative log posterior of the true class under naive Bayes
+    (uniform prior) on the held-out documents."""
+    x = cut_lineage(doc_tfidf(spark, sf))
+    sp = cut_lineage(lang_split(spark, sf))
+    train = sp.filter(F.col("split") == "train").select("doc_id", "label")
+    test = sp.filter(F.col("split") == "test").select("doc_id", "label")
+    n_feat = x.agg(F.count_distinct("gram")).scalar()
+    model = classify.naive_bayes_fit(x.join(train.select("doc_id"), "doc_id"),
+                                     train, n_feat)
+    sc = classify.naive_bayes_predict(
+        model, x.join(test.select("doc_id"), "doc_id"), test,
+        with_scores=True).drop("prediction")
+    lse = sc.groupBy("doc_id").agg(F.max("score").alias("mx")).join(
+        sc, "doc_id").groupBy("doc_id", "mx").agg(
+        F.log(F.sum(F.exp(F.col("score") - F.col("mx")))).alias("l"))
+    own = sc.join(test, ["doc_id", "label"])
+    p = own.join(lse, "doc_id").select(
+        "doc_id", F.exp(F.col("score") - F.col("mx") - F.col("l"))
+        .alias("p_label"))
+    return report.cross_entropy(p, "p_label")
+
+
+# --------------------------------------------------------------------------
+# word vectors (FIXTURES B8)
+# --------------------------------------------------------------------------
+
+@query("doc_mean_vec")
+def q_doc_mean_vec(spark, sf):
+    m = vectors.doc_mean_vectors(fx.tokens(spark, sf), fx.word_vectors(spark, sf))
+    v = vectors.explode_vector(m, ["doc_id"], "mean")
+    return v.select("doc_id", "dim", r6(F.col("value")).alias("value"))
+
+
+@query("doc_concat_vec")
+def q_doc_concat_vec(spark, sf):
+    c = vectors.doc_concat_vectors(fx.tokens(spark, sf),
+                                   fx.word_vectors(spark, sf), 10)
+    v = vectors.explode_vector(c, ["doc_id"], "concat")
+    return v.select("doc_id", "dim", r6(F.col("value")).alias("value"))
+
+
+@query("doc_seq_vec")
+def q_doc_seq_vec(spark, sf):
+    s = vectors.doc_sequence_vectors(fx.tokens(spark, sf),
+                                     fx.word_vectors(spark, sf), 20)
+    return s.select("doc_id", "step",
+                    r6(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x))
+                    .alias("total"),
+                    r6(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+                    .alias("sq"))
+
+
+@query("embedding_matrix")
+def q_embedding_matrix(spark, sf):
+    ids = vocab.vocab_first_seen(fx.entity_tokens(spark, sf), "word")
+    m = vectors.embedding_matrix(ids, fx.word_vectors(spark, sf))
+    v = vectors.explode_vector(m, ["id", "word"], "vec")
+    return v.select("id", "word", "dim", r6(F.col("value")).alias("value"))
+
+
+@query("analogy_topk")
+def q_analogy_topk(spark, sf):
+    """most_similar(positive=[1st, 3rd most frequent], negative=[2nd])."""
+    wv = fx.word_vectors(spark, sf)
+    wv = cut_lineage(wv)
+    pos = wv.filter(F.col("r").isin(1, 3)).agg(F.collect_list("word")).scalar()
+    neg = wv.filter(F.col("r") == 2).agg(F.collect_list("word")).scalar()
+    out = vectors.analogy(wv, pos, neg, 10)
+    return out.select("word", r6(F.col("similarity")).alias("similarity"))
+
+
+# --------------------------------------------------------------------------
+# spelling (per language, dictionary = words seen 20+ times)
+# --------------------------------------------------------------------------
+
+@query("spell_correct")
+def q_spell_correct(spark, sf):
+    return spell.spell_corrections(fx.tokens(spark, sf), "w", ["lang"], 20)
+
+
+@query("spell_merge")
+def q_spell_merge(spark, sf):
+    return spell.spell_merges(fx.tokens(spark, sf), "w", group=["lang"])
+
+
+@query("spell_split")
+def q_spell_split(spark, sf):
+    return spell.spell_splits(fx.tokens(spark, sf), "w", group=["lang"])

@@ -135,7 +135,7 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = global_row_number(counts, [F.desc("cnt"), F.col("w")], "r")
     emb = table(spark, sf_dir, "embeddings")
     return ranked.join(emb, emb.vec_id == ranked.r - 1).select(
-        F.col("w").alias("word"), F.col("embedding").alias("vec"))
+        F.col("w").alias("word"), F.col("embedding").alias("vec"), "r")
 
 
 def contraction_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
