@@ -668,3 +668,44 @@ c as (select cuts.*, dl.cnt cl, dr.cnt cr, coalesce(big.bc, 0) bc
 select lang, word, first(l order by bc desc, cl * cr desc, i) "left",
        first(r order by bc desc, cl * cr desc, i) "right"
 from c group by lang, word""")
+
+
+# ---- scans and sinks -----------------------------------------------------------------
+
+_VIT_CTES = f"""
+v(sent_id, pos, v, bp) as (
+  select d.sent_id, d.pos,
+         case when list_max({_V0}) > 0 then {_V0} else {_ONES} end,
+         cast([] as integer[])
+  from dtok d, am, tl where d.pos = 1
+  union all
+  select d.sent_id, d.pos,
+         case when list_max({_VNEW}) > 0 then {_VNEW} else {_ONES} end,
+         {_BP}
+  from v join dtok d on d.sent_id = v.sent_id and d.pos = v.pos + 1, am, tl
+),
+last as (select sent_id, max(pos) pos from v group by sent_id),
+bt(sent_id, pos, j) as (
+  select v.sent_id, v.pos,
+         cast(list_position(v.v, list_max(v.v)) - 1 as integer)
+  from v join last using (sent_id, pos)
+  union all
+  select bt.sent_id, bt.pos - 1, v.bp[bt.j + 1]
+  from bt join v on v.sent_id = bt.sent_id and v.pos = bt.pos
+  where bt.pos > 1
+),
+pr as (select bt.sent_id, bt.pos, tl.tags[bt.j + 1] pred from bt, tl)
+"""
+sql("write_tagged", "with recursive " + HMM_DECODE + "," + _VIT_CTES + """
+select pr.sent_id, string_agg(cast(pr.pos as varchar) || chr(9) || dv.word || chr(9) || pr.pred,
+                              chr(10) order by pr.pos) block
+from pr join dv using (sent_id, pos) group by pr.sent_id""")
+sql("scan_tagged", "with " + TAGGED + """
+select dense_rank() over (order by sent_id) sent_id, pos, pos idx, word, tag from tr""")
+sql("scan_vectors", f"""with {WV},
+e as (select word, unnest(vec) x, generate_subscripts(vec, 1) - 1 dim from wvr)
+select word, cast(dim as bigint) dim, round(cast(cast(x as float) as double), 6) value from e""")
+sql("hmm_roundtrip", "with " + HMM_MODEL + """
+select 'transition' kind, prev_tag a, tag b, round(prob, 6) prob from trans
+union all
+select 'emission', tag, word, round(prob, 6) from emis""")

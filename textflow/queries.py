@@ -20,6 +20,7 @@ from textflow.operators import (classify, clean, features, hmm, report,
                                  vocab)
 from textflow.plans.lineage import cut_lineage
 from textflow.sources import fixtures as fx
+from textflow.sources import io as tio
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -566,3 +567,64 @@ def q_spell_merge(spark, sf):
 @query("spell_split")
 def q_spell_split(spark, sf):
     return spell.spell_splits(fx.tokens(spark, sf), "w", group=["lang"])
+
+
+# --------------------------------------------------------------------------
+# scans and sinks (files go to a fresh folder under spark.checkpoint.dir)
+# --------------------------------------------------------------------------
+
+@query("write_tagged")
+def q_write_tagged(spark, sf):
+    """Viterbi output blocks ``idx<TAB>word<TAB>pred`` per sentence."""
+    tr, dev = hmm_data(spark, sf)
+    out = hmm.tag_sentences(tr, dev, "viterbi").join(
+        dev.select("sent_id", "pos", "word"), ["sent_id", "pos"])
+    return tio.sentence_blocks(out, ["pos", "word", "pred"])
+
+
+@query("scan_tagged")
+def q_scan_tagged(spark, sf):
+    """Write the training sequences as a tab-separated token file, read
+    it back; sentences numbered in file order."""
+    tr = hmm_data(spark, sf)[0]
+    path = tio.scratch_path(spark, "tagged")
+    tio.write_token_file(tio.sentence_blocks(tr, ["pos", "word", "tag"]), path)
+    t = tio.scan_token_file(spark, path, "\t", True)
+    return t.select("sent_id", "pos", "idx", "word", "tag")
+
+
+@query("scan_entity_tokens")
+def q_scan_entity_tokens(spark, sf):
+    """S3: space-separated entity file without labels (test form)."""
+    e = fx.entity_tokens(spark, sf)
+    path = tio.scratch_path(spark, "entities")
+    tio.write_token_file(tio.sentence_blocks(e, ["pos", "word"], " "), path)
+    return tio.scan_token_file(spark, path, " ", False)
+
+
+@query("scan_vectors")
+def q_scan_vectors(spark, sf):
+    """Vector table written as gzip text and read back."""
+    wv = fx.word_vectors(spark, sf).select("word", "vec")
+    path = tio.scratch_path(spark, "vectors")
+    tio.write_vectors_text(wv, path)
+    v = tio.scan_vectors_text(spark, path,
+                              spark.sparkContext.defaultParallelism)
+    e = vectors.explode_vector(v, ["word"], "vec")
+    return e.select("word", "dim", r6(F.col("value")).alias("value"))
+
+
+@query("hmm_roundtrip")
+def q_hmm_roundtrip(spark, sf):
+    """Both probability tables written as parquet and read back."""
+    tr = hmm_data(spark, sf)[0]
+    model = hmm.transitions(tr).select(
+        F.lit("transition").alias("kind"), F.col("prev_tag").alias("a"),
+        F.col("tag").alias("b"), "prob").unionByName(
+        hmm.emissions(tr).select(F.lit("emission").alias("kind"),
+                                 F.col("tag").alias("a"),
+                                 F.col("word").alias("b"), "prob"))
+    path = tio.scratch_path(spark, "hmm")
+    tio.write_parquet(model, path)
+    back = spark.read.parquet(path)
+    return back.select("kind", "a", "b", r6(F.col("prob")).alias("prob"))
