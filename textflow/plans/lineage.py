@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,16 +11,21 @@ from textflow.session import ensure_checkpoint_dir
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir``.
+    """Write ``df`` as a parquet table in the shared checkpoint folder and
+    read it back.
 
     Used where a plan would otherwise grow with every iteration (training
-    epochs) or where a non-deterministic expression (partition-position ids)
-    must be frozen before it is read twice.  The data survive the loss of
-    any executor because they are written to shared storage, not to the
-    executors' block managers.
+    epochs), where a non-deterministic expression (partition-position ids)
+    must be frozen before it is read twice, or where a costly intermediate
+    is read several times.  The table lives in the shared
+    ``spark.checkpoint.dir``, so it survives the loss of any executor, and
+    parquet is several times faster to write and read than an RDD
+    checkpoint of the same rows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -41,9 +41,18 @@ def r6(c):
 # shared building blocks
 # --------------------------------------------------------------------------
 
+def by_doc(df: DataFrame) -> DataFrame:
+    """Hash-partition documents by ``doc_id`` before they are exploded: the
+    per-document counts that follow then need no shuffle of the (much
+    larger) exploded rows."""
+    par = max(df.sparkSession.sparkContext.defaultParallelism,
+              df.rdd.getNumPartitions())
+    return df.repartition(par, "doc_id")
+
+
 def doc_tfidf(spark: SparkSession, sf: str, n_max: int = 5) -> DataFrame:
     """TF-IDF (1..n_max grams, 2+ letter tokens) of every cleaned document."""
-    docs = fx.clean_docs(spark, sf)
+    docs = by_doc(fx.clean_docs(spark, sf, spread_rows=False))
     words = docs.select("doc_id", word_array("body", 2).alias("w"))
     tf = features.term_freq(features.ngrams(words, "w", ("doc_id",), 1, n_max))
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
@@ -335,7 +344,7 @@ def q_vocab_stats(spark, sf):
 
 
 def doc_words(spark, sf):
-    docs = fx.clean_docs(spark, sf)
+    docs = by_doc(fx.clean_docs(spark, sf, spread_rows=False))
     return docs.select("doc_id", word_array("body", 2).alias("w"))
 
 

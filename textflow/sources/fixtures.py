@@ -18,7 +18,8 @@ from textflow.plans.ranking import global_row_number
 SEED = 42
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str,
+          spread_rows: bool = True) -> DataFrame:
     """Parquet table, spread over the cluster when the scan is narrower.
 
     A file with a single row group scans as one task; the per-document
@@ -26,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     inputs already scan as many partitions and are left untouched.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df)
+    return spread(df) if spread_rows else df
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -62,9 +63,10 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("text")).alias("review_body"))
 
 
-def clean_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_docs(spark: SparkSession, sf_dir: str,
+               spread_rows: bool = True) -> DataFrame:
     """B2: (doc_id, lang, body) with body in ``[a-z ]``."""
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", spread_rows)
     return d.select("doc_id", "lang", clean_text("text").alias("body"))
 
 
