@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from textflow.functions import text as text_fn
 from textflow.functions.text import word_array
+from textflow.operators import train as train_ops
 from textflow.operators import (classify, clean, features, hmm, report,
                                  sequence, spell, split, vectors,
                                  vocab)
@@ -637,3 +638,134 @@ def q_hmm_roundtrip(spark, sf):
     tio.write_parquet(model, path)
     back = spark.read.parquet(path)
     return back.select("kind", "a", "b", r6(F.col("prob")).alias("prob"))
+
+
+# --------------------------------------------------------------------------
+# classifiers (document language; TF-IDF for the DataFrame-native models,
+# mean word vectors for the MLlib ones, as in the two reference flows)
+# --------------------------------------------------------------------------
+
+def mean_vector_sets(spark, sf):
+    """(train, val, test) rows with ``features`` = mean word vector."""
+    m = vectors.doc_mean_vectors(fx.tokens(spark, sf),
+                                 fx.word_vectors(spark, sf))
+    sp = lang_split(spark, sf)
+    rows = train_ops.vector_rows(m.join(sp, "doc_id"), "mean")
+    rows = cut_lineage(rows.select("doc_id", "label", "label_idx",
+                                   "features", "split"))
+    tr = rows.filter(F.col("split") == "train")
+    vs = split.validation_split(tr.select("doc_id"), "doc_id", 0.1)
+    tr = tr.drop("split").join(vs, "doc_id")
+    return (tr.filter(F.col("split") == "train"),
+            tr.filter(F.col("split") == "val"),
+            rows.filter(F.col("split") == "test"))
+
+
+def _labelled(pred: DataFrame, rows: DataFrame) -> DataFrame:
+    return pred.select("doc_id", "prediction").join(
+        rows.select("doc_id", "label", "label_idx"), "doc_id")
+
+
+def _report_idx(scored: DataFrame) -> DataFrame:
+    return report.classification_report(
+        scored.withColumn("prediction", F.col("prediction").cast("int"))
+        .withColumn("label_idx", F.col("label_idx").cast("int")),
+        "label_idx", "prediction")
+
+
+@query("perceptron")
+def q_perceptron(spark, sf):
+    """M1: one-vs-rest batch perceptron, 3 epochs, on 1-5-gram TF-IDF."""
+    x = cut_lineage(doc_tfidf(spark, sf))
+    sp = cut_lineage(lang_split(spark, sf))
+    train = sp.filter(F.col("split") == "train").select("doc_id", "label")
+    test = sp.filter(F.col("split") == "test").select("doc_id", "label")
+    w = classify.perceptron_fit(x.join(train.select("doc_id"), "doc_id"),
+                                train, epochs=3)
+    pred = classify.perceptron_predict(
+        w, x.join(test.select("doc_id"), "doc_id"), test)
+    return pred.join(test, "doc_id").select("doc_id", "label", "prediction")
+
+
+@query("linear_svm")
+def q_linear_svm(spark, sf):
+    tr, _, te = mean_vector_sets(spark, sf)
+    return _report_idx(train_ops.linear_svm(tr).transform(te))
+
+
+@query("logreg")
+def q_logreg(spark, sf):
+    tr, _, te = mean_vector_sets(spark, sf)
+    return _report_idx(train_ops.logreg(tr).transform(te))
+
+
+@query("mlp")
+def q_mlp(spark, sf):
+    tr, _, te = mean_vector_sets(spark, sf)
+    d = len(tr.first()["features"])
+    k = tr.agg(F.max("label_idx")).first()[0] + 1
+    return _report_idx(train_ops.mlp(tr, [d, 100, 10, int(k)]).transform(te))
+
+
+@query("training_curves")
+def q_training_curves(spark, sf):
+    tr, va, te = mean_vector_sets(spark, sf)
+    d = len(tr.first()["features"])
+    k = int(tr.agg(F.max("label_idx")).first()[0] + 1)
+    return train_ops.training_curves(tr, va, te, [d, 100, 10, k],
+                                     max_epochs=20, patience=5, step=0.5)
+
+
+@query("param_search")
+def q_param_search(spark, sf):
+    tr, va, _ = mean_vector_sets(spark, sf)
+    return train_ops.param_search(tr.unionByName(va), trials=30)
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """Save the logistic-regression model, load it, score the test set."""
+    from pyspark.ml.classification import LogisticRegressionModel
+    tr, _, te = mean_vector_sets(spark, sf)
+    path = tio.scratch_path(spark, "logreg")
+    train_ops.logreg(tr).write().overwrite().save(path)
+    loaded = LogisticRegressionModel.load(path)
+    return loaded.transform(te).select("doc_id", "label_idx", "prediction")
+
+
+@query("word2vec")
+def q_word2vec(spark, sf):
+    """V1: vectors of size 300, window 13, min count 9 over whole texts."""
+    docs = fx.tokens(spark, sf).groupBy("doc_id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "w"))),
+        lambda s: s["w"]).alias("words"))
+    return vectors.word2vec(docs, "words", 300, 13, 9,
+                            partitions=spark.sparkContext.defaultParallelism)
+
+
+@query("token_tagger")
+def q_token_tagger(spark, sf):
+    """M7: class-weighted multinomial tagger over context features of the
+    entity tokens; span F1 of its predictions against the gold labels."""
+    from pyspark.ml.feature import VectorAssembler
+    e = fx.entity_tokens(spark, sf)
+    feats = sequence.context_features(
+        e.select("sent_id", "pos", "word", "cap", "gold").withColumn(
+            "wlen", F.length("word").cast("double")), ["cap", "wlen"], 2)
+    cols = ["cap", "wlen"] + [f"{c}_{s}" for c in ("cap", "wlen")
+                              for s in ("m2", "m1", "p1", "p2")]
+    feats = feats.fillna(0, subset=cols)
+    w = sequence.class_weights(e, "gold").select("gold", "weight")
+    rows = clean.encode_labels(feats.join(w, "gold"), "gold", "label_idx")
+    rows = VectorAssembler(inputCols=cols, outputCol="features").transform(
+        rows.withColumn("label_idx", F.col("label_idx").cast("double")))
+    rows = cut_lineage(rows.select("sent_id", "pos", "gold", "label_idx",
+                                   "weight", "features"))
+    model = train_ops.logreg(rows, reg=0.0, max_iter=50, weight_col="weight")
+    pred = model.transform(rows).withColumn(
+        "code", F.col("prediction").cast("int"))
+    pred = clean.decode_labels(pred, "code", "pred")
+    t = cut_lineage(pred.select("sent_id", "pos", "gold", "pred"))
+    out = sequence.span_f1(sequence.bio_spans(t, "gold"),
+                           sequence.bio_spans(t, "pred"), t)
+    return out
