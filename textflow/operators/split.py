@@ -37,6 +37,27 @@ def balanced_sample(df: DataFrame, class_col: str, n: int,
     return out.drop("_h")
 
 
+def hash_split_predicate(df: DataFrame, key: str, fraction: float,
+                         seed: int = SEED, col: str | None = None):
+    """The D1/D2 flag as a predicate on the key alone.
+
+    The boundary ``(hash, key)`` of the ``ceil(fraction * n)`` smallest keys
+    of ``df`` is one scalar subquery; any table carrying the key (for
+    example millions of per-document feature rows) can then be split by a
+    filter, without joining the flags back.
+    """
+    h = df.select(F.col(key)).withColumn("_h", _seeded([key], seed))
+    chosen = smallest_by_hash(h, "_h", key, fraction=fraction)
+    bound = chosen.agg(F.max(F.struct("_h", key))).scalar()
+    c = F.col(col or key)
+    probe = F.struct(_seeded_col(c, seed).alias("_h"), c.alias(key))
+    return F.coalesce(probe <= bound, F.lit(False))
+
+
+def _seeded_col(c, seed: int):
+    return F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
+
+
 def hash_split(df: DataFrame, key: str, fraction: float, seed: int = SEED,
                name: str = "is_test") -> DataFrame:
     """Flag exactly ``ceil(fraction * n)`` rows (smallest seeded hash).

@@ -51,13 +51,23 @@ def by_doc(df: DataFrame) -> DataFrame:
     return df.repartition(par, "doc_id")
 
 
-def doc_tfidf(spark: SparkSession, sf: str, n_max: int = 5) -> DataFrame:
-    """TF-IDF (1..n_max grams, 2+ letter tokens) of every cleaned document."""
+def doc_tfidf(spark: SparkSession, sf: str, n_max: int = 5,
+              with_vocab: bool = False):
+    """TF-IDF (1..n_max grams, 2+ letter tokens) of every cleaned document.
+
+    With ``with_vocab`` the document frequencies are first written to the
+    checkpoint folder and ``(tfidf, vocabulary size)`` is returned: the
+    size is then read from that table instead of re-deriving every gram.
+    """
     docs = by_doc(fx.clean_docs(spark, sf, spread_rows=False))
     words = docs.select("doc_id", word_array("body", 2).alias("w"))
     tf = features.term_freq(features.ngrams(words, "w", ("doc_id",), 1, n_max))
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    return features.tfidf(tf, n_docs)
+    if not with_vocab:
+        return features.tfidf(tf, n_docs)
+    dfreq = cut_lineage(features.doc_freq(tf))
+    x = features.tfidf(tf, n_docs, dfreq=dfreq)
+    return x, F.lit(dfreq.count())
 
 
 def lang_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,17 +77,33 @@ def lang_split(spark: SparkSession, sf: str) -> DataFrame:
     return split.train_test_split(d, "doc_id", 0.2)
 
 
+def nb_inputs(spark: SparkSession, sf: str):
+    """Features and labels for the TF-IDF classifiers.
+
+    Term counts and document frequencies are each written once to the
+    checkpoint folder; train and test TF-IDF rows are then derived from
+    them with the split as a plain predicate on ``doc_id`` (no flag join).
+    Returns ``(x_train, x_test, train_labels, test_labels, n_features)``.
+    """
+    docs = by_doc(fx.clean_docs(spark, sf, spread_rows=False))
+    words = docs.select("doc_id", word_array("body", 2).alias("w"))
+    tf = cut_lineage(features.term_freq(
+        features.ngrams(words, "w", ("doc_id",), 1, 5)))
+    dfreq = cut_lineage(features.doc_freq(tf))
+    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    d = fx.table(spark, sf, "documents").select(
+        "doc_id", F.col("lang").alias("label"))
+    is_test = split.hash_split_predicate(d, "doc_id", 0.2)
+    x_train = features.tfidf(tf.filter(~is_test), n_docs, dfreq=dfreq)
+    x_test = features.tfidf(tf.filter(is_test), n_docs, dfreq=dfreq)
+    return (x_train, x_test, d.filter(~is_test), d.filter(is_test),
+            F.lit(dfreq.count()))
+
+
 def nb_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    # read three times below: write once to the checkpoint folder
-    x = cut_lineage(doc_tfidf(spark, sf))
-    sp = cut_lineage(lang_split(spark, sf))
-    train = sp.filter(F.col("split") == "train").select("doc_id", "label")
-    test = sp.filter(F.col("split") == "test").select("doc_id", "label")
-    n_feat = x.agg(F.count_distinct("gram")).scalar()
-    model = classify.naive_bayes_fit(x.join(train.select("doc_id"), "doc_id"),
-                                     train, n_feat)
-    pred = classify.naive_bayes_predict(
-        model, x.join(test.select("doc_id"), "doc_id"), test)
+    x_train, x_test, train, test, n_feat = nb_inputs(spark, sf)
+    model = classify.naive_bayes_fit(x_train, train, n_feat)
+    pred = classify.naive_bayes_predict(model, x_test, test)
     return pred.join(test, "doc_id")
 
 
@@ -491,16 +517,11 @@ def q_validation_split(spark, sf):
 def q_cross_entropy(spark, sf):
     """Mean negative log posterior of the true class under naive Bayes
     (uniform prior) on the held-out documents."""
-    x = cut_lineage(doc_tfidf(spark, sf))
-    sp = cut_lineage(lang_split(spark, sf))
-    train = sp.filter(F.col("split") == "train").select("doc_id", "label")
-    test = sp.filter(F.col("split") == "test").select("doc_id", "label")
-    n_feat = x.agg(F.count_distinct("gram")).scalar()
-    model = classify.naive_bayes_fit(x.join(train.select("doc_id"), "doc_id"),
-                                     train, n_feat)
-    sc = classify.naive_bayes_predict(
-        model, x.join(test.select("doc_id"), "doc_id"), test,
-        with_scores=True).drop("prediction")
+    x_train, x_test, train, test, n_feat = nb_inputs(spark, sf)
+    model = classify.naive_bayes_fit(x_train, train, n_feat)
+    x = x_test
+    sc = classify.naive_bayes_predict(model, x, test,
+                                      with_scores=True).drop("prediction")
     lse = sc.groupBy("doc_id").agg(F.max("score").alias("mx")).join(
         sc, "doc_id").groupBy("doc_id", "mx").agg(
         F.log(F.sum(F.exp(F.col("score") - F.col("mx")))).alias("l"))
@@ -676,14 +697,10 @@ def _report_idx(scored: DataFrame) -> DataFrame:
 @query("perceptron")
 def q_perceptron(spark, sf):
     """M1: one-vs-rest batch perceptron, 3 epochs, on 1-5-gram TF-IDF."""
-    x = cut_lineage(doc_tfidf(spark, sf))
-    sp = cut_lineage(lang_split(spark, sf))
-    train = sp.filter(F.col("split") == "train").select("doc_id", "label")
-    test = sp.filter(F.col("split") == "test").select("doc_id", "label")
-    w = classify.perceptron_fit(x.join(train.select("doc_id"), "doc_id"),
-                                train, epochs=3)
-    pred = classify.perceptron_predict(
-        w, x.join(test.select("doc_id"), "doc_id"), test)
+    x_train, x_test, train, test, _ = nb_inputs(spark, sf)
+    x_train = cut_lineage(x_train)
+    w = classify.perceptron_fit(x_train, train, epochs=3)
+    pred = classify.perceptron_predict(w, x_test, test)
     return pred.join(test, "doc_id").select("doc_id", "label", "prediction")
 
 

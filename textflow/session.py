@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # let AQE pick a shuffled hash join (no sort of either side) when every
+    # post-shuffle partition of the build side is below this size
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
