@@ -709,3 +709,5 @@ sql("hmm_roundtrip", "with " + HMM_MODEL + """
 select 'transition' kind, prev_tag a, tag b, round(prob, 6) prob from trans
 union all
 select 'emission', tag, word, round(prob, 6) from emis""")
+sql("scan_entity_tokens", f"""with {ENTITY}
+select dense_rank() over (order by sent_id) sent_id, pos, pos idx, word from et""")

@@ -33,13 +33,17 @@ def scan_token_file(spark: SparkSession, path: str, sep: str = "\t",
     the 1-based sentence number in file order.
     """
     raw = spark.read.option("lineSep", line_sep).text(path)
-    # position ids follow file order; a whitespace-only line inside a record
-    # also separates sentences
-    recs = raw.select(F.monotonically_increasing_id().alias("_rid"),
+    # file order = (file, split offset, position inside the split): the scan
+    # packs files into partitions by size, so partition order alone is not
+    # file order.  A whitespace-only line inside a record also separates
+    # sentences.
+    recs = raw.select(F.col("_metadata.file_path").alias("_f"),
+                      F.col("_metadata.file_block_start").alias("_o"),
+                      F.monotonically_increasing_id().alias("_rid"),
                       F.posexplode(F.split("value", "\\n[ \\t\\r]*\\n"))
                       .alias("_j", "_s"))
     recs = recs.filter(F.length(F.trim("_s")) > 0)
-    recs = global_row_number(recs, ["_rid", "_j"], "sent_id")
+    recs = global_row_number(recs, ["_f", "_o", "_rid", "_j"], "sent_id")
     lines = recs.select("sent_id", F.posexplode(F.split("_s", "\\n"))
                         .alias("_k", "_l")).filter(F.length(F.trim("_l")) > 0)
     f = F.split(F.trim("_l"), sep)
