@@ -711,3 +711,49 @@ union all
 select 'emission', tag, word, round(prob, 6) from emis""")
 sql("scan_entity_tokens", f"""with {ENTITY}
 select dense_rank() over (order by sent_id) sent_id, pos, pos idx, word from et""")
+
+
+# ---- batch perceptron, 3 epochs unrolled ------------------------------------------
+
+
+def _perceptron_sql(epochs: int = 3) -> str:
+    parts = [f"with {TFIDF}", f"{LANG_SPLIT}", """
+xtr as (select x.doc_id, x.gram, x.v from x join sp using (doc_id) where sp.split = 'train'),
+xte as (select x.doc_id, x.gram, x.v from x join sp using (doc_id) where sp.split = 'test'),
+trn as (select doc_id, label from sp where split = 'train'),
+tst as (select doc_id, label from sp where split = 'test'),
+classes as (select distinct label c from trn),
+dc as (select t.doc_id, c.c, case when t.label = c.c then 1.0 else -1.0 end y
+       from trn t cross join classes c),
+w0 as (select cast(null as varchar) c, cast(null as varchar) gram, 0.0 w where false),
+b0 as (select cast(null as varchar) c, 0.0 w where false)"""]
+    for i in range(1, epochs + 1):
+        p = i - 1
+        parts.append(f"""
+mm{i} as (select x.doc_id, w.c, sum(x.v * w.w) m from xtr x join w{p} w on w.gram = x.gram
+          group by x.doc_id, w.c),
+sc{i} as (select dc.doc_id, dc.c, dc.y, coalesce(mm.m, 0) + coalesce(b.w, 0) m
+          from dc left join mm{i} mm on mm.doc_id = dc.doc_id and mm.c = dc.c
+          left join b{p} b on b.c = dc.c),
+wr{i} as (select doc_id, c, y from sc{i} where y * m <= 0),
+up{i} as (select wr.c, x.gram, sum(wr.y * x.v) dw from wr{i} wr join xtr x on x.doc_id = wr.doc_id
+          group by wr.c, x.gram),
+w{i} as (select coalesce(a.c, u.c) c, coalesce(a.gram, u.gram) gram,
+                coalesce(a.w, 0) + coalesce(u.dw, 0) w
+         from w{p} a full outer join up{i} u on a.c = u.c and a.gram = u.gram),
+bu{i} as (select c, sum(y) dw from wr{i} group by c),
+b{i} as (select coalesce(a.c, u.c) c, coalesce(a.w, 0) + coalesce(u.dw, 0) w
+         from b{p} a full outer join bu{i} u on a.c = u.c)""")
+    k = epochs
+    parts.append(f"""
+tm as (select x.doc_id, w.c, sum(x.v * w.w) m from xte x join w{k} w on w.gram = x.gram
+       group by x.doc_id, w.c),
+ts as (select t.doc_id, t.label, c.c, coalesce(tm.m, 0) + coalesce(b.w, 0) m
+       from tst t cross join classes c
+       left join tm on tm.doc_id = t.doc_id and tm.c = c.c
+       left join b{k} b on b.c = c.c)
+select doc_id, label, first(c order by m desc, c) prediction from ts group by doc_id, label""")
+    return ",".join(parts)
+
+
+sql("perceptron", _perceptron_sql(3))
