@@ -254,3 +254,29 @@ def test_viterbi_unknown_first_word_and_greedy_fallback(spark):
     assert g[(8, 1)] == "DT"
     # greedy unknown first word: emission of <unk> exists for DT and VB
     assert g[(9, 1)] in ("DT", "VB")
+
+
+def test_token_file_roundtrip_with_whitespace_blank_line(spark, tmp_path):
+    from textflow.sources import io as tio
+    p = tmp_path / "tagged.txt"
+    p.write_text("1\tThe\tDT\n2\tdog\tNN\n \t \n1\tIt\tPRP\n2\truns\tVBZ\n\n"
+                 "1\tOk\tUH\n")
+    t = tio.scan_token_file(spark, str(p), "\t", True)
+    got = sorted(map(tuple, t.select("sent_id", "pos", "word", "tag")
+                     .collect()))
+    assert got == [(1, 1, "The", "DT"), (1, 2, "dog", "NN"),
+                   (2, 1, "It", "PRP"), (2, 2, "runs", "VBZ"),
+                   (3, 1, "Ok", "UH")]
+
+
+def test_vocab_file_starts_with_unk(spark, tmp_path):
+    from textflow.operators import vocab
+    from textflow.sources import io as tio
+    rows = [(1, 1, "a"), (1, 2, "b"), (1, 3, "a"), (2, 1, "c"), (2, 2, "b"),
+            (2, 3, "a")]
+    t = spark.createDataFrame(rows, "sent_id long, pos long, w string")
+    v = vocab.vocab_threshold(t)
+    out = str(tmp_path / "vocab")
+    tio.write_vocab(v, out)
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert lines == ["<unk>\t0\t1", "a\t1\t3", "b\t2\t2"]

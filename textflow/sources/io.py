@@ -96,3 +96,12 @@ def scan_vectors_text(spark: SparkSession, path: str,
 def write_parquet(df: DataFrame, path: str) -> None:
     """Stage cache / model tables."""
     df.write.mode("overwrite").parquet(path)
+
+
+def write_vocab(vocab: DataFrame, path: str) -> None:
+    """``word<TAB>index<TAB>count`` lines in index order (``<unk>`` is
+    index 0, so it comes first); range-partitioned sort, parts in order."""
+    (vocab.orderBy("id")
+     .select(F.concat_ws("\t", "word", F.col("id").cast("string"),
+                         F.col("cnt").cast("string")).alias("value"))
+     .write.mode("overwrite").text(path))
