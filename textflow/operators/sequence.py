@@ -74,34 +74,57 @@ def _typ(c):
         F.regexp_extract(c, "^[BI]-(.*)$", 1))
 
 
-def bio_spans(tokens: DataFrame, label: str, key: str = "sent_id",
-              pos: str = "pos") -> DataFrame:
+def bio_spans(tokens: DataFrame, label: str | Sequence[str],
+              key: str = "sent_id", pos: str = "pos") -> DataFrame:
     """``(sent_id, start, end, type)`` chunks of BIO labels.
 
     A chunk starts at ``B-x``, or at ``I-x`` after ``O``, after another type
     or at a sentence start; it ends before the next start or ``O``.  Starts
-    and ends alternate along a sentence, so the k-th start pairs with the
-    k-th end: both are numbered with the distributed per-sentence rank.
+    and ends alternate along a sentence, so ranking the boundary rows of a
+    sentence by ``(pos, start before end)`` pairs rank ``2k - 1`` with rank
+    ``2k``: one distributed per-sentence numbering and one aggregation, no
+    join.  With several label columns the result has a ``labels`` column
+    naming the source column and all are chunked in the same pass.
     """
-    n = neighbors(tokens.select(key, pos, label), key, pos, [label], [-1, 1])
-    cur, prv, nxt = (F.col(label), F.col(f"{label}_m1"),
-                     F.col(f"{label}_p1"))
-    t_cur, t_prv, t_nxt = _typ(cur), _typ(prv), _typ(nxt)
-    is_start = t_cur.isNotNull() & (
-        cur.startswith("B-") | t_prv.isNull() | (t_prv != t_cur))
-    nxt_starts = t_nxt.isNotNull() & (
-        nxt.startswith("B-") | t_cur.isNull() | (t_cur != t_nxt))
-    nxt_cont = t_nxt.isNotNull() & ~nxt_starts
-    is_end = t_cur.isNotNull() & ~nxt_cont
-    f = n.select(key, pos, t_cur.alias("type"), is_start.alias("s"),
-                 is_end.alias("e"))
-    starts = global_row_number(
-        f.filter("s").select(key, F.col(pos).alias("start"), "type"),
-        ["start"], "_k", partition_cols=[key])
-    ends = global_row_number(
-        f.filter("e").select(key, F.col(pos).alias("end")),
-        ["end"], "_k", partition_cols=[key])
-    return starts.join(ends, [key, "_k"]).select(key, "start", "end", "type")
+    labels = [label] if isinstance(label, str) else list(label)
+    # one neighbour pass carries every label column
+    n = neighbors(tokens.select(key, pos, *labels), key, pos, labels, [-1, 1])
+    events = None
+    for c in labels:
+        cur, prv, nxt = F.col(c), F.col(f"{c}_m1"), F.col(f"{c}_p1")
+        t_cur, t_prv, t_nxt = _typ(cur), _typ(prv), _typ(nxt)
+        is_start = t_cur.isNotNull() & (
+            cur.startswith("B-") | t_prv.isNull() | (t_prv != t_cur))
+        nxt_starts = t_nxt.isNotNull() & (
+            nxt.startswith("B-") | t_cur.isNull() | (t_cur != t_nxt))
+        nxt_cont = t_nxt.isNotNull() & ~nxt_starts
+        is_end = t_cur.isNotNull() & ~nxt_cont
+        # boundary rows only: a start (kind 0) and/or an end (kind 1)
+        ev = n.select(key, pos, t_cur.alias("type"), F.explode(F.array(
+            F.when(is_start, F.lit(0)), F.when(is_end, F.lit(1))))
+            .alias("_kind")).filter(F.col("_kind").isNotNull())
+        ev = ev.select(F.struct(key, F.lit(c).alias("labels")).alias("_k"),
+                       pos, "_kind", "type")
+        events = ev if events is None else events.unionByName(ev)
+    ranked = global_row_number(events, [pos, "_kind"], "_r",
+                               partition_cols=["_k"])
+    spans = ranked.groupBy("_k", F.floor((F.col("_r") + 1) / 2).alias("_p")
+                           ).agg(F.min(pos).alias("start"),
+                                 F.max(pos).alias("end"),
+                                 F.min("type").alias("type"))
+    out = spans.select(F.col("_k")[key].alias(key), "start", "end", "type",
+                       F.col("_k.labels").alias("labels"))
+    return out if len(labels) > 1 else out.drop("labels")
+
+
+def span_f1_tokens(tokens: DataFrame, gold_label: str = "gold",
+                   pred_label: str = "pred", key: str = "sent_id",
+                   pos: str = "pos") -> DataFrame:
+    """E1 from one token table: gold and predicted chunks in one pass."""
+    sp = bio_spans(tokens, [gold_label, pred_label], key, pos)
+    gold = sp.filter(F.col("labels") == gold_label).drop("labels")
+    pred = sp.filter(F.col("labels") == pred_label).drop("labels")
+    return span_f1(gold, pred, tokens, key, gold_label, pred_label)
 
 
 def span_f1(gold: DataFrame, pred: DataFrame, tokens: DataFrame | None = None,

@@ -485,8 +485,7 @@ def q_bio_spans(spark, sf):
 @query("span_f1")
 def q_span_f1(spark, sf):
     e = cut_lineage(fx.entity_tokens(spark, sf))
-    out = sequence.span_f1(sequence.bio_spans(e, "gold"),
-                           sequence.bio_spans(e, "pred"), e)
+    out = sequence.span_f1_tokens(e, "gold", "pred")
     return out.select("type", "n_gold", "n_pred", "n_correct",
                       *[r6(F.col(c)).alias(c) for c in
                         ("precision", "recall", "f1", "accuracy")])
@@ -783,6 +782,5 @@ def q_token_tagger(spark, sf):
         "code", F.col("prediction").cast("int"))
     pred = clean.decode_labels(pred, "code", "pred")
     t = cut_lineage(pred.select("sent_id", "pos", "gold", "pred"))
-    out = sequence.span_f1(sequence.bio_spans(t, "gold"),
-                           sequence.bio_spans(t, "pred"), t)
+    out = sequence.span_f1_tokens(t, "gold", "pred")
     return out
