@@ -86,8 +86,11 @@ def smallest_by_hash(df: DataFrame, hash_col: str, tie_col: str,
     if n is not None:
         counts = counts.withColumn("_k", F.lit(n).cast("long"))
     else:
-        total = F.sum("_c").over(wg.rowsBetween(Window.unboundedPreceding,
-                                                Window.unboundedFollowing))
+        if g:
+            total = F.sum("_c").over(wg.rowsBetween(
+                Window.unboundedPreceding, Window.unboundedFollowing))
+        else:
+            total = b.agg(F.count(F.lit(1))).scalar()
         counts = counts.withColumn("_k", F.ceil(F.lit(fraction) * total)
                                    .cast("long"))
     counts = counts.withColumn("_before", F.col("_cum") - F.col("_c"))
