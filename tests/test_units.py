@@ -280,3 +280,17 @@ def test_vocab_file_starts_with_unk(spark, tmp_path):
     tio.write_vocab(v, out)
     lines = [r.value for r in spark.read.text(out).collect()]
     assert lines == ["<unk>\t0\t1", "a\t1\t3", "b\t2\t2"]
+
+
+def test_sentence_length_guard_fails_loudly(spark):
+    import pytest
+    from textflow.operators import hmm as H
+    train = _tiny(spark)
+    tags = H.tagset_column(train)
+    em = H.emissions(train)
+    test = spark.createDataFrame([(5, p, "dog") for p in range(1, 6)],
+                                 "sent_id long, pos long, word string")
+    rows = H.sentence_rows(test, train, em, tags, max_len=3)
+    with pytest.raises(Exception, match="more than 3 tokens"):
+        rows.collect()
+    assert H.sentence_rows(test, train, em, tags, max_len=5).count() == 1

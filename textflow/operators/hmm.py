@@ -129,11 +129,19 @@ def emission_arrays(emis: DataFrame, tags: Column) -> DataFrame:
                                       F.lit(0.0))).alias("e"))
 
 
+MAX_SENTENCE = 1_000_000
+
+
 def sentence_rows(tokens: DataFrame, train: DataFrame, emis: DataFrame,
                   tags: Column, threshold: int = 2, key: str = "sent_id",
-                  pos: str = "pos", word: str = "word") -> DataFrame:
+                  pos: str = "pos", word: str = "word",
+                  max_len: int = MAX_SENTENCE) -> DataFrame:
     """One row per sentence: ``toks`` = position-sorted array of
-    ``struct(pos, e, known)``."""
+    ``struct(pos, e, known)``.
+
+    Decoding is sequential within a sentence, so a sentence is one row.  A
+    sentence longer than ``max_len`` tokens stops the job with an error
+    instead of building an unbounded row (no tokens are dropped)."""
     vc = word_count(train, "word")
     keyed = unk_map(tokens, vc, word, threshold)
     ea = emission_arrays(emis, tags)
@@ -142,6 +150,12 @@ def sentence_rows(tokens: DataFrame, train: DataFrame, emis: DataFrame,
          .select(keyed[key].alias(key), keyed[pos].alias(pos),
                  F.coalesce(ea["e"], zeros).alias("e"),
                  (keyed["word_key"] != F.lit(UNK)).alias("known")))
+    sizes = t.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    too_long = sizes.agg(F.max("_n")).scalar()
+    t = t.filter(F.coalesce(F.when(
+        too_long > max_len, F.raise_error(F.lit(
+            f"a sentence has more than {max_len} tokens; decoding keeps one "
+            "sentence per row"))).cast("boolean"), F.lit(True)))
     return t.groupBy(key).agg(F.array_sort(F.collect_list(
         F.struct(pos, "e", "known"))).alias("toks"))
 
