@@ -674,10 +674,15 @@ def mean_vector_sets(spark, sf):
     rows = cut_lineage(rows.select("doc_id", "label", "label_idx",
                                    "features", "split"))
     tr = rows.filter(F.col("split") == "train")
-    vs = split.validation_split(tr.select("doc_id"), "doc_id", 0.1)
-    tr = tr.drop("split").join(vs, "doc_id")
-    return (tr.filter(F.col("split") == "train"),
-            tr.filter(F.col("split") == "val"),
+    is_val = split.hash_split_predicate(tr.select("doc_id"), "doc_id", 0.1,
+                                        seed=fx.SEED + 1)
+    # train / val / test are read once per epoch or trial: write the three
+    # way split once instead of re-deriving the validation boundary each time
+    rows = cut_lineage(rows.withColumn("split", F.when(
+        (F.col("split") == "train") & is_val, "val").otherwise(
+        F.col("split"))))
+    return (rows.filter(F.col("split") == "train"),
+            rows.filter(F.col("split") == "val"),
             rows.filter(F.col("split") == "test"))
 
 
