@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from textflow.functions.text import clean_text, word_array
 from textflow.plans.ranking import global_row_number
+from textflow.plans.sequence import neighbors
 
 SEED = 42
 
@@ -112,13 +113,29 @@ def entity_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
          .withColumn("pos", (F.col("pos") + 1).cast("long"))
          .withColumn("cap", F.when(F.substring("word", 1, 1)
                                    .rlike("^[A-Z]$"), 1).otherwise(0)))
-    ws = Window.partitionBy("sent_id").orderBy("pos")
-    t = t.withColumn("pc", F.coalesce(F.lag("cap").over(ws), F.lit(0)))
-    t = t.withColumn("grp", F.sum(F.when((F.col("cap") == 1) &
-                                         (F.col("pc") == 0), 1).otherwise(0))
-                     .over(ws.rowsBetween(Window.unboundedPreceding, 0)))
-    run_min = F.min(F.when(F.col("cap") == 1, F.length("word"))).over(
-        Window.partitionBy("sent_id", "grp"))
+    # capitalised runs without per-document windows: neighbours by one hash
+    # aggregation, run boundaries paired by a distributed per-document rank,
+    # each run's tokens regenerated from its (start, end) and joined back
+    n = neighbors(t, "sent_id", "pos", ["cap"], [-1, 1], keep=["word"])
+    n = n.withColumn("pc", F.coalesce("cap_m1", F.lit(0))).withColumn(
+        "nc", F.coalesce("cap_p1", F.lit(0)))
+    ev = n.filter(F.col("cap") == 1).select("sent_id", "pos", F.explode(
+        F.array(F.when(F.col("pc") == 0, F.lit(0)),
+                F.when(F.col("nc") == 0, F.lit(1)))).alias("kind")).filter(
+        F.col("kind").isNotNull())
+    ev = global_row_number(ev, ["pos", "kind"], "_r",
+                           partition_cols=["sent_id"])
+    runs = ev.groupBy("sent_id", F.floor((F.col("_r") + 1) / 2).alias("run")
+                      ).agg(F.min("pos").alias("rs"), F.max("pos").alias("re"))
+    members = runs.select("sent_id", "run", F.explode(
+        F.sequence("rs", "re")).alias("pos"))
+    lens = (members.join(n.select("sent_id", "pos", F.length("word")
+                                  .alias("_l")), ["sent_id", "pos"])
+            .groupBy("sent_id", "run").agg(F.min("_l").alias("run_min")))
+    typed = members.join(lens, ["sent_id", "run"]).select(
+        "sent_id", "pos", "run_min")
+    t = n.join(typed, ["sent_id", "pos"], "left")
+    run_min = F.col("run_min")
     etype = (F.when(run_min % 4 == 0, "PER").when(run_min % 4 == 1, "ORG")
              .when(run_min % 4 == 2, "LOC").otherwise("MISC"))
     gold = F.when(F.col("cap") == 0, "O").otherwise(
