@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from textflow.llm.decontaminate import op8_decontaminate
 from textflow.llm.exact_dedup import op1_grace_dedup
+from textflow.llm.token_counts import op4_token_counts
 
 REGISTRY = {
     "op1_grace_dedup": op1_grace_dedup,
+    "op4_token_counts": op4_token_counts,
     "op8_decontaminate": op8_decontaminate,
 }
 
