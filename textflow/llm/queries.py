@@ -5,6 +5,7 @@ from __future__ import annotations
 from textflow.llm.bpe import op5_byte_bpe
 from textflow.llm.decontaminate import op8_decontaminate
 from textflow.llm.exact_dedup import op1_grace_dedup
+from textflow.llm.lang_id import op10_lang_id
 from textflow.llm.token_counts import op4_token_counts
 
 REGISTRY = {
@@ -12,6 +13,7 @@ REGISTRY = {
     "op4_token_counts": op4_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_decontaminate": op8_decontaminate,
+    "op10_lang_id": op10_lang_id,
 }
 
 _LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "

@@ -66,6 +66,7 @@ class Runs:
     hash: np.ndarray
     ptr: np.ndarray         # len(rows) + 1 offsets into start/end/hash
     off: np.ndarray         # len(rows) + 1 byte offsets of the rows
+    raw: np.ndarray | None = None       # the bytes themselves (word_runs)
 
     @property
     def rows(self) -> int:
@@ -138,7 +139,9 @@ def word_runs(texts: pa.Array, table: np.ndarray = WORDS) -> Iterator[Runs]:
         edge[off] = True
         start = np.flatnonzero(w[1:-1] & (~w[:-2] | edge[:n]))
         end = np.flatnonzero(w[1:-1] & (~w[2:] | edge[1:])) + 1
-        yield hash_runs(first, m, start, end, off)
+        r = hash_runs(first, m, start, end, off)
+        r.raw = raw
+        yield r
 
 
 # byte classes for chunking: 0 white space, 1 letter, 2 digit, 3 other ASCII,
