@@ -6,10 +6,12 @@ from textflow.llm.bpe import op5_byte_bpe
 from textflow.llm.decontaminate import op8_decontaminate
 from textflow.llm.exact_dedup import op1_grace_dedup
 from textflow.llm.lang_id import op10_lang_id
+from textflow.llm.near_dedup import op2_near_dedup
 from textflow.llm.token_counts import op4_token_counts
 
 REGISTRY = {
     "op1_grace_dedup": op1_grace_dedup,
+    "op2_near_dedup": op2_near_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
     "op8_decontaminate": op8_decontaminate,
