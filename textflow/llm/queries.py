@@ -5,16 +5,24 @@ from __future__ import annotations
 from textflow.llm.bpe import op5_byte_bpe
 from textflow.llm.decontaminate import op8_decontaminate
 from textflow.llm.exact_dedup import op1_grace_dedup
+from textflow.llm.html_extract import op6_html_extract
 from textflow.llm.lang_id import op10_lang_id
 from textflow.llm.near_dedup import op2_near_dedup
+from textflow.llm.secrets import op9_secret_scan
 from textflow.llm.token_counts import op4_token_counts
+from textflow.llm.token_files import op3_token_files
+from textflow.llm.url_filter import op7_url_filter
 
 REGISTRY = {
     "op1_grace_dedup": op1_grace_dedup,
     "op2_near_dedup": op2_near_dedup,
+    "op3_token_files": op3_token_files,
     "op4_token_counts": op4_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_html_extract": op6_html_extract,
+    "op7_url_filter": op7_url_filter,
     "op8_decontaminate": op8_decontaminate,
+    "op9_secret_scan": op9_secret_scan,
     "op10_lang_id": op10_lang_id,
 }
 
