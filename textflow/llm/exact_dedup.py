@@ -147,7 +147,8 @@ def _order(i) -> tuple:
     return (i is not None, i)
 
 
-def _local(id_col: str, text_col: str, like: pa.Schema, budget: int):
+def _local(id_col: str, text_col: str, like: pa.Schema, budget: int,
+           rows_out: bool):
     keep_type = like.field("keep").type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,12 +195,13 @@ def _local(id_col: str, text_col: str, like: pa.Schema, budget: int):
                 for k, e in enumerate(chosen):
                     top[e][2] = rows.count + k
                 rows.take_from(data, list(chosen.values()))
-                yield _batch(
-                    like, len(ids), kind=[MEMBER] * len(ids),
-                    class_id=[classes + e for e in entry],
-                    uid=list(range(uid, uid + len(ids))),
-                    keep=pa.StructArray.from_arrays(
-                        [data.field(id_col)], fields=list(keep_type)))
+                if not rows_out:
+                    yield _batch(
+                        like, len(ids), kind=[MEMBER] * len(ids),
+                        class_id=[classes + e for e in entry],
+                        uid=list(range(uid, uid + len(ids))),
+                        keep=pa.StructArray.from_arrays(
+                            [data.field(id_col)], fields=list(keep_type)))
                 uid += len(ids)
                 if table.nbytes + rows.nbytes > budget:
                     yield from handed_on()
@@ -209,7 +211,7 @@ def _local(id_col: str, text_col: str, like: pa.Schema, budget: int):
 
 
 def _merge(id_col: str, text_col: str, like: pa.Schema, budget: int,
-           seed: int):
+           seed: int, rows_out: bool):
     keep_type = like.field("keep").type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,8 +254,11 @@ def _merge(id_col: str, text_col: str, like: pa.Schema, budget: int,
                                  **{c: s.column(c) for c in (
                                      "class_id", "uid", "n", "hash",
                                      "sha256", "row")})
-        for part in rows.chosen([t[2] for t in top]):
-            yield _batch(like, len(part), kind=[KEPT] * len(part), row=part)
+        if rows_out:
+            for part in rows.chosen([t[2] for t in top]):
+                yield _batch(like, len(part), kind=[KEPT] * len(part),
+                             row=part)
+            return
         flat = [(c, e) for e, m in enumerate(members) for c in m]
         for i in range(0, len(flat), 8 * _BATCH_ROWS):
             cs = flat[i:i + 8 * _BATCH_ROWS]
@@ -270,15 +275,9 @@ def _merge(id_col: str, text_col: str, like: pa.Schema, budget: int,
     return run
 
 
-def grace_dedup(docs: DataFrame, id_col: str = "doc_id",
-                text_col: str = "text", table_bytes: int = TABLE_BYTES
-                ) -> tuple[DataFrame, DataFrame]:
-    """(assignment of every row, the rows that stay).
-
-    The first frame has ``id, keep_id, group_size, kept, text_sha256`` for
-    every row of ``docs``; the second has the kept rows with all columns of
-    ``docs``.  ``table_bytes`` bounds the table of one task.
-    """
+def _grace(docs: DataFrame, id_col: str, text_col: str, table_bytes: int,
+           rows_out: bool) -> tuple[DataFrame, DataFrame]:
+    """(the local stage's table, what the partitions of all levels gave)."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
@@ -288,36 +287,52 @@ def grace_dedup(docs: DataFrame, id_col: str = "doc_id",
                      .add("row", packed.schema["row"].dataType))
     like = to_arrow_schema(schema)
     first = written(packed.mapInArrow(
-        _local(id_col, text_col, like, table_bytes), schema),
+        _local(id_col, text_col, like, table_bytes, rows_out), schema),
         "dedup-local", "kind")
-    members = first.filter(F.col("kind") == MEMBER)
     todo = first.filter(F.col("kind") == CLASS)
-    n, level, mapped, kept = partitions(spark), 0, None, None
+    n, level, found = partitions(spark), 0, None
     while True:
         dealt = todo.repartitionById(n, F.pmod(F.xxhash64(
             "hash", F.lit(level)), F.lit(n)).cast("int"))
         out = written(dealt.mapInArrow(
-            _merge(id_col, text_col, like, table_bytes, level + 1), schema),
-            f"dedup-level{level}", "kind")
-        m, k = (out.filter(F.col("kind") == x) for x in (MAPPED, KEPT))
-        mapped = m if mapped is None else mapped.unionByName(m)
-        kept = k if kept is None else kept.unionByName(k)
+            _merge(id_col, text_col, like, table_bytes, level + 1, rows_out),
+            schema), f"dedup-level{level}", "kind")
+        done = out.filter(F.col("kind").isin(MAPPED, KEPT))
+        found = done if found is None else found.unionByName(done)
         todo = out.filter(F.col("kind") == SPILL)
         if todo.select("kind").isEmpty():
-            break
+            return first, found
         level += 1
-    groups = mapped.select("class_id", F.col("keep.id").alias("keep_id"),
-                           F.col("n").alias("group_size"), "keep_uid",
-                           F.col("sha256").alias("text_sha256"))
-    rows = (members.select("class_id", "uid", F.col("keep.id").alias("id"))
-            .join(groups, "class_id")
-            .select("id", "keep_id", "group_size",
-                    (F.col("uid") == F.col("keep_uid")).alias("kept"),
-                    "text_sha256"))
-    return rows, kept.select("row.*")
+
+
+def assign_groups(docs: DataFrame, id_col: str = "doc_id",
+                  text_col: str = "text", table_bytes: int = TABLE_BYTES
+                  ) -> DataFrame:
+    """``id, keep_id, group_size, kept, text_sha256`` of every row.
+
+    ``table_bytes`` bounds the content table of one task.
+    """
+    first, found = _grace(docs.select(id_col, text_col), id_col, text_col,
+                          table_bytes, False)
+    groups = found.select("class_id", F.col("keep.id").alias("keep_id"),
+                          F.col("n").alias("group_size"), "keep_uid",
+                          F.col("sha256").alias("text_sha256"))
+    members = first.filter(F.col("kind") == MEMBER).select(
+        "class_id", "uid", F.col("keep.id").alias("id"))
+    return members.join(groups, "class_id").select(
+        "id", "keep_id", "group_size",
+        (F.col("uid") == F.col("keep_uid")).alias("kept"), "text_sha256")
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id",
+                text_col: str = "text", table_bytes: int = TABLE_BYTES
+                ) -> DataFrame:
+    """One row of each group of equal texts, with all columns of ``docs``."""
+    _, found = _grace(docs, id_col, text_col, table_bytes, True)
+    return found.select("row.*")
 
 
 def op1_grace_dedup(spark, sf_dir: str) -> DataFrame:
     from textflow.llm.stage import documents
-    rows, _ = grace_dedup(documents(spark, sf_dir).select("doc_id", "text"))
-    return rows.withColumnRenamed("id", "doc_id")
+    return assign_groups(documents(spark, sf_dir)).withColumnRenamed(
+        "id", "doc_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textflow.sources.io import scratch_path
+from textflow.plans.lineage import scratch_path
 
 
 def written(df: DataFrame, name: str, partition_by: str | None = None
@@ -16,7 +16,7 @@ def written(df: DataFrame, name: str, partition_by: str | None = None
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write
+    writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
