@@ -16,17 +16,42 @@ def sql(name: str, text: str) -> None:
 
 # ---- shared CTE bodies ----------------------------------------------------
 
+def _q(t: str) -> str:
+    return "'" + t.replace("'", "''") + "'"
+
+
+MARKUP_SQL = _q(
+    r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+    r"|<!--.*?-->|<![a-z][^>]*>"
+    r"|</?[a-z][^<>\"']*(?:\"[^\"]*\"[^<>\"']*|'[^']*'[^<>\"']*)*>")
+ENTITY_SQL = _q("&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}"
+                "|[A-Za-z][A-Za-z0-9]{1,31});")
+
+
+def _entity_map() -> str:
+    from html.entities import name2codepoint
+    names = sorted(name2codepoint)
+    texts = [" " if n == "nbsp" else chr(name2codepoint[n]) for n in names]
+    return (f"MAP([{', '.join(map(_q, names))}], "
+            f"[{', '.join(map(_q, texts))}])")
+
+
 def html_sql(c: str) -> str:
-    s = (f"regexp_replace({c}, '(?is)<(script|style)[^>]*>.*?</(script|style)>'"
-         ", ' ', 'g')")
-    s = f"regexp_replace({s}, '(?s)<!--.*?-->', ' ', 'g')"
-    s = f"regexp_replace({s}, '(?s)<[^>]+>', ' ', 'g')"
-    for ent, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"),
-                    ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"),
-                    ("&amp;", "&")):
-        s = f"replace({s}, '{ent}', '{ch}')"
+    s = f"regexp_replace({c}, {MARKUP_SQL}, ' ', 'g')"
+    code = ("(case when lower(e[2:3]) = '#x' then cast('0x' || e[4:-2] as bigint) "
+            "else cast(e[3:-2] as bigint) end)")
+    text = (f"(case when e[2] <> '#' then coalesce({_entity_map()}[e[2:-2]], e) "
+            f"when {code} = 160 then ' ' "
+            f"when {code} = 0 or {code} > 1114111 or {code} between 55296 and 57343 "
+            f"then chr(65533) else chr(cast({code} as integer)) end)")
+    pairs = (f"list_transform(list_distinct(regexp_extract_all({s}, {ENTITY_SQL})), "
+             f"lambda e: [e, {text}])")
+    order = (f"list_concat(list_filter({pairs}, lambda p: p[2] <> '&'), "
+             f"list_filter({pairs}, lambda p: p[2] = '&'))")
+    s = (f"list_reduce(list_prepend([{s}, ''], {order}), "
+         "lambda acc, p: [replace(acc[1], p[1], p[2]), ''])[1]")
     s = f"trim(regexp_replace({s}, '[ \\t\\r\\n]+', ' ', 'g'))"
-    return f"(case when regexp_matches({c}, '(?s)<[^>]+>') then {s} else {c} end)"
+    return f"(case when regexp_matches({c}, {MARKUP_SQL}) then {s} else {c} end)"
 
 
 def clean_sql(c: str) -> str:
@@ -122,11 +147,13 @@ sql("train_test_split", f"with {LANG_SPLIT} select doc_id, split from sp")
 # ---- HMM (FIXTURES B6) ------------------------------------------------------
 
 TAGGED = """
-tg as (select user_id sent_id,
-              row_number() over (partition by user_id order by ts, event_id) pos,
+tw as (select user_id * 10000 + cast(floor((cast(ts as date) - date '1970-01-01') / 7.0) as bigint) sent_id,
+              ts, event_id, event_type, value from events),
+tg as (select sent_id,
+              row_number() over (partition by sent_id order by ts, event_id) pos,
               event_type tag,
               'b' || cast(cast(floor(value / 5) as integer) as varchar) word
-       from events),
+       from tw),
 ss as (select sent_id,
               row_number() over (order by md5('42:' || cast(sent_id as varchar)),
                                  sent_id) rn,
@@ -359,8 +386,13 @@ TOKENS = """
 tokens as (
   select doc_id, lang, cast(unnest(range(0, len(l))) as bigint) pos, unnest(l) w
   from (select doc_id, lang,
-               list_filter(string_split(lower(regexp_replace(text, '[^a-zA-Z]', ' ', 'g')), ' '),
-                           lambda x: length(x) >= 2) l
+               flatten(list_transform(
+                 list_filter(string_split(lower(regexp_replace(text, '[^a-zA-Z]', ' ', 'g')), ' '),
+                             lambda x: length(x) > 0),
+                 lambda x: case x when 'cannot' then ['can', 'not']
+                           when 'gonna' then ['gon', 'na'] when 'gotta' then ['got', 'ta']
+                           when 'wanna' then ['wan', 'na'] when 'gimme' then ['gim', 'me']
+                           when 'lemme' then ['lem', 'me'] else [x] end)) l
         from documents))
 """
 
@@ -603,8 +635,9 @@ f as (select t.doc_id, t.pos, wvr.vec,
              row_number() over (partition by t.doc_id order by t.pos) r
       from tokens t join wvr on wvr.word = t.w),
 c as (select doc_id, flatten(list(vec order by r)) v from f where r <= 10 group by doc_id),
+e as (select doc_id, coalesce(v, []) v from documents left join c using (doc_id)),
 p as (select doc_id, list_concat(v, list_transform(range(10 * dim.d - len(v)), lambda x: 0.0)) v
-      from c, dim)
+      from e, dim)
 select doc_id, cast(generate_subscripts(v, 1) - 1 as bigint) dim, round(unnest(v), 6) value from p""")
 sql("doc_seq_vec", f"""with {WV},
 docs as (select distinct doc_id from tokens),
@@ -616,13 +649,19 @@ select g.doc_id, g.step,
        round(coalesce(list_sum(list_transform(f.vec, lambda x: x * x)), 0.0), 6) sq
 from grid g left join f using (doc_id, step)""")
 sql("embedding_matrix", f"""with {ENTITY}, {VFS}, {WV},
-m as (select vfs.id, vfs.word,
+m as (select vfs.id, vfs.word, case when wvr.vec is not null then
              list_concat(wvr.vec, [cast(case when upper(vfs.word) = vfs.word and lower(vfs.word) <> vfs.word then 2
                   when upper(substr(vfs.word, 1, 1)) = substr(vfs.word, 1, 1)
                        and lower(substr(vfs.word, 1, 1)) <> substr(vfs.word, 1, 1) then 1
-                  else 0 end as double)]) v
-      from vfs join wvr on wvr.word = lower(vfs.word))
-select id, word, cast(generate_subscripts(v, 1) - 1 as bigint) dim, round(unnest(v), 6) value from m""")
+                  else 0 end as double)])
+             else list_transform(range(dim.d + 1), lambda x: 0.0) end v
+      from vfs cross join dim left join wvr on wvr.word = lower(vfs.word)
+      union all
+      select unnest([0, (select count(*) + 1 from vfs)]), null,
+             list_transform(range(dim.d + 1), lambda x: 0.0) from dim)
+select cast(id as bigint) id, word, cast(len(v) as bigint) width, cast(v[-1] as bigint) cap_code,
+       round(list_sum(v), 6) total, round(list_sum(list_transform(v, lambda x: x * x)), 6) sq
+from m""")
 sql("analogy_topk", f"""with {WV},
 un as (select word, r, vec, sqrt(list_sum(list_transform(vec, lambda x: x * x))) n from wvr),
 uu as (select word, r, list_transform(vec, lambda x: x / n) u from un),

@@ -7,17 +7,6 @@ operators; nothing here grows with the data.
 
 from __future__ import annotations
 
-# --- fixed values: HTML entities decoded by the HTML step, "&amp;" last ---
-HTML_ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
-
 # --- fixed values: English contractions and their expansions ---
 CONTRACTIONS = [
     ("ain't", "are not"), ("aren't", "are not"), ("can't", "cannot"),

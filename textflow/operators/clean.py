@@ -11,11 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions.constants import LEMMA_RULES, NER_LABELS, STOP_WORDS
-from textflow.functions.text import rating_class
 
 
 # ---- P1-P10 ---------------------------------------------------------------
@@ -30,12 +29,6 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def rating_bucket(df: DataFrame, rating: str = "star_rating",
-                  numeric: bool = False) -> DataFrame:
-    """Replace the rating by its class."""
-    return df.withColumn(rating, rating_class(rating, numeric))
-
-
 def class_frames(df: DataFrame, rating: str = "star_rating"
                  ) -> list[DataFrame]:
     """P5: the three rating predicates ``<= 2``, ``= 3``, ``>= 4``."""
@@ -77,21 +70,6 @@ def decode_labels(df: DataFrame, code: str, label: str = "label") -> DataFrame:
 
 # ---- T10-T15 ---------------------------------------------------------------
 
-def explode_words(df: DataFrame, words: str, key_cols: Sequence[str],
-                  pos: str = "pos", word: str = "w") -> DataFrame:
-    """``(key..., pos BIGINT from 0, w)`` from an array column."""
-    return (df.select(*key_cols, F.posexplode(words).alias(pos, word))
-            .withColumn(pos, F.col(pos).cast("long")))
-
-
-def remove_stopwords(words: Column | str, stop: Sequence[str] = STOP_WORDS
-                     ) -> Column:
-    """T11 on an array column: the list is fixed, so a per-row filter."""
-    w = F.col(words) if isinstance(words, str) else words
-    stop_arr = F.array(*[F.lit(s) for s in sorted(set(stop))])
-    return F.filter(w, lambda x: ~F.array_contains(stop_arr, x))
-
-
 def stopword_tokens(tokens: DataFrame, word: str = "w",
                     stop: Sequence[str] = STOP_WORDS) -> DataFrame:
     """T11 on token rows: broadcast anti join on the fixed stop list."""
@@ -111,6 +89,16 @@ def lemma_map(vocab: DataFrame, word: str = "w",
     in isolation, so per-word and per-token results are the same).
     """
     words = vocab.select(F.col(word).alias("_w")).distinct()
+    hit = changed_lemmas(words, rules)
+    return (words.join(hit, "_w", "left")
+            .select(F.col("_w").alias(word),
+                    F.coalesce("lemma", "_w").alias("lemma")))
+
+
+def changed_lemmas(words: DataFrame,
+                   rules: Sequence[tuple[str, str, str]] = LEMMA_RULES
+                   ) -> DataFrame:
+    """``(_w, lemma)`` of the words whose lemma is another word."""
     rule_arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("s"),
                                   F.lit(r).alias("r"))
                          for i, (_, s, r) in enumerate(rules)])
@@ -122,11 +110,8 @@ def lemma_map(vocab: DataFrame, word: str = "w",
                 F.col("k.r")).alias("cand"))
             .filter(F.col("cand") != F.col("_w")))
     known = words.select(F.col("_w").alias("cand"))
-    hit = (cand.join(known, "cand", "left_semi").groupBy("_w")
-           .agg(F.min_by("cand", "i").alias("lemma")))
-    return (words.join(hit, "_w", "left")
-            .select(F.col("_w").alias(word),
-                    F.coalesce("lemma", "_w").alias("lemma")))
+    return (cand.join(known, "cand", "left_semi").groupBy("_w")
+            .agg(F.min_by("cand", "i").alias("lemma")))
 
 
 def lemmatize_tokens(tokens: DataFrame, lemmas: DataFrame,
@@ -157,6 +142,9 @@ def vocab_filter(tokens: DataFrame, vocab: DataFrame, word: str = "w",
 
 
 def preprocess_tokens(tokens: DataFrame, word: str = "w") -> DataFrame:
-    """Stop words out, then lemmas; lemma vocabulary = all words."""
+    """Stop words out, then lemmas; lemma vocabulary = all words.  Only
+    words with another lemma take part in the join."""
     kept = stopword_tokens(tokens, word)
-    return lemmatize_tokens(kept, lemma_map(tokens, word), word)
+    words = tokens.select(F.col(word).alias("_w")).distinct()
+    return lemmatize_tokens(kept, changed_lemmas(words).withColumnRenamed(
+        "_w", word), word)

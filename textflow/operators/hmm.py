@@ -1,12 +1,14 @@
 """First-order HMM tagger estimated and decoded in Spark.
 
-Estimation is counting: previous tag by one hash aggregation on ``(sent_id,
-pos)`` (skew-free, unlike a window over a long sentence), then hash
-aggregations.  Decoding runs one row per sentence (sentences are the unit of
-parallelism): tokens carry an emission array over the tag set, the
-transition matrix is a scalar subquery (bounded by the tag set, broadcast
-once), and the dynamic programme is a SQL ``aggregate`` over the sentence's
-token array -- JVM-side, no Python worker.
+Estimation is counting: the previous tag by a block-wise lag (a long sentence
+is spread over many tasks), then hash aggregations.
+
+Decoding needs a sentence's tokens in order: one row per sentence, whose
+tokens carry the few (tag, probability) pairs of their word.  The transition
+matrix and the emissions of the pooled rare word are bounded by the tag set
+and travel with the task.  Arrow batches of sentences are decoded together,
+step t for all sentences that have a t-th token, with numpy arrays of fixed
+size: time and memory are linear in the number of tokens.
 
 Decode semantics follow the reference exactly:
 
@@ -24,10 +26,13 @@ Decode semantics follow the reference exactly:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textflow.operators.vocab import UNK, unk_map, word_count
 from textflow.plans.sequence import neighbors
@@ -41,9 +46,7 @@ def prev_tag(tagged: DataFrame, key: str = "sent_id", pos: str = "pos",
              tag: str = "tag") -> DataFrame:
     """``prev_tag`` = tag at ``pos - 1`` of the same sentence, or START.
 
-    Positions must be dense (1, 2, ...).  The lag is one hash aggregation on
-    ``(sent_id, pos)`` (see ``plans.sequence.neighbors``), which spreads
-    evenly even when one sentence is huge.
+    Positions must be dense (1, 2, ...); see ``plans.sequence.neighbors``.
     """
     n = neighbors(tagged, key, pos, [tag], [-1], keep=[
         c for c in tagged.columns if c not in (key, pos)])
@@ -96,150 +99,155 @@ def param_counts(trans: DataFrame, emis: DataFrame) -> DataFrame:
 
 # ---- decoding ---------------------------------------------------------------
 
-def tagset_column(tagged: DataFrame | None = None,
-                  tagset: Sequence[str] | None = None) -> Column:
-    """Tag set as an array column: a given list (order breaks ties) or the
-    sorted distinct training tags (scalar subquery)."""
+def tag_list(tagged: DataFrame, tagset: Sequence[str] | None = None
+             ) -> list[str]:
+    """The tag set in tie-breaking order: a given list or the sorted distinct
+    training tags."""
     if tagset is not None:
-        return F.array(*[F.lit(t) for t in tagset])
-    return tagged.agg(F.array_sort(F.collect_set("tag"))).scalar()
-
-
-def transition_matrix(trans: DataFrame, tags: Column) -> Column:
-    """``A[i][j]``: row 0 = START, row i = tag i-1; column j = tag j.
-
-    One scalar subquery whose size is bounded by the tag set squared."""
-    m = F.map_from_entries(F.collect_list(F.struct(
-        F.struct(F.col("prev_tag").alias("a"), F.col("tag").alias("b")),
-        F.col("prob"))))
-    rows = F.concat(F.array(F.lit(START)), F.col("_tags"))
-    a = F.transform(rows, lambda p: F.transform(
-        "_tags", lambda t: F.coalesce(F.element_at(
-            F.col("_m"), F.struct(p.alias("a"), t.alias("b"))), F.lit(0.0))))
-    return (trans.agg(m.alias("_m")).withColumn("_tags", tags)
-            .select(a).scalar())
-
-
-def emission_arrays(emis: DataFrame, tags: Column) -> DataFrame:
-    """``(word, e)`` with ``e[j] = emit(tag j, word)`` (0 when absent)."""
-    g = emis.groupBy("word").agg(F.map_from_entries(F.collect_list(
-        F.struct("tag", "prob"))).alias("_m")).withColumn("_tags", tags)
-    return g.select("word", F.transform(
-        "_tags", lambda t: F.coalesce(F.element_at(F.col("_m"), t),
-                                      F.lit(0.0))).alias("e"))
-
-
-MAX_SENTENCE = 1_000_000
-
-
-def sentence_rows(tokens: DataFrame, train: DataFrame, emis: DataFrame,
-                  tags: Column, threshold: int = 2, key: str = "sent_id",
-                  pos: str = "pos", word: str = "word",
-                  max_len: int = MAX_SENTENCE) -> DataFrame:
+        return list(tagset)
+    return sorted(r[0] for r in tagged.select("tag").distinct().collect())
+
+
+def transition_matrix(trans: DataFrame, tags: Sequence[str]) -> np.ndarray:
+    """``A[i][j]``: row 0 = START, row i = tag i-1; column j = tag j."""
+    at = {t: i for i, t in enumerate(tags)}
+    a = np.zeros((len(tags) + 1, len(tags)))
+    for r in trans.collect():           # at most (tags + 1) * tags rows
+        row = 0 if r["prev_tag"] == START else at.get(r["prev_tag"], -2) + 1
+        if row >= 0 and r["tag"] in at:
+            a[row, at[r["tag"]]] = r["prob"]
+    return a
+
+
+def unknown_emissions(emis: DataFrame, tags: Sequence[str]) -> np.ndarray:
+    """Emissions of the pooled rare word, one per tag."""
+    e = np.zeros(len(tags))
+    for r in emis.filter(F.col("word") == UNK).collect():
+        if r["tag"] in tags:
+            e[list(tags).index(r["tag"])] = r["prob"]
+    return e
+
+
+def sentence_rows(tokens: DataFrame, vocab: DataFrame, emis: DataFrame,
+                  tags: Sequence[str], threshold: int = 2,
+                  key: str = "sent_id", pos: str = "pos", word: str = "word"
+                  ) -> DataFrame:
     """One row per sentence: ``toks`` = position-sorted array of
-    ``struct(pos, e, known)``.
-
-    Decoding is sequential within a sentence, so a sentence is one row.  A
-    sentence longer than ``max_len`` tokens stops the job with an error
-    instead of building an unbounded row (no tokens are dropped)."""
-    vc = word_count(train, "word")
-    keyed = unk_map(tokens, vc, word, threshold)
-    ea = emission_arrays(emis, tags)
-    zeros = F.array_repeat(F.lit(0.0), F.size(tags))
-    t = (keyed.join(ea, keyed["word_key"] == ea["word"], "left")
-         .select(keyed[key].alias(key), keyed[pos].alias(pos),
-                 F.coalesce(ea["e"], zeros).alias("e"),
-                 (keyed["word_key"] != F.lit(UNK)).alias("known")))
-    sizes = t.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    too_long = sizes.agg(F.max("_n")).scalar()
-    t = t.filter(F.coalesce(F.when(
-        too_long > max_len, F.raise_error(F.lit(
-            f"a sentence has more than {max_len} tokens; decoding keeps one "
-            "sentence per row"))).cast("boolean"), F.lit(True)))
+    ``struct(pos, known, e)`` with ``e`` = array of ``struct(j, p)``.
+
+    Only known words are joined to the emissions; a rare or unseen word has
+    an empty ``e`` (its emissions are the same for all)."""
+    keyed = unk_map(tokens, vocab, word, threshold)
+    order = F.array(*[F.lit(t) for t in tags])
+    known = emis.filter(F.col("word") != UNK).withColumn(
+        "j", F.array_position(order, F.col("tag")) - 1).filter("j >= 0")
+    rows = known.groupBy("word").agg(F.collect_list(F.struct(
+        "j", F.col("prob").alias("p"))).alias("e"))
+    k = keyed.select(key, pos, F.col("word_key").alias("_w"),
+                     (F.col("word_key") != UNK).alias("known"))
+    t = k.filter("known").join(rows.withColumnRenamed("word", "_w"), "_w",
+                               "left")
+    none = F.array().cast("array<struct<j:bigint,p:double>>")
+    t = t.select(key, pos, "known", F.coalesce("e", none).alias("e"))
+    t = t.unionByName(k.filter(~F.col("known")).select(
+        key, pos, "known", none.alias("e")))
     return t.groupBy(key).agg(F.array_sort(F.collect_list(
-        F.struct(pos, "e", "known"))).alias("toks"))
-
-
-def _seq(k: Column) -> Column:
-    return F.sequence(F.lit(0), k - 1)
-
-
-def greedy_path(toks: Column, A: Column, k: Column) -> Column:
-    """Array of tag indices chosen greedily."""
-    init = F.struct(F.lit(-1).alias("prev"),
-                    F.array().cast("array<int>").alias("path"))
-
-    def step(acc, t):
-        row = F.get(A, acc["prev"] + 1)
-        s = F.transform(_seq(k), lambda j: F.get(row, j) * F.get(t["e"], j))
-        m = F.array_max(s)
-        fallback = F.when((acc["prev"] >= 0) & (F.array_max(row) > 0),
-                          acc["prev"]).otherwise(F.lit(0))
-        nxt = F.when(m > 0, F.array_position(s, m).cast("int") - 1).otherwise(
-            fallback)
-        return F.struct(nxt.alias("prev"),
-                        F.concat(acc["path"], F.array(nxt)).alias("path"))
-
-    return F.aggregate(toks, init, step, lambda acc: acc["path"])
-
-
-def viterbi_path(toks: Column, A: Column, k: Column) -> Column:
-    """Array of tag indices of the Viterbi path (see module notes)."""
-    ones = F.array_repeat(F.lit(1.0), k)
-    t0 = F.get(toks, 0)
-    v0 = F.when(t0["known"], F.transform(
-        _seq(k), lambda j: F.get(F.get(A, 0), j) * F.get(t0["e"], j))
-    ).otherwise(F.array_repeat(F.lit(0.0), k))
-    v0 = F.when(F.array_max(v0) > 0, v0).otherwise(ones)
-    init = F.struct(v0.alias("v"),
-                    F.array().cast("array<array<int>>").alias("bp"))
-
-    def step(acc, t):
-        cells = F.transform(_seq(k), lambda j: F.transform(
-            _seq(k), lambda j2: (F.get(acc["v"], j2) *
-                                 F.get(F.get(A, j2 + 1), j)) *
-            F.get(t["e"], j)))
-        best = F.transform(cells, lambda c: F.struct(
-            F.array_max(c).alias("m"),
-            F.when(F.array_max(c) > 0,
-                   F.array_position(c, F.array_max(c)).cast("int") - 1)
-            .otherwise(F.lit(0)).alias("b")))
-        v = F.transform(best, lambda x: x["m"])
-        v = F.when(F.array_max(v) > 0, v).otherwise(ones)
-        bp = F.transform(best, lambda x: x["b"])
-        return F.struct(v.alias("v"),
-                        F.concat(acc["bp"], F.array(bp)).alias("bp"))
-
-    def finish(acc):
-        last = F.array_position(acc["v"], F.array_max(acc["v"])).cast("int") - 1
-        back = F.aggregate(F.reverse(acc["bp"]), F.array(last),
-                           lambda p, row: F.concat(
-                               p, F.array(F.get(row, F.element_at(p, -1)))))
-        return F.reverse(back)
-
-    return F.aggregate(F.slice(toks, 2, F.greatest(F.size(toks) - 1,
-                                                   F.lit(0))),
-                       init, step, finish)
-
-
-def decode(sentences: DataFrame, trans: DataFrame, tags: Column,
-           method: str = "viterbi", key: str = "sent_id",
-           pos: str = "pos") -> DataFrame:
+        F.struct(pos, "known", "e"))).alias("toks"))
+
+
+def _chains(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts longest first, sizes longest first, sentences per step)."""
+    order = np.argsort(-size, kind="stable")
+    start = (np.cumsum(size) - size)[order]
+    size = size[order]
+    longest = int(size[0]) if len(size) else 0
+    return start, size, np.searchsorted(-size, -np.arange(longest), "left")
+
+
+def greedy_paths(e: np.ndarray, known: np.ndarray, size: np.ndarray,
+                 a: np.ndarray) -> np.ndarray:
+    """Greedily chosen tag numbers of all tokens."""
+    start, _, alive = _chains(size)
+    path = np.zeros(len(e), np.int64)
+    prev = np.full(len(start), -1)
+    for t, n in enumerate(alive):
+        at = start[:n] + t
+        row = a[prev[:n] + 1]
+        s = row * e[at]
+        stay = np.where((prev[:n] >= 0) & (row.max(1) > 0), prev[:n], 0)
+        path[at] = np.where(s.max(1) > 0, s.argmax(1), stay)
+        prev = path[at]
+    return path
+
+
+def viterbi_paths(e: np.ndarray, known: np.ndarray, size: np.ndarray,
+                  a: np.ndarray) -> np.ndarray:
+    """Tag numbers of the Viterbi paths (see module notes)."""
+    start, size, alive = _chains(size)
+    back = np.zeros(e.shape, np.int32)
+    v = np.zeros((len(start), e.shape[1]))
+    for t, n in enumerate(alive):
+        at = start[:n] + t
+        if t == 0:
+            v = np.where(known[at][:, None], a[0] * e[at], 0.0)
+        else:
+            cells = (v[:n, :, None] * a[1:]) * e[at][:, None, :]
+            best = cells.max(1)
+            back[at] = np.where(best > 0, cells.argmax(1), 0)
+            v[:n] = best
+        v[:n][~(v[:n].max(1) > 0)] = 1.0
+    path = np.zeros(len(e), np.int64)
+    if len(start):
+        path[start + size - 1] = v.argmax(1)
+    for t in range(len(alive) - 2, -1, -1):
+        at = start[:alive[t + 1]] + t
+        path[at] = back[at + 1, path[at + 1]]
+    return path
+
+
+def _decode_batches(method: str, tags: list[str], a: np.ndarray,
+                    unk: np.ndarray, like: pa.Schema):
+    paths = viterbi_paths if method == "viterbi" else greedy_paths
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array(tags, pa.string())
+        for b in batches:
+            toks = b.column(1)
+            size = np.diff(toks.offsets.to_numpy())
+            flat = toks.flatten()
+            known = flat.field("known").to_numpy(zero_copy_only=False)
+            pairs = flat.field("e")
+            count = np.diff(pairs.offsets.to_numpy())
+            jp = pairs.flatten()
+            e = np.zeros((len(flat), len(tags)))
+            e[np.repeat(np.arange(len(flat)), count),
+              jp.field("j").to_numpy()] = jp.field("p").to_numpy()
+            e[~known] = unk
+            path = paths(e, known, size, a)
+            yield pa.RecordBatch.from_arrays([
+                b.column(0).take(pa.array(np.repeat(np.arange(len(size)),
+                                                    size))),
+                flat.field(0), names.take(pa.array(path))], schema=like)
+
+    return run
+
+
+def decode(sentences: DataFrame, trans: DataFrame, emis: DataFrame,
+           tags: Sequence[str], method: str = "viterbi",
+           key: str = "sent_id", pos: str = "pos") -> DataFrame:
     """H4/H5: ``(sent_id, pos, pred)`` for every token."""
-    A = transition_matrix(trans, tags)
-    fn = viterbi_path if method == "viterbi" else greedy_path
-    # the model enters as columns (scalar subqueries cannot sit inside the
-    # lambda of a higher-order function); its size is bounded by the tag set
-    s = (sentences.filter(F.size("toks") > 0)
-         .withColumn("_A", A).withColumn("_tags", tags)
-         .withColumn("_k", F.size("_tags")))
-    s = s.select(key, "toks", "_tags",
-                 fn(F.col("toks"), F.col("_A"), F.col("_k")).alias("path"))
-    z = s.select(key, "_tags", F.explode(F.arrays_zip(
-        F.transform("toks", lambda t: t[pos]).alias("p"),
-        F.col("path").alias("j"))).alias("z"))
-    return z.select(key, F.col("z.p").alias(pos),
-                    F.get(F.col("_tags"), F.col("z.j")).alias("pred"))
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    pos_type = sentences.schema["toks"].dataType.elementType[pos].dataType
+    schema = T.StructType([
+        T.StructField(key, sentences.schema[key].dataType),
+        T.StructField(pos, pos_type), T.StructField("pred", T.StringType())])
+    run = _decode_batches(method, list(tags), transition_matrix(trans, tags),
+                          unknown_emissions(emis, tags),
+                          to_arrow_schema(schema))
+    return sentences.filter(F.size("toks") > 0).select(key, "toks"
+                                                       ).mapInArrow(
+        run, schema)
 
 
 def tag_sentences(train: DataFrame, test: DataFrame, method: str = "viterbi",
@@ -247,8 +255,15 @@ def tag_sentences(train: DataFrame, test: DataFrame, method: str = "viterbi",
                   threshold: int = 2) -> DataFrame:
     """Estimate on ``train`` (sent_id, pos, word, tag) and decode ``test``
     (sent_id, pos, word[, tag])."""
-    tags = tagset_column(train, tagset)
-    tr = transitions(train)
-    em = emissions(train, threshold)
-    sent = sentence_rows(test, train, em, tags, threshold)
-    return decode(sent, tr, tags, method)
+    return tag_with_model(transitions(train), emissions(train, threshold),
+                          word_count(train, "word"), test, method,
+                          tag_list(train, tagset), threshold)
+
+
+def tag_with_model(trans: DataFrame, emis: DataFrame, vocab: DataFrame,
+                   test: DataFrame, method: str, tags: Sequence[str],
+                   threshold: int = 2) -> DataFrame:
+    """Decode with the three tables of a (re-read) model: transitions,
+    emissions and the vocabulary ``(word, cnt)``."""
+    sent = sentence_rows(test, vocab, emis, tags, threshold)
+    return decode(sent, trans, emis, tags, method)

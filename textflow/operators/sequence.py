@@ -2,8 +2,8 @@
 
 Sentences are keyed ``(sent_id, pos)`` with dense positions.  Neighbour
 access (context features, BIO boundaries) uses ``plans.sequence.neighbors``
-(one hash aggregation on ``(sent_id, pos)``), and per-sentence numbering uses
-``global_row_number`` -- no window holds a whole long sentence in one task.
+and per-sentence numbering ``plans.ranking.block_rank``: windows over blocks
+of positions, so no task holds a whole long sentence.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textflow.functions.constants import PAD_ID, PAD_LABEL
-from textflow.plans.ranking import global_row_number
+from textflow.plans.ranking import block_rank, global_row_number
 from textflow.plans.sequence import neighbors
 
 
@@ -106,8 +106,7 @@ def bio_spans(tokens: DataFrame, label: str | Sequence[str],
         ev = ev.select(F.struct(key, F.lit(c).alias("labels")).alias("_k"),
                        pos, "_kind", "type")
         events = ev if events is None else events.unionByName(ev)
-    ranked = global_row_number(events, [pos, "_kind"], "_r",
-                               partition_cols=["_k"])
+    ranked = block_rank(events, "_k", pos, [pos, "_kind"], "_r")
     spans = ranked.groupBy("_k", F.floor((F.col("_r") + 1) / 2).alias("_p")
                            ).agg(F.min(pos).alias("start"),
                                  F.max(pos).alias("end"),

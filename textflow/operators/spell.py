@@ -2,11 +2,12 @@
 
 The reference corrects each review with an in-memory symmetric-delete index.
 Here the index is a join: every distinct word (not every token) expands to
-its delete keys (all strings left after removing up to two characters),
-rare words meet dictionary words on equal keys -- a plain equi-join, split by
-AQE when a key is hot -- and candidates are verified with ``levenshtein(a, b,
-2)``.  Two words within edit distance 2 always share a delete key, so the
-candidate set is exact, with no cap.  The corpus supplies the dictionary
+the delete keys of its first seven letters (all strings left after removing
+up to two characters), rare words meet dictionary words on equal keys -- a
+plain equi-join, split by AQE when a key is hot -- and candidates are verified
+with ``levenshtein(a, b, 2)`` on the whole words.  Two words within edit
+distance 2 always share a key of their prefixes, so no pair is lost, and a
+word of any length has at most 29 keys.  The corpus supplies the dictionary
 (words with count >= ``min_count``), optionally per language.
 """
 
@@ -40,6 +41,13 @@ def delete_keys(w: Column, max_deletes: int = 2) -> Column:
     return F.array_distinct(keys)
 
 
+KEY_PREFIX = 7
+
+
+def prefix_keys(w: Column, max_deletes: int = 2) -> Column:
+    return delete_keys(F.substring(w, 1, KEY_PREFIX), max_deletes)
+
+
 def word_counts(tokens: DataFrame, word: str = "w",
                 group: Sequence[str] = ()) -> DataFrame:
     return tokens.groupBy(*group, F.col(word).alias("word")).agg(
@@ -59,14 +67,14 @@ def spell_corrections(tokens: DataFrame, word: str = "w",
     dic = wc.filter(F.col("cnt") >= min_count)
     probe = wc.filter(F.col("cnt") < min_count)
     dk = dic.select(*g, F.col("word").alias("cand"), F.col("cnt").alias("cc"),
-                    F.explode(delete_keys(F.col("word"), max_distance))
+                    F.explode(prefix_keys(F.col("word"), max_distance))
                     .alias("key"))
     pk = probe.select(*g, "word",
-                      F.explode(delete_keys(F.col("word"), max_distance))
+                      F.explode(prefix_keys(F.col("word"), max_distance))
                       .alias("key"))
     pairs = (pk.join(dk, [*g, "key"])
              .filter(F.abs(F.length("word") - F.length("cand")) <= max_distance)
-             .select(*g, "word", "cand", "cc").distinct())
+             .select(*g, "word", "cand", "cc"))
     pairs = pairs.withColumn("dist", F.levenshtein("word", "cand",
                                                    max_distance))
     pairs = pairs.filter(F.col("dist") >= 0)

@@ -42,16 +42,21 @@ def hash_split_predicate(df: DataFrame, key: str, fraction: float,
     """The D1/D2 flag as a predicate on the key alone.
 
     The boundary ``(hash, key)`` of the ``ceil(fraction * n)`` smallest keys
-    of ``df`` is one scalar subquery; any table carrying the key (for
-    example millions of per-document feature rows) can then be split by a
-    filter, without joining the flags back.
+    of ``df`` is one row: it is computed once, brought to the driver and used
+    as a literal, so any table carrying the key (for example millions of
+    per-document feature rows) is split by a filter, without joining flags
+    back and without repeating the ranking in every plan.
     """
     h = df.select(F.col(key)).withColumn("_h", _seeded([key], seed))
     chosen = smallest_by_hash(h, "_h", key, fraction=fraction)
-    bound = chosen.agg(F.max(F.struct("_h", key))).scalar()
+    bound = chosen.agg(F.max(F.struct("_h", key)).alias("b")).first()["b"]
+    if bound is None:
+        return F.lit(False)
     c = F.col(col or key)
     probe = F.struct(_seeded_col(c, seed).alias("_h"), c.alias(key))
-    return F.coalesce(probe <= bound, F.lit(False))
+    edge = F.struct(F.lit(bound["_h"]).alias("_h"), F.lit(bound[key]).cast(
+        df.schema[key].dataType).alias(key))
+    return F.coalesce(probe <= edge, F.lit(False))
 
 
 def _seeded_col(c, seed: int):
@@ -62,15 +67,9 @@ def hash_split(df: DataFrame, key: str, fraction: float, seed: int = SEED,
                name: str = "is_test") -> DataFrame:
     """Flag exactly ``ceil(fraction * n)`` rows (smallest seeded hash).
 
-    The boundary ``(hash, key)`` of the flagged set is computed once as a
-    scalar subquery; the flag is then a plain comparison, with no join back.
+    See :func:`hash_split_predicate`: the flag is a plain comparison.
     """
-    h = df.withColumn("_h", _seeded([key], seed))
-    chosen = smallest_by_hash(h.select("_h", key), "_h", key,
-                              fraction=fraction)
-    bound = chosen.agg(F.max(F.struct("_h", key))).scalar()
-    flag = F.coalesce(F.struct("_h", key) <= bound, F.lit(False))
-    return h.withColumn(name, flag).drop("_h")
+    return df.withColumn(name, hash_split_predicate(df, key, fraction, seed))
 
 
 def train_test_split(df: DataFrame, key: str, test_size: float = 0.2,

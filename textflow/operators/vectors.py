@@ -96,9 +96,11 @@ def doc_mean_vectors(tokens: DataFrame, vectors: DataFrame,
 def doc_concat_vectors(tokens: DataFrame, vectors: DataFrame, n: int = 10,
                        dim: int | None = None, key: str = "doc_id",
                        word: str = "w", pos: str = "pos", vec: str = "vec",
-                       vec_word: str = "word") -> DataFrame:
+                       vec_word: str = "word",
+                       docs: DataFrame | None = None) -> DataFrame:
     """V4: first ``n`` in-vocabulary words, vectors concatenated, zero filled
-    to ``n * dim``."""
+    to ``n * dim``.  With ``docs`` (a frame of keys) also the documents
+    without a known word have a row, all zeros."""
     from pyspark.sql import Window
     v = vectors.select(F.col(vec_word).alias(word), as_double(vec).alias("_v"))
     d = dim or v.agg(F.max(F.size("_v"))).scalar()
@@ -109,6 +111,9 @@ def doc_concat_vectors(tokens: DataFrame, vectors: DataFrame, n: int = 10,
         Window.partitionBy(key).orderBy(pos))).filter(F.col("_r") <= n)
     g = r.groupBy(key).agg(F.flatten(F.transform(F.array_sort(
         F.collect_list(F.struct("_r", "_v"))), lambda s: s["_v"])).alias("_c"))
+    if docs is not None:
+        g = docs.select(key).join(g, key, "left").withColumn(
+            "_c", F.coalesce("_c", F.array().cast("array<double>")))
     total = F.lit(n) * d
     return g.select(key, F.concat("_c", F.array_repeat(
         F.lit(0.0), (total - F.size("_c")).cast("int"))).alias("concat"))
@@ -139,15 +144,25 @@ def doc_sequence_vectors(tokens: DataFrame, vectors: DataFrame, steps: int = 20,
 def embedding_matrix(vocab_ids: DataFrame, vectors: DataFrame,
                      word: str = "word", vec: str = "vec",
                      vec_word: str = "word") -> DataFrame:
-    """V6: ``(id, vec)`` for vocabulary words with a vector of
-    ``lower(word)``: the vector plus the capitalisation code.  All other rows
-    of the ``(V + 2) x (d + 1)`` matrix (ids 0, V + 1 and words without a
-    vector) are zero and are left implicit."""
+    """V6: ``(id, word, vec)``, all rows of the ``(V + 2) x (d + 1)`` matrix.
+
+    A word with a vector of ``lower(word)`` has that vector plus the
+    capitalisation code; words without one and the ids 0 (padding) and
+    V + 1 (unknown word), whose ``word`` is null, are all zeros."""
     v = vectors.select(F.col(vec_word).alias("_lw"),
                        as_double(vec).alias("_v"))
-    j = vocab_ids.join(v, F.lower(vocab_ids[word]) == v["_lw"])
-    return j.select("id", word, F.concat("_v", F.array(
-        cap_code(F.col(word)).cast("double"))).alias("vec"))
+    d = v.agg(F.max(F.size("_v"))).scalar()
+    zeros = F.array_repeat(F.lit(0.0), (d + 1).cast("int"))
+    j = vocab_ids.select("id", word).withColumn("_lw", F.lower(word)).join(
+        v, "_lw", "left")
+    rows = j.select("id", word, F.when(F.col("_v").isNotNull(), F.concat(
+        "_v", F.array(cap_code(F.col(word)).cast("double"))))
+        .otherwise(zeros).alias("vec"))
+    size = vocab_ids.agg(F.count(F.lit(1))).select(F.explode(F.array(
+        F.lit(0).cast("long"), F.col("count(1)") + 1)).alias("id"))
+    extra = size.select("id", F.lit(None).cast("string").alias(word),
+                        zeros.alias("vec"))
+    return rows.unionByName(extra)
 
 
 def explode_vector(df: DataFrame, keys: Sequence[str], vec: str,

@@ -1,14 +1,23 @@
-"""Lineage cuts and size-checked broadcasts."""
+"""Lineage cuts and the stage tables they leave behind."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from textflow.session import ensure_checkpoint_dir
 
+#: folders written by this process and not yet removed
+_WRITTEN: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and
@@ -20,21 +29,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     is read several times.  The table lives in the shared
     ``spark.checkpoint.dir``, so it survives the loss of any executor, and
     parquet is several times faster to write and read than an RDD
-    checkpoint of the same rows.
+    checkpoint of the same rows.  :func:`drop_stage_tables` removes it.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+def drop_stage_tables(spark: SparkSession) -> int:
+    """Remove every stage table and scratch file this process has written.
 
-    The check runs ``limit(max_rows + 1).count()``, which stops reading once
-    the bound is exceeded.  Beyond the bound the frame is returned as is and
-    the join falls back to a shuffled join (AQE may still convert it at
-    runtime from measured sizes).
+    Call it when the results built on them have been written: the frames
+    that queries return read these tables lazily.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

@@ -60,6 +60,32 @@ def global_row_number(df: DataFrame, order_cols: Sequence[Column | str],
                                                       "_m0")
 
 
+BLOCK = 8192
+
+
+def block_rank(df: DataFrame, key: str, pos: str,
+               order_cols: Sequence[Column | str], name: str = "rn",
+               block: int = BLOCK) -> DataFrame:
+    """``name`` = 1-based rank of each row within ``key`` by ``order_cols``,
+    whose leading column must be the integer ``pos``.
+
+    Rows are numbered inside blocks of ``block`` positions, so a key with a
+    third of all rows is spread over many tasks; the offsets come from one
+    small table with a row per (key, block).
+    """
+    b = df.withColumn("_blk", F.floor(F.col(pos) / block))
+    per = b.groupBy(key, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_blk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    off = per.select(key, "_blk", F.coalesce(F.sum("_n").over(before),
+                                             F.lit(0)).alias("_off"))
+    w = Window.partitionBy(key, "_blk").orderBy(*order_cols)
+    out = b.withColumn("_in", F.row_number().over(w)).join(
+        off, [key, "_blk"])
+    return out.withColumn(name, (F.col("_off") + F.col("_in")).cast(
+        "long")).drop("_blk", "_in", "_off")
+
+
 def _bucket(hash_col: Column, digits: int) -> Column:
     return F.conv(F.substring(hash_col, 1, digits), 16, 10).cast("long")
 

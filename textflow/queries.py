@@ -141,13 +141,10 @@ def q_train_test_split(spark, sf):
 
 def hmm_data(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(train, dev): sequences split 80/20 by seeded hash of the sequence."""
-    t = fx.tagged(spark, sf)
-    t = cut_lineage(t)
+    t = cut_lineage(fx.tagged(spark, sf))
     sents = t.select("sent_id").distinct()
-    flagged = split.hash_split(sents, "sent_id", 0.2, seed=fx.SEED)
-    t = t.join(flagged, "sent_id")
-    return (t.filter(~F.col("is_test")).drop("is_test"),
-            t.filter(F.col("is_test")).drop("is_test"))
+    is_test = split.hash_split_predicate(sents, "sent_id", 0.2, seed=fx.SEED)
+    return t.filter(~is_test), t.filter(is_test)
 
 
 @query("prev_tag")
@@ -544,8 +541,9 @@ def q_doc_mean_vec(spark, sf):
 
 @query("doc_concat_vec")
 def q_doc_concat_vec(spark, sf):
-    c = vectors.doc_concat_vectors(fx.tokens(spark, sf),
-                                   fx.word_vectors(spark, sf), 10)
+    c = vectors.doc_concat_vectors(
+        fx.tokens(spark, sf), fx.word_vectors(spark, sf), 10,
+        docs=fx.table(spark, sf, "documents").select("doc_id"))
     v = vectors.explode_vector(c, ["doc_id"], "concat")
     return v.select("doc_id", "dim", r6(F.col("value")).alias("value"))
 
@@ -565,8 +563,12 @@ def q_doc_seq_vec(spark, sf):
 def q_embedding_matrix(spark, sf):
     ids = vocab.vocab_first_seen(fx.entity_tokens(spark, sf), "word")
     m = vectors.embedding_matrix(ids, fx.word_vectors(spark, sf))
-    v = vectors.explode_vector(m, ["id", "word"], "vec")
-    return v.select("id", "word", "dim", r6(F.col("value")).alias("value"))
+    zero = F.lit(0.0)
+    return m.select(
+        "id", "word", F.size("vec").cast("long").alias("width"),
+        F.element_at("vec", -1).cast("long").alias("cap_code"),
+        r6(F.aggregate("vec", zero, lambda a, x: a + x)).alias("total"),
+        r6(F.aggregate("vec", zero, lambda a, x: a + x * x)).alias("sq"))
 
 
 @query("analogy_topk")
@@ -757,11 +759,10 @@ def q_model_roundtrip(spark, sf):
 @query("word2vec")
 def q_word2vec(spark, sf):
     """V1: vectors of size 300, window 13, min count 9 over whole texts."""
-    docs = fx.tokens(spark, sf).groupBy("doc_id").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "w"))),
-        lambda s: s["w"]).alias("words"))
-    return vectors.word2vec(docs, "words", 300, 13, 9,
-                            partitions=spark.sparkContext.defaultParallelism)
+    docs = fx.doc_words(spark, sf)
+    v = vectors.word2vec(docs, "words", 300, 13, 9,
+                         partitions=spark.sparkContext.defaultParallelism)
+    return v.select("word", F.size("vec").cast("long").alias("dim"))
 
 
 @query("token_tagger")

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textflow.functions.text import clean_text, word_array
-from textflow.plans.ranking import global_row_number
+from textflow.functions.text import clean_text, split_words
+from textflow.plans.ranking import block_rank, global_row_number
 from textflow.plans.sequence import neighbors
 
 SEED = 42
@@ -71,11 +71,17 @@ def clean_docs(spark: SparkSession, sf_dir: str,
     return d.select("doc_id", "lang", clean_text("text").alias("body"))
 
 
-def tokens(spark: SparkSession, sf_dir: str, min_len: int = 2) -> DataFrame:
-    """(doc_id, lang, pos BIGINT from 0, w) over whole texts."""
+def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, words ARRAY): every word of every text, in order."""
     d = table(spark, sf_dir, "documents")
-    words = word_array(F.lower(F.regexp_replace("text", "[^a-zA-Z]", " ")),
-                       min_len)
+    return d.select("doc_id", "lang", split_words(F.lower(
+        F.regexp_replace("text", "[^a-zA-Z]", " "))).alias("words"))
+
+
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, pos BIGINT from 0, w), every word of every text."""
+    d = table(spark, sf_dir, "documents")
+    words = split_words(F.lower(F.regexp_replace("text", "[^a-zA-Z]", " ")))
     return (d.select("doc_id", "lang", F.posexplode(words).alias("pos", "w"))
             .withColumn("pos", F.col("pos").cast("long")))
 
@@ -83,15 +89,17 @@ def tokens(spark: SparkSession, sf_dir: str, min_len: int = 2) -> DataFrame:
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HMM sequences (sent_id, pos from 1, word, tag) from ``events``.
 
-    ``pos`` is an exact per-user rank computed with a distributed numbering
-    (a user holding a third of all events is spread over many partitions).
+    A sentence is what one user did in one week, so its length is bounded
+    by time whatever the share of a user in all events is.
     """
+    week = F.floor(F.datediff(F.to_date("ts"), F.lit("1970-01-01")) / 7)
     e = table(spark, sf_dir, "events").select(
-        "user_id", "ts", "event_id", "event_type", "value")
-    ranked = global_row_number(e, ["ts", "event_id"], name="pos",
-                               partition_cols=["user_id"])
+        (F.col("user_id") * 10000 + week).cast("long").alias("sent_id"),
+        "ts", "event_id", "event_type", "value")
+    w = Window.partitionBy("sent_id").orderBy("ts", "event_id")
+    ranked = e.withColumn("pos", F.row_number().over(w).cast("long"))
     return ranked.select(
-        F.col("user_id").alias("sent_id"), F.col("pos"),
+        "sent_id", "pos",
         F.concat(F.lit("b"), F.floor(F.col("value") / 5).cast("int")
                  .cast("string")).alias("word"),
         F.col("event_type").alias("tag"))
@@ -123,8 +131,7 @@ def entity_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.when(F.col("pc") == 0, F.lit(0)),
                 F.when(F.col("nc") == 0, F.lit(1)))).alias("kind")).filter(
         F.col("kind").isNotNull())
-    ev = global_row_number(ev, ["pos", "kind"], "_r",
-                           partition_cols=["sent_id"])
+    ev = block_rank(ev, "sent_id", "pos", ["pos", "kind"], "_r")
     runs = ev.groupBy("sent_id", F.floor((F.col("_r") + 1) / 2).alias("run")
                       ).agg(F.min("pos").alias("rs"), F.max("pos").alias("re"))
     members = runs.select("sent_id", "run", F.explode(

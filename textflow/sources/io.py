@@ -8,30 +8,34 @@ file are read in parallel.  Sinks write one record per sentence the same way.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textflow.plans.lineage import scratch_path as scratch_path
 from textflow.plans.ranking import global_row_number
-from textflow.session import ensure_checkpoint_dir
+
+_BLANKS = " \t\r\n"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+def _strip(c) -> F.Column:
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(_BLANKS))
 
 
 def scan_token_file(spark: SparkSession, path: str, sep: str = "\t",
-                    with_label: bool = True, line_sep: str = "\n\n"
+                    with_label: bool = True, line_sep: str | None = None
                     ) -> DataFrame:
     """``(sent_id, pos, word[, tag])`` from a token file.
 
-    Lines are ``index<sep>word[<sep>tag]``; fields are stripped; a line that
-    is only whitespace ends a sentence like an empty one.  ``sent_id`` is
-    the 1-based sentence number in file order.
+    Lines are ``index<sep>word[<sep>tag]``; fields are stripped of all white
+    space; a line that is only white space ends a sentence like an empty one.
+    ``sent_id`` is the 1-based sentence number in file order.  The record
+    separator is a blank line in the line ends of the file (``\\r\\n`` files
+    are recognised by their first line) unless given.
     """
+    if line_sep is None:
+        first = spark.read.option("lineSep", "\n").text(path).limit(1)
+        crlf = not first.filter(F.col("value").endswith("\r")).isEmpty()
+        line_sep = "\r\n\r\n" if crlf else "\n\n"
     raw = spark.read.option("lineSep", line_sep).text(path)
     # file order = (file, split offset, position inside the split): the scan
     # packs files into partitions by size, so partition order alone is not
@@ -42,16 +46,16 @@ def scan_token_file(spark: SparkSession, path: str, sep: str = "\t",
                       F.monotonically_increasing_id().alias("_rid"),
                       F.posexplode(F.split("value", "\\n[ \\t\\r]*\\n"))
                       .alias("_j", "_s"))
-    recs = recs.filter(F.length(F.trim("_s")) > 0)
+    recs = recs.filter(F.length(_strip("_s")) > 0)
     recs = global_row_number(recs, ["_f", "_o", "_rid", "_j"], "sent_id")
     lines = recs.select("sent_id", F.posexplode(F.split("_s", "\\n"))
-                        .alias("_k", "_l")).filter(F.length(F.trim("_l")) > 0)
-    f = F.split(F.trim("_l"), sep)
+                        .alias("_k", "_l")).filter(F.length(_strip("_l")) > 0)
+    f = F.split(_strip("_l"), sep)
     cols = [F.col("sent_id"), (F.col("_k") + 1).cast("long").alias("pos"),
-            F.trim(F.get(f, 0)).cast("long").alias("idx"),
-            F.trim(F.get(f, 1)).alias("word")]
+            _strip(F.get(f, 0)).cast("long").alias("idx"),
+            _strip(F.get(f, 1)).alias("word")]
     if with_label:
-        cols.append(F.trim(F.get(f, 2)).alias("tag"))
+        cols.append(_strip(F.get(f, 2)).alias("tag"))
     return lines.select(*cols)
 
 
