@@ -165,7 +165,8 @@ def _breaks(digit_digit: bool, space_joins: bool) -> np.ndarray:
 
     Certain only between two ASCII bytes of different kind, and never after
     an apostrophe: a contraction takes the letters that follow it, and what
-    stands next to a non-ASCII character depends on that character.
+    stands next to a non-ASCII character depends on that character (it may be
+    white space itself).
     """
     t = np.zeros((6, 6), bool)
     for a, b in ((1, 2), (1, 3), (1, 4), (2, 1), (2, 3), (2, 4), (3, 1),
@@ -173,7 +174,7 @@ def _breaks(digit_digit: bool, space_joins: bool) -> np.ndarray:
         t[a, b] = True
     t[2, 2] = digit_digit
     t[1:, 0] = True
-    t[0, 1:] = not space_joins
+    t[5, 0] = t[0, 1:] = not space_joins
     return t.ravel()
 
 
@@ -196,6 +197,8 @@ def chunk_runs(texts: pa.Array, lower: bool, keep_space: bool
         new = edge[:n].copy()
         if n:
             new[1:] |= brk[c[:-1] * np.uint8(6) + c[1:]]
+            # U+00C0 to U+00FF (lead byte C3) is no white space
+            new[2:] |= (raw[:-2] == 0xC3) & (c[1:-1] == 5) & (c[2:] == 0)
         if keep_space:
             start = np.flatnonzero(new)
             end = np.append(start[1:], n) if n else start
