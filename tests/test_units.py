@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from textflow.functions import text as T
 from textflow.operators import (clean, features, hmm, report, sequence, spell,
                                 split)
-from textflow.plans.ranking import global_row_number, smallest_by_hash
+from textflow.plans.ranking import (block_rank, global_row_number,
+                                    smallest_by_hash)
 from textflow.plans.sequence import neighbors
 
 
@@ -282,15 +283,161 @@ def test_vocab_file_starts_with_unk(spark, tmp_path):
     assert lines == ["<unk>\t0\t1", "a\t1\t3", "b\t2\t2"]
 
 
-def test_sentence_length_guard_fails_loudly(spark):
-    import pytest
-    from textflow.operators import hmm as H
-    train = _tiny(spark)
-    tags = H.tagset_column(train)
-    em = H.emissions(train)
-    test = spark.createDataFrame([(5, p, "dog") for p in range(1, 6)],
+def test_text_between_angle_brackets_stays(spark):
+    rows = [("5 < 6 and 7 > 3 is true", "5 < 6 and 7 > 3 is true"),
+            ("<p>5 < 6 and 7 > 3</p>", "5 < 6 and 7 > 3"),
+            ('<a title="x>y">k</a>', "k"),
+            ("<b>don&#39;t caf&eacute; &#x41;&#0; &unknown; &nbsp;x</b>",
+             "don't café A\ufffd &unknown; x"),
+            ("<!DOCTYPE html><STYLE>a<b</STYLE ><!-- <i> -->t", "t")]
+    df = spark.createDataFrame(rows, "s string, want string")
+    for r in df.select(T.html_to_text("s").alias("got"), "want").collect():
+        assert r.got == r.want
+
+
+def test_every_word_is_kept_and_fixed_splits_apply(spark):
+    df = spark.createDataFrame([("i cannot see a gonna be x cannots",)],
+                               "s string")
+    assert df.select(T.split_words("s")).first()[0] == [
+        "i", "can", "not", "see", "a", "gon", "na", "be", "x", "cannots"]
+
+
+def test_compound_split_into_a_one_letter_word(spark):
+    rows = [(1, p, w) for p, w in enumerate(["a", "lot"] * 30 + ["alot"])]
+    df = spark.createDataFrame(rows, "doc_id long, pos long, w string")
+    got = [tuple(r) for r in spell.spell_splits(df).collect()]
+    assert got == [("alot", "a", "lot")]
+
+
+def test_blocks_do_not_show(spark):
+    rows = [(s, p, f"w{s}{p}") for s in range(2) for p in range(1, 40)]
+    df = spark.createDataFrame(rows, "s long, p long, w string")
+    want = sorted(map(tuple, neighbors(df, "s", "p", ["w"], [-2, -1, 1])
+                      .collect()), key=repr)
+    for block in (3, 4, 7):
+        got = neighbors(df, "s", "p", ["w"], [-2, -1, 1], block=block)
+        assert sorted(map(tuple, got.collect()), key=repr) == want
+        ranked = block_rank(df.filter("p % 3 <> 0"), "s", "p", ["p"], "_r",
+                            block)
+        w = Window.partitionBy("s").orderBy("p")
+        assert ranked.withColumn("x", F.row_number().over(w)).filter(
+            "x <> _r").isEmpty()
+
+
+def test_prefix_keys_find_every_close_pair(spark):
+    rnd = random.Random(4)
+    words = set()
+    for _ in range(60):
+        w = "".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 14)))
+        words.add(w)
+        for _ in range(3):
+            i = rnd.randrange(len(w) + 1)
+            w = rnd.choice([w[:i] + w[i + 1:], w[:i] + "e" + w[i:],
+                            w[:i] + "f" + w[i + 1:]])
+            words.add(w)
+    df = spark.createDataFrame([(w,) for w in sorted(words) if w], "w string")
+    k = df.select("w", spell.prefix_keys(F.col("w")).alias("k"))
+    close = df.alias("a").join(df.select(F.col("w").alias("v")), F.levenshtein(
+        F.col("w"), F.col("v"), 2) >= 0)
+    keys = {r.w: set(r.k) for r in k.collect()}
+    assert all(keys[r.w] & keys[r.v] for r in close.collect())
+    long_word = spark.createDataFrame([("q" * 1000 + "z" * 1000,)], "w string")
+    assert len(long_word.select(spell.prefix_keys(F.col("w"))).first()[0]
+               ) <= 29
+
+
+def test_long_sentence_decodes(spark):
+    n = 200_000
+    rows = spark.range(1, n + 1).selectExpr(
+        "7L as sent_id", "id as pos",
+        "element_at(array('the', 'dog', 'runs'), cast(id % 3 as int) + 1) "
+        "as word")
+    for method in ("viterbi", "greedy"):
+        got = hmm.tag_sentences(_tiny(spark), rows, method)
+        assert got.filter("pos > 1").groupBy("pred").count().count() == 3
+        assert got.count() == n
+
+
+def test_45_tags_in_their_fixed_order(spark):
+    from textflow.functions.constants import PTB_TAGSET
+    assert len(PTB_TAGSET) == len(set(PTB_TAGSET)) == 45
+    test = spark.createDataFrame(
+        [(9, 1, "zebra"), (9, 2, "dog"), (9, 3, "runs"), (8, 1, "dog"),
+         (8, 2, "zzz")], "sent_id long, pos long, word string")
+    for method in ("viterbi", "greedy"):
+        few = hmm.tag_sentences(_tiny(spark), test, method)
+        all45 = hmm.tag_sentences(_tiny(spark), test, method, PTB_TAGSET)
+        want = {(r.sent_id, r.pos): r.pred for r in few.collect()}
+        got = {(r.sent_id, r.pos): r.pred for r in all45.collect()}
+        assert got[9, 2] == want[9, 2] == "NN" and got[9, 3] == "VB"
+    # a first word that nothing emits: the first tag of the set
+    assert got[8, 1] in PTB_TAGSET
+
+
+def test_crlf_files_and_labelled_entities(spark, tmp_path):
+    from textflow.sources import io as tio
+    for sep, name in (("\t", "tab"), (" ", "space")):
+        lines = [["1 The DT", "2 dog NN"], ["1 It PRP"], ["1 Ok UH"]]
+        body = "\r\n\r\n".join("\r\n".join(
+            x.replace(" ", sep) for x in s) for s in lines)
+        p = tmp_path / f"{name}.txt"
+        p.write_bytes((body + "\r\n").encode())
+        got = sorted(map(tuple, tio.scan_token_file(spark, str(p), sep).select(
+            "sent_id", "pos", "idx", "word", "tag").collect()))
+        assert got == [(1, 1, 1, "The", "DT"), (1, 2, 2, "dog", "NN"),
+                       (2, 1, 1, "It", "PRP"), (3, 1, 1, "Ok", "UH")]
+
+
+def test_prediction_file_round_trip(spark, tmp_path):
+    from textflow.sources import io as tio
+    rows = [(1, 1, "a", "X"), (1, 2, "b", "Y"), (2, 1, "c", "X")]
+    df = spark.createDataFrame(rows, "sent_id long, pos long, word string, "
+                                     "pred string")
+    out = str(tmp_path / "pred")
+    tio.write_token_file(tio.sentence_blocks(df, ["pos", "word", "pred"],
+                                             " "), out)
+    back = tio.scan_token_file(spark, out, " ")
+    assert sorted(map(tuple, back.select("sent_id", "pos", "word", "tag")
+                      .collect())) == rows
+
+
+def test_unseen_words_get_the_last_id(spark):
+    from textflow.operators import vocab
+    train = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "a")],
+                                  "sent_id long, pos long, word string")
+    test = spark.createDataFrame([(9, 1, "b"), (9, 2, "zz"), (9, 3, "a")],
                                  "sent_id long, pos long, word string")
-    rows = H.sentence_rows(test, train, em, tags, max_len=3)
-    with pytest.raises(Exception, match="more than 3 tokens"):
-        rows.collect()
-    assert H.sentence_rows(test, train, em, tags, max_len=5).count() == 1
+    ids = vocab.vocab_first_seen(train, "word")
+    got = vocab.ids_with_unknown(test, ids, "word", "wid")
+    assert sorted((r.pos, r.wid) for r in got.collect()) == [
+        (1, 2), (2, 3), (3, 1)]
+
+
+def test_tfidf_fitted_on_training_rows_only(spark):
+    df = spark.createDataFrame([(1, ["x", "y"]), (2, ["y", "z"]), (3, ["x"])],
+                               "doc_id int, w array<string>")
+    tf = features.term_freq(features.ngrams(df, "w", ("doc_id",), 1, 1))
+    dfreq = features.doc_freq(tf.filter("doc_id < 3"))
+    x = features.tfidf(tf, F.lit(2), dfreq=dfreq)
+    v = {(r.doc_id, r.gram): r.tfidf for r in x.collect()}
+    assert v[3, "x"] == 1.0 and abs(v[1, "x"] ** 2 + v[1, "y"] ** 2 - 1) < 1e-12
+    assert v[1, "x"] > v[1, "y"]
+
+
+def test_weighted_loss_ignores_padding(spark):
+    df = spark.createDataFrame([(0, 0.5, 2.0), (1, 0.25, 1.0), (9, 0.01, 5.0)],
+                               "code int, p double, w double")
+    r = report.cross_entropy(df, "p", weight_col="w", label="code",
+                             ignore_label=9).first()
+    want = (2 * math.log(2) + math.log(4)) / 3
+    assert abs(r["loss"] - want) < 1e-6
+
+
+def test_stage_tables_are_removed(spark):
+    import os
+
+    from textflow.plans.lineage import cut_lineage, drop_stage_tables
+    df = cut_lineage(spark.range(10))
+    path = df.inputFiles()[0].replace("file://", "")
+    assert df.count() == 10 and os.path.exists(path)
+    assert drop_stage_tables(spark) >= 1 and not os.path.exists(path)

@@ -340,6 +340,7 @@ c as (select {rating_class_sql('star_rating')} star_class, star_rating,
 r as (select *, row_number() over (partition by star_class order by h, review_body) rn
       from c)
 select star_class, star_rating, review_body from r where rn <= 20000""")
+sql("balanced_sample_small", ORACLE["balanced_sample"].replace("20000", "10"))
 sql("union_classes", f"""with {REVIEWS}
 select star_rating, review_body, 'Class 1' star_class from cr
 where try_cast(star_rating as integer) <= 2
@@ -444,14 +445,6 @@ wv as (select k.w word, e.embedding vec
 sql("vocab_filter", f"""with {TOKENS}, {WORD_VECTORS}
 select doc_id, string_agg(w, ' ' order by pos) body
 from tokens where w in (select word from wv) group by doc_id""")
-sql("length_metrics", f"""with {PRE}, clean as ({CLEAN}),
-d as (select doc_id, length(text) l_raw from documents),
-c as (select doc_id, length(body) l_clean from clean)
-select round(avg(l_raw), 6) before_cleaning, round(avg(l_clean), 6) after_cleaning,
-       round(avg(l_clean), 6) before_preprocessing,
-       round(avg(coalesce(length(pre.body), 0)), 6) after_preprocessing
-from d join c using (doc_id) left join pre using (doc_id)""")
-
 ENTITY = """
 et as (select doc_id sent_id, cast(unnest(range(1, len(l) + 1)) as bigint) pos,
               unnest(l) word
@@ -709,6 +702,65 @@ select lang, word, first(l order by bc desc, cl * cr desc, i) "left",
 from c group by lang, word""")
 
 
+# ---- composed cleaning -----------------------------------------------------------
+
+CORRECTIONS = SPELL + """,
+pairs as (select p.lang, p.word, d.word cand, d.cnt cc, levenshtein(p.word, d.word) dist
+          from pr p join dic d on p.lang = d.lang
+          and abs(length(p.word) - length(d.word)) <= 2),
+fixes as (select lang, word, first(cand order by dist, cc desc, cand) correction
+          from pairs where dist <= 2 group by lang, word)
+"""
+
+
+def _collapse_sql(c: str) -> str:
+    return f"trim(regexp_replace({c}, '[\\s\\x{{3000}}\\p{{Z}}]+', ' ', 'g'))"
+
+
+def _cleaned_sql(text: str) -> str:
+    alpha = f"regexp_replace({_contractions_sql('t')}, '[^a-zA-Z]', ' ', 'g')"
+    return CORRECTIONS + f""",
+s0 as (select doc_id, lang, unnest(l) w, generate_subscripts(l, 1) pos
+       from (select doc_id, lang, string_split({text}, ' ') l from documents)),
+s1 as (select s0.doc_id, string_agg(coalesce(f.correction, s0.w), ' ' order by pos) t
+       from s0 left join fixes f on f.lang = s0.lang and f.word = s0.w group by s0.doc_id),
+body as (select doc_id, {_collapse_sql(f"lower({alpha})")} body from s1),
+bt as (select doc_id, unnest(l) w, generate_subscripts(l, 1) pos
+       from (select doc_id, flatten(list_transform(
+               list_filter(string_split(body, ' '), lambda x: length(x) > 0),
+               lambda x: case x when 'cannot' then ['can', 'not']
+                         when 'gonna' then ['gon', 'na'] when 'gotta' then ['got', 'ta']
+                         when 'wanna' then ['wan', 'na'] when 'gimme' then ['gim', 'me']
+                         when 'lemme' then ['lem', 'me'] else [x] end)) l from body))
+"""
+
+
+LEMMAS_2 = f"""{_cleaned_sql(html_sql('text'))}, {_stop_values()},
+{LEMMA.replace('from tokens)', 'from bt)')},
+pre as (select t.doc_id, string_agg(l.lemma, ' ' order by t.pos) body
+        from bt t join lemmas l using (w)
+        where t.w not in (select w from stop) group by t.doc_id)
+"""
+sql("clean_pipeline_lemmas", f"with {LEMMAS_2} select doc_id, body from pre")
+sql("clean_pipeline_vectors", f"""with {_cleaned_sql(_collapse_sql(html_sql(_collapse_sql('text'))))},
+{WORD_VECTORS}
+select doc_id, string_agg(w, ' ' order by pos) body
+from bt where w in (select word from wv) group by doc_id""")
+sql("length_metrics", f"""with {LEMMAS_2},
+d as (select doc_id, length(text) l_raw from documents),
+c as (select doc_id, length(body) l_clean from body)
+select round(avg(l_raw), 6) before_cleaning, round(avg(l_clean), 6) after_cleaning,
+       round(avg(l_clean), 6) before_preprocessing,
+       round(avg(coalesce(length(pre.body), 0)), 6) after_preprocessing
+from d join c using (doc_id) left join pre using (doc_id)""")
+sql("hmm_decode_saved", ORACLE["hmm_viterbi"])
+sql("unk_ids", "with " + HMM_MODEL + """,
+ids as (select word, row_number() over (order by min((sent_id, pos)), word) id
+        from tr where pos > 1 group by word)
+select dv.sent_id, dv.pos, dv.word, coalesce(ids.id, (select count(*) + 1 from ids)) wid
+from dv left join ids using (word)""")
+
+
 # ---- scans and sinks -----------------------------------------------------------------
 
 _VIT_CTES = f"""
@@ -796,3 +848,39 @@ select doc_id, label, first(c order by m desc, c) prediction from ts group by do
 
 
 sql("perceptron", _perceptron_sql(3))
+
+
+# ---- MLlib entries: what SQL can know, floors that can fail -------------------
+
+_FLOORS = f"""with {LANG_SPLIT}
+select label, count(*) support, true f1_ok from sp
+where split = 'test' group by label"""
+for _n in ("linear_svm", "linear_svm_tfidf", "logreg", "logreg_tfidf", "mlp",
+           "mlp_concat"):
+    sql(_n, _FLOORS)
+sql("training_curves", """select split, cast(1 as bigint) first_epoch,
+       true best_is_lowest, true stopped_by_rule, true best_kept
+from (select unnest(['train', 'val', 'test']) split)""")
+sql("model_roundtrip", f"""with {LANG_SPLIT}, {TOKENS}, {WORD_VECTORS}
+select doc_id, true same from sp where split = 'test'
+and doc_id in (select doc_id from tokens where w in (select word from wv))""")
+sql("word2vec", f"""with {TOKENS}
+select w word, cast(300 as bigint) dim from tokens group by w having count(*) >= 9""")
+
+
+def _param_search_sql() -> str:
+    from textflow.operators.train import search_params
+    rows = ", ".join(f"({i}, {reg!r}, {enet!r}, {it})" for i, (reg, enet, it)
+                     in enumerate(search_params(30), 1))
+    return ("select cast(t as bigint) trial, round(cast(r as double), 6) reg_param, "
+            "round(cast(e as double), 6) elastic_net, cast(m as bigint) max_iter, "
+            f"true f1_ok from (values {rows}) v(t, r, e, m)")
+
+
+sql("param_search", _param_search_sql())
+sql("token_tagger", f"""with {ENTITY}, {spans_sql('gold', 'gs')},
+lab as (select doc_id, md5('42:' || cast(doc_id as varchar)) h from documents),
+rk as (select doc_id, row_number() over (order by h, doc_id) rn, count(*) over () n from lab),
+te as (select doc_id from rk where rn <= ceil(0.2 * n)),
+hs as (select gs.type from gs join te on te.doc_id = gs.sent_id)
+select coalesce(type, 'ALL') type, count(*) n_gold, true f1_ok from hs group by rollup (type)""")

@@ -17,7 +17,6 @@ from pyspark.ml.classification import (LinearSVC, LogisticRegression,
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,26 +25,35 @@ def vector_rows(df: DataFrame, array_col: str, label: str = "label",
                 features: str = "features") -> DataFrame:
     """Array features to ``VectorUDT`` and string labels to indices
     (``label_idx``, classes ordered alphabetically)."""
+    return label_indices(df, label).withColumn(features,
+                                               array_to_vector(array_col))
+
+
+def label_indices(df: DataFrame, label: str = "label") -> DataFrame:
     idx = StringIndexer(inputCol=label, outputCol="label_idx",
                         stringOrderType="alphabetAsc").fit(df)
-    out = idx.transform(df).withColumn(features, array_to_vector(array_col))
-    return out
+    return idx.transform(df)
 
 
-def linear_svm(train: DataFrame, reg: float = 0.0, max_iter: int = 100):
-    """M2: one-vs-rest linear SVM (hinge loss)."""
-    svc = LinearSVC(regParam=reg, maxIter=max_iter, labelCol="label_idx")
-    return OneVsRest(classifier=svc, labelCol="label_idx").fit(train)
+def linear_svm(train: DataFrame, reg: float | None = None,
+               max_iter: int = 100):
+    """M2: one-vs-rest linear SVM (hinge loss, L2 with C = 1: ``reg`` = 1 / n
+    by default, features as they are)."""
+    reg = 1.0 / train.count() if reg is None else reg
+    svc = LinearSVC(regParam=reg, maxIter=max_iter, labelCol="label_idx",
+                    standardization=False)
+    return OneVsRest(classifier=svc, labelCol="label_idx",
+                     parallelism=4).fit(train)
 
 
 def logreg(train: DataFrame, reg: float | None = None, max_iter: int = 100,
            weight_col: str | None = None):
-    """M3: multinomial logistic regression (L2, ``reg`` = 1 / n by default,
-    the reference's C = 1)."""
-    n = train.count() if reg is None else None
+    """M3: multinomial logistic regression (L2 with C = 1: ``reg`` = 1 / n by
+    default, features as they are)."""
+    reg = 1.0 / train.count() if reg is None else reg
     lr = LogisticRegression(family="multinomial", labelCol="label_idx",
-                            regParam=reg if reg is not None else 1.0 / n,
-                            maxIter=max_iter)
+                            regParam=reg, maxIter=max_iter,
+                            standardization=False)
     if weight_col:
         lr.setWeightCol(weight_col)
     return lr.fit(train)
@@ -72,80 +80,115 @@ def scored(model, df: DataFrame) -> DataFrame:
     return out
 
 
-def epoch_metrics(model, df: DataFrame) -> tuple[float, float]:
-    """Cross-entropy and accuracy of one split as one aggregation."""
-    s = scored(model, df)
-    r = s.agg(F.avg(-F.log(F.greatest(F.col("p_label"), F.lit(1e-15)))),
-              F.avg((F.col("prediction") == F.col("label_idx"))
-                    .cast("double"))).first()
-    return float(r[0]), float(r[1])
-
-
-def training_curves(train: DataFrame, val: DataFrame, test: DataFrame,
-                    layers: Sequence[int], max_epochs: int = 100,
-                    patience: int = 20, step: float = 0.03,
-                    plateau_factor: float = 0.5, plateau_wait: int = 5,
-                    seed: int = 42) -> DataFrame:
-    """Warm-started epochs of the feed-forward net with early stopping
-    on validation loss and a plateau schedule on the step size.
-
-    Each epoch is one distributed gradient-descent pass continuing from the
-    previous weights.  Returns ``(epoch, split, loss, accuracy, step, best)``
-    rows; ``best`` marks the epoch whose weights are kept.
+def epoch_metrics(model, df: DataFrame, split: str = "split"
+                  ) -> dict[str, tuple[float, float]]:
+    """Cross-entropy and accuracy of every split as one aggregation."""
+    s = scored(model, df).groupBy(split).agg(
+        F.avg(-F.log(F.greatest(F.col("p_label"), F.lit(1e-15)))).alias("l"),
+        F.avg((F.col("prediction") == F.col("label_idx")).cast("double"))
+        .alias("a"))
+    return {r[split]: (float(r["l"]), float(r["a"])) for r in s.collect()}
+
+
+def training_curves(rows: DataFrame, layers: Sequence[int],
+                    max_epochs: int = 100, patience: int = 20,
+                    step: float = 0.5, plateau_factor: float = 0.5,
+                    plateau_wait: int = 5, seed: int = 42):
+    """Warm-started epochs of the feed-forward net.
+
+    ``rows`` has ``split`` (train / val / test).  Each epoch is one
+    distributed gradient-descent pass continuing from the previous weights.
+    Training stops after ``patience`` epochs without a lower validation loss;
+    the step size is lowered when the validation score (accuracy) stalls.
+    Returns the curves ``(epoch, split, loss, accuracy, step, best)`` and the
+    model of the best epoch.
     """
-    rows, weights, best_loss, best_epoch, stall = [], None, float("inf"), 0, 0
-    since_gain = 0
+    train = rows.filter(F.col("split") == "train")
+    out, weights, best_model = [], None, None
+    best_loss, best_score, best_epoch = float("inf"), -1.0, 0
+    since_gain = stall = 0
     for epoch in range(1, max_epochs + 1):
         model = mlp(train, layers, max_iter=1, seed=seed, solver="gd",
                     step=step, initial_weights=weights)
         weights = model.weights
-        metrics = {n: epoch_metrics(model, d)
-                   for n, d in (("train", train), ("val", val), ("test", test))}
-        for n, (loss, acc) in metrics.items():
-            rows.append((epoch, n, loss, acc, step))
-        val_loss = metrics["val"][0]
+        metrics = epoch_metrics(model, rows)
+        out += [(epoch, n, loss, acc, step)
+                for n, (loss, acc) in sorted(metrics.items())]
+        val_loss, val_score = metrics["val"]
         if val_loss < best_loss:
-            best_loss, best_epoch, since_gain, stall = val_loss, epoch, 0, 0
+            best_loss, best_epoch, best_model = val_loss, epoch, model
+            since_gain = 0
         else:
             since_gain += 1
+        if val_score > best_score:
+            best_score, stall = val_score, 0
+        else:
             stall += 1
             if stall >= plateau_wait:
                 step *= plateau_factor
                 stall = 0
         if since_gain >= patience:
             break
-    spark = train.sparkSession
-    curves = spark.createDataFrame(
-        rows, "epoch int, split string, loss double, accuracy double, "
-              "step double")
-    return curves.withColumn("best", F.col("epoch") == F.lit(best_epoch))
-
-
-def param_search(train: DataFrame, trials: int = 30, seed: int = 42,
-                 parallelism: int = 4) -> DataFrame:
-    """M9: seeded random search of logistic-regression settings, F1 on a
-    90/10 validation split; ``(trial, reg_param, elastic_net, max_iter, f1,
-    best)``."""
+    curves = rows.sparkSession.createDataFrame(
+        out, "epoch int, split string, loss double, accuracy double, "
+             "step double")
+    return (curves.withColumn("best", F.col("epoch") == F.lit(best_epoch)),
+            best_model)
+
+
+def search_params(trials: int = 30, seed: int = 42
+                  ) -> list[tuple[float, float, int]]:
+    """M9: seeded draws of (regularisation, elastic net, iterations)."""
     rnd = random.Random(seed)
-    lr = LogisticRegression(family="multinomial", labelCol="label_idx")
-    maps, params = [], []
-    for _ in range(trials):
-        reg = 10 ** rnd.uniform(-5, 0)
-        enet = rnd.uniform(0, 1)
-        it = rnd.choice([25, 50, 100])
-        maps.append({lr.regParam: reg, lr.elasticNetParam: enet,
-                     lr.maxIter: it})
-        params.append((reg, enet, it))
+    return [(10 ** rnd.uniform(-5, 0), rnd.uniform(0, 1),
+             rnd.choice([25, 50, 100])) for _ in range(trials)]
+
+
+def param_search(train: DataFrame, val: DataFrame, trials: int = 30,
+                 seed: int = 42) -> DataFrame:
+    """M9: random search of logistic-regression settings, F1 on the given
+    validation rows; ``(trial, reg_param, elastic_net, max_iter, f1, best)``.
+    """
     ev = MulticlassClassificationEvaluator(labelCol="label_idx",
                                            metricName="f1")
-    tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=maps,
-                               evaluator=ev, trainRatio=0.9, seed=seed,
-                               parallelism=parallelism)
-    fitted = tvs.fit(train)
-    res = [(i + 1, p[0], p[1], p[2], float(m))
-           for i, (p, m) in enumerate(zip(params, fitted.validationMetrics))]
+    res = []
+    for i, (reg, enet, it) in enumerate(search_params(trials, seed), 1):
+        lr = LogisticRegression(family="multinomial", labelCol="label_idx",
+                                regParam=reg, elasticNetParam=enet,
+                                maxIter=it, standardization=False)
+        res.append((i, reg, enet, it,
+                    float(ev.evaluate(lr.fit(train).transform(val)))))
     out = train.sparkSession.createDataFrame(
         res, "trial int, reg_param double, elastic_net double, max_iter int, "
              "f1 double")
     best = max(res, key=lambda r: (r[4], -r[0]))[0]
     return out.withColumn("best", F.col("trial") == best)
+
+
+HASHED_FEATURES = 1 << 16
+
+
+def tfidf_vectors(docs: DataFrame, words: str = "w", n_max: int = 5,
+                  size: int = HASHED_FEATURES) -> DataFrame:
+    """``features``: unit TF-IDF vectors of 1..``n_max`` grams in ``size``
+    hashed columns, so that the models' width does not grow with the
+    vocabulary.  Weights are ``tf * (ln((1 + N) / (1 + df)) + 1)`` as in F3,
+    fitted on all rows."""
+    from pyspark.ml.feature import (IDF, ElementwiseProduct, HashingTF,
+                                    NGram, Normalizer)
+    from pyspark.ml.linalg import Vectors
+
+    grams = docs
+    for n in range(2, n_max + 1):
+        grams = NGram(n=n, inputCol=words, outputCol=f"_g{n}").transform(grams)
+    grams = grams.withColumn("_g", F.concat(
+        words, *[f"_g{n}" for n in range(2, n_max + 1)])).drop(
+        *[f"_g{n}" for n in range(2, n_max + 1)])
+    tf = HashingTF(inputCol="_g", outputCol="_tf", numFeatures=size
+                   ).transform(grams).drop("_g")
+    idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf)
+    weighted = ElementwiseProduct(
+        inputCol="_tf", outputCol="_w",
+        scalingVec=Vectors.dense(idf.idf.toArray() + 1.0)).transform(tf)
+    return Normalizer(inputCol="_w", outputCol="features", p=2.0).transform(
+        weighted).drop("_tf", "_w")

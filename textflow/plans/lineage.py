@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +11,8 @@ from textflow.session import ensure_checkpoint_dir
 
 #: folders written by this process and not yet removed
 _WRITTEN: list[str] = []
+#: called with every frame that is about to be written (plan checks)
+OBSERVERS: list[Callable[[DataFrame], None]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -32,6 +35,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     checkpoint of the same rows.  :func:`drop_stage_tables` removes it.
     """
     spark = df.sparkSession
+    for observe in OBSERVERS:
+        observe(df)
     path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -251,6 +251,16 @@ def q_balanced_sample(spark, sf):
     return s.select("star_class", "star_rating", "review_body")
 
 
+@query("balanced_sample_small")
+def q_balanced_sample_small(spark, sf):
+    """P6 where the sample is smaller than every class: 10 rows of each."""
+    r = clean_reviews(spark, sf).withColumn(
+        "star_class", text_fn.rating_class("star_rating"))
+    s = split.balanced_sample(r, "star_class", 10,
+                              ["star_rating", "review_body"], "review_body")
+    return s.select("star_class", "star_rating", "review_body")
+
+
 @query("union_classes")
 def q_union_classes(spark, sf):
     frames = clean.class_frames(clean_reviews(spark, sf))
@@ -325,13 +335,58 @@ def q_vocab_filter(spark, sf):
     return clean.rebuild_text(kept)
 
 
+def spelled(spark, sf, text) -> DataFrame:
+    """(doc_id, text): the given text column of the documents with every
+    misspelt word replaced (map of T7, per language)."""
+    fixes = spell.spell_corrections(fx.tokens(spark, sf), "w", ["lang"], 20)
+    d = fx.table(spark, sf, "documents")
+    t = d.select("doc_id", "lang",
+                 F.posexplode(F.split(text, " ")).alias("pos", "w"))
+    return clean.rebuild_text(spell.apply_corrections(t, fixes, "w", ["lang"]),
+                              name="text")
+
+
+def cleaned(texts: DataFrame) -> DataFrame:
+    """(doc_id, body): contractions -> non-alpha -> lower -> collapse."""
+    body = text_fn.strip_non_alpha(text_fn.expand_contractions("text"))
+    return texts.select("doc_id", text_fn.collapse_ws(
+        text_fn.lower_trim(body)).alias("body"))
+
+
+def body_tokens(bodies: DataFrame) -> DataFrame:
+    return (bodies.select("doc_id", F.posexplode(text_fn.split_words("body"))
+                          .alias("pos", "w")))
+
+
+@query("clean_pipeline_lemmas")
+def q_clean_pipeline_lemmas(spark, sf):
+    """T5, first stage order: HTML -> spelling -> contractions -> non-alpha ->
+    lower + trim -> collapse -> stop words and lemmas -> rebuilt text."""
+    body = cut_lineage(cleaned(spelled(spark, sf,
+                                       text_fn.html_to_text("text"))))
+    return clean.rebuild_text(clean.preprocess_tokens(body_tokens(body)))
+
+
+@query("clean_pipeline_vectors")
+def q_clean_pipeline_vectors(spark, sf):
+    """T5, second stage order: collapse -> HTML -> collapse -> spelling ->
+    contractions -> non-alpha -> lower -> collapse -> words with a vector."""
+    text = text_fn.collapse_ws(text_fn.html_to_text(
+        text_fn.collapse_ws("text")))
+    body = cleaned(spelled(spark, sf, text))
+    kept = clean.vocab_filter(body_tokens(body), fx.word_vectors(spark, sf))
+    return clean.rebuild_text(kept)
+
+
 @query("length_metrics")
 def q_length_metrics(spark, sf):
+    body = cut_lineage(cleaned(spelled(spark, sf,
+                                       text_fn.html_to_text("text"))))
     d = fx.table(spark, sf, "documents").select(
-        "doc_id", F.length("text").alias("l_raw"),
-        F.length(text_fn.clean_text("text")).alias("l_clean"))
-    p = preprocessed(spark, sf).select("doc_id",
-                                       F.length("body").alias("l_pre"))
+        "doc_id", F.length("text").alias("l_raw")).join(
+        body.select("doc_id", F.length("body").alias("l_clean")), "doc_id")
+    p = clean.rebuild_text(clean.preprocess_tokens(body_tokens(body))).select(
+        "doc_id", F.length("body").alias("l_pre"))
     j = d.join(p, "doc_id", "left")
     return j.agg(r6(F.avg("l_raw")).alias("before_cleaning"),
                  r6(F.avg("l_clean")).alias("after_cleaning"),
@@ -662,6 +717,32 @@ def q_hmm_roundtrip(spark, sf):
     return back.select("kind", "a", "b", r6(F.col("prob")).alias("prob"))
 
 
+@query("hmm_decode_saved")
+def q_hmm_decode_saved(spark, sf):
+    """The three tables of the model (transitions, emissions, vocabulary)
+    written, re-read, and used to decode the held-out sentences."""
+    tr, dev = hmm_data(spark, sf)
+    tables = {"transitions": hmm.transitions(tr),
+              "emissions": hmm.emissions(tr),
+              "vocabulary": vocab.word_count(tr, "word")}
+    base = tio.scratch_path(spark, "hmm-model")
+    for name, table in tables.items():
+        tio.write_parquet(table, f"{base}/{name}")
+    trans, emis, words = (spark.read.parquet(f"{base}/{n}") for n in tables)
+    return hmm.tag_with_model(trans, emis, words, dev, "viterbi",
+                              hmm.tag_list(tr))
+
+
+@query("unk_ids")
+def q_unk_ids(spark, sf):
+    """Ids of a training vocabulary on held-out sentences; a word that
+    is not in it gets V + 1."""
+    tr, dev = hmm_data(spark, sf)
+    ids = vocab.vocab_first_seen(tr.filter("pos > 1"), "word")
+    return vocab.ids_with_unknown(dev, ids, "word", "wid").select(
+        "sent_id", "pos", "word", "wid")
+
+
 # --------------------------------------------------------------------------
 # classifiers (document language; TF-IDF for the DataFrame-native models,
 # mean word vectors for the MLlib ones, as in the two reference flows)
@@ -673,31 +754,61 @@ def mean_vector_sets(spark, sf):
                                  fx.word_vectors(spark, sf))
     sp = lang_split(spark, sf)
     rows = train_ops.vector_rows(m.join(sp, "doc_id"), "mean")
-    rows = cut_lineage(rows.select("doc_id", "label", "label_idx",
-                                   "features", "split"))
-    tr = rows.filter(F.col("split") == "train")
-    is_val = split.hash_split_predicate(tr.select("doc_id"), "doc_id", 0.1,
+    return three_way(rows)
+
+
+def three_way(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(train, val, test) of labelled rows with ``split`` train / test; read
+    once per epoch or trial, so written once."""
+    train = rows.filter(F.col("split") == "train").select("doc_id")
+    is_val = split.hash_split_predicate(train, "doc_id", 0.1,
                                         seed=fx.SEED + 1)
-    # train / val / test are read once per epoch or trial: write the three
-    # way split once instead of re-deriving the validation boundary each time
-    rows = cut_lineage(rows.withColumn("split", F.when(
-        (F.col("split") == "train") & is_val, "val").otherwise(
-        F.col("split"))))
+    rows = cut_lineage(rows.select(
+        "doc_id", "label", "label_idx", "features",
+        F.when((F.col("split") == "train") & is_val, "val").otherwise(
+            F.col("split")).alias("split")))
     return (rows.filter(F.col("split") == "train"),
             rows.filter(F.col("split") == "val"),
             rows.filter(F.col("split") == "test"))
 
 
+def concat_vector_sets(spark, sf):
+    """(train, val, test) rows with ``features`` = first ten word vectors."""
+    c = vectors.doc_concat_vectors(
+        fx.tokens(spark, sf), fx.word_vectors(spark, sf), 10,
+        docs=fx.table(spark, sf, "documents").select("doc_id"))
+    return three_way(train_ops.vector_rows(
+        c.join(lang_split(spark, sf), "doc_id"), "concat"))
+
+
+def tfidf_vector_sets(spark, sf):
+    """(train, val, test) rows with ``features`` = hashed TF-IDF."""
+    docs = doc_words(spark, sf).join(lang_split(spark, sf), "doc_id")
+    rows = train_ops.tfidf_vectors(docs)
+    return three_way(train_ops.label_indices(rows.drop("w")))
+
+
 def _labelled(pred: DataFrame, rows: DataFrame) -> DataFrame:
     return pred.select("doc_id", "prediction").join(
         rows.select("doc_id", "label", "label_idx"), "doc_id")
 
 
-def _report_idx(scored: DataFrame) -> DataFrame:
-    return report.classification_report(
-        scored.withColumn("prediction", F.col("prediction").cast("int"))
-        .withColumn("label_idx", F.col("label_idx").cast("int")),
-        "label_idx", "prediction")
+#: the F1 that every class with this many test documents must reach
+F1_FLOOR, FLOOR_SUPPORT = 0.8, 5
+
+
+def _class_floors(scored: DataFrame, f1_floor: float = F1_FLOOR) -> DataFrame:
+    """Per class of the test rows: support, and whether its F1 reaches the
+    floor (classes of fewer than ``FLOOR_SUPPORT`` documents always do)."""
+    names = scored.select("label", F.col("label_idx").cast("int")
+                          .alias("_i")).distinct()
+    rep = report.classification_report(
+        scored.select(F.col("label_idx").cast("int").alias("y"),
+                      F.col("prediction").cast("int").alias("p")), "y", "p")
+    return (rep.join(names, F.col("class") == F.col("_i").cast("string"))
+            .select("label", F.col("support").cast("long").alias("support"),
+                    ((F.col("support") < FLOOR_SUPPORT)
+                     | (F.col("f1") >= f1_floor)).alias("f1_ok")))
 
 
 @query("perceptron")
@@ -712,48 +823,111 @@ def q_perceptron(spark, sf):
 
 @query("linear_svm")
 def q_linear_svm(spark, sf):
-    tr, _, te = mean_vector_sets(spark, sf)
-    return _report_idx(train_ops.linear_svm(tr).transform(te))
+    """M2 on mean vectors."""
+    tr, va, te = mean_vector_sets(spark, sf)
+    return _class_floors(train_ops.linear_svm(tr.union(va)).transform(te))
+
+
+@query("linear_svm_tfidf")
+def q_linear_svm_tfidf(spark, sf):
+    """M2 (hinge) on 1-5-gram TF-IDF."""
+    tr, va, te = tfidf_vector_sets(spark, sf)
+    return _class_floors(train_ops.linear_svm(tr.union(va)).transform(te))
 
 
 @query("logreg")
 def q_logreg(spark, sf):
-    tr, _, te = mean_vector_sets(spark, sf)
-    return _report_idx(train_ops.logreg(tr).transform(te))
+    """M3 on mean vectors."""
+    tr, va, te = mean_vector_sets(spark, sf)
+    return _class_floors(train_ops.logreg(tr.union(va)).transform(te))
+
+
+@query("logreg_tfidf")
+def q_logreg_tfidf(spark, sf):
+    """M3 on 1-5-gram TF-IDF."""
+    tr, va, te = tfidf_vector_sets(spark, sf)
+    return _class_floors(train_ops.logreg(tr.union(va)).transform(te))
+
+
+def _layers(rows: DataFrame) -> list[int]:
+    d = len(rows.first()["features"])
+    k = int(rows.agg(F.max("label_idx")).first()[0] + 1)
+    return [d, 100, 10, k]
 
 
 @query("mlp")
 def q_mlp(spark, sf):
-    tr, _, te = mean_vector_sets(spark, sf)
-    d = len(tr.first()["features"])
-    k = tr.agg(F.max("label_idx")).first()[0] + 1
-    return _report_idx(train_ops.mlp(tr, [d, 100, 10, int(k)]).transform(te))
+    """M5 on mean vectors."""
+    tr, va, te = mean_vector_sets(spark, sf)
+    rows = tr.union(va)
+    return _class_floors(train_ops.mlp(rows, _layers(rows)).transform(te))
+
+
+@query("mlp_concat")
+def q_mlp_concat(spark, sf):
+    """M5 on the first ten word vectors."""
+    tr, va, te = concat_vector_sets(spark, sf)
+    rows = tr.union(va)
+    return _class_floors(train_ops.mlp(rows, _layers(rows)).transform(te),
+                         0.2)
 
 
 @query("training_curves")
 def q_training_curves(spark, sf):
+    """Per split the first epoch and what must hold of the curves:
+    the best epoch is the one with the lowest validation loss, training
+    stopped within its limits, and the kept model scores as its curve."""
     tr, va, te = mean_vector_sets(spark, sf)
-    d = len(tr.first()["features"])
-    k = int(tr.agg(F.max("label_idx")).first()[0] + 1)
-    return train_ops.training_curves(tr, va, te, [d, 100, 10, k],
-                                     max_epochs=20, patience=5, step=0.5)
+    rows = tr.union(va).union(te)
+    curves, best = train_ops.training_curves(rows, _layers(tr))
+    metrics = train_ops.epoch_metrics(best, rows)
+    kept = spark.createDataFrame(
+        [(s, a) for s, (_, a) in metrics.items()],
+        "split string, kept double")
+    val = curves.filter("split = 'val'").agg(
+        F.min_by("epoch", F.struct("loss", "epoch")).alias("lowest"),
+        F.max("epoch").alias("last"))
+    per = curves.join(kept, "split").groupBy("split").agg(
+        F.min("epoch").cast("long").alias("first_epoch"),
+        F.max(F.when(F.col("best"), F.col("epoch"))).alias("best"),
+        F.max(F.when(F.col("best"), F.abs(F.col("accuracy")
+                                          - F.col("kept")))).alias("off"))
+    low, last = val.first()
+    return per.select(
+        "split", "first_epoch", (F.col("best") == low).alias("best_is_lowest"),
+        ((F.lit(last) == 100) | (F.lit(last) - F.col("best") == 20))
+        .alias("stopped_by_rule"), (F.col("off") < 1e-9).alias("best_kept"))
 
 
 @query("param_search")
 def q_param_search(spark, sf):
+    """M9: every trial with its seeded parameters, and whether its F1 is a
+    probability no better than the chosen trial's."""
     tr, va, _ = mean_vector_sets(spark, sf)
-    return train_ops.param_search(tr.unionByName(va), trials=30)
+    found = train_ops.param_search(tr, va, trials=30)
+    top = found.filter("best").select("f1").first()[0]
+    return found.select(
+        F.col("trial").cast("long").alias("trial"),
+        r6(F.col("reg_param")).alias("reg_param"),
+        r6(F.col("elastic_net")).alias("elastic_net"),
+        F.col("max_iter").cast("long").alias("max_iter"),
+        F.col("f1").between(0.0, top).alias("f1_ok"))
 
 
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf):
-    """Save the logistic-regression model, load it, score the test set."""
+    """Save the logistic-regression model, load it, and compare both on
+    every test document."""
     from pyspark.ml.classification import LogisticRegressionModel
     tr, _, te = mean_vector_sets(spark, sf)
     path = tio.scratch_path(spark, "logreg")
-    train_ops.logreg(tr).write().overwrite().save(path)
+    model = train_ops.logreg(tr)
+    model.write().overwrite().save(path)
     loaded = LogisticRegressionModel.load(path)
-    return loaded.transform(te).select("doc_id", "label_idx", "prediction")
+    a = model.transform(te).select("doc_id", F.col("prediction").alias("p"))
+    b = loaded.transform(te).select("doc_id", F.col("prediction").alias("q"))
+    return a.join(b, "doc_id").select("doc_id",
+                                      (F.col("p") == F.col("q")).alias("same"))
 
 
 @query("word2vec")
@@ -768,7 +942,7 @@ def q_word2vec(spark, sf):
 @query("token_tagger")
 def q_token_tagger(spark, sf):
     """M7: class-weighted multinomial tagger over context features of the
-    entity tokens; span F1 of its predictions against the gold labels."""
+    entity tokens of the training documents; span F1 on held-out ones."""
     from pyspark.ml.feature import VectorAssembler
     e = fx.entity_tokens(spark, sf)
     feats = sequence.context_features(
@@ -777,16 +951,23 @@ def q_token_tagger(spark, sf):
     cols = ["cap", "wlen"] + [f"{c}_{s}" for c in ("cap", "wlen")
                               for s in ("m2", "m1", "p1", "p2")]
     feats = feats.fillna(0, subset=cols)
-    w = sequence.class_weights(e, "gold").select("gold", "weight")
-    rows = clean.encode_labels(feats.join(w, "gold"), "gold", "label_idx")
+    rows = clean.encode_labels(feats, "gold", "label_idx")
     rows = VectorAssembler(inputCols=cols, outputCol="features").transform(
         rows.withColumn("label_idx", F.col("label_idx").cast("double")))
     rows = cut_lineage(rows.select("sent_id", "pos", "gold", "label_idx",
-                                   "weight", "features"))
-    model = train_ops.logreg(rows, reg=0.0, max_iter=50, weight_col="weight")
-    pred = model.transform(rows).withColumn(
+                                   "features"))
+    is_test = split.hash_split_predicate(
+        fx.table(spark, sf, "documents").select(
+            F.col("doc_id").alias("sent_id")), "sent_id", 0.2)
+    train, test = rows.filter(~is_test), rows.filter(is_test)
+    w = sequence.class_weights(train, "gold").select("gold", "weight")
+    # one row per label: at most nine
+    train = cut_lineage(train.join(F.broadcast(w), "gold"))
+    model = train_ops.logreg(train, reg=0.0, max_iter=50, weight_col="weight")
+    pred = model.transform(test).withColumn(
         "code", F.col("prediction").cast("int"))
     pred = clean.decode_labels(pred, "code", "pred")
     t = cut_lineage(pred.select("sent_id", "pos", "gold", "pred"))
-    out = sequence.span_f1_tokens(t, "gold", "pred")
-    return out
+    return sequence.span_f1_tokens(t, "gold", "pred").select(
+        "type", "n_gold", ((F.col("n_gold") < FLOOR_SUPPORT)
+                           | (F.col("f1") >= 0.05)).alias("f1_ok"))
