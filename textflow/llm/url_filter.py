@@ -113,14 +113,17 @@ def url_features(host: str = "host", path: str = "path") -> Column:
 
 
 def fit_filter(labelled: DataFrame):
-    """Model of (url, blocked 0/1); both labels must occur."""
+    """Model of (url, blocked 0/1); both labels must occur.
+
+    The labelled table is small (hundreds of rows), so it is one partition:
+    an iteration of the solver is one short task."""
     rows = labelled.select(host_of().alias("host"), path_of().alias("path"),
                            F.col("blocked").cast("double").alias("label"))
     n, n_block = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
     # both labels weigh the same
     rows = rows.withColumn("grams", url_features()).withColumn(
         "weight", F.when(F.col("label") > 0, F.lit(n / (2 * n_block)))
-        .otherwise(F.lit(n / (2 * (n - n_block)))))
+        .otherwise(F.lit(n / (2 * (n - n_block))))).coalesce(1)
     return Pipeline(stages=[
         HashingTF(inputCol="grams", outputCol="features", binary=True,
                   numFeatures=N_FEATURES),
