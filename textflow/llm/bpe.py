@@ -35,6 +35,9 @@ from textflow.llm.words import chunk_runs
 
 _INF = 1 << 60
 ROOT = 0
+# bounds of a worker's tables; beyond them a table starts anew, which costs
+# time and changes no result
+MAX_STATES, MAX_PAIRS, MAX_EDGES, MAX_PIECES = 30_000, 150_000, 40_000, 50_000
 
 
 class Merges:
@@ -76,6 +79,8 @@ class Merges:
                 halves = self.merge(part, 2)
                 part = halves[-1] if right else halves[0]
             found.reverse()
+            if len(self._spine) > MAX_EDGES:
+                self._spine.clear()
             self._spine[token, right] = found
         return found
 
@@ -101,7 +106,7 @@ class Merges:
                 i += 1
             else:
                 j += 1
-        if len(self._fits) > 1_000_000:
+        if len(self._fits) > MAX_PAIRS:
             self._fits.clear()
         self._fits[key] = fits
         return fits
@@ -110,7 +115,7 @@ class Merges:
 class Transducer:
     """Lazily determinised encoder of one vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = 200_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], limit: int = MAX_STATES) -> None:
         self.merges = Merges(ranks)
         self.limit = limit
         self._child: list[dict[int, int]] = [{}]
@@ -279,7 +284,7 @@ def _codec(path: str, pattern: str):
     known: dict[str, list[int]] = {}
 
     def encode(chunks: list[bytes]) -> list[list[int]]:
-        if len(known) > 500_000:
+        if len(known) > MAX_PIECES:
             known.clear()
         out = []
         for c in chunks:

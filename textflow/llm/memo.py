@@ -14,7 +14,7 @@ import numpy as np
 
 from textflow.llm.words import Runs, ranges
 
-LIMIT = 2_000_000
+LIMIT = 700_000
 
 
 class ChunkMemo:
