@@ -14,13 +14,14 @@ where some have none.
 
 Search.  Documents with the same words are one class from the start.  The
 classes' signatures are cut into bands; in every bucket of classes that
-agree on a band, classes are compared with a *centre* of the bucket, by the
-exact overlap of the multisets.  As long as a bucket has classes of
-different components that were never compared, more centres are taken
-(four times as many each round) and compared with what is not connected to
-them.  The rounds end when no bucket has a pair left that could join two
-components: every similar pair that shares a band ends up in one component,
-though a group of n copies costs about n comparisons, not n * n.
+agree on a band, classes are compared with a *centre* of the bucket -- the
+class that shares bands with most others -- by the exact overlap of the
+multisets.  As long as a bucket has classes that are not known to be connected
+and were never compared, more centres are taken (eight times as many each
+round) and compared with what is not connected to them; a pair that meets in
+several buckets is compared in the first.  The rounds end when no bucket has
+such a pair left: every similar pair that shares a band ends up in one
+component, though a group of n near copies costs about n comparisons.
 
 Rows: null text counts as empty.  Texts of fewer than five words are one
 shingle; texts without words are only equal to the same text.  Repeated rows
@@ -269,18 +270,28 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     names=["a", "b"])
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Does every ``u`` have one ``v`` that is no ``u`` itself?"""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"),
+                        F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(
+        F.sum("up").alias("up"), F.max("down").alias("down")).filter(
+        "up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(uid, comp) of every node of ``links`` (a, b); comp = smallest uid.
+    """(uid, comp) of every node of ``links`` (a, b) but the smallest uid of
+    each component, which is ``comp``.
 
     Alternating large-star and small-star steps; both only keep, per node,
     the smallest neighbour, so a centre with any number of links is an
     aggregate and a join, which AQE splits.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"),
-                         F.least("a", "b").alias("v")).distinct()
-    edges = written(edges, "cc")
-    before = None
-    while True:
+    edges = written(links.select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+        .filter("u <> v").distinct(), "cc")
+    while not _are_stars(edges):
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(
             "u", F.least("m", "u").alias("m"))
@@ -295,12 +306,6 @@ def components(links: DataFrame) -> DataFrame:
                  .union(low.select("u", F.col("m").alias("v"))))
         edges = written(small.filter(F.col("u") != F.col("v")).distinct(),
                         "cc")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v")
-                                                   .cast("decimal(38,0)"))
-                          ).first()
-        if state == before:
-            break
-        before = state
     return edges.select(F.col("u").alias("uid"), F.col("v").alias("comp"))
 
 
@@ -310,77 +315,97 @@ def _similar_sizes(n: str, other: str):
     return SIMILAR_DEN * lo >= SIMILAR_NUM * hi
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    """(uid, label): the smallest uid within two links, itself included.
+
+    Equal labels mean connected; connected nodes may still differ, which
+    costs a comparison and loses nothing."""
+    both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
+        links.select("b", "a"))
+    near = both.groupBy("u").agg(F.min("v").alias("m")).select(
+        F.col("u").alias("v"), F.least("m", "u").alias("m"))
+    return both.join(near, "v").groupBy("u").agg(F.min("m").alias("m")).select(
+        F.col("u").alias("uid"), F.least("m", "u").alias("label"))
+
+
+WIDER = 8               # how many times as many centres each round
+
+
 def find_links(signed: DataFrame, text_col: str) -> DataFrame | None:
     """(uid, comp) of the representatives that are similar to others."""
     reps = signed.groupBy("key").agg(F.min("uid").alias("uid"))
     reps = signed.join(reps.select("uid"), "uid", "left_semi")
-    buckets = reps.select("uid", "n", F.explode("bands").alias("h"))
-    buckets = written(buckets, "buckets")
-    shared = buckets.groupBy("h").agg(
-        F.min("uid").alias("centre"), F.count(F.lit(1)).alias("size")
-    ).filter("size > 1")
-    shared = written(buckets.join(shared.select("h", "centre"), "h"),
-                     "shared")
+    buckets = written(reps.select("uid", "n", "bands",
+                                  F.explode("bands").alias("h")), "buckets")
+    sizes = buckets.groupBy("h").agg(F.count(F.lit(1)).alias("size")
+                                     ).filter("size > 1")
+    shared = buckets.join(sizes, "h")
+    # a document's rank as a centre: how many others share bands with it
+    rank = shared.groupBy("uid").agg(F.sum("size").alias("rank"))
+    shared = written(shared.drop("size").join(rank, "uid"), "shared")
     if shared.isEmpty():
         return None
     texts = written(signed.join(
         shared.select("uid").distinct(), "uid", "left_semi").select(
             "uid", F.col("row").getField(text_col).alias("text")), "texts")
-    sizes = shared.select("uid", "n").distinct()
 
     def compared(pairs: DataFrame) -> DataFrame:
-        p = (pairs.join(sizes.toDF("a", "na"), "a")
-             .join(sizes.toDF("b", "nb"), "b")
-             .filter(_similar_sizes("na", "nb")).select("a", "b")
-             .join(texts.toDF("a", "text_a"), "a")
+        """Of the pairs (a, b), the similar ones."""
+        p = (pairs.join(texts.toDF("a", "text_a"), "a")
              .join(texts.toDF("b", "text_b"), "b")
              .select("a", "b", "text_a", "text_b"))
         return written(p.mapInArrow(_verify, _PAIR), "links")
 
-    done = shared.select("h", F.col("centre").alias("uid")).distinct()
-    pairs = shared.filter("uid <> centre").select(
-        F.col("uid").alias("a"), F.col("centre").alias("b")).distinct()
-    tested = written(pairs, "pairs")
-    links = compared(tested)
-    width = 1
+    def pairs_with(members: DataFrame, centres: DataFrame) -> DataFrame:
+        """(a, b) of members and centres of a bucket that carry different
+        labels and may be similar by their sizes.  A pair that meets in
+        several buckets is left to the first of them."""
+        m, c = members.alias("m"), centres.alias("c")
+        both = F.array_intersect("m.bands", "c.bands")
+        either = (~F.col("m.is_centre")) | (F.col("m.uid") < F.col("c.uid"))
+        return m.join(c, (F.col("m.h") == F.col("c.h"))
+                      & (F.col("m.label") != F.col("c.label")) & either
+                      & _similar_sizes("m.n", "c.n")
+                      & (F.array_min(both) == F.col("m.h"))).select(
+            F.col("m.uid").alias("a"), F.col("c.uid").alias("b"))
+
+    done, links, known, width = None, None, None, 1
     while True:
-        comp = None if links.isEmpty() else written(components(links), "comp")
-        left = shared.select("h", "uid").join(done, ["h", "uid"],
-                                              "left_anti")
-        if comp is not None:
-            left = left.join(comp, "uid", "left").select(
-                "h", "uid", F.coalesce("comp", "uid").alias("comp"))
+        left = shared
+        if done is not None:
+            left = left.join(done, ["h", "uid"], "left_anti")
+        if known is not None:
+            left = left.join(known, "uid", "left")
         else:
-            left = left.withColumn("comp", F.col("uid"))
-        parts = left.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
-        # the largest part of a bucket is compared with, not from
-        largest = parts.groupBy("h").agg(
-            F.max_by("comp", F.struct("k", "comp")).alias("main"),
-            F.count(F.lit(1)).alias("n_parts")).filter("n_parts > 1")
-        left = written(left.join(largest.select("h", "main"), "h"), "left")
+            left = left.withColumn("label", F.lit(None).cast("long"))
+        left = left.withColumn("label", F.coalesce("label", "uid"))
+        # buckets whose members carry more than one label
+        mixed = left.groupBy("h").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
+            "lo < hi").select("h")
+        w = Window.partitionBy("h").orderBy(F.desc("rank"), "uid")
+        left = left.join(mixed, "h")
+        best = left.select("h", "uid", "rank").withColumn(
+            "r", F.row_number().over(w)).filter(F.col("r") <= width).select(
+            "h", "uid", F.lit(True).alias("is_centre"))
+        left = written(left.drop("rank").join(best, ["h", "uid"], "left")
+                       .withColumn("is_centre", F.coalesce(
+                           "is_centre", F.lit(False))), "left")
         if left.isEmpty():
-            return comp
-        width *= 4
-        w = Window.partitionBy("h").orderBy("uid")
-        centres = written(
-            left.filter("comp <> main").withColumn(
-                "r", F.row_number().over(w)).filter(F.col("r") <= width)
-            .select("h", "uid", "comp"), "centres")
-        done = written(done.union(centres.select("h", "uid")), "done")
-        c = centres.select("h", F.col("uid").alias("b"),
-                           F.col("comp").alias("comp_b"))
-        pairs = (left.select("h", F.col("uid").alias("a"), "comp")
-                 .join(c, "h").filter("comp <> comp_b")
-                 .select(F.greatest("a", "b").alias("x"),
-                         F.least("a", "b").alias("y")).distinct()
-                 .toDF("a", "b"))
-        old = tested.select(F.greatest("a", "b").alias("a"),
-                            F.least("a", "b").alias("b"))
-        pairs = written(pairs.join(old, ["a", "b"], "left_anti"), "pairs")
-        tested = written(old.union(pairs), "tested")
-        found = compared(pairs)
-        links = found if comp is None else found.union(
-            comp.select(F.col("uid").alias("a"), F.col("comp").alias("b")))
+            return components(links)
+        centres = left.filter("is_centre")
+        mine = centres.select("h", "uid")
+        done = written(mine if done is None else done.union(mine), "done")
+        found = compared(pairs_with(left, centres))
+        if links is None:
+            links = found
+        elif found.isEmpty():
+            width *= WIDER
+            continue
+        else:
+            links = links.union(found)
+        known = written(_labels(links), "labels")
+        width *= WIDER
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id",
