@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textflow.functions.constants import CONTRACTIONS
 from textflow.plans.sequence import neighbors
 
 
@@ -120,10 +121,11 @@ def spell_merges(tokens: DataFrame, word: str = "w", key: str = "doc_id",
 
 def spell_splits(tokens: DataFrame, word: str = "w", key: str = "doc_id",
                  pos: str = "pos", group: Sequence[str] = (),
-                 min_count: int = 20) -> DataFrame:
+                 min_count: int = 20, with_count: bool = False) -> DataFrame:
     """A non-dictionary word cut into two dictionary words; best cut by
     corpus bigram count, then unigram count product, then earliest cut:
-    ``(group..., word, left, right)``."""
+    ``(group..., word, left, right)``, and the bigram count ``bc`` if asked
+    for."""
     g = list(group)
     wc = word_counts(tokens, word, g)
     dic = wc.filter(F.col("cnt") >= min_count)
@@ -146,8 +148,118 @@ def spell_splits(tokens: DataFrame, word: str = "w", key: str = "doc_id",
     c = c.join(bigrams, [*g, "left", "right"], "left").withColumn(
         "bc", F.coalesce("bc", F.lit(0)))
     best = c.groupBy(*g, "word").agg(F.min_by(
-        F.struct("left", "right"),
+        F.struct("left", "right", "bc"),
         F.struct(-F.col("bc"), -(F.col("cl") * F.col("cr")), F.col("i")))
         .alias("b"))
     return best.select(*g, "word", F.col("b.left").alias("left"),
-                       F.col("b.right").alias("right"))
+                       F.col("b.right").alias("right"),
+                       *([F.col("b.bc").alias("bc")] if with_count else []))
+
+
+# a contraction is one word, which T6 rewrites later; else runs of letters
+TEXT_WORD = ("(?i)\\b(?:" + "|".join(c for c, _ in CONTRACTIONS)
+             + ")\\b|[a-z]+")
+
+
+def _with_casing(raw: Column, new: Column) -> Column:
+    """``new`` in capitals or with a first capital, if ``raw`` is so."""
+    first = F.substring(raw, 1, 1)
+    return (F.when((F.length(raw) > 1) & (F.upper(raw) == raw), F.upper(new))
+            .when(F.lower(first) != first, F.concat(
+                F.upper(F.substring(new, 1, 1)),
+                F.substr(new, F.lit(2), F.length(new))))
+            .otherwise(new))
+
+
+def word_changes(tokens: DataFrame, key: str = "doc_id",
+                 group: Sequence[str] = (), min_count: int = 20) -> DataFrame:
+    """``(group..., word, new)``: the correction (T7) or the two parts (T9) of
+    every word that has one.  A cut costs one edit; against a correction of
+    one edit it wins if the corpus has the two words side by side."""
+    g = list(group)
+    fixes = spell_corrections(tokens, "w", g, min_count)
+    cuts = spell_splits(tokens, "w", key, "pos", g, min_count,
+                        with_count=True)
+    cut_wins = F.col("left").isNotNull() & (
+        F.col("distance").isNull() | (F.col("distance") > 1)
+        | (F.col("bc") > 0))
+    return fixes.join(cuts, [*g, "word"], "full").select(
+        *g, "word", F.when(cut_wins, F.concat("left", F.lit(" "), "right"))
+        .otherwise(F.col("correction")).alias("new"))
+
+
+def correct_texts(docs: DataFrame, tokens: DataFrame, text: str = "text",
+                  key: str = "doc_id", group: Sequence[str] = (),
+                  min_count: int = 20) -> DataFrame:
+    """``(key, text)``: T7-T9 applied to whole texts.  The words of a text
+    are its runs of letters, looked up in lower case; casing and what stands
+    between the words stay.
+
+    A merge (T8) replaces two words and what is between them, from left to
+    right; words that are not merged are corrected or cut (``word_changes``).
+    Only words that change meet their document again.
+    """
+    g = list(group)
+    docs = docs.filter(F.col(text).isNotNull())
+    dic = word_counts(tokens, "w", g).filter(F.col("cnt") >= min_count)
+    known = dic.select(*g, F.col("word").alias("_d"))
+    change = (word_changes(tokens, key, g, min_count)
+              .select(*g, F.lit(1).alias("width"), F.col("word").alias("hit"),
+                      "new")
+              .unionByName(dic.select(*g, F.lit(2).alias("width"),
+                                      F.col("word").alias("hit"),
+                                      F.col("word").alias("new"))))
+    runs = F.regexp_extract_all(F.col(text), F.lit(TEXT_WORD), F.lit(0))
+    low = docs.select(key, *g, F.transform(runs, F.lower).alias("low"))
+    at = low.select(key, *g, F.posexplode(F.zip_with(
+        "low", F.slice("low", 2, F.size("low")),
+        lambda a, b: F.struct(a.alias("w"), b.alias("nw")))).alias("pos", "p"))
+    at = at.select(key, *g, "pos", "p.w", "p.nw", F.explode(F.array(
+        F.struct(F.lit(1).alias("width"), F.col("p.w").alias("hit")),
+        F.struct(F.lit(2).alias("width"), F.concat("p.w", "p.nw")
+                 .alias("hit")))).alias("k"))
+    hits = (at.select(key, *g, "pos", "w", "nw", "k.width", "k.hit")
+            .join(change, [*g, "width", "hit"]))
+    merges = (hits.filter("width = 2")
+              .join(known.select(*g, F.col("_d").alias("w"),
+                                 F.lit(1).alias("_kl")), [*g, "w"], "left")
+              .join(known.select(*g, F.col("_d").alias("nw"),
+                                 F.lit(1).alias("_kr")), [*g, "nw"], "left")
+              .filter(F.col("_kl").isNull() | F.col("_kr").isNull()))
+    changes = (hits.filter("width = 1").select(key, "pos", "width", "new")
+               .unionByName(merges.select(key, "pos", "width", "new"))
+               .groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
+                   "pos", (-F.col("width")).alias("order"), "width", "new")))
+                   .alias("_c")))
+    d = docs.select(key, F.col(text).alias("_t")).join(changes, key, "left")
+    d = d.select(key, "_t", "_c",
+                 F.regexp_extract_all("_t", F.lit(TEXT_WORD), F.lit(0))
+                 .alias("_r"), F.split("_t", TEXT_WORD, -1).alias("_g"))
+    kind = ("struct<end:int,kept:array<struct<pos:int,order:int,width:int,"
+            "new:string>>>")
+    start = F.from_json(F.lit('{"end":0,"kept":[]}'), kind)
+    d = d.select(
+        key, "_t", "_r", "_g",
+        F.zip_with("_g", F.concat("_r", F.array(F.lit(""))),
+                   lambda gap, run: F.concat(gap, run))
+        .alias("_p"),
+        F.aggregate("_c", start, lambda a, c: F.when(
+            c["pos"] < a["end"], a).otherwise(F.struct(
+                (c["pos"] + c["width"]).alias("end"),
+                F.concat(a["kept"], F.array(c)).alias("kept")))).alias("_k"))
+
+    def changed(c: Column, i: Column) -> Column:
+        last = F.get("_k.kept", i - 1)
+        done = F.when(i == 0, 0).otherwise(last["pos"] + last["width"])
+        raw = F.concat(F.get("_r", c["pos"]), F.when(
+            c["width"] == 2, F.get("_r", c["pos"] + 1)).otherwise(""))
+        return F.concat(
+            F.array_join(F.slice("_p", done + 1, c["pos"] - done), ""),
+            F.get("_g", c["pos"]), _with_casing(raw, c["new"]))
+
+    whole = F.concat(
+        F.array_join(F.transform("_k.kept", changed), ""),
+        F.array_join(F.slice("_p", F.col("_k.end") + 1,
+                             F.size("_p") - F.col("_k.end")), ""))
+    return d.select(key, F.when(F.col("_k").isNull(), F.col("_t"))
+                    .otherwise(whole).alias("text"))

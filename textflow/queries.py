@@ -337,13 +337,10 @@ def q_vocab_filter(spark, sf):
 
 def spelled(spark, sf, text) -> DataFrame:
     """(doc_id, text): the given text column of the documents with every
-    misspelt word replaced (map of T7, per language)."""
-    fixes = spell.spell_corrections(fx.tokens(spark, sf), "w", ["lang"], 20)
+    misspelt word replaced (T7), merged (T8) or cut (T9), per language."""
     d = fx.table(spark, sf, "documents")
-    t = d.select("doc_id", "lang",
-                 F.posexplode(F.split(text, " ")).alias("pos", "w"))
-    return clean.rebuild_text(spell.apply_corrections(t, fixes, "w", ["lang"]),
-                              name="text")
+    return spell.correct_texts(d.select("doc_id", "lang", text.alias("text")),
+                               fx.tokens(spark, sf), group=["lang"])
 
 
 def cleaned(texts: DataFrame) -> DataFrame:
