@@ -3,13 +3,18 @@
 A page is cut into blocks at block-level tags.  The first pass labels each
 block from its own evidence:
 
-* *boilerplate* if it stands in a menu, header, footer, sidebar, notice,
-  advert, form or comment container, or most of its text is links;
+* *boilerplate* if it stands in a menu, header, footer or sidebar element, in
+  a container named as one, or most of its text is links;
 * *content* if it is long enough and has the stop-word density of running
   text, or stands in the page's ``article`` or ``main`` element;
 * *short* (undecided) if it is too short to tell;
 * *boilerplate* if it is long and has hardly any stop words.
 
+A name (class, id, role) is one sign among these.  It says nothing about an
+element around the page (``settle``), names that articles bear as well
+(``WEAK_NAMES``) yield to long running text in ``article`` or ``main`` or
+where no other is, and a named inline element stands for itself only.
+
 The second pass gives undecided blocks the label of the nearest decided
 neighbours: content if both sides agree on it or the nearer side is content;
 headings look at what follows them.
@@ -43,7 +48,7 @@ sin sobre este ya entre cuando todo esta ser son dos también fue
 
 SKIPPED = frozenset("script style noscript template textarea select option "
                     "button svg iframe object title math".split())
-BOILER_TAGS = frozenset("nav footer aside form menu dialog".split())
+BOILER_TAGS = frozenset("nav footer aside menu dialog".split())
 MAIN_TAGS = frozenset("article main".split())
 BLOCK_TAGS = frozenset("""
 address article aside blockquote body dd details dialog div dl dt fieldset
@@ -60,6 +65,14 @@ masthead menu modal nav navbar navigation newsletter notice notices pager
 pagination popup promo promotion related replies reply respond share sharing
 sidebar signup social sponsor sponsored subscribe tags toolbar widget widgets
 """.split())
+#: those of them that containers of running text bear as well
+WEAK_NAMES = frozenset("""
+banner copyright disclaimer masthead modal notice notices popup promo
+promotion related share sharing social sponsor sponsored tags toolbar widget
+widgets
+""".split())
+#: a name with one of these ("has-sidebar") is of what is elsewhere
+STATE_WORDS = frozenset("has with without".split())
 #: names of the element that holds the article, where there is no such tag
 MAIN_NAMES = frozenset("article articlebody entry main post story".split())
 #: the class of these says something about the whole page, not about them
@@ -72,29 +85,42 @@ STOP_HIGH, STOP_LOW = 0.30, 0.10
 GOOD, BAD, SHORT = "content", "boilerplate", "short"
 
 
+@dataclass
+class Mark:
+    """An element whose name or tag is one of boilerplate."""
+    parent: int
+    weak: bool
+    titles: int = 0         # h1 elements inside
+    main: bool = False      # is or holds an article or main element
+    wrapper: bool = False   # around the page: says nothing
+
+
 @dataclass
 class Block:
     tag: str
     boiler: bool
     main: bool
-    parts: list[str] = field(default_factory=list)
+    mark: int
+    # (mark, text, in a link?)
+    parts: list[tuple[int, str, bool]] = field(default_factory=list)
     link_chars: int = 0
     text: str = ""
     label: str = SHORT
 
 
-def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
+def _names(attrs: list[tuple[str, str | None]]) -> tuple[set[str], set[str]]:
+    """All words of the names, and those of names without a state word."""
     found: set[str] = set()
+    roles: set[str] = set()
     for key, value in attrs:
         if key in ("class", "id", "role") and value:
-            word = ""
-            for c in value.lower() + " ":
-                if c.isalnum():
-                    word += c
-                elif word:
-                    found.add(word)
-                    word = ""
-    return found
+            for name in value.lower().split():
+                words = set("".join(c if c.isalnum() else " "
+                                    for c in name).split())
+                found |= words
+                if not words & STATE_WORDS:
+                    roles |= words
+    return found, roles
 
 
 def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
@@ -113,14 +139,16 @@ class BlockParser(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        # open elements: (tag, skipped, boilerplate, main, link)
-        self._open: list[tuple[str, bool, bool, bool, bool]] = []
-        self._now = (False, False, False, False)
+        self.marks: list[Mark] = []
+        self.titles = 0
+        # open elements: (tag, skipped, boilerplate, main, link, mark)
+        self._open: list[tuple[str, bool, bool, bool, bool, int]] = []
+        self._now = (False, False, False, False, -1)
         self._block: Block | None = None
 
     def _set(self) -> None:
         self._now = self._open[-1][1:] if self._open else (
-            False, False, False, False)
+            False, False, False, False, -1)
 
     def _close_implied(self, tag: str) -> None:
         """A block ends an open paragraph, an item the item before it."""
@@ -139,27 +167,39 @@ class BlockParser(HTMLParser):
     def handle_starttag(self, tag, attrs) -> None:
         if tag == "br":
             if self._block is not None:
-                self._block.parts.append(" ")
+                self._block.parts.append((self._now[4], " ", False))
             return
         if tag in BLOCK_TAGS:
             self._block = None
             self._close_implied(tag)
         if tag in VOID:
             return
-        skip, boiler, main, link = self._now
-        names = _names(attrs)
+        skip, boiler, main, link, mark = self._now
+        names, roles = _names(attrs)
         if tag in SKIPPED or tag == "head" or _hidden(attrs):
             skip = True
         if tag in BOILER_TAGS or tag == "header" and not main:
             boiler = True
-        elif names & BOILER_NAMES and tag not in PAGE_TAGS:
-            boiler = True
+        elif tag == "form" or roles & BOILER_NAMES and tag not in PAGE_TAGS:
+            self.marks.append(Mark(mark, tag != "form" and not (
+                roles & BOILER_NAMES - WEAK_NAMES)))
+            mark = len(self.marks) - 1
         if tag in MAIN_TAGS or (tag in ("div", "section")
                                 and names & MAIN_NAMES):
             main = True
+            m = mark
+            while m >= 0 and not self.marks[m].main:
+                self.marks[m].main = True
+                m = self.marks[m].parent
+        if tag == "h1" and not skip and not boiler:
+            self.titles += 1
+            m = mark
+            while m >= 0:
+                self.marks[m].titles += 1
+                m = self.marks[m].parent
         if tag == "body":
             skip = False
-        self._open.append((tag, skip, boiler, main, link or tag == "a"))
+        self._open.append((tag, skip, boiler, main, link or tag == "a", mark))
         self._set()
 
     def handle_startendtag(self, tag, attrs) -> None:
@@ -180,35 +220,17 @@ class BlockParser(HTMLParser):
                 return
 
     def handle_data(self, data) -> None:
-        skip, boiler, main, link = self._now
+        skip, boiler, main, link, mark = self._now
         if skip:
             return
         if self._block is None:
             if not data.strip():
                 return
-            tag = next((t for t, *_ in reversed(self._open)
-                        if t in BLOCK_TAGS), "body")
-            self._block = Block(tag, boiler, main)
+            tag, of = next(((t, m) for t, *_, m in reversed(self._open)
+                            if t in BLOCK_TAGS), ("body", -1))
+            self._block = Block(tag, boiler, main, of)
             self.blocks.append(self._block)
-        b = self._block
-        if boiler and not b.boiler:
-            return          # an inline advert inside a content block
-        b.parts.append(data)
-        if link:
-            b.link_chars += len("".join(data.split()))
-
-
-def blocks_of(html: str) -> list[Block]:
-    parser = BlockParser()
-    parser.feed(html)
-    parser.close()
-    out = []
-    for b in parser.blocks:
-        b.text = " ".join("".join(b.parts).split())
-        b.parts = []
-        if b.text:
-            out.append(b)
-    return out
+        self._block.parts.append((mark, data, link))
 
 
 def _stop_density(text: str) -> float:
@@ -216,10 +238,90 @@ def _stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / max(1, len(words))
 
 
-def first_pass(b: Block) -> str:
-    chars = len(b.text.replace(" ", ""))
-    links = b.link_chars / max(1, chars)
-    if b.boiler or links > MAX_LINK_DENSITY:
+def _running(text: str) -> bool:
+    return len(text) >= LENGTH_SHORT and _stop_density(text) >= STOP_HIGH
+
+
+def _joined(parts: list[tuple[int, str, bool]]) -> tuple[str, int]:
+    """Text, and characters in links."""
+    return (" ".join("".join(d for _, d, _ in parts).split()),
+            sum(len("".join(d.split())) for _, d, link in parts if link))
+
+
+def _linked(text: str, link_chars: int) -> bool:
+    return link_chars > MAX_LINK_DENSITY * max(1, len(text.replace(" ", "")))
+
+
+def _holder(marks: list[Mark], m: int) -> int:
+    while m >= 0 and marks[m].wrapper:
+        m = marks[m].parent
+    return m
+
+
+def _yields(marks: list[Mark], m: int) -> bool:
+    """Are all marks around weak?"""
+    while m >= 0:
+        if not (marks[m].wrapper or marks[m].weak):
+            return False
+        m = marks[m].parent
+    return True
+
+
+def settle(blocks: list[Block], marks: list[Mark], titles: int) -> int:
+    """Finds the marked elements that stand around the page: those with more
+    running text than is outside of marks that hold the page's title, or,
+    with no running text outside, an article or most of the page.  Gives the
+    running text outside of marks, in characters."""
+    sizes = []
+    for b in blocks:
+        text, links = _joined([p for p in b.parts if p[0] == b.mark])
+        if not b.boiler and text:
+            sizes.append((b.mark, len(text), not _linked(text, links)
+                          and _running(text)))
+    total = sum(n for _, n, _ in sizes)
+    while True:
+        held: dict[int, int] = {}
+        own: dict[int, int] = {}
+        runs: dict[int, int] = {}
+        for m, n, running in sizes:
+            m = _holder(marks, m)
+            held[m] = held.get(m, 0) + n
+            if running:
+                own[m] = own.get(m, 0) + n
+                runs[m] = runs.get(m, 0) + 1
+        free = own.pop(-1, 0)
+        around = [m for m, n in own.items() if n > free and (
+            0 < titles == marks[m].titles or not free and (
+                marks[m].main or runs[m] >= 3 and 2 * held[m] > total))]
+        if not around:
+            return free
+        marks[max(around, key=lambda m: own[m])].wrapper = True
+
+
+def _finish(b: Block, marks: list[Mark], free: int) -> bool:
+    """Sets the block's text; is there any?  Text of marked inline elements
+    goes, unless the whole block is such text."""
+    by_mark: dict[int, list] = {}
+    for p in b.parts:
+        by_mark.setdefault(p[0], []).append(p)
+    here = _holder(marks, b.mark)
+    kept = {m for m, parts in by_mark.items()
+            if _holder(marks, m) == here or _yields(marks, m)
+            and (b.main or not free) and _running(_joined(parts)[0])}
+    b.text, b.link_chars = _joined([p for p in b.parts if p[0] in kept])
+    if not b.text:
+        b.text, b.link_chars = _joined(b.parts)
+        b.boiler = True
+    b.parts = []
+    return bool(b.text)
+
+
+def first_pass(b: Block, marks: list[Mark], free: int) -> str:
+    if b.boiler or _linked(b.text, b.link_chars):
+        return BAD
+    if _holder(marks, b.mark) >= 0 and not (
+            _yields(marks, b.mark) and (b.main or not free)
+            and _running(b.text)):
         return BAD
     if b.main:
         return GOOD
@@ -255,9 +357,14 @@ def second_pass(blocks: list[Block]) -> None:
 
 
 def label_blocks(html: str) -> list[Block]:
-    blocks = blocks_of(html)
+    parser = BlockParser()
+    parser.feed(html)
+    parser.close()
+    marks = parser.marks
+    free = settle(parser.blocks, marks, parser.titles) if marks else 0
+    blocks = [b for b in parser.blocks if _finish(b, marks, free)]
     for b in blocks:
-        b.label = first_pass(b)
+        b.label = first_pass(b, marks, free)
     second_pass(blocks)
     return blocks
 
