@@ -1,18 +1,22 @@
 """Secret scanning with inferred grammars of credentials.
 
-1. One pass over all texts finds the spans of the base patterns and all
-   *candidates*: unbroken runs of credential characters with a digit that
-   lie outside those spans.  The result is a small table.
+1. One pass over all texts finds the values of the base patterns and counts
+   the characters of the credential alphabet.  The result is a small table.
 2. The values of the base spans are labelled credentials (the label is the
    pattern that found them).  Of each kind, at most ``SAMPLE`` different
    values with the smallest hashes are used to infer a grammar: their prefix
    tree, written in character classes, is folded into a probabilistic
    automaton by merging states whose outgoing frequencies and endings are
    statistically compatible (Hoeffding bound), redrawing the tree below.
-3. Every candidate is scored by its likelihood under each automaton against
-   a background of independent characters.  It is a span of kind
-   ``inferred`` if some automaton accepts it and its score per character
-   reaches that of the labelled credentials (their lowest percent aside).
+   The lengths and the least score of a kind come from all its values.
+3. A second pass finds the *candidates*: unbroken runs of the credential
+   alphabet and all their pieces between ``/``, ``=`` and ``.``, from
+   ``ASSIGN_MIN`` characters on, that lie outside the base spans.  Each is
+   scored by its likelihood under each automaton against a background of
+   independent characters.  It is a span of kind ``inferred`` if some
+   automaton accepts it, it is as long as labelled credentials are, and its
+   score per character reaches theirs (the lowest percent of those that the
+   automaton accepts aside).  Of overlapping ones the longest counts.
 
 Null text counts as empty; offsets are code points, ends exclusive;
 repeated rows are scanned one by one.
@@ -26,6 +30,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -43,18 +48,19 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
-CANDIDATE_MIN = 16
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE_MIN)
+ALPHABET = r"[A-Za-z0-9+/_.=-]"
+PIECE_ENDS = "/=."
 # cheap tests that never miss a text with a match
 _MAYBE = {
     "assign": r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]",
     "access": r"AKIA", "hex": r"[0-9a-f]{%d}" % HEX_MIN,
-    "candidate": r"[0-9]",
 }
 SAMPLE = 1000
 ALPHA = 0.05            # confidence of the merge test
 SMOOTH = 0.05           # probability kept for unseen continuations
 MIN_LABELLED = 5        # fewer values make no grammar
+SCORE_STEP = 1e-4       # scores are counted in steps of this
+MEMO = 300_000          # runs without a secret that a task remembers
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -71,18 +77,6 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(text: str, spans: list[tuple[str, int, int, str]]
-               ) -> list[tuple[int, int, str]]:
-    out = []
-    for m in _CANDIDATE.finditer(text):
-        if not any(c.isdigit() for c in m[0]):
-            continue
-        if any(s < m.end() and m.start() < e for _, s, e, _ in spans):
-            continue
-        out.append((m.start(), m.end(), m[0]))
-    return out
-
-
 def _symbol(c: str) -> str:
     """Character classes of the grammars."""
     if c.isdigit():
@@ -184,7 +178,8 @@ class Automaton:
 
 
 class Grammars:
-    """One automaton and one threshold for each kind."""
+    """One automaton of each kind; once ``limit`` is called, also its least
+    score and lengths."""
 
     def __init__(self, labelled: dict[str, list[str]],
                  background: Counter) -> None:
@@ -193,27 +188,47 @@ class Grammars:
             symbols[_symbol(c)] += n
         self._total = sum(symbols.values()) + 70.0
         self._symbols = symbols
-        self.automata: dict[str, tuple[Automaton, float, int, int]] = {}
-        for kind, words in labelled.items():
-            if len(words) < MIN_LABELLED:
-                continue
-            a = Automaton(words)
-            own = sorted(self._score(a, w) for w in words)
-            size = sorted(map(len, words))
-            self.automata[kind] = (a, own[len(own) // 100], size[0], size[-1])
+        self.automata = {kind: Automaton(words)
+                         for kind, words in labelled.items()
+                         if len(words) >= MIN_LABELLED}
+        self.limits: dict[str, tuple[float, int, int]] = {}
+
+    def limit(self, kind: str, least: float, lo: int, hi: int) -> None:
+        self.limits[kind] = (least, lo, hi)
+
+    @property
+    def shortest(self) -> int:
+        """No secret is shorter."""
+        return max(ASSIGN_MIN, min(lo for _, lo, _ in self.limits.values()))
+
+    def _background(self, symbol: str) -> float:
+        return math.log((self._symbols[symbol] + 1.0) / self._total)
 
-    def _score(self, a: Automaton, word: str) -> float:
+    def score(self, kind: str, word: str) -> float:
         """Log-likelihood ratio per character."""
-        p = a.log_likelihood(word)
+        p = self.automata[kind].log_likelihood(word)
         if p is None:
             return -math.inf
-        q = sum(math.log((self._symbols[_symbol(c)] + 1.0) / self._total)
-                for c in word)
-        return (p - q) / len(word)
-
-    def is_secret(self, word: str) -> bool:
-        return any(lo <= len(word) <= hi and self._score(a, word) >= least
-                   for a, least, lo, hi in self.automata.values())
+        return (p - sum(self._background(_symbol(c)) for c in word)
+                ) / len(word)
+
+    def secrets(self, run: str) -> list[tuple[int, int]]:
+        """Every piece of a run, itself included, that is a secret."""
+        ends = [i for i, c in enumerate(run) if c in PIECE_ENDS]
+        starts, ends = [0, *[i + 1 for i in ends]], [*ends, len(run)]
+        out = set()
+        for kind, (least, lo, hi) in self.limits.items():
+            lo = max(lo, ASSIGN_MIN)
+            first = 0
+            for s in starts:
+                while first < len(ends) and ends[first] < s + lo:
+                    first += 1
+                for e in ends[first:first + hi - lo + 1]:
+                    if e - s > hi:
+                        break
+                    if self.score(kind, run[s:e]) >= least:
+                        out.add((s, e))
+        return sorted(out)
 
 
 SPAN = (T.StructType().add("kind", T.StringType())
@@ -221,54 +236,128 @@ SPAN = (T.StructType().add("kind", T.StringType())
         .add("value", T.StringType()))
 
 
-def _scan(like: pa.Schema):
+def _spans(texts: pa.Array) -> Iterator[list[tuple[int, int, int, str]]]:
+    """The base spans of every text."""
+    maybe = [pc.match_substring_regex(texts, p).to_pylist()
+             for p in _MAYBE.values()]
+    for i, any_of in enumerate(zip(*maybe, strict=True)):
+        yield base_spans(texts[i].as_py()) if any(any_of) else []
+
+
+BACKGROUND = "background"
+_LABELLED = (T.StructType().add("kind", T.StringType())
+             .add("value", T.StringType()).add("n", T.LongType()))
+_IN_ALPHABET = [c for c in map(chr, range(128)) if re.match(ALPHABET, c)]
+
+
+def _label(like: pa.Schema):
+    """Different values of the base spans, and the characters' counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chars = np.zeros(256, np.int64)
         for b in batches:
-            texts = pc.fill_null(b.column(1), "")
-            maybe = {k: pc.match_substring_regex(texts, p).to_pylist()
-                     for k, p in _MAYBE.items()}
-            base, more = [], []
-            for i in range(len(texts)):
-                spans: list = []
-                found: list = []
-                if (maybe["assign"][i] or maybe["access"][i]
-                        or maybe["hex"][i]):
-                    t = texts[i].as_py()
-                    spans = base_spans(t)
-                if maybe["candidate"][i]:
-                    found = candidates(texts[i].as_py(), spans)
-                base.append([dict(zip(("kind", "start", "end", "value"), s,
-                                      strict=True)) for s in spans])
-                more.append([{"kind": INFERRED, "start": s, "end": e,
-                              "value": v} for s, e, v in found])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(base, like.field(1).type),
-                 pa.array(more, like.field(2).type)], schema=like)
+            texts = pc.fill_null(b.column(0), "")
+            found = {(s[0], s[3]) for spans in _spans(texts) for s in spans}
+            whole = texts.cast(pa.large_string())
+            _, offsets, data = whole.buffers()
+            if data is not None and len(whole):
+                at = np.frombuffer(offsets, np.int64)[
+                    whole.offset:whole.offset + len(whole) + 1]
+                chars += np.bincount(np.frombuffer(data, np.uint8)[
+                    at[0]:at[-1]], minlength=256)
+            rows = [{"kind": k, "value": v, "n": 1} for k, v in sorted(found)]
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=like)
+        yield pa.RecordBatch.from_pylist(
+            [{"kind": BACKGROUND, "value": c, "n": int(chars[ord(c)])}
+             for c in _IN_ALPHABET], schema=like)
 
     return run
 
 
+def _found(g: Grammars, run: re.Pattern, text: str, plain: set[str],
+           secret: dict[str, list[tuple[int, int]]]
+           ) -> list[tuple[int, int, str]]:
+    """Secrets of a text; ``plain`` and ``secret`` are known runs."""
+    runs = set(run.findall(text))
+    for r in runs - plain:
+        if r not in secret:
+            pieces = g.secrets(r)
+            if pieces:
+                secret[r] = pieces
+            elif len(plain) < MEMO and len(r) < 200:
+                plain.add(r)
+    if runs.isdisjoint(secret):
+        return []
+    return [(m.start() + s, m.start() + e, m[0][s:e])
+            for m in run.finditer(text) for s, e in secret.get(m[0], ())]
+
+
+def _outside(found: list[tuple[int, int, str]],
+             base: list[tuple[str, int, int, str]]
+             ) -> list[tuple[int, int, str]]:
+    """Those that touch no base span and no longer one of their own."""
+    taken = sorted((s, e) for _, s, e, _ in base)
+    free, i, reach = [], 0, 0
+    for f in sorted(found):
+        while i < len(taken) and taken[i][0] < f[1]:
+            reach = max(reach, taken[i][1])
+            i += 1
+        # of the spans that begin before f ends, the last ones first
+        if reach <= f[0] or not any(f[0] < taken[j][1]
+                                    for j in range(i - 1, -1, -1)):
+            free.append(f)
+    out: list[tuple[int, int, str]] = []
+    group: list[tuple[int, int, str]] = []
+    end = 0
+
+    def close() -> None:
+        chosen: list[tuple[int, int, str]] = []
+        for f in sorted(group, key=lambda f: (f[0] - f[1], f[0])):
+            if all(f[1] <= s or e <= f[0] for s, e, _ in chosen):
+                chosen.append(f)
+        out.extend(sorted(chosen))
+        group.clear()
+
+    for f in free:
+        if f[0] >= end:
+            close()
+        group.append(f)
+        end = max(end, f[1])
+    close()
+    return out
+
+
 def _judge(grammars, like: pa.Schema):
-    def text_of(spans: list[dict]) -> str:
-        return ",".join(f"{s['kind']}:{s['start']}:{s['end']}"
-                        for s in spans)
+    def text_of(spans: list[tuple]) -> str:
+        return ",".join(f"{k}:{s}:{e}" for k, s, e, _ in spans)
 
     order = {k: i for i, k in enumerate((*KINDS, INFERRED))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = grammars.value
+        pattern = re.compile(ALPHABET + "{%d,}" % g.shortest
+                             ) if g.limits else None
+        plain: set[str] = set()
+        secret: dict[str, list[tuple[int, int]]] = {}
         for b in batches:
+            texts = pc.fill_null(b.column(1), "")
             out: list[list] = [[] for _ in range(6)]
-            for base, more in zip(b.column(1).to_pylist(),
-                                  b.column(2).to_pylist(), strict=True):
-                kinds = Counter(s["kind"] for s in base)
-                added = [s for s in more if g.is_secret(s["value"])]
-                every = sorted(base + added, key=lambda s: (
-                    s["start"], order[s["kind"]]))
+            for i, base in enumerate(_spans(texts)):
+                more = []
+                if pattern is not None:
+                    if len(secret) > MEMO:
+                        secret.clear()
+                    more = _outside(_found(g, pattern, texts[i].as_py(),
+                                           plain, secret), base)
+                kinds = Counter(s[0] for s in base)
+                every = sorted(base + [(INFERRED, *m) for m in more],
+                               key=lambda s: (s[1], order[s[0]]))
                 for col, v in zip(out, (
                         *(kinds[k] for k in KINDS), hashlib.sha256(
                             text_of(base).encode()).hexdigest(),
-                        text_of(every), every), strict=True):
+                        text_of(every), [dict(zip(
+                            ("kind", "start", "end", "value"), s,
+                            strict=True)) for s in every]), strict=True):
                     col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *[pa.array(c, f.type) for c, f in zip(
@@ -277,14 +366,33 @@ def _judge(grammars, like: pa.Schema):
     return run
 
 
-def infer_grammars(found: DataFrame, sample: int = SAMPLE) -> Grammars:
-    """Grammars of the labelled values in a scan's result."""
-    values = found.select(F.explode("base").alias("s")).select(
-        "s.kind", "s.value").distinct()
-    # at most about 8 x sample values of a kind are ranked
+def _score(grammars, like: pa.Schema):
+    """Length and score of every labelled value."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = grammars.value
+        for b in batches:
+            kinds, words = (c.to_pylist() for c in b.columns)
+            score = [g.score(k, w) for k, w in zip(kinds, words, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(map(len, words), pa.int64()),
+                 pa.array([None if x == -math.inf else
+                           math.floor(x / SCORE_STEP) for x in score],
+                          pa.int64())], schema=like)
+
+    return run
+
+
+def infer_grammars(labels: DataFrame, sample: int = SAMPLE) -> Grammars:
+    """Grammars of the labelled values ``(kind, value, n)`` of a scan."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    spark = labels.sparkSession
+    values = labels.filter(F.col("kind") != BACKGROUND).select(
+        "kind", "value").distinct()
     counts = {r[0]: r[1] for r in values.groupBy("kind").count().collect()}
     if not counts:
         return Grammars({}, Counter())
+    # at most about 8 x sample values of a kind are ranked
     share = F.create_map(*[x for k, n in counts.items() for x in (
         F.lit(k), F.lit(min(1.0, 8.0 * sample / n)))])
     key = F.xxhash64("value")
@@ -298,11 +406,31 @@ def infer_grammars(found: DataFrame, sample: int = SAMPLE) -> Grammars:
     labelled: dict[str, list[str]] = {}
     for r in rows:
         labelled.setdefault(r["kind"], []).append(r["value"])
-    # characters of all candidates, counted on the cluster
-    chars = (found.select(F.explode("more").alias("s"))
-             .select(F.explode(F.split("s.value", "")).alias("c"))
-             .groupBy("c").count().collect())
-    return Grammars(labelled, Counter({r[0]: r[1] for r in chars}))
+    chars = (labels.filter(F.col("kind") == BACKGROUND).groupBy("value")
+             .agg(F.sum("n")).collect())
+    g = Grammars(labelled, Counter({r[0]: r[1] for r in chars}))
+    if not g.automata:
+        return g
+    # lengths and scores of all values: a row for each step of the scores
+    schema = (T.StructType().add("kind", T.StringType())
+              .add("size", T.LongType()).add("step", T.LongType()))
+    steps = (values.filter(F.col("kind").isin(list(g.automata)))
+             .mapInArrow(_score(spark.sparkContext.broadcast(g),
+                                to_arrow_schema(schema)), schema)
+             .groupBy("kind", "step").agg(
+                 F.count(F.lit(1)), F.min("size"), F.max("size")).collect())
+    for kind in g.automata:
+        own = sorted((s, n) for k, s, n, _, _ in steps
+                     if k == kind and s is not None)
+        rank = sum(n for _, n in own) // 100
+        for step, n in own:
+            if rank < n:
+                g.limit(kind, step * SCORE_STEP,
+                        min(r[3] for r in steps if r[0] == kind),
+                        max(r[4] for r in steps if r[0] == kind))
+                break
+            rank -= n
+    return g
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id",
@@ -313,17 +441,15 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id",
 
     spark = docs.sparkSession
     key = T.StructField("id", docs.schema[id_col].dataType)
-    schema = T.StructType([key, T.StructField("base", T.ArrayType(SPAN)),
-                           T.StructField("more", T.ArrayType(SPAN))])
-    found = written(docs.select(id_col, text_col).mapInArrow(
-        _scan(to_arrow_schema(schema)), schema), "secrets")
-    grammars = spark.sparkContext.broadcast(infer_grammars(found))
+    labels = written(docs.select(text_col).mapInArrow(
+        _label(to_arrow_schema(_LABELLED)), _LABELLED), "secrets")
+    grammars = spark.sparkContext.broadcast(infer_grammars(labels))
     out = T.StructType([key, *[T.StructField(f"n_{k}", T.LongType())
                                for k in KINDS],
                         T.StructField("base_sha256", T.StringType()),
                         T.StructField("spans", T.StringType()),
                         T.StructField("found", T.ArrayType(SPAN))])
-    return found.mapInArrow(_judge(grammars, to_arrow_schema(out)), out)
+    return docs.select(id_col, text_col).mapInArrow(_judge(grammars, to_arrow_schema(out)), out)
 
 
 def op9_secret_scan(spark, sf_dir: str) -> DataFrame:
