@@ -11,8 +11,8 @@ one weight table) and the lexicons of words seen repeatedly in the training
 sentences of each language.
 
 The model is fitted on a bounded sample of labelled rows: at most
-``SAMPLE_DOCS`` documents of ``SAMPLE_BYTES`` bytes at most per language,
-those with the smallest hashes.  Part of the training sentences are joined
+``SAMPLE_DOCS`` documents of ``SAMPLE_BYTES`` bytes at most per language (a
+window of longer ones), those with the smallest hashes.  Part of the training sentences are joined
 from different languages so that switches are learned.  Prediction covers
 every word of every row.
 
@@ -319,10 +319,12 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", per_lang: int = SAMPLE_DOCS) -> Model:
-    """Fit on the bounded sample of labelled rows of ``docs``."""
+    """Fit on the bounded sample of labelled rows of ``docs``; of a text of
+    more than ``SAMPLE_BYTES``, on a window from its first letter on."""
     key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    window = F.regexp_extract(
+        text_col, r"(?s)\p{L}.{0,%d}" % (SAMPLE_BYTES // 4 - 1), 0)
     rows = docs.filter(F.col(lang_col).isNotNull()
-                       & (F.octet_length(text_col) <= SAMPLE_BYTES)
                        & F.col(text_col).rlike(r"\p{L}")
                        & ~held_out(id_col))
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
@@ -332,7 +334,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     share = F.create_map(*[x for lang, n in counts.items() for x in (
         F.lit(lang), F.lit(min(1.0, 8.0 * per_lang / n)))])
     few = rows.select(F.col(lang_col).alias("lang"),
-                      F.col(text_col).alias("text"), key.alias("key")).filter(
+                      F.when(F.octet_length(text_col) <= SAMPLE_BYTES,
+                             F.col(text_col)).otherwise(window).alias("text"),
+                      key.alias("key")).filter(
         F.shiftrightunsigned("key", 11) * 2.0 ** -53 <= share[F.col("lang")])
     w = Window.partitionBy("lang").orderBy("key", "text")
     sample = (few.withColumn("r", F.row_number().over(w))
