@@ -8,6 +8,7 @@ from textflow.llm.exact_dedup import op1_grace_dedup
 from textflow.llm.html_extract import op6_html_extract
 from textflow.llm.lang_id import op10_lang_id
 from textflow.llm.near_dedup import op2_near_dedup
+from textflow.llm.packing import op12_best_fit_packing
 from textflow.llm.secrets import op9_secret_scan
 from textflow.llm.token_counts import op4_token_counts
 from textflow.llm.token_files import op3_token_files
@@ -24,6 +25,7 @@ REGISTRY = {
     "op8_decontaminate": op8_decontaminate,
     "op9_secret_scan": op9_secret_scan,
     "op10_lang_id": op10_lang_id,
+    "op12_best_fit_packing": op12_best_fit_packing,
 }
 
 _LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
