@@ -10,6 +10,7 @@ from textflow.llm.lang_id import op10_lang_id
 from textflow.llm.near_dedup import op2_near_dedup
 from textflow.llm.packing import op12_best_fit_packing
 from textflow.llm.secrets import op9_secret_scan
+from textflow.llm.spelling import op13_spelling_variants
 from textflow.llm.token_counts import op4_token_counts
 from textflow.llm.token_files import op3_token_files
 from textflow.llm.url_filter import op7_url_filter
@@ -26,6 +27,7 @@ REGISTRY = {
     "op9_secret_scan": op9_secret_scan,
     "op10_lang_id": op10_lang_id,
     "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
