@@ -272,13 +272,14 @@ class Blocks:
         self.start, self.end, self.pair = start, end, pair
         self.own = self.letters.parts(part)
         exact = np.float32 if self.size.max(initial=0) <= 2000 else np.float64
-        self.counts = self.letters.counts.astype(exact)
+        counts = self.letters.counts
+        self.counts = counts[:, counts.any(0)].astype(exact)
         self.square = (self.counts ** 2).sum(1)
 
     def _together(self, blocks: np.ndarray, width: int
                   ) -> Iterator[tuple[np.ndarray, ...]]:
         """Close pairs of many small blocks: one product of a stack."""
-        step = max(1, _CELLS // (width * (width + len(LETTERS))))
+        step = max(1, _CELLS // (width * (width + self.counts.shape[1])))
         for lo in range(0, len(blocks), step):
             k = blocks[lo:lo + step]
             at = self.start[k][:, None] + np.arange(width)[None, :]
@@ -298,40 +299,53 @@ class Blocks:
         """Close pairs of one block: products of adjacent length blocks."""
         lo0, hi0 = int(self.start[k]), int(self.end[k])
         size = self.size[lo0:hi0]
+        c = self.counts[lo0:hi0]
+        c = c[:, (c != c[:1]).any(0)]       # equal counts: no distance
+        square, one = (c ** 2).sum(1)[:, None], np.ones((len(c), 1), c.dtype)
+        # |a|^2 + |b|^2 - 2 a.b as one product
+        left = np.concatenate([-2 * c, square, one], 1)
+        right = np.concatenate([c, one, square], 1)
         for n in np.unique(size):
-            lo, hi = np.searchsorted(size, [n, n + 1]) + lo0
+            lo, hi = np.searchsorted(size, [n, n + 1])
             for m in (n, n + 1):
-                lo2, hi2 = np.searchsorted(size, [m, m + 1]) + lo0
+                lo2, hi2 = np.searchsorted(size, [m, m + 1])
                 if lo2 == hi2:
                     continue
-                gram = self.counts[lo:hi] @ self.counts[lo2:hi2].T
-                gram *= -2
-                gram += self.square[lo:hi, None]
-                gram += self.square[None, lo2:hi2]
-                i, j = np.nonzero(gram <= 2)
-                i, j = i + lo, j + lo2
+                at = np.flatnonzero(left[lo:hi] @ right[lo2:hi2].T <= 2)
+                i, j = at // (hi2 - lo2) + lo, at % (hi2 - lo2) + lo2
                 if n == m:
                     i, j = i[i < j], j[i < j]
-                yield i, j, np.full(len(i), self.pair[k])
+                yield i + lo0, j + lo0, np.full(len(i), self.pair[k])
 
     def near(self) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (i, j) of words one edit apart that count here."""
-        found = []
+        found, waiting, size = [], [], 0
+        for close in self._close():
+            waiting.append(close)
+            size += len(close[0])
+            if size > _CELLS:
+                found.append(self._verified(waiting))
+                waiting, size = [], 0
+        if waiting:
+            found.append(self._verified(waiting))
+        none = np.zeros(0, np.int64)
+        return (np.concatenate([none, *(f[0] for f in found)]),
+                np.concatenate([none, *(f[1] for f in found)]))
+
+    def _close(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """(i, j, pair of parts) of words at most two apart."""
         n = self.end - self.start
         below = 1
         for width in SMALL_BLOCKS:
             mine = np.flatnonzero((n > below) & (n <= width))
-            found += map(self._verified, self._together(mine, width))
+            yield from self._together(mine, width)
             below = width
         for k in np.flatnonzero(n > below):
-            found += map(self._verified, self._alone(k))
-        none = np.zeros(0, np.int64)
-        return (np.concatenate([none, *(f[0] for f in found)]),
-                np.concatenate([none, *(f[1] for f in found)]))
+            yield from self._alone(k)
 
-    def _verified(self, close: tuple[np.ndarray, ...]
+    def _verified(self, close: list[tuple[np.ndarray, ...]]
                   ) -> tuple[np.ndarray, np.ndarray]:
-        i, j, pair = close
+        i, j, pair = map(np.concatenate, zip(*close, strict=True))
         # of the two sides of a pair of tiles
         ok = (self.side[i] | self.side[j]) == 3
         # in the first file they share; a key may be shared by chance only
