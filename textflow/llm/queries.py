@@ -5,6 +5,7 @@ from __future__ import annotations
 from textflow.llm.bpe import op5_byte_bpe
 from textflow.llm.decontaminate import op8_decontaminate
 from textflow.llm.exact_dedup import op1_grace_dedup
+from textflow.llm.hard_negatives import op11_hard_negatives
 from textflow.llm.html_extract import op6_html_extract
 from textflow.llm.lang_id import op10_lang_id
 from textflow.llm.near_dedup import op2_near_dedup
@@ -26,6 +27,7 @@ REGISTRY = {
     "op8_decontaminate": op8_decontaminate,
     "op9_secret_scan": op9_secret_scan,
     "op10_lang_id": op10_lang_id,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_best_fit_packing": op12_best_fit_packing,
     "op13_spelling_variants": op13_spelling_variants,
 }
