@@ -1,6 +1,7 @@
 """Spelling applied to whole texts: every word, whatever stands around it."""
 
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -80,3 +81,25 @@ def test_whole_table_equals_plain_python(spark):
     for r in rows:
         if r.text is not None:
             assert got[r.doc_id] == _by_hand(r.text, words, r.lang, dic)
+
+
+def test_many_changes_in_one_text_stay_linear(spark):
+    """80,000 corrections, merges and cuts in one text."""
+    n = 20_000
+    df, tokens = _tokens(spark, CORPUS)
+    raw = "Houes alot hou se hou se on "
+    df = df.union(spark.createDataFrame([(-1, "en", raw * n)], df.schema))
+    got = spell.correct_texts(df, tokens, group=["lang"]).filter("doc_id < 0")
+    begin = time.time()
+    assert got.first()["text"] == "House a lot house house on " * n
+    assert time.time() - begin < 30
+
+
+def test_chain_of_merges_goes_from_left_to_right(spark):
+    corpus = ["anan an xan"] * 30
+    _, tokens = _tokens(spark, corpus)
+    tokens = tokens.filter("w <> 'an'")     # only the joined form is known
+    df, _ = _tokens(spark, ["an an an", "an, an an\nan an"])
+    got = {r.doc_id: r.text for r in spell.correct_texts(
+        df, tokens, group=["lang"]).collect()}
+    assert got == {0: "anan an", 1: "anan anan an"}

@@ -708,22 +708,76 @@ CORRECTIONS = SPELL + """,
 pairs as (select p.lang, p.word, d.word cand, d.cnt cc, levenshtein(p.word, d.word) dist
           from pr p join dic d on p.lang = d.lang
           and abs(length(p.word) - length(d.word)) <= 2),
-fixes as (select lang, word, first(cand order by dist, cc desc, cand) correction
-          from pairs where dist <= 2 group by lang, word)
+fixes as (select lang, word, first(cand order by dist, cc desc, cand) fix, min(dist) dist
+          from pairs where dist <= 2 group by lang, word),
+cuts as (select lang, word, i, left(word, i) l, substr(word, i + 1) r
+         from (select lang, word, unnest(range(1, length(word))) i from pr
+               where length(word) >= 2)),
+big as (select lang, w l, nw r, count(*) bc from nb where nw is not null group by lang, w, nw),
+cutc as (select cuts.*, dl.cnt cl, dr.cnt cr, coalesce(big.bc, 0) bc
+      from cuts join dic dl on dl.lang = cuts.lang and dl.word = cuts.l
+      join dic dr on dr.lang = cuts.lang and dr.word = cuts.r
+      left join big on big.lang = cuts.lang and big.l = cuts.l and big.r = cuts.r),
+splits as (select lang, word, first(l || ' ' || r order by bc desc, cl * cr desc, i) two,
+                  first(bc order by bc desc, cl * cr desc, i) bc
+           from cutc group by lang, word),
+changes as (select lang, word,
+                   case when two is not null and (dist is null or dist > 1 or bc > 0)
+                        then two else fix end new
+            from fixes full join splits using (lang, word))
 """
 
 
+def _text_word() -> str:
+    from textflow.functions.constants import CONTRACTIONS
+    return _q(r"\b(?:" + "|".join(c for c, _ in CONTRACTIONS)
+              + r")\b|[a-zA-Z]+").replace("\\b(?:", "(?i)\\b(?:", 1)
+
+
+def _corrected_sql(text: str) -> str:
+    """s1 (doc_id, t): every word of the text merged, corrected or cut."""
+    return CORRECTIONS + f""",
+src as (select doc_id, lang, {text} x from documents where text is not null),
+lists as (select doc_id, lang, regexp_extract_all(x, {_text_word()}) l,
+                 string_split_regex(x, {_text_word()}) g, x from src),
+ws as (select doc_id, lang, unnest(l) raw, lower(unnest(l)) w,
+              generate_subscripts(l, 1) pos, g
+       from (select doc_id, lang, l, g from lists where len(l) > 0)),
+nx as (select *, lead(w) over d nw, lead(raw) over d nraw
+       from (select doc_id, lang, raw, w, pos, g[pos] gap from ws)
+       window d as (partition by doc_id order by pos)),
+mcand as (select nx.*, m.word is not null and (a.word is null or b.word is null) can
+         from nx left join dic m on m.lang = nx.lang and m.word = nx.w || nx.nw
+         left join dic a on a.lang = nx.lang and a.word = nx.w
+         left join dic b on b.lang = nx.lang and b.word = nx.nw),
+isl as (select *, pos - row_number() over (partition by doc_id, can order by pos) island
+        from mcand),
+mrg as (select *, can and row_number() over (
+                 partition by doc_id, can, island order by pos) % 2 = 1 m
+        from isl),
+tk as (select *, coalesce(lag(m) over (partition by doc_id order by pos), false) gone
+       from mrg),
+nw as (select tk.*, case when m then tk.w || tk.nw else h.new end new,
+              case when m then raw || nraw else raw end old
+       from tk left join changes h on h.lang = tk.lang and h.word = tk.w),
+pieces as (select doc_id, pos, case when gone then '' else gap || (
+             case when new is null then raw
+                  when length(old) > 1 and upper(old) = old then upper(new)
+                  when lower(old[1]) <> old[1] then upper(new[1]) || new[2:]
+                  else new end) end piece
+           from nw),
+joined as (select doc_id, string_agg(piece, '' order by pos) t from pieces group by doc_id),
+s1 as (select doc_id, case when len(l) = 0 then x else t || g[len(l) + 1] end t
+       from lists left join joined using (doc_id))"""
+
+
 def _collapse_sql(c: str) -> str:
     return f"trim(regexp_replace({c}, '[\\s\\x{{3000}}\\p{{Z}}]+', ' ', 'g'))"
 
 
 def _cleaned_sql(text: str) -> str:
     alpha = f"regexp_replace({_contractions_sql('t')}, '[^a-zA-Z]', ' ', 'g')"
-    return CORRECTIONS + f""",
-s0 as (select doc_id, lang, unnest(l) w, generate_subscripts(l, 1) pos
-       from (select doc_id, lang, string_split({text}, ' ') l from documents)),
-s1 as (select s0.doc_id, string_agg(coalesce(f.correction, s0.w), ' ' order by pos) t
-       from s0 left join fixes f on f.lang = s0.lang and f.word = s0.w group by s0.doc_id),
+    return _corrected_sql(text) + f""",
 body as (select doc_id, {_collapse_sql(f"lower({alpha})")} body from s1),
 bt as (select doc_id, unnest(l) w, generate_subscripts(l, 1) pos
        from (select doc_id, flatten(list_transform(

@@ -103,9 +103,13 @@ def expand_contractions(c: Column | str) -> Column:
     no shuffle, and texts without an apostrophe skip it.
     """
     c = _c(c)
-    s = c
-    for short, full in CONTRACTIONS:
-        s = F.regexp_replace(s, "(?i)\\b" + short + "\\b", full)
+    pattern = "(?i)\\b(?:" + "|".join(w for w, _ in CONTRACTIONS) + ")\\b"
+    full = F.create_map(*[F.lit(x) for pair in CONTRACTIONS for x in pair])
+    found = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)),
+                        lambda w: F.element_at(full, F.lower(w)))
+    s = F.array_join(F.zip_with(
+        F.split(c, pattern, -1), F.concat(found, F.array(F.lit(""))),
+        lambda gap, word: F.concat(gap, word)), "")
     return F.when(F.instr(c, "'") > 0, s).otherwise(c)
 
 

@@ -13,12 +13,17 @@ word of any length has at most 29 keys.  The corpus supplies the dictionary
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textflow.functions.constants import CONTRACTIONS
+from textflow.plans.lineage import cut_lineage
 from textflow.plans.sequence import neighbors
 
 
@@ -86,15 +91,6 @@ def spell_corrections(tokens: DataFrame, word: str = "w",
                        F.col("b.dist").cast("long").alias("distance"))
 
 
-def apply_corrections(tokens: DataFrame, corrections: DataFrame,
-                      word: str = "w", group: Sequence[str] = ()) -> DataFrame:
-    """Replace corrected tokens (join on the word)."""
-    c = corrections.select(*group, F.col("word").alias(word), "correction")
-    return (tokens.join(c, [*group, word], "left")
-            .withColumn(word, F.coalesce("correction", word))
-            .drop("correction"))
-
-
 def spell_merges(tokens: DataFrame, word: str = "w", key: str = "doc_id",
                  pos: str = "pos", group: Sequence[str] = (),
                  min_count: int = 20) -> DataFrame:
@@ -157,18 +153,13 @@ def spell_splits(tokens: DataFrame, word: str = "w", key: str = "doc_id",
 
 
 # a contraction is one word, which T6 rewrites later; else runs of letters
-TEXT_WORD = ("(?i)\\b(?:" + "|".join(c for c, _ in CONTRACTIONS)
-             + ")\\b|[a-z]+")
+LETTER_RUN = re.compile("[A-Za-z]+")
+TEXT_WORD = re.compile(r"(?i)\b(?:" + "|".join(c for c, _ in CONTRACTIONS)
+                       + r")\b|[a-z]+", re.ASCII)
 
 
-def _with_casing(raw: Column, new: Column) -> Column:
-    """``new`` in capitals or with a first capital, if ``raw`` is so."""
-    first = F.substring(raw, 1, 1)
-    return (F.when((F.length(raw) > 1) & (F.upper(raw) == raw), F.upper(new))
-            .when(F.lower(first) != first, F.concat(
-                F.upper(F.substring(new, 1, 1)),
-                F.substr(new, F.lit(2), F.length(new))))
-            .otherwise(new))
+def _pattern(text: str) -> re.Pattern:
+    return TEXT_WORD if "'" in text else LETTER_RUN
 
 
 def word_changes(tokens: DataFrame, key: str = "doc_id",
@@ -188,6 +179,85 @@ def word_changes(tokens: DataFrame, key: str = "doc_id",
         .otherwise(F.col("correction")).alias("new"))
 
 
+def _rows(batches: Iterator[pa.RecordBatch], make: Callable[..., Iterator],
+          like: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows that ``make`` yields for every input row, in bounded batches."""
+    out: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        cols = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(cols, like, strict=True)],
+            schema=like)
+
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for made in make(*row):
+                out.append(made)
+                if len(out) >= OUT_ROWS:
+                    yield batch()
+                    out.clear()
+    if out:
+        yield batch()
+
+
+OUT_ROWS = 4096
+
+
+def _map_rows(df: DataFrame, make: Callable[..., Iterator],
+              schema: T.StructType) -> DataFrame:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    like = to_arrow_schema(schema)
+    return df.mapInArrow(lambda it: _rows(it, make, like), schema)
+
+
+def _words_of(text: str, *ids) -> Iterator[tuple]:
+    for w in dict.fromkeys(map(str.lower, _pattern(text).findall(text))):
+        yield *ids, w
+
+
+def _pairs_of(text: str, odd: list[dict] | None, *ids) -> Iterator[tuple]:
+    """Neighbours written as one word, where a part is not in the
+    dictionary."""
+    unknown = {x["w"] for x in odd or ()}
+    if unknown:
+        low = [w.lower() for w in _pattern(text).findall(text)]
+        for m in dict.fromkeys(a + b for a, b in pairwise(low)
+                               if a in unknown or b in unknown):
+            yield *ids, m
+
+
+def recased(raw: str, new: str) -> str:
+    """``new`` in capitals or with a first capital, if ``raw`` is so."""
+    if len(raw) > 1 and raw.isupper():
+        return new.upper()
+    return new[:1].upper() + new[1:] if raw[:1].isupper() else new
+
+
+def _rewritten(text: str, odd: list[dict] | None, merged: list[str] | None,
+               *ids) -> Iterator[tuple]:
+    """One pass over the words, from left to right."""
+    change = {x["w"]: x["new"] for x in odd or ()}
+    whole = set(merged or ())
+    out, done, taken = [], 0, False
+    words = list(_pattern(text).finditer(text)) if change else []
+    low = [m[0].lower() for m in words]
+    for i, m in enumerate(words):
+        if taken:                       # went into the word before
+            taken = False
+            continue
+        new, raw, end = change.get(low[i]), m[0], m.end()
+        if whole and i + 1 < len(words):
+            both = low[i] + low[i + 1]
+            if both in whole and (low[i] in change or low[i + 1] in change):
+                new, raw, end = both, raw + words[i + 1][0], words[i + 1].end()
+                taken = True
+        if new is not None:
+            out += [text[done:m.start()], recased(raw, new)]
+            done = end
+    yield *ids, "".join(out) + text[done:] if out else text
+
+
 def correct_texts(docs: DataFrame, tokens: DataFrame, text: str = "text",
                   key: str = "doc_id", group: Sequence[str] = (),
                   min_count: int = 20) -> DataFrame:
@@ -197,69 +267,29 @@ def correct_texts(docs: DataFrame, tokens: DataFrame, text: str = "text",
 
     A merge (T8) replaces two words and what is between them, from left to
     right; words that are not merged are corrected or cut (``word_changes``).
-    Only words that change meet their document again.
+    A text's distinct words meet the vocabulary; those that the dictionary
+    lacks come back to it, and the text is rewritten in one pass.
     """
     g = list(group)
-    docs = docs.filter(F.col(text).isNotNull())
-    dic = word_counts(tokens, "w", g).filter(F.col("cnt") >= min_count)
-    known = dic.select(*g, F.col("word").alias("_d"))
-    change = (word_changes(tokens, key, g, min_count)
-              .select(*g, F.lit(1).alias("width"), F.col("word").alias("hit"),
-                      "new")
-              .unionByName(dic.select(*g, F.lit(2).alias("width"),
-                                      F.col("word").alias("hit"),
-                                      F.col("word").alias("new"))))
-    runs = F.regexp_extract_all(F.col(text), F.lit(TEXT_WORD), F.lit(0))
-    low = docs.select(key, *g, F.transform(runs, F.lower).alias("low"))
-    at = low.select(key, *g, F.posexplode(F.zip_with(
-        "low", F.slice("low", 2, F.size("low")),
-        lambda a, b: F.struct(a.alias("w"), b.alias("nw")))).alias("pos", "p"))
-    at = at.select(key, *g, "pos", "p.w", "p.nw", F.explode(F.array(
-        F.struct(F.lit(1).alias("width"), F.col("p.w").alias("hit")),
-        F.struct(F.lit(2).alias("width"), F.concat("p.w", "p.nw")
-                 .alias("hit")))).alias("k"))
-    hits = (at.select(key, *g, "pos", "w", "nw", "k.width", "k.hit")
-            .join(change, [*g, "width", "hit"]))
-    merges = (hits.filter("width = 2")
-              .join(known.select(*g, F.col("_d").alias("w"),
-                                 F.lit(1).alias("_kl")), [*g, "w"], "left")
-              .join(known.select(*g, F.col("_d").alias("nw"),
-                                 F.lit(1).alias("_kr")), [*g, "nw"], "left")
-              .filter(F.col("_kl").isNull() | F.col("_kr").isNull()))
-    changes = (hits.filter("width = 1").select(key, "pos", "width", "new")
-               .unionByName(merges.select(key, "pos", "width", "new"))
-               .groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
-                   "pos", (-F.col("width")).alias("order"), "width", "new")))
-                   .alias("_c")))
-    d = docs.select(key, F.col(text).alias("_t")).join(changes, key, "left")
-    d = d.select(key, "_t", "_c",
-                 F.regexp_extract_all("_t", F.lit(TEXT_WORD), F.lit(0))
-                 .alias("_r"), F.split("_t", TEXT_WORD, -1).alias("_g"))
-    kind = ("struct<end:int,kept:array<struct<pos:int,order:int,width:int,"
-            "new:string>>>")
-    start = F.from_json(F.lit('{"end":0,"kept":[]}'), kind)
-    d = d.select(
-        key, "_t", "_r", "_g",
-        F.zip_with("_g", F.concat("_r", F.array(F.lit(""))),
-                   lambda gap, run: F.concat(gap, run))
-        .alias("_p"),
-        F.aggregate("_c", start, lambda a, c: F.when(
-            c["pos"] < a["end"], a).otherwise(F.struct(
-                (c["pos"] + c["width"]).alias("end"),
-                F.concat(a["kept"], F.array(c)).alias("kept")))).alias("_k"))
-
-    def changed(c: Column, i: Column) -> Column:
-        last = F.get("_k.kept", i - 1)
-        done = F.when(i == 0, 0).otherwise(last["pos"] + last["width"])
-        raw = F.concat(F.get("_r", c["pos"]), F.when(
-            c["width"] == 2, F.get("_r", c["pos"] + 1)).otherwise(""))
-        return F.concat(
-            F.array_join(F.slice("_p", done + 1, c["pos"] - done), ""),
-            F.get("_g", c["pos"]), _with_casing(raw, c["new"]))
-
-    whole = F.concat(
-        F.array_join(F.transform("_k.kept", changed), ""),
-        F.array_join(F.slice("_p", F.col("_k.end") + 1,
-                             F.size("_p") - F.col("_k.end")), ""))
-    return d.select(key, F.when(F.col("_k").isNull(), F.col("_t"))
-                    .otherwise(whole).alias("text"))
+    ids = [docs.schema[c] for c in (key, *g)]
+    word = T.StructField("w", T.StringType())
+    docs = docs.filter(F.col(text).isNotNull()).select(
+        F.col(text).alias("text"), key, *g)
+    dic = word_counts(tokens, "w", g).filter(F.col("cnt") >= min_count
+                                             ).select(*g, F.col("word")
+                                                      .alias("w"))
+    change = word_changes(tokens, key, g, min_count).withColumnRenamed(
+        "word", "w")
+    odd = (_map_rows(docs, _words_of, T.StructType([*ids, word]))
+           .join(dic, [*g, "w"], "left_anti").join(change, [*g, "w"], "left")
+           .groupBy(key, *g).agg(F.collect_list(F.struct("w", "new"))
+                                 .alias("odd")))
+    docs = cut_lineage(docs.join(odd, [key, *g], "left").select(
+        "text", "odd", key, *g))
+    merged = (_map_rows(docs, _pairs_of, T.StructType([*ids, word]))
+              .join(dic, [*g, "w"], "left_semi").groupBy(key, *g)
+              .agg(F.collect_list("w").alias("merged")))
+    docs = docs.join(merged, [key, *g], "left").select("text", "odd",
+                                                       "merged", key)
+    return _map_rows(docs, _rewritten, T.StructType(
+        [ids[0], T.StructField("text", T.StringType())]))
