@@ -3,9 +3,10 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from textflow.llm import near_dedup
 from textflow.llm.near_dedup import (LEVELS, bands_of, components,
-                                     drop_near_copies, near_groups,
-                                     signatures)
+                                     drop_near_copies, near_groups, overlap,
+                                     rest_of, signatures)
 
 from .conftest import near_classes
 
@@ -92,3 +93,46 @@ def test_components_of_long_paths(spark):
     got = {r.uid: r.comp for r in components(
         spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100, 102: 100}
+
+
+def test_common_part_and_rest_bound_the_overlap():
+    rnd = random.Random(11)
+
+    def bag():
+        return np.unique(np.array([rnd.randrange(30) for _ in range(
+            rnd.randint(0, 40))], np.uint64), return_counts=True)
+
+    for _ in range(300):
+        x, y, c = bag(), bag(), bag()
+        rest_x, rest_y = rest_of(x, c), rest_of(y, c)
+        assert len(rest_x) == x[1].sum() - overlap(x, c)
+        shared = len(np.intersect1d(rest_x, rest_y))
+        assert overlap(x, y) <= min(overlap(x, c), overlap(y, c)) + shared
+
+
+def test_siblings_below_the_limit_cost_few_comparisons(spark, monkeypatch):
+    """Copies of a lost original, mostly not similar to each other; pairs of
+    them share their changes and are similar."""
+    rnd = random.Random(8)
+    vocab = [f"w{i}" for i in range(5000)]
+    base = [rnd.choice(vocab) for _ in range(150)]
+    texts = []
+    for k in range(200):
+        own = random.Random(k // 2 + 1000)      # two share most changes
+        words = list(base)
+        for _ in range(6):
+            words[own.randrange(150)] = own.choice(vocab)
+        for _ in range(k % 2):
+            words[rnd.randrange(150)] = rnd.choice(vocab)
+        texts.append((k, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    seen = []
+    plain = near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, name: seen.append(
+        (name, plain(df, name))) or seen[-1][1])
+    groups, _ = near_groups(docs)
+    got = {r.id: r.class_id for r in groups.collect()}
+    want = near_classes([(k, t) for k, t in texts])
+    assert got == {k: max(g) for k, g in want.items()}
+    compared = sum(df.count() for name, df in seen if name == "pairs")
+    assert compared < 200 * 199 / 4

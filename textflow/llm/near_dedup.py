@@ -13,15 +13,24 @@ to a time by which all components have one, and on for the few documents
 where some have none.
 
 Search.  Documents with the same words are one class from the start.  The
-classes' signatures are cut into bands; in every bucket of classes that
-agree on a band, classes are compared with a *centre* of the bucket -- the
-class that shares bands with most others -- by the exact overlap of the
-multisets.  As long as a bucket has classes that are not known to be connected
-and were never compared, more centres are taken (eight times as many each
-round) and compared with what is not connected to them; a pair that meets in
-several buckets is compared in the first.  The rounds end when no bucket has
-such a pair left: every similar pair that shares a band ends up in one
-component, though a group of n near copies costs about n comparisons.
+classes' signatures are cut into bands; in every bucket of classes that agree
+on a band, all are compared with the bucket's *centre* -- the class that shares
+bands with most others -- by the exact overlap of the multisets.  Classes that
+are left alone by this are compared with the star's *hub*, the multiset sum of
+the centre and a few more members: it holds nearly all that the star's classes
+have in common, also where the original that they copy is lost.  What a class
+has in common with the hub h is known then, and so is its *rest*, the shingles
+that the hub lacks.  Whatever h is, classes x and y overlap by at most
+
+    min(|x & h|, |y & h|) + |rest(x) & rest(y)|.
+
+So a class that is alone can only be similar to a member of the star with
+which it shares enough shingles of their rests, or to one so short that the
+common part alone may be enough.  These meet by an equi-join on (star, shingle
+of the first ones in a fixed order) or (star, size class); where few are looking, pairs are compared, and where
+many are, they are a bucket of the next round with a centre of their own.  No
+other pair can be similar, so every similar pair that shares a band ends up in
+one component, though a group of n near copies costs about n comparisons.
 
 Rows: null text counts as empty.  Texts of fewer than five words are one
 shingle; texts without words are only equal to the same text.  Repeated rows
@@ -32,6 +41,7 @@ repeated rows, one).
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -223,6 +233,8 @@ def sign(docs: DataFrame, text_col: str) -> DataFrame:
 def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
             ) -> int:
     """Size of the intersection of two multisets (sorted values, counts)."""
+    if not len(b[0]):
+        return 0
     at = np.searchsorted(b[0], a[0])
     at[at == len(b[0])] = 0
     same = b[0][at] == a[0]
@@ -238,36 +250,54 @@ def _bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-_PAIR = T.StructType([T.StructField("a", T.LongType()),
-                      T.StructField("b", T.LongType())])
+_PAIR = T.StructType([
+    T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
+    T.StructField("both", T.LongType()),
+    T.StructField("rest", T.ArrayType(T.LongType()))])
 _SLICE = 256
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, text_a, text_b) -> the pairs that are similar."""
-    centre, centre_bag = None, None
-    for whole in batches:
-        for lo in range(0, whole.num_rows, _SLICE):
-            b = whole.slice(lo, _SLICE)
-            ids_a, ids_b = (b.column(i).to_pylist() for i in (0, 1))
-            bags = _bags(b.column(2))
-            new = [i for i, x in enumerate(ids_b)
-                   if x != (ids_b[i - 1] if i else centre)]
-            fresh = iter(_bags(b.column(3).take(pa.array(new, pa.int64()))))
-            start = set(new)
-            keep = []
-            for i, bag in enumerate(bags):
-                if i in start:
-                    centre, centre_bag = ids_b[i], next(fresh)
-                both = overlap(bag, centre_bag)
-                union = int(bag[1].sum() + centre_bag[1].sum()) - both
-                if both and SIMILAR_DEN * both >= SIMILAR_NUM * union:
-                    keep.append(i)
-            if keep:
+def rest_of(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
+            ) -> np.ndarray:
+    """What ``a`` holds more than ``b``, one hash for each time, in order."""
+    at = np.searchsorted(b[0], a[0])
+    at[at == len(b[0])] = 0
+    have = np.where(b[0][at] == a[0], b[1][at], 0) if len(b[0]) else 0
+    more = np.maximum(a[1] - have, 0)
+    times = ranges(np.zeros(len(more), np.int64), more).astype(np.uint64)
+    return np.sort(mix(np.repeat(a[0], more) + times * _COEF[1]))
+
+
+def _verify(with_rest: bool):
+    """(a, b, text_a, text_b) -> (a, b, both, rest): their overlap, and the
+    rest of ``a``."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()),
+                        ("both", pa.int64()), ("rest", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, centre_bag = None, None
+        for whole in batches:
+            for lo in range(0, whole.num_rows, _SLICE):
+                b = whole.slice(lo, _SLICE)
+                ids_b = b.column(1).to_pylist()
+                bags = _bags(b.column(2))
+                new = [i for i, x in enumerate(ids_b)
+                       if x != (ids_b[i - 1] if i else centre)]
+                fresh = iter(_bags(b.column(3).take(pa.array(new,
+                                                             pa.int64()))))
+                start = set(new)
+                both, rest = [], []
+                for i, bag in enumerate(bags):
+                    if i in start:
+                        centre, centre_bag = ids_b[i], next(fresh)
+                    both.append(overlap(bag, centre_bag))
+                    rest.append(rest_of(bag, centre_bag).view(np.int64)
+                                if with_rest else None)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids_a[i] for i in keep], pa.int64()),
-                     pa.array([ids_b[i] for i in keep], pa.int64())],
-                    names=["a", "b"])
+                    [b.column(0), b.column(1), pa.array(both, pa.int64()),
+                     pa.array(rest, pa.list_(pa.int64()))], schema=schema)
+
+    return run
 
 
 def _are_stars(edges: DataFrame) -> bool:
@@ -309,10 +339,19 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("uid"), F.col("v").alias("comp"))
 
 
-def _similar_sizes(n: str, other: str):
-    """Multisets of these sizes can be similar enough."""
-    lo, hi = F.least(n, other), F.greatest(n, other)
-    return SIMILAR_DEN * lo >= SIMILAR_NUM * hi
+def _similar(both: str, n: str, other: str):
+    """Multisets of these sizes and this overlap are similar."""
+    return (F.col(both) > 0) & (SIMILAR_DEN * F.col(both) >= SIMILAR_NUM * (
+        F.col(n) + F.col(other) - F.col(both)))
+
+
+def _may_be_similar(x: str, y: str):
+    """By sizes, common parts and rests."""
+    n = [F.col(f"{k}.n") for k in (x, y)]
+    most = F.least(f"{x}.both", f"{y}.both") + F.least(f"{x}.more",
+                                                       f"{y}.more")
+    return (SIMILAR_DEN * F.least(*n) >= SIMILAR_NUM * F.greatest(*n)) & (
+        SIMILAR_DEN * most >= SIMILAR_NUM * (n[0] + n[1] - most))
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -328,84 +367,160 @@ def _labels(links: DataFrame) -> DataFrame:
         F.col("u").alias("uid"), F.least("m", "u").alias("label"))
 
 
-WIDER = 8               # how many times as many centres each round
+FEW, MORE = 64, 64       # so many may look for partners in a bucket directly,
+#                         and how many times as many in each further round
+SIZE_STEP = 1.05        # ratio of the size classes
+HUB = 5                 # members of a star in its hub, besides the centre
+
+
+def _size_class(n):
+    return F.floor(F.log(F.greatest(n, F.lit(1))) / math.log(SIZE_STEP))
+
+
+def _undecided(stars: DataFrame) -> DataFrame:
+    """The stars (a, b, n, n_b, both, label) whose members are not known to be
+    connected, some not being similar to their centre: these are ``alone``."""
+    stars = stars.withColumn("alone", ~_similar("both", "n", "n_b"))
+    mixed = stars.groupBy("b").agg(
+        F.max("alone").alias("seek"), F.min("label").alias("lo"),
+        F.max("label").alias("hi")).filter("seek and lo < hi").select("b")
+    return stars.join(mixed, "b", "left_semi")
+
+
+def _refined(live: DataFrame) -> DataFrame:
+    """``h, seekers, a, n, both, more, label, seeks`` of the finer buckets of
+    members and hubs (a, b, n, both, rest, label, alone): who is alone seeks
+    partners, in the buckets of its rest's shingles and of the sizes that its
+    common part may be similar to.  Only buckets with a seeker and with
+    classes that are not known to be connected."""
+    cols = ["b", "a", "n", "both", "label"]
+    whole = SIMILAR_DEN + SIMILAR_NUM
+    # a pair has an alone member, and needs so many hashes common to its
+    # rests; of sets that share r elements the least |set| - r + 1 share one
+    star = live.groupBy("b").agg(
+        F.min("n").alias("n_lo"),
+        F.max(F.when(F.col("alone"), F.col("both"))).alias("most"))
+    shortest = F.ceil(F.col("n") * SIMILAR_NUM / SIMILAR_DEN)
+    need = F.ceil((F.col("n") + F.greatest("n_lo", shortest)) * SIMILAR_NUM
+                  / whole) - F.least("both", "most")
+    first = F.slice("rest", 1, F.greatest(F.size("rest") + 1 - F.greatest(
+        need, F.lit(1)), F.lit(0)).cast("int"))
+    by_rest = live.join(star, "b").select(
+        *cols, F.col("alone").alias("seeks"), F.explode(first).alias("value"),
+        F.lit(0).alias("kind"))
+    # similar by the common part alone: (both >= 4/9 of the two sizes)
+    longest = F.floor(F.col("both") * whole / SIMILAR_NUM) - F.col("n")
+    own = _size_class(F.col("n"))
+    sized = live.filter(SIMILAR_DEN * F.col("both") >= SIMILAR_NUM
+                        * F.col("n"))
+    classes = F.when(F.col("alone") & (longest >= shortest), F.sequence(
+        _size_class(shortest) - 1, _size_class(longest) + 1)).otherwise(
+        F.array().cast("array<long>"))
+    by_size = sized.select(*cols, classes.alias("c"), own.alias("own")).select(
+        *cols, "c", F.explode(F.array_union("c", F.array("own")))
+        .alias("value")).select(
+        *cols, F.array_contains("c", F.col("value")).alias("seeks"), "value",
+        F.lit(1).alias("kind"))
+    # what their rests may add to the common part
+    rows = by_rest.withColumn("more", F.col("n") - F.col("both")).union(
+        by_size.withColumn("more", F.lit(0).cast("long"))).withColumn(
+        "h", F.xxhash64("b", "value", "kind"))
+    useful = rows.groupBy("h").agg(
+        F.sum(F.col("seeks").cast("int")).alias("seekers"),
+        F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
+        "seekers > 0 and lo < hi").select("h", "seekers")
+    return rows.join(useful, "h").select("h", "seekers", "a", "n", "both",
+                                         "more", "label", "seeks")
 
 
 def find_links(signed: DataFrame, text_col: str) -> DataFrame | None:
     """(uid, comp) of the representatives that are similar to others."""
-    reps = signed.groupBy("key").agg(F.min("uid").alias("uid"))
-    reps = signed.join(reps.select("uid"), "uid", "left_semi")
-    buckets = written(reps.select("uid", "n", "bands",
-                                  F.explode("bands").alias("h")), "buckets")
-    sizes = buckets.groupBy("h").agg(F.count(F.lit(1)).alias("size")
-                                     ).filter("size > 1")
-    shared = buckets.join(sizes, "h")
-    # a document's rank as a centre: how many others share bands with it
-    rank = shared.groupBy("uid").agg(F.sum("size").alias("rank"))
-    shared = written(shared.drop("size").join(rank, "uid"), "shared")
+    first = signed.groupBy("key").agg(F.min("uid").alias("uid"))
+    reps = written(signed.select("uid", "n", "bands").join(
+        first.select("uid"), "uid", "left_semi"), "reps")
+    # most buckets hold one class only: they go before anything is joined
+    filed = reps.select("uid", F.explode("bands").alias("h"))
+    sizes = filed.groupBy("h").agg(F.count(F.lit(1)).alias("size")
+                                   ).filter("size > 1")
+    shared = written(filed.join(sizes, "h"), "shared")
     if shared.isEmpty():
         return None
-    texts = written(signed.join(
-        shared.select("uid").distinct(), "uid", "left_semi").select(
-            "uid", F.col("row").getField(text_col).alias("text")), "texts")
+    # a class's rank as a centre: how many others share bands with it
+    nodes = written(shared.groupBy("uid").agg(F.sum("size").alias("rank"))
+                    .join(reps.select("uid", "n"), "uid"), "nodes")
+    texts = written(signed.select(
+        "uid", F.col("row").getField(text_col).alias("text")).join(
+        nodes.select("uid"), "uid", "left_semi"), "texts")
+
+    n = nodes.select(F.col("uid").alias("a"), "n")
+    n_b = nodes.select(F.col("uid").alias("b"), F.col("n").alias("n_b"))
 
     def compared(pairs: DataFrame) -> DataFrame:
-        """Of the pairs (a, b), the similar ones."""
+        """The pairs (a, b) with their overlap and sizes."""
         p = (pairs.join(texts.toDF("a", "text_a"), "a")
              .join(texts.toDF("b", "text_b"), "b")
              .select("a", "b", "text_a", "text_b"))
-        return written(p.mapInArrow(_verify, _PAIR), "links")
-
-    def pairs_with(members: DataFrame, centres: DataFrame) -> DataFrame:
-        """(a, b) of members and centres of a bucket that carry different
-        labels and may be similar by their sizes.  A pair that meets in
-        several buckets is left to the first of them."""
-        m, c = members.alias("m"), centres.alias("c")
-        both = F.array_intersect("m.bands", "c.bands")
-        either = (~F.col("m.is_centre")) | (F.col("m.uid") < F.col("c.uid"))
-        return m.join(c, (F.col("m.h") == F.col("c.h"))
-                      & (F.col("m.label") != F.col("c.label")) & either
-                      & _similar_sizes("m.n", "c.n")
-                      & (F.array_min(both) == F.col("m.h"))).select(
-            F.col("m.uid").alias("a"), F.col("c.uid").alias("b"))
-
-    done, links, known, width = None, None, None, 1
+        return written(p.mapInArrow(_verify(False), _PAIR).drop("rest")
+                       .join(n, "a").join(n_b, "b"), "pairs")
+
+    def with_hubs(live: DataFrame) -> DataFrame:
+        """Overlap with the star's hub instead of its centre, and the rest."""
+        first = Window.partitionBy("b").orderBy(F.desc("rank"), "a")
+        some = live.select("a", "b").join(
+            nodes.select(F.col("uid").alias("a"), "rank"), "a").withColumn(
+            "r", F.row_number().over(first)).filter(F.col("r") <= HUB)
+        some = some.select("a", "b").union(
+            some.select(F.col("b").alias("a"), "b").distinct())
+        # at most HUB + 1 texts
+        hubs = some.join(texts.toDF("a", "text"), "a").groupBy("b").agg(
+            F.concat_ws("\n", F.collect_list("text")).alias("text_b"))
+        p = live.select("a", "b").join(texts.toDF("a", "text_a"), "a").join(
+            hubs, "b").select("a", "b", "text_a", "text_b")
+        return written(p.mapInArrow(_verify(True), _PAIR), "rests").join(
+            live.select("a", "b", "n", "label", "alone"), ["a", "b"])
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        return pairs.filter(_similar("both", "n", "n_b")).select("a", "b")
+
+    buckets = shared.select("h", "uid")
+    links, used, enough = None, None, FEW
     while True:
-        left = shared
-        if done is not None:
-            left = left.join(done, ["h", "uid"], "left_anti")
-        if known is not None:
-            left = left.join(known, "uid", "left")
-        else:
-            left = left.withColumn("label", F.lit(None).cast("long"))
-        left = left.withColumn("label", F.coalesce("label", "uid"))
-        # buckets whose members carry more than one label
-        mixed = left.groupBy("h").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
-            "lo < hi").select("h")
-        w = Window.partitionBy("h").orderBy(F.desc("rank"), "uid")
-        left = left.join(mixed, "h")
-        best = left.select("h", "uid", "rank").withColumn(
-            "r", F.row_number().over(w)).filter(F.col("r") <= width).select(
-            "h", "uid", F.lit(True).alias("is_centre"))
-        left = written(left.drop("rank").join(best, ["h", "uid"], "left")
-                       .withColumn("is_centre", F.coalesce(
-                           "is_centre", F.lit(False))), "left")
-        if left.isEmpty():
+        ranked = buckets.join(nodes.select("uid", "rank"), "uid")
+        if used is not None:
+            ranked = ranked.join(used, "uid", "left_anti")
+        centres = written(ranked.groupBy("h").agg(
+            F.max(F.struct("rank", (-F.col("uid")).alias("neg"))).alias("top"))
+            .select("h", (-F.col("top.neg")).alias("b")), "centres")
+        stars = compared(buckets.join(centres, "h").filter("uid <> b").select(
+            F.col("uid").alias("a"), "b").distinct())
+        # buckets of which every class has been a centre before
+        stuck = buckets.join(centres, "h", "left_anti")
+        pairs = stuck.toDF("h", "a").join(stuck.toDF("h", "b"), "h").filter(
+            "a < b").select("a", "b")
+        links = similar(stars) if links is None else links.union(
+            similar(stars))
+        label = written(_labels(links), "labels").select(
+            F.col("uid").alias("a"), "label")
+        live = written(_undecided(stars.join(label, "a", "left").withColumn(
+            "label", F.coalesce("label", "a"))), "live")
+        finer = written(_refined(with_hubs(live)), "finer")
+        few = finer.filter(F.col("seekers") <= enough)
+        x, y = few.filter("seeks").alias("x"), few.alias("y")
+        direct = x.join(y, (F.col("x.h") == F.col("y.h"))
+                        & (F.col("x.label") != F.col("y.label"))
+                        & ((F.col("x.a") < F.col("y.a")) | ~F.col("y.seeks"))
+                        & _may_be_similar("x", "y")).select(F.least("x.a", "y.a").alias("a"),
+                                 F.greatest("x.a", "y.a").alias("b"))
+        links = links.union(similar(compared(
+            direct.union(pairs).distinct())))
+        buckets = finer.filter(F.col("seekers") > enough).select(
+            "h", F.col("a").alias("uid"))
+        if buckets.isEmpty():
             return components(links)
-        centres = left.filter("is_centre")
-        mine = centres.select("h", "uid")
-        done = written(mine if done is None else done.union(mine), "done")
-        found = compared(pairs_with(left, centres))
-        if links is None:
-            links = found
-        elif found.isEmpty():
-            width *= WIDER
-            continue
-        else:
-            links = links.union(found)
-        known = written(_labels(links), "labels")
-        width *= WIDER
+        mine = centres.select(F.col("b").alias("uid")).distinct()
+        used = written(mine if used is None else used.union(mine).distinct(),
+                       "used")
+        enough *= MORE
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id",
