@@ -8,7 +8,8 @@ any token compatible with the one before it.  Its subset construction is
 made lazily: a state is the set of live hypotheses (tokens not yet emitted,
 trie node); tokens on which all hypotheses agree are emitted at once, so
 the lookahead is bounded by the longest token.  States and transitions are
-built when first needed and kept in a bounded table.
+built when first needed and kept in a bounded table; the states met first, near
+the root, are the ones that stay.
 
 Decoding.  Bytes of the ids run through an incremental UTF-8 state machine;
 its effect is kept per (state, id), and an id that is whole characters in
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,9 +37,9 @@ from textflow.llm.words import chunk_runs
 
 _INF = 1 << 60
 ROOT = 0
-# bounds of a worker's tables; beyond them a table starts anew, which costs
-# time and changes no result
-MAX_STATES, MAX_PAIRS, MAX_EDGES, MAX_PIECES = 30_000, 150_000, 40_000, 50_000
+# bounds of a worker's tables; a full table is kept as it is, and what it lacks
+# is worked out each time, which costs time and changes no result
+MAX_STATES, MAX_PAIRS = 100_000, 400_000
 
 
 class Merges:
@@ -48,7 +50,8 @@ class Merges:
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for b, i in ranks.items():
             self.bytes_of[i] = b
-        self._spine: dict[tuple[int, bool], list[tuple[bytes, int]]] = {}
+        # the two tokens that each token is merged from; -1: not known yet
+        self._halves = array("i", [-1]) * (2 * len(self.bytes_of))
         self._fits: dict[int, bool] = {}
 
     def merge(self, piece: bytes, stop: int = 1) -> list[bytes]:
@@ -65,23 +68,21 @@ class Merges:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _edge(self, token: int, right: bool) -> list[tuple[bytes, int]]:
-        """From the outermost byte inwards: each part on that edge of the
-        token's merge tree with the rank of the merge that absorbs it."""
-        found = self._spine.get((token, right))
-        if found is None:
-            part, found, above = self.bytes_of[token], [], _INF
-            while True:
-                found.append((part, above))
-                if len(part) == 1:
-                    break
-                above = self.ranks[part]
-                halves = self.merge(part, 2)
-                part = halves[-1] if right else halves[0]
-            found.reverse()
-            if len(self._spine) > MAX_EDGES:
-                self._spine.clear()
-            self._spine[token, right] = found
+    def _edge(self, token: int, right: bool) -> list[int]:
+        """Tokens on that edge of the token's merge tree, from the outermost
+        byte inwards; each is absorbed by the merge that makes the next."""
+        at, found, halves = token, [], self._halves
+        while True:
+            found.append(at)
+            body = self.bytes_of[at]
+            if len(body) == 1:
+                break
+            if halves[2 * at] < 0:
+                parts = self.merge(body, 2)
+                halves[2 * at] = self.ranks[parts[0]]
+                halves[2 * at + 1] = self.ranks[parts[-1]]
+            at = halves[2 * at + 1 if right else 2 * at]
+        found.reverse()
         return found
 
     def compatible(self, left: int, right: int) -> bool:
@@ -91,10 +92,14 @@ class Merges:
         if known is not None:
             return known
         a, b = self._edge(left, True), self._edge(right, False)
+        text, ranks = self.bytes_of, self.ranks
         i = j = 0
+        last_i, last_j = len(a) - 1, len(b) - 1
         while True:
-            (x, up_x), (y, up_y) = a[i], b[j]
-            across = self.ranks.get(x + y, _INF)
+            # a token's id is its rank: the merge that makes it
+            up_x = a[i + 1] if i < last_i else _INF
+            up_y = b[j + 1] if j < last_j else _INF
+            across = ranks.get(text[a[i]] + text[b[j]], _INF)
             # of equal ranks the leftmost pair is merged first
             if across < up_x and across <= up_y and across < _INF:
                 fits = False
@@ -106,9 +111,8 @@ class Merges:
                 i += 1
             else:
                 j += 1
-        if len(self._fits) > MAX_PAIRS:
-            self._fits.clear()
-        self._fits[key] = fits
+        if len(self._fits) < MAX_PAIRS:
+            self._fits[key] = fits
         return fits
 
 
@@ -130,18 +134,17 @@ class Transducer:
                     self._token.append(-1)
                 node = nxt
             self._token[node] = i
-        self._reset()
-
-    def _reset(self) -> None:
         # a state: (last emitted token or -1, ((pending tokens, node), ...))
         first = (-1, (((), ROOT),))
         self._states = [first]
         self._number = {first: 0}
-        self._next: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        # state << 8 | byte -> (next state, tokens emitted)
+        self._next: dict[int, tuple[int, tuple[int, ...]]] = {}
 
     def _step(self, state, byte: int):
         last, hypotheses = state
         child, token = self._child, self._token
+        compatible = self.merges.compatible
         live = []
         for pending, node in hypotheses:
             nxt = child[node].get(byte)
@@ -152,21 +155,34 @@ class Transducer:
             t = token[nxt]
             if t >= 0:
                 before = pending[-1] if pending else last
-                if before < 0 or self.merges.compatible(before, t):
+                if before < 0 or compatible(before, t):
                     live.append((pending + (t,), ROOT))
-        n, first = 0, live[0][0]
-        for n, t in enumerate(first):
-            if any(len(p) <= n or p[n] != t for p, _ in live):
-                break
+        first = live[0][0]
+        if len(live) == 1:
+            out, live = first, [((), live[0][1])]
         else:
-            n = len(first)
-        out = first[:n]
-        if n:
+            n = 0
+            for n, t in enumerate(first):   # noqa: B007
+                for p, _ in live:
+                    if len(p) <= n or p[n] != t:
+                        break
+                else:
+                    continue
+                break
+            else:
+                n = len(first)
+            out = first[:n]
+            if n:
+                live = [(p[n:], node) for p, node in live]
+        if out:
             last = out[-1]
-            live = [(p[n:], node) for p, node in live]
-        if all(p for p, _ in live):
+        for p, _ in live:
+            if not p:
+                break
+        else:
             last = -1           # no longer looked at
-        return (last, tuple(sorted(live))), out
+        live.sort()
+        return (last, tuple(live)), out
 
     def encode(self, piece: bytes) -> list[int]:
         """Token ids of one pre-token."""
@@ -174,28 +190,26 @@ class Transducer:
         if whole is not None:
             return [whole]
         out: list[int] = []
-        s = 0
+        s, state, follow = 0, None, self._next
         for byte in piece:
-            go = self._next[s].get(byte)
-            if go is None:
-                state, emitted = self._step(self._states[s], byte)
-                if len(self._states) >= self.limit:
-                    self._reset()
-                    self._states.append(state)
-                    self._number[state] = 1
-                    self._next.append({})
-                    out += emitted
-                    s = 1
+            if s >= 0:
+                go = follow.get(s << 8 | byte)
+                if go is not None:
+                    s = go[0]
+                    if go[1]:
+                        out += go[1]
                     continue
-                to = self._number.get(state)
-                if to is None:
-                    to = self._number[state] = len(self._states)
-                    self._states.append(state)
-                    self._next.append({})
-                go = self._next[s][byte] = (to, emitted)
-            s = go[0]
-            out += go[1]
-        for pending, node in self._states[s][1]:
+                state = self._states[s]
+            state, emitted = self._step(state, byte)
+            out += emitted
+            to = self._number.get(state, -1)
+            if to < 0 and len(self._states) < self.limit:
+                to = self._number[state] = len(self._states)
+                self._states.append(state)
+            if s >= 0 and to >= 0:
+                follow[s << 8 | byte] = to, emitted
+            s = to              # -1: a state that found no room
+        for pending, node in (self._states[s] if s >= 0 else state)[1]:
             if node == ROOT:
                 out += pending
         return out
@@ -281,19 +295,13 @@ def load_ranks(path: str) -> dict[bytes, int]:
 def _codec(path: str, pattern: str):
     fst = Transducer(load_ranks(path))
     split = regex.compile(pattern)
-    known: dict[str, list[int]] = {}
 
     def encode(chunks: list[bytes]) -> list[list[int]]:
-        if len(known) > MAX_PIECES:
-            known.clear()
         out = []
         for c in chunks:
             ids: list[int] = []
             for piece in split.findall(c.decode("utf-8")):
-                got = known.get(piece)
-                if got is None:
-                    got = known[piece] = fst.encode(piece.encode("utf-8"))
-                ids += got
+                ids += fst.encode(piece.encode("utf-8"))
             out.append(ids)
         return out
 
