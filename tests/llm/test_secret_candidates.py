@@ -1,6 +1,8 @@
 """Credentials of any form of the labelled ones, wherever they stand."""
 
 import random
+import time
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -63,3 +65,50 @@ def test_overlaps():
     found = [(0, 8, "a"), (0, 3, "b"), (6, 9, "c"), (9, 11, "d"),
              (20, 26, "e"), (27, 33, "f")]
     assert [v for *_, v in secrets._outside(found, base)] == ["a", "e", "f"]
+
+
+def _grammars(words, lo, hi):
+    g = secrets.Grammars({"assign": words}, Counter("".join(words)))
+    g.limit("assign", min(x for x in (g.score("assign", w) for w in words)
+                          if x > float("-inf")), lo, hi)
+    return g
+
+
+def test_walks_find_what_scoring_every_piece_finds():
+    rnd = random.Random(6)
+    g = _grammars([_word(rnd, rnd.randint(6, 14), "abC0/.") for _ in range(
+        80)], 6, 14)
+    least, lo, hi = g.limits["assign"]
+    for _ in range(40):
+        run = _word(rnd, rnd.randint(0, 120), "abC0/.=z")
+        cuts = [i for i, c in enumerate(run) if c in secrets.PIECE_ENDS]
+        want = sorted({
+            (s, e) for s in [0, *(i + 1 for i in cuts)]
+            for e in [*cuts, len(run)]
+            if lo <= e - s <= hi and g.score("assign", run[s:e]) >= least})
+        assert g.secrets(run) == want
+        taken = [(3, 9), (40, 41)]
+        whole = [(s, e, run[s:e]) for s, e in want]
+        assert g.longest_secrets(run, taken) == [
+            f[:2] for f in secrets._outside(whole, [
+                ("hex", s, e, "") for s, e in taken])]
+
+
+def test_long_runs_beside_a_long_label():
+    rnd = random.Random(7)
+    words = [_word(rnd, 20, "abcdef0123456789") for _ in range(200)]
+    words += ["xy/" * 666 + "xy"]
+    g = _grammars(words, 20, 2000)
+    begin = time.time()
+    assert g.longest_secrets("xy/" * 33_333, [])
+    assert time.time() - begin < 20
+    found = [(3 * i, 3 * i + 30, "v") for i in range(30_000)]
+    assert len(secrets._outside(found, [("assign", 0, 5, "v")])) == 3_000
+    assert time.time() - begin < 25
+
+
+def test_outside_looks_at_base_spans_that_touch():
+    base = [("assign", 40, 60, "v")]
+    found = [(0, 10, "a"), (0, 45, "b"), (5, 12, "c"), (59, 70, "d"),
+             (60, 70, "e")]
+    assert secrets._outside(found, base) == [(0, 10, "a"), (60, 70, "e")]

@@ -15,9 +15,10 @@ where some have none.
 Search.  Documents with the same words are one class from the start.  The
 classes' signatures are cut into bands; in every bucket of classes that agree
 on a band, all are compared with the bucket's *centre* -- the class that shares
-bands with most others -- by the exact overlap of the multisets.  Classes that
-are left alone by this are compared with the star's *hub*, the multiset sum of
-the centre and a few more members: it holds nearly all that the star's classes
+bands with most others -- by the exact overlap of the multisets.  Where this
+leaves classes *alone*, not connected to their centre, the star -- all stars
+whose centres are connected count as one -- is compared with its *hub*, the
+multiset sum of a centre and a few more members: it holds nearly all that the star's classes
 have in common, also where the original that they copy is lost.  What a class
 has in common with the hub h is known then, and so is its *rest*, the shingles
 that the hub lacks.  Whatever h is, classes x and y overlap by at most
@@ -378,13 +379,14 @@ def _size_class(n):
 
 
 def _undecided(stars: DataFrame) -> DataFrame:
-    """The stars (a, b, n, n_b, both, label) whose members are not known to be
-    connected, some not being similar to their centre: these are ``alone``."""
-    stars = stars.withColumn("alone", ~_similar("both", "n", "n_b"))
-    mixed = stars.groupBy("b").agg(
-        F.max("alone").alias("seek"), F.min("label").alias("lo"),
-        F.max("label").alias("hi")).filter("seek and lo < hi").select("b")
-    return stars.join(mixed, "b", "left_semi")
+    """``a, b, n, label, alone``: the stars (a, n, label, label_b) united by
+    the label of their centre, now ``b``, where some member is ``alone``, not
+    known to be connected to it."""
+    united = stars.select(
+        "a", F.col("label_b").alias("b"), "n", "label",
+        (F.col("label") != F.col("label_b")).alias("alone")).distinct()
+    mixed = united.filter("alone").select("b").distinct()
+    return united.join(mixed, "b", "left_semi")
 
 
 def _refined(live: DataFrame) -> DataFrame:
@@ -423,8 +425,10 @@ def _refined(live: DataFrame) -> DataFrame:
         F.lit(1).alias("kind"))
     # what their rests may add to the common part
     rows = by_rest.withColumn("more", F.col("n") - F.col("both")).union(
-        by_size.withColumn("more", F.lit(0).cast("long"))).withColumn(
-        "h", F.xxhash64("b", "value", "kind"))
+        by_size.withColumn("more", F.lit(0).cast("long")))
+    rows = written(rows.select(
+        F.xxhash64("b", "value", "kind").alias("h"), "a", "n", "both", "more",
+        "label", "seeks"), "parts")
     useful = rows.groupBy("h").agg(
         F.sum(F.col("seeks").cast("int")).alias("seekers"),
         F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
@@ -501,8 +505,11 @@ def find_links(signed: DataFrame, text_col: str) -> DataFrame | None:
             similar(stars))
         label = written(_labels(links), "labels").select(
             F.col("uid").alias("a"), "label")
-        live = written(_undecided(stars.join(label, "a", "left").withColumn(
-            "label", F.coalesce("label", "a"))), "live")
+        named = stars.join(label, "a", "left").join(
+            label.toDF("b", "label_b"), "b", "left")
+        live = written(_undecided(named.withColumn(
+            "label", F.coalesce("label", "a")).withColumn(
+            "label_b", F.coalesce("label_b", "b"))), "live")
         finer = written(_refined(with_hubs(live)), "finer")
         few = finer.filter(F.col("seekers") <= enough)
         x, y = few.filter("seeks").alias("x"), few.alias("y")

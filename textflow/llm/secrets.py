@@ -27,8 +27,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -176,6 +178,25 @@ class Automaton:
             return None
         return out + math.log(self.ends[s] / self._total(s))
 
+    def tables(self, symbols: list[str], background: list[float]
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Next state (-1: no move) and log-likelihood ratio to the background
+        of each state and symbol; log-probability of ending in each state."""
+        n = len(self.next)
+        go = np.full((n, len(symbols)), -1, np.int32)
+        gain = np.zeros((n, len(symbols)))
+        end = np.full(n, -math.inf)
+        for s in range(n):
+            total = self._total(s)
+            for k, c in enumerate(symbols):
+                if c in self.next[s]:
+                    go[s, k] = self.next[s][c]
+                    gain[s, k] = math.log((1 - SMOOTH) * self.moves[s][c]
+                                          / total) - background[k]
+            if self.ends[s]:
+                end[s] = math.log(self.ends[s] / total)
+        return go, gain, end
+
 
 class Grammars:
     """One automaton of each kind; once ``limit`` is called, also its least
@@ -186,11 +207,20 @@ class Grammars:
         symbols = Counter()
         for c, n in background.items():
             symbols[_symbol(c)] += n
-        self._total = sum(symbols.values()) + 70.0
-        self._symbols = symbols
+        total = sum(symbols.values()) + 70.0
+        names = sorted({_symbol(c) for c in _IN_ALPHABET})
+        back = [math.log((symbols[c] + 1.0) / total) for c in names]
+        #: character -> number of its symbol
+        self._code = np.zeros(128, np.int64)
+        for c in _IN_ALPHABET:
+            self._code[ord(c)] = names.index(_symbol(c))
         self.automata = {kind: Automaton(words)
                          for kind, words in labelled.items()
                          if len(words) >= MIN_LABELLED}
+        self._tables = {kind: a.tables(names, back)
+                        for kind, a in self.automata.items()}
+        self._lists = {kind: [t.tolist() for t in tables]
+                       for kind, tables in self._tables.items()}
         self.limits: dict[str, tuple[float, int, int]] = {}
 
     def limit(self, kind: str, least: float, lo: int, hi: int) -> None:
@@ -201,35 +231,116 @@ class Grammars:
         """No secret is shorter."""
         return max(ASSIGN_MIN, min(lo for _, lo, _ in self.limits.values()))
 
-    def _background(self, symbol: str) -> float:
-        return math.log((self._symbols[symbol] + 1.0) / self._total)
+    def _codes(self, run: str) -> np.ndarray:
+        return self._code[np.frombuffer(run.encode("ascii"), np.uint8)]
 
     def score(self, kind: str, word: str) -> float:
-        """Log-likelihood ratio per character."""
-        p = self.automata[kind].log_likelihood(word)
-        if p is None:
-            return -math.inf
-        return (p - sum(self._background(_symbol(c)) for c in word)
-                ) / len(word)
+        """Log-likelihood ratio per character; -inf if the automaton has no
+        path for the word."""
+        go, gain, end = self._lists[kind]
+        s, out = 0, 0.0
+        for k in self._codes(word).tolist():
+            out += gain[s][k]
+            s = go[s][k]
+            if s < 0:
+                return -math.inf
+        return (out + end[s]) / len(word)
 
     def secrets(self, run: str) -> list[tuple[int, int]]:
-        """Every piece of a run, itself included, that is a secret."""
-        ends = [i for i, c in enumerate(run) if c in PIECE_ENDS]
-        starts, ends = [0, *[i + 1 for i in ends]], [*ends, len(run)]
-        out = set()
-        for kind, (least, lo, hi) in self.limits.items():
-            lo = max(lo, ASSIGN_MIN)
-            first = 0
-            for s in starts:
-                while first < len(ends) and ends[first] < s + lo:
-                    first += 1
-                for e in ends[first:first + hi - lo + 1]:
-                    if e - s > hi:
-                        break
-                    if self.score(kind, run[s:e]) >= least:
-                        out.add((s, e))
+        """Every piece of a run, itself included, that is a secret.
+
+        An automaton is walked once from the start of each piece, as far as it
+        has moves and no further than its longest label, so the work is at
+        most the run's length times that of the longest label."""
+        starts, ends = self._pieces(run)
+        codes, out = self._codes(run), set()
+        for kind in self.limits:
+            out.update(self._one_by_one(kind, codes.tolist(), starts, ends))
+        return sorted(out)
+
+    @staticmethod
+    def _pieces(run: str) -> tuple[list[int], set[int]]:
+        ends = {i for i, c in enumerate(run) if c in PIECE_ENDS}
+        return [0, *sorted(i + 1 for i in ends)], ends | {len(run)}
+
+    def longest_secrets(self, run: str, taken: list[tuple[int, int]]
+                        ) -> list[tuple[int, int]]:
+        """Of ``secrets`` those that touch no taken span, and of overlapping
+        ones the longest, then the first; for runs of very many pieces."""
+        starts, ends = self._pieces(run)
+        free = np.zeros(len(run) + 1, np.int64)
+        for s, e in taken:
+            free[max(s, 0):max(min(e, len(run)), 0)] = 1
+        by_length: dict[int, list[np.ndarray]] = {}
+        upto = np.concatenate([[0], np.cumsum(free)])
+        for kind in self.limits:
+            for n, at in self._side_by_side(kind, self._codes(run), starts,
+                                            ends):
+                at = at[upto[at + n] == upto[at]]
+                if len(at):
+                    by_length.setdefault(n, []).append(at.astype(np.int32))
+        out: list[tuple[int, int]] = []
+        for n in sorted(by_length, reverse=True):
+            at = np.unique(np.concatenate(by_length[n]))
+            at = at[upto[at + n] == upto[at]]
+            i = 0
+            while i < len(at):
+                s = int(at[i])
+                out.append((s, s + n))
+                free[s:s + n] = 1
+                i = int(np.searchsorted(at, s + n))
+            if len(at):
+                np.cumsum(free, out=upto[1:])
         return sorted(out)
 
+    def _one_by_one(self, kind: str, codes: list[int], starts: list[int],
+                    ends: set[int]) -> Iterator[tuple[int, int]]:
+        go, gain, end = self._lists[kind]
+        least, lo, hi = self.limits[kind]
+        lo = max(lo, ASSIGN_MIN)
+        for start in starts:
+            s, out = 0, 0.0
+            for i in range(start, min(len(codes), start + hi)):
+                k = codes[i]
+                out += gain[s][k]
+                s = go[s][k]
+                if s < 0:
+                    break
+                n = i + 1 - start
+                if n >= lo and i + 1 in ends and (out + end[s]) / n >= least:
+                    yield start, i + 1
+
+    def _side_by_side(self, kind: str, codes: np.ndarray, starts: list[int],
+                      ends: set[int]) -> Iterator[tuple[int, np.ndarray]]:
+        """(length, starts) of the finds."""
+        go, gain, end = self._tables[kind]
+        least, lo, hi = self.limits[kind]
+        lo = max(lo, ASSIGN_MIN)
+        is_end = np.zeros(len(codes) + 1, bool)
+        is_end[list(ends)] = True
+        start = np.array(starts)
+        s, out = np.zeros(len(start), np.int64), np.zeros(len(start))
+        for n in range(1, hi + 1):
+            at = start + (n - 1)
+            inside = at < len(codes)
+            if not inside.all():
+                start, s, out, at = (x[inside] for x in (start, s, out, at))
+            k = codes[at]
+            out = out + gain[s, k]
+            s = go[s, k]
+            alive = s >= 0
+            if not alive.all():
+                start, s, out = start[alive], s[alive], out[alive]
+            if not len(start):
+                return
+            if n >= lo:
+                found = is_end[start + n] & ((out + end[s]) / n >= least)
+                if found.any():
+                    yield n, start[found]
+
+
+MANY_PIECES = 64        # runs of more pieces are not listed piece by piece
+
 
 SPAN = (T.StructType().add("kind", T.StringType())
         .add("start", T.LongType()).add("end", T.LongType())
@@ -275,21 +386,31 @@ def _label(like: pa.Schema):
 
 
 def _found(g: Grammars, run: re.Pattern, text: str, plain: set[str],
-           secret: dict[str, list[tuple[int, int]]]
+           secret: dict[str, list[tuple[int, int]]],
+           base: list[tuple[str, int, int, str]]
            ) -> list[tuple[int, int, str]]:
     """Secrets of a text; ``plain`` and ``secret`` are known runs."""
     runs = set(run.findall(text))
-    for r in runs - plain:
+    many = {r for r in runs - plain if len(r) > MANY_PIECES
+            and sum(map(r.count, PIECE_ENDS)) > MANY_PIECES}
+    for r in runs - plain - many:
         if r not in secret:
             pieces = g.secrets(r)
             if pieces:
                 secret[r] = pieces
             elif len(plain) < MEMO and len(r) < 200:
                 plain.add(r)
-    if runs.isdisjoint(secret):
+    if runs.isdisjoint(secret) and not many:
         return []
-    return [(m.start() + s, m.start() + e, m[0][s:e])
-            for m in run.finditer(text) for s, e in secret.get(m[0], ())]
+    out = []
+    for m in run.finditer(text):
+        at = m.start()
+        found = secret.get(m[0], ()) if m[0] not in many else \
+            g.longest_secrets(m[0], [
+                (s - at, e - at) for _, s, e, _ in base
+                if e > at and s < m.end()])
+        out += [(at + s, at + e, m[0][s:e]) for s, e in found]
+    return out
 
 
 def _outside(found: list[tuple[int, int, str]],
@@ -297,33 +418,17 @@ def _outside(found: list[tuple[int, int, str]],
              ) -> list[tuple[int, int, str]]:
     """Those that touch no base span and no longer one of their own."""
     taken = sorted((s, e) for _, s, e, _ in base)
-    free, i, reach = [], 0, 0
-    for f in sorted(found):
-        while i < len(taken) and taken[i][0] < f[1]:
-            reach = max(reach, taken[i][1])
-            i += 1
-        # of the spans that begin before f ends, the last ones first
-        if reach <= f[0] or not any(f[0] < taken[j][1]
-                                    for j in range(i - 1, -1, -1)):
-            free.append(f)
+    begins = [s for s, _ in taken]
+    reach = [0, *accumulate((e for _, e in taken), max)]
+    free = [f for f in sorted(found)
+            if reach[bisect_left(begins, f[1])] <= f[0]]
+    # of overlapping finds the longest, then the first
     out: list[tuple[int, int, str]] = []
-    group: list[tuple[int, int, str]] = []
-    end = 0
-
-    def close() -> None:
-        chosen: list[tuple[int, int, str]] = []
-        for f in sorted(group, key=lambda f: (f[0] - f[1], f[0])):
-            if all(f[1] <= s or e <= f[0] for s, e, _ in chosen):
-                chosen.append(f)
-        out.extend(sorted(chosen))
-        group.clear()
-
-    for f in free:
-        if f[0] >= end:
-            close()
-        group.append(f)
-        end = max(end, f[1])
-    close()
+    for f in sorted(free, key=lambda f: (f[0] - f[1], f[0])):
+        at = bisect_left(out, f)
+        if (at == 0 or out[at - 1][1] <= f[0]) and (
+                at == len(out) or f[1] <= out[at][0]):
+            out.insert(at, f)
     return out
 
 
@@ -348,7 +453,7 @@ def _judge(grammars, like: pa.Schema):
                     if len(secret) > MEMO:
                         secret.clear()
                     more = _outside(_found(g, pattern, texts[i].as_py(),
-                                           plain, secret), base)
+                                           plain, secret, base), base)
                 kinds = Counter(s[0] for s in base)
                 every = sorted(base + [(INFERRED, *m) for m in more],
                                key=lambda s: (s[1], order[s[0]]))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _R = np.uint64(0x9E3779B97F4A7C15)          # odd, so invertible mod 2**64
 _R_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
