@@ -48,7 +48,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -253,6 +253,7 @@ def _bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 
 _PAIR = T.StructType([
     T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
+    T.StructField("n", T.LongType()), T.StructField("n_b", T.LongType()),
     T.StructField("both", T.LongType()),
     T.StructField("rest", T.ArrayType(T.LongType()))])
 _SLICE = 256
@@ -270,10 +271,10 @@ def rest_of(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
 
 
 def _verify(with_rest: bool):
-    """(a, b, text_a, text_b) -> (a, b, both, rest): their overlap, and the
-    rest of ``a``."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()),
-                        ("both", pa.int64()), ("rest", pa.list_(pa.int64()))])
+    """(a, b, n, n_b, text_a, text_b) -> (a, b, n, n_b, both, rest): their
+    overlap, and the rest of ``a``."""
+    schema = pa.schema([*((c, pa.int64()) for c in (
+        "a", "b", "n", "n_b", "both")), ("rest", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, centre_bag = None, None
@@ -281,10 +282,10 @@ def _verify(with_rest: bool):
             for lo in range(0, whole.num_rows, _SLICE):
                 b = whole.slice(lo, _SLICE)
                 ids_b = b.column(1).to_pylist()
-                bags = _bags(b.column(2))
+                bags = _bags(b.column(4))
                 new = [i for i, x in enumerate(ids_b)
                        if x != (ids_b[i - 1] if i else centre)]
-                fresh = iter(_bags(b.column(3).take(pa.array(new,
+                fresh = iter(_bags(b.column(5).take(pa.array(new,
                                                              pa.int64()))))
                 start = set(new)
                 both, rest = [], []
@@ -295,7 +296,7 @@ def _verify(with_rest: bool):
                     rest.append(rest_of(bag, centre_bag).view(np.int64)
                                 if with_rest else None)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(both, pa.int64()),
+                    [*b.columns[:4], pa.array(both, pa.int64()),
                      pa.array(rest, pa.list_(pa.int64()))], schema=schema)
 
     return run
@@ -368,7 +369,7 @@ def _labels(links: DataFrame) -> DataFrame:
         F.col("u").alias("uid"), F.least("m", "u").alias("label"))
 
 
-FEW, MORE = 64, 64       # so many may look for partners in a bucket directly,
+FEW, MORE = 256, 16      # so many may look for partners in a bucket directly,
 #                         and how many times as many in each further round
 SIZE_STEP = 1.05        # ratio of the size classes
 HUB = 5                 # members of a star in its hub, besides the centre
@@ -379,11 +380,11 @@ def _size_class(n):
 
 
 def _undecided(stars: DataFrame) -> DataFrame:
-    """``a, b, n, label, alone``: the stars (a, n, label, label_b) united by
+    """``a, b, n, rank, label, alone``: the stars (with label_b) united by
     the label of their centre, now ``b``, where some member is ``alone``, not
     known to be connected to it."""
     united = stars.select(
-        "a", F.col("label_b").alias("b"), "n", "label",
+        "a", F.col("label_b").alias("b"), "n", "rank", "label",
         (F.col("label") != F.col("label_b")).alias("alone")).distinct()
     mixed = united.filter("alone").select("b").distinct()
     return united.join(mixed, "b", "left_semi")
@@ -398,13 +399,27 @@ def _refined(live: DataFrame) -> DataFrame:
     cols = ["b", "a", "n", "both", "label"]
     whole = SIMILAR_DEN + SIMILAR_NUM
     # a pair has an alone member, and needs so many hashes common to its
-    # rests; of sets that share r elements the least |set| - r + 1 share one
-    star = live.groupBy("b").agg(
-        F.min("n").alias("n_lo"),
-        F.max(F.when(F.col("alone"), F.col("both"))).alias("most"))
+    # rests; of sets that share r elements the least |set| - r + 1 share one.
+    # What is needed follows from the partners' sizes, by class, and the most
+    # that one of a class has in common with the hub (a bounded list)
+    star = live.groupBy("b", _size_class(F.col("n")).alias("c")).agg(
+        F.max("both").alias("any"),
+        F.max(F.when(F.col("alone"), F.col("both"))).alias("only")).groupBy(
+        "b").agg(F.collect_list(F.struct("c", "any", "only")).alias("sizes"))
     shortest = F.ceil(F.col("n") * SIMILAR_NUM / SIMILAR_DEN)
-    need = F.ceil((F.col("n") + F.greatest("n_lo", shortest)) * SIMILAR_NUM
-                  / whole) - F.least("both", "most")
+    tallest = F.floor(F.col("n") * SIMILAR_DEN / SIMILAR_NUM)
+
+    def needed(c: Column) -> Column:
+        least = F.floor(F.pow(F.lit(SIZE_STEP), c["c"]) * 0.999)
+        most = F.when(F.col("alone"), c["any"]).otherwise(c["only"])
+        return F.ceil((F.col("n") + F.greatest(least, shortest))
+                      * SIMILAR_NUM / whole) - F.least("both", most)
+
+    partners = F.filter("sizes", lambda c: c["c"].between(
+        _size_class(shortest) - 1, _size_class(tallest) + 1) & (
+        F.col("alone") | c["only"].isNotNull()))
+    need = F.coalesce(F.array_min(F.transform(partners, needed)),
+                      F.size("rest") + 1)       # none: no partner at all
     first = F.slice("rest", 1, F.greatest(F.size("rest") + 1 - F.greatest(
         need, F.lit(1)), F.lit(0)).cast("int"))
     by_rest = live.join(star, "b").select(
@@ -454,34 +469,34 @@ def find_links(signed: DataFrame, text_col: str) -> DataFrame | None:
                     .join(reps.select("uid", "n"), "uid"), "nodes")
     texts = written(signed.select(
         "uid", F.col("row").getField(text_col).alias("text")).join(
-        nodes.select("uid"), "uid", "left_semi"), "texts")
-
-    n = nodes.select(F.col("uid").alias("a"), "n")
-    n_b = nodes.select(F.col("uid").alias("b"), F.col("n").alias("n_b"))
+        nodes, "uid"), "texts")
+    text_a = texts.select(F.col("uid").alias("a"), "n",
+                          F.col("text").alias("text_a"))
+    text_b = texts.select(F.col("uid").alias("b"), F.col("n").alias("n_b"),
+                          F.col("text").alias("text_b"))
+    columns = ["a", "b", "n", "n_b", "text_a", "text_b"]
 
     def compared(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) with their overlap and sizes."""
-        p = (pairs.join(texts.toDF("a", "text_a"), "a")
-             .join(texts.toDF("b", "text_b"), "b")
-             .select("a", "b", "text_a", "text_b"))
-        return written(p.mapInArrow(_verify(False), _PAIR).drop("rest")
-                       .join(n, "a").join(n_b, "b"), "pairs")
+        p = pairs.join(text_a, "a").join(text_b, "b").select(*columns)
+        return written(p.mapInArrow(_verify(False), _PAIR).drop("rest"),
+                       "pairs")
 
     def with_hubs(live: DataFrame) -> DataFrame:
-        """Overlap with the star's hub instead of its centre, and the rest."""
+        """Overlap with the star's hub, and the rest."""
         first = Window.partitionBy("b").orderBy(F.desc("rank"), "a")
-        some = live.select("a", "b").join(
-            nodes.select(F.col("uid").alias("a"), "rank"), "a").withColumn(
+        some = live.select("a", "b", "rank").withColumn(
             "r", F.row_number().over(first)).filter(F.col("r") <= HUB)
         some = some.select("a", "b").union(
             some.select(F.col("b").alias("a"), "b").distinct())
         # at most HUB + 1 texts
-        hubs = some.join(texts.toDF("a", "text"), "a").groupBy("b").agg(
-            F.concat_ws("\n", F.collect_list("text")).alias("text_b"))
-        p = live.select("a", "b").join(texts.toDF("a", "text_a"), "a").join(
-            hubs, "b").select("a", "b", "text_a", "text_b")
-        return written(p.mapInArrow(_verify(True), _PAIR), "rests").join(
-            live.select("a", "b", "n", "label", "alone"), ["a", "b"])
+        hubs = some.join(text_a, "a").groupBy("b").agg(
+            F.concat_ws("\n", F.collect_list("text_a")).alias("text_b"))
+        p = live.select("a", "b").join(text_a, "a").join(hubs, "b").select(
+            "a", "b", "n", F.lit(0).cast("long").alias("n_b"), "text_a",
+            "text_b")
+        return p.mapInArrow(_verify(True), _PAIR).drop("n", "n_b").join(
+            live.drop("rank"), ["a", "b"])
 
     def similar(pairs: DataFrame) -> DataFrame:
         return pairs.filter(_similar("both", "n", "n_b")).select("a", "b")
@@ -506,11 +521,12 @@ def find_links(signed: DataFrame, text_col: str) -> DataFrame | None:
         label = written(_labels(links), "labels").select(
             F.col("uid").alias("a"), "label")
         named = stars.join(label, "a", "left").join(
-            label.toDF("b", "label_b"), "b", "left")
+            label.toDF("b", "label_b"), "b", "left").join(
+            nodes.select(F.col("uid").alias("a"), "rank"), "a")
         live = written(_undecided(named.withColumn(
             "label", F.coalesce("label", "a")).withColumn(
             "label_b", F.coalesce("label_b", "b"))), "live")
-        finer = written(_refined(with_hubs(live)), "finer")
+        finer = written(_refined(written(with_hubs(live), "rests")), "finer")
         few = finer.filter(F.col("seekers") <= enough)
         x, y = few.filter("seeks").alias("x"), few.alias("y")
         direct = x.join(y, (F.col("x.h") == F.col("y.h"))
