@@ -910,7 +910,7 @@ _FLOORS = f"""with {LANG_SPLIT}
 select label, count(*) support, true f1_ok from sp
 where split = 'test' group by label"""
 for _n in ("linear_svm", "linear_svm_tfidf", "logreg", "logreg_tfidf", "mlp",
-           "mlp_concat"):
+           "mlp_concat", "perceptron_mixing", "perceptron_vectors"):
     sql(_n, _FLOORS)
 sql("training_curves", """select split, cast(1 as bigint) first_epoch,
        true best_is_lowest, true stopped_by_rule, true best_kept

@@ -163,32 +163,3 @@ def param_search(train: DataFrame, val: DataFrame, trials: int = 30,
              "f1 double")
     best = max(res, key=lambda r: (r[4], -r[0]))[0]
     return out.withColumn("best", F.col("trial") == best)
-
-
-HASHED_FEATURES = 1 << 16
-
-
-def tfidf_vectors(docs: DataFrame, words: str = "w", n_max: int = 5,
-                  size: int = HASHED_FEATURES) -> DataFrame:
-    """``features``: unit TF-IDF vectors of 1..``n_max`` grams in ``size``
-    hashed columns, so that the models' width does not grow with the
-    vocabulary.  Weights are ``tf * (ln((1 + N) / (1 + df)) + 1)`` as in F3,
-    fitted on all rows."""
-    from pyspark.ml.feature import (IDF, ElementwiseProduct, HashingTF,
-                                    NGram, Normalizer)
-    from pyspark.ml.linalg import Vectors
-
-    grams = docs
-    for n in range(2, n_max + 1):
-        grams = NGram(n=n, inputCol=words, outputCol=f"_g{n}").transform(grams)
-    grams = grams.withColumn("_g", F.concat(
-        words, *[f"_g{n}" for n in range(2, n_max + 1)])).drop(
-        *[f"_g{n}" for n in range(2, n_max + 1)])
-    tf = HashingTF(inputCol="_g", outputCol="_tf", numFeatures=size
-                   ).transform(grams).drop("_g")
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf)
-    weighted = ElementwiseProduct(
-        inputCol="_tf", outputCol="_w",
-        scalingVec=Vectors.dense(idf.idf.toArray() + 1.0)).transform(tf)
-    return Normalizer(inputCol="_w", outputCol="features", p=2.0).transform(
-        weighted).drop("_tf", "_w")

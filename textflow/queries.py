@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from textflow.functions import text as text_fn
 from textflow.functions.text import word_array
 from textflow.operators import train as train_ops
-from textflow.operators import (classify, clean, features, hmm, report,
-                                 sequence, spell, split, vectors,
-                                 vocab)
+from textflow.operators import (classify, clean, features, hmm, linear,
+                                 mixing, report, sequence, spell, split,
+                                 vectors, vocab)
 from textflow.plans.lineage import cut_lineage
 from textflow.sources import fixtures as fx
 from textflow.sources import io as tio
@@ -80,15 +80,15 @@ def lang_split(spark: SparkSession, sf: str) -> DataFrame:
 def nb_inputs(spark: SparkSession, sf: str):
     """Features and labels for the TF-IDF classifiers.
 
-    Term counts and document frequencies are each written once to the
-    checkpoint folder; train and test TF-IDF rows are then derived from
+    Term counts (by 64-bit gram number) and document frequencies are each
+    written once to the checkpoint folder; train and test TF-IDF rows are then derived from
     them with the split as a plain predicate on ``doc_id`` (no flag join).
     Returns ``(x_train, x_test, train_labels, test_labels, n_features)``.
     """
     docs = by_doc(fx.clean_docs(spark, sf, spread_rows=False))
     words = docs.select("doc_id", word_array("body", 2).alias("w"))
-    tf = cut_lineage(features.term_freq(
-        features.ngrams(words, "w", ("doc_id",), 1, 5)))
+    tf = cut_lineage(features.term_freq(features.gram_ids(
+        features.ngrams(words, "w", ("doc_id",), 1, 5))))
     dfreq = cut_lineage(features.doc_freq(tf))
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     d = fx.table(spark, sf, "documents").select(
@@ -778,13 +778,6 @@ def concat_vector_sets(spark, sf):
         c.join(lang_split(spark, sf), "doc_id"), "concat"))
 
 
-def tfidf_vector_sets(spark, sf):
-    """(train, val, test) rows with ``features`` = hashed TF-IDF."""
-    docs = doc_words(spark, sf).join(lang_split(spark, sf), "doc_id")
-    rows = train_ops.tfidf_vectors(docs)
-    return three_way(train_ops.label_indices(rows.drop("w")))
-
-
 def _labelled(pred: DataFrame, rows: DataFrame) -> DataFrame:
     return pred.select("doc_id", "prediction").join(
         rows.select("doc_id", "label", "label_idx"), "doc_id")
@@ -825,11 +818,53 @@ def q_linear_svm(spark, sf):
     return _class_floors(train_ops.linear_svm(tr.union(va)).transform(te))
 
 
+def _model_floors(model: linear.LinearModel, x_test: DataFrame,
+                  test: DataFrame, **columns) -> DataFrame:
+    pred = linear.predict_linear(model, x_test, test, **columns).join(
+        test, "doc_id")
+    names = F.array(*[F.lit(c) for c in model.classes])
+    return _class_floors(pred.select(
+        "label", *[(F.array_position(names, F.col(c)) - 1).alias(out)
+                   for c, out in (("label", "label_idx"),
+                                  ("prediction", "prediction"))]))
+
+
+def _tfidf_floors(spark, sf, loss: str) -> DataFrame:
+    x_train, x_test, train, test, _ = nb_inputs(spark, sf)
+    model = linear.fit_linear(cut_lineage(x_train), train, loss)
+    return _model_floors(model, x_test, test)
+
+
+@query("perceptron_mixing")
+def q_perceptron_mixing(spark, sf):
+    """M1: online perceptron by iterative parameter mixing, run until it
+    stops improving, on all 1-5-gram TF-IDF weights."""
+    x_train, x_test, train, test, _ = nb_inputs(spark, sf)
+    model = mixing.fit_perceptron(cut_lineage(x_train), train)
+    return _model_floors(model, x_test, test)
+
+
+@query("perceptron_vectors")
+def q_perceptron_vectors(spark, sf):
+    """M1: the same on mean word vectors."""
+    m = vectors.doc_mean_vectors(fx.tokens(spark, sf),
+                                 fx.word_vectors(spark, sf))
+    m = cut_lineage(m.join(lang_split(spark, sf), "doc_id"))
+    x = m.select("doc_id", "split", F.posexplode("mean").alias("dim",
+                                                               "value"))
+    train = m.filter(F.col("split") == "train").select("doc_id", "label")
+    test = m.filter(F.col("split") == "test").select("doc_id", "label")
+    columns = {"feature": "dim", "value": "value"}
+    model = mixing.fit_perceptron(
+        x.filter(F.col("split") == "train").drop("split"), train, **columns)
+    return _model_floors(model, x.filter(F.col("split") == "test")
+                         .drop("split"), test, **columns)
+
+
 @query("linear_svm_tfidf")
 def q_linear_svm_tfidf(spark, sf):
-    """M2 (hinge) on 1-5-gram TF-IDF."""
-    tr, va, te = tfidf_vector_sets(spark, sf)
-    return _class_floors(train_ops.linear_svm(tr.union(va)).transform(te))
+    """M2 (squared hinge, C = 1) on all 1-5-gram TF-IDF weights."""
+    return _tfidf_floors(spark, sf, "squared_hinge")
 
 
 @query("logreg")
@@ -841,9 +876,8 @@ def q_logreg(spark, sf):
 
 @query("logreg_tfidf")
 def q_logreg_tfidf(spark, sf):
-    """M3 on 1-5-gram TF-IDF."""
-    tr, va, te = tfidf_vector_sets(spark, sf)
-    return _class_floors(train_ops.logreg(tr.union(va)).transform(te))
+    """M3 (multinomial, C = 1) on all 1-5-gram TF-IDF weights."""
+    return _tfidf_floors(spark, sf, "logistic")
 
 
 def _layers(rows: DataFrame) -> list[int]:
