@@ -1,15 +1,14 @@
-"""Benchmark decontamination with suffix arrays over the training text.
-
-A shard is a few MB of whole documents.  For each shard the task builds a
-suffix array over the shard's word sequence (words are ``[0-9a-z]`` and
-non-ASCII bytes after lower-casing A-Z) and binary-searches every test
-suffix -- every position of every benchmark item -- in it.  The range of
-equal prefixes gives all verbatim locations of the suffix's window; each
-location is extended to the longest verbatim match.
-
-Only suffixes that start like some test suffix (same first words) enter the
-array: no other suffix can match even those words, so nothing is lost and
-the array holds a small part of the shard's positions.
+"""Benchmark decontamination: test suffixes searched in sorted training text.
+
+A shard is a few MB of whole documents (words are ``[0-9a-z]`` and non-ASCII
+bytes after lower-casing A-Z).  A Bloom table and a match on the first three
+words pick the positions of a shard at which some test suffix -- a position
+of a benchmark item -- can begin; only these enter the array, which sorts
+them by their first 13 words.  It is no suffix array of the whole shard: no
+other position can match even three words, so nothing is lost.  Every test
+suffix whose three words occurred is binary-searched in it; the range of equal
+heads gives all verbatim locations of the suffix's window, and each location
+is extended to the longest verbatim match.
 
 The benchmark is cut into blocks of at most ``block_bytes`` of text.  Blocks
 are applied one after the other in one narrow plan, so a benchmark of any
