@@ -121,8 +121,8 @@ def entity_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
          .withColumn("pos", (F.col("pos") + 1).cast("long"))
          .withColumn("cap", F.when(F.substring("word", 1, 1)
                                    .rlike("^[A-Z]$"), 1).otherwise(0)))
-    # capitalised runs without per-document windows: neighbours by one hash
-    # aggregation, run boundaries paired by a distributed per-document rank,
+    # capitalised runs without per-document windows: neighbours by blocks of
+    # positions, run boundaries paired by a distributed per-document rank,
     # each run's tokens regenerated from its (start, end) and joined back
     n = neighbors(t, "sent_id", "pos", ["cap"], [-1, 1], keep=["word"])
     n = n.withColumn("pc", F.coalesce("cap_m1", F.lit(0))).withColumn(
