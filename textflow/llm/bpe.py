@@ -39,7 +39,7 @@ _INF = 1 << 60
 ROOT = 0
 # bounds of a worker's tables; a full table is kept as it is, and what it lacks
 # is worked out each time, which costs time and changes no result
-MAX_STATES, MAX_PAIRS = 100_000, 400_000
+MAX_STATES, MAX_PAIRS = 60_000, 250_000
 
 
 class Merges:
