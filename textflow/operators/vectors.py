@@ -2,20 +2,24 @@
 
 Vector tables are ``(word, vec ARRAY<FLOAT>)``.  Documents are joined to the
 table on the word (AQE broadcasts a small table or splits hot words);
-per-document averages use MLlib's ``Summarizer`` (a JVM aggregate) weighted by
-per-document word counts, so repeated words are combined before the shuffle.
+per-document averages are products of word counts and vectors inside shards of
+documents, so a vector is shuffled once for a shard that needs it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from textflow.functions.text import cap_code
+from textflow.plans.lineage import cut_lineage
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -79,18 +83,71 @@ def analogy(vectors: DataFrame, positive: Column, negative: Column,
             .orderBy(F.desc("similarity"), F.col(word)).limit(k))
 
 
+#: distinct (document, word) pairs of a shard of documents, on average
+SHARD_PAIRS = 1 << 20
+
+
+def _shard_means(key: str, kind) -> Callable:
+    """Means of the documents of one shard: counts x vectors, in numpy."""
+    def means(counts: pa.Table, vectors: pa.Table) -> pa.Table:
+        if not len(counts) or not len(vectors):
+            return pa.table({key: pa.array([], kind), "mean": pa.array(
+                [], pa.list_(pa.float64()))})
+        docs = counts.column(key).combine_chunks().dictionary_encode("encode")
+        doc = docs.indices.to_numpy(zero_copy_only=False)
+        # words without a vector are not counted; a word may have several
+        words = vectors.column("_vw").combine_chunks().dictionary_encode()
+        at = pc.index_in(counts.column("_word"), words.dictionary)
+        at = pc.fill_null(at, -1).to_numpy()
+        known = at >= 0
+        doc, at = doc[known], at[known]
+        n = counts.column("_n").to_numpy()[known].astype(np.float64)
+        own = words.indices.to_numpy()
+        copies = np.bincount(own, minlength=len(words.dictionary))
+        flat = vectors.column("_v").combine_chunks()
+        dim = len(flat[0])
+        values = flat.flatten().to_numpy(zero_copy_only=False).astype(
+            np.float64).reshape(-1, dim)
+        sums = np.zeros((len(words.dictionary), dim))
+        np.add.at(sums, own, values)
+        order = np.argsort(doc, kind="stable")
+        doc, at, n = doc[order], at[order], n[order]
+        ids, first = np.unique(doc, return_index=True)
+        weight = np.add.reduceat(n * copies[at], first) if len(ids) else n
+        out = np.empty((len(ids), dim))
+        ends = np.append(first[1:], len(doc))
+        for i, (lo, hi) in enumerate(zip(first, ends, strict=True)):
+            out[i] = n[lo:hi] @ sums[at[lo:hi]]
+        out /= weight[:, None]
+        mean = pa.ListArray.from_arrays(
+            np.arange(len(ids) + 1, dtype=np.int32) * dim, out.ravel())
+        return pa.table({key: docs.dictionary.take(pa.array(ids)),
+                         "mean": mean})
+    return means
+
+
 def doc_mean_vectors(tokens: DataFrame, vectors: DataFrame,
                      key: str = "doc_id", word: str = "w",
                      vec: str = "vec", vec_word: str = "word") -> DataFrame:
     """V3: ``(key, mean ARRAY<DOUBLE>)`` = average vector of the document's
-    in-vocabulary tokens."""
-    counts = tokens.groupBy(key, word).agg(F.count(F.lit(1)).alias("_n"))
-    v = vectors.select(F.col(vec_word).alias(word),
-                       array_to_vector(as_double(vec)).alias("_v"))
-    j = counts.join(v, word)
-    m = j.groupBy(key).agg(Summarizer.mean(F.col("_v"), F.col("_n").cast(
-        "double")).alias("_m"))
-    return m.select(key, vector_to_array("_m").alias("mean"))
+    in-vocabulary tokens.
+
+    Documents are dealt into shards of about ``SHARD_PAIRS`` different
+    (document, word) pairs; a shard pulls the vector of each of its words
+    once, so no vector is shuffled for every document that has the word."""
+    counts = cut_lineage(tokens.groupBy(key, word).agg(
+        F.count(F.lit(1)).alias("_n")))
+    shards = max(1, -(-counts.count() // SHARD_PAIRS))
+    x = counts.select(key, F.col(word).alias("_word"), "_n", F.pmod(
+        F.hash(key), F.lit(shards)).alias("_shard"))
+    v = vectors.filter(F.col(vec).isNotNull()).select(
+        F.col(vec_word).alias("_word"), F.col(vec).alias("_v"))
+    pulled = x.select("_shard", "_word").distinct().join(v, "_word").select(
+        F.col("_shard").alias("_to"), F.col("_word").alias("_vw"), "_v")
+    kind = counts.schema[key].dataType
+    return x.groupBy("_shard").cogroup(pulled.groupBy("_to")).applyInArrow(
+        _shard_means(key, to_arrow_type(kind)),
+        f"{key} {kind.simpleString()}, mean array<double>")
 
 
 def doc_concat_vectors(tokens: DataFrame, vectors: DataFrame, n: int = 10,
@@ -100,17 +157,34 @@ def doc_concat_vectors(tokens: DataFrame, vectors: DataFrame, n: int = 10,
                        docs: DataFrame | None = None) -> DataFrame:
     """V4: first ``n`` in-vocabulary words, vectors concatenated, zero filled
     to ``n * dim``.  With ``docs`` (a frame of keys) also the documents
-    without a known word have a row, all zeros."""
-    from pyspark.sql import Window
-    v = vectors.select(F.col(vec_word).alias(word), as_double(vec).alias("_v"))
+    without a known word have a row, all zeros.
+
+    Words are looked up without their vectors: in the first ``HEAD * n``
+    positions of every document, and in the rest of those that have fewer than
+    ``n`` known words there.  Only the chosen words meet the vectors."""
+    v = vectors.select(F.col(vec_word).alias(word), F.col(vec).alias("_v"))
     d = dim or v.agg(F.max(F.size("_v"))).scalar()
-    j = tokens.join(v, word)
-    # top-n per document: Spark plans a partial group limit before the
-    # shuffle, so a long document sends at most n rows per map task
-    r = j.withColumn("_r", F.row_number().over(
-        Window.partitionBy(key).orderBy(pos))).filter(F.col("_r") <= n)
-    g = r.groupBy(key).agg(F.flatten(F.transform(F.array_sort(
-        F.collect_list(F.struct("_r", "_v"))), lambda s: s["_v"])).alias("_c"))
+    # a word with several vectors counts as often
+    v = cut_lineage(v.groupBy(word).agg(F.collect_list(
+        F.struct("_v")).alias("_vs")))
+    known = v.select(word, F.size("_vs").alias("_copies"))
+    head = HEAD * n
+    x = tokens.select(key, pos, word)
+    found = cut_lineage(_first(x.filter(F.col(pos) < head).join(known, word),
+                               n, key, pos))
+    full = found.groupBy(key).agg(F.sum("_copies").alias("_c")).filter(
+        F.col("_c") >= n).select(key)
+    rest = x.filter(F.col(pos) >= head)
+    more = cut_lineage(rest.select(key).distinct().join(
+        full, key, "left_anti").withColumnRenamed(key, "_key"))
+    rest = rest.join(more, rest[key].eqNullSafe(more["_key"]), "left_semi"
+                     ).join(known, word)
+    r = _first(found.unionByName(rest), n, key, pos)
+    c = r.join(v, word).select(key, F.posexplode("_vs").alias("_i", "_s"), pos)
+    g = c.groupBy(key).agg(F.slice(F.array_sort(F.collect_list(F.struct(
+        F.col(pos).alias("_p"), "_i", F.col("_s._v").alias("_v")))), 1, n)
+        .alias("_c")).select(key, F.flatten(F.transform(
+            "_c", lambda s: as_double(s["_v"]))).alias("_c"))
     if docs is not None:
         g = docs.select(key).join(g, key, "left").withColumn(
             "_c", F.coalesce("_c", F.array().cast("array<double>")))
@@ -119,6 +193,18 @@ def doc_concat_vectors(tokens: DataFrame, vectors: DataFrame, n: int = 10,
         F.lit(0.0), (total - F.size("_c")).cast("int"))).alias("concat"))
 
 
+#: so many times the wanted words are looked up first
+HEAD = 4
+
+
+def _first(hits: DataFrame, n: int, key: str, pos: str) -> DataFrame:
+    """The first ``n`` rows of every key by position."""
+    from pyspark.sql import Window
+    return hits.withColumn("_r", F.row_number().over(
+        Window.partitionBy(key).orderBy(pos))).filter(
+        F.col("_r") <= n).drop("_r")
+
+
 def doc_sequence_vectors(tokens: DataFrame, vectors: DataFrame, steps: int = 20,
                          dim: int | None = None, key: str = "doc_id",
                          word: str = "w", pos: str = "pos", vec: str = "vec",
