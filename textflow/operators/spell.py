@@ -2,13 +2,18 @@
 
 The reference corrects each review with an in-memory symmetric-delete index.
 Here the index is a join: every distinct word (not every token) expands to
-the delete keys of its first seven letters (all strings left after removing
-up to two characters), rare words meet dictionary words on equal keys -- a
-plain equi-join, split by AQE when a key is hot -- and candidates are verified
-with ``levenshtein(a, b, 2)`` on the whole words.  Two words within edit
-distance 2 always share a key of their prefixes, so no pair is lost, and a
-word of any length has at most 29 keys.  The corpus supplies the dictionary
-(words with count >= ``min_count``), optionally per language.
+the delete keys of its first twelve letters (all strings left after removing
+up to two characters, as hashes), rare words meet dictionary words on equal
+keys -- a plain equi-join, split by AQE when a key is hot -- and candidates are
+verified with ``levenshtein(a, b, 2)`` on the whole words.  Two words within
+edit distance 2 always share a key of their prefixes, whatever their length,
+so no pair is lost, and a word of any length has at most 79 keys.  (Words of
+one corpus begin alike: with seven letters the candidates grow almost with the
+square of the vocabulary.)  The corpus supplies the dictionary (words with
+count >= ``min_count``), optionally per language.
+
+The dictionary is a stage table of its own: while it is small, Spark sends it
+to the tokens, and no token is shuffled to look it up.
 """
 
 from __future__ import annotations
@@ -48,10 +53,17 @@ def delete_keys(w: Column, max_deletes: int = 2) -> Column:
 
 
 KEY_PREFIX = 7
+LONG_PREFIX = 12        # of the corrections
 
 
-def prefix_keys(w: Column, max_deletes: int = 2) -> Column:
-    return delete_keys(F.substring(w, 1, KEY_PREFIX), max_deletes)
+def prefix_keys(w: Column, max_deletes: int = 2, prefix: int = KEY_PREFIX
+                ) -> Column:
+    return delete_keys(F.substring(w, 1, prefix), max_deletes)
+
+
+def hashed_keys(w: Column, max_deletes: int = 2) -> Column:
+    return F.transform(prefix_keys(w, max_deletes, LONG_PREFIX),
+                       lambda k: F.xxhash64(k))
 
 
 def word_counts(tokens: DataFrame, word: str = "w",
@@ -60,25 +72,72 @@ def word_counts(tokens: DataFrame, word: str = "w",
         F.count(F.lit(1)).alias("cnt"))
 
 
+def vocabulary(tokens: DataFrame, word: str = "w",
+               group: Sequence[str] = (), min_count: int = 20
+               ) -> tuple[DataFrame, DataFrame]:
+    """``(group..., word, cnt)`` of the dictionary and of the rare words, as
+    two stage tables from one count."""
+    wc = cut_lineage(word_counts(tokens, word, group))
+    return (cut_lineage(wc.filter(F.col("cnt") >= min_count)),
+            wc.filter(F.col("cnt") < min_count))
+
+
+def adjacent(tokens: DataFrame, word: str, key: str, pos: str,
+             group: Sequence[str], lists: DataFrame | None) -> DataFrame:
+    """``(key, pos, group..., word, <word>_p1)`` of every word with a word
+    after it.
+
+    ``lists`` (key, group..., words) has the tokens as one array a text, if
+    given: neighbours are read off it and nothing is shuffled.  Only texts
+    whose key repeats or is null are one sequence together, by positions.
+    """
+    g = list(group)
+    after = f"{word}_p1"
+
+    def by_position(t: DataFrame) -> DataFrame:
+        n = neighbors(t.select(key, pos, word, *g), key, pos, [word], [1],
+                      keep=g)
+        return n.filter(F.col(after).isNotNull()).select(key, pos, *g, word,
+                                                         after)
+
+    if lists is None:
+        return by_position(tokens)
+    shared = lists.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(
+        (F.col("n") > 1) | F.col(key).isNull()).select(F.col(key).alias("_id"))
+    some = not shared.isEmpty()
+    same = F.col(key).eqNullSafe(F.col("_id"))
+    own = lists.join(shared, same, "left_anti") if some else lists
+    own = own.select(key, *g, F.col("words").alias(word), F.slice(
+        "words", F.lit(2), F.greatest(F.size("words"), F.lit(0)))
+        .alias(after))
+    n = own.select(key, *g, F.posexplode(F.arrays_zip(word, after)).alias(
+        pos, "_x")).select(key, F.col(pos).cast("long").alias(pos), *g,
+                           f"_x.{word}", f"_x.{after}")
+    n = n.filter(F.col(after).isNotNull())
+    return n.union(by_position(tokens.join(shared, same, "left_semi"))) \
+        if some else n
+
+
 def spell_corrections(tokens: DataFrame, word: str = "w",
                       group: Sequence[str] = (), min_count: int = 20,
-                      max_distance: int = 2) -> DataFrame:
+                      max_distance: int = 2,
+                      known: tuple[DataFrame, DataFrame] | None = None
+                      ) -> DataFrame:
     """``(group..., word, correction, distance)`` for every word below
     ``min_count`` that has a dictionary word within ``max_distance``.
 
     Best = smallest distance, then most frequent, then alphabetical.
+    ``known`` is the :func:`vocabulary`, if the caller has it.
     """
     g = list(group)
-    wc = word_counts(tokens, word, g)
-    dic = wc.filter(F.col("cnt") >= min_count)
-    probe = wc.filter(F.col("cnt") < min_count)
+    dic, probe = known or vocabulary(tokens, word, g, min_count)
     dk = dic.select(*g, F.col("word").alias("cand"), F.col("cnt").alias("cc"),
-                    F.explode(prefix_keys(F.col("word"), max_distance))
+                    F.explode(hashed_keys(F.col("word"), max_distance))
                     .alias("key"))
     pk = probe.select(*g, "word",
-                      F.explode(prefix_keys(F.col("word"), max_distance))
+                      F.explode(hashed_keys(F.col("word"), max_distance))
                       .alias("key"))
-    pairs = (pk.join(dk, [*g, "key"])
+    pairs = (pk.join(dk, ["key", *g])
              .filter(F.abs(F.length("word") - F.length("cand")) <= max_distance)
              .select(*g, "word", "cand", "cc"))
     pairs = pairs.withColumn("dist", F.levenshtein("word", "cand",
@@ -93,14 +152,14 @@ def spell_corrections(tokens: DataFrame, word: str = "w",
 
 def spell_merges(tokens: DataFrame, word: str = "w", key: str = "doc_id",
                  pos: str = "pos", group: Sequence[str] = (),
-                 min_count: int = 20) -> DataFrame:
+                 min_count: int = 20, lists: DataFrame | None = None
+                 ) -> DataFrame:
     """Adjacent pairs whose concatenation is a dictionary word while at
-    least one part is not: ``(key, pos, w, next_w, merged)``."""
+    least one part is not: ``(key, pos, w, next_w, merged)``; ``lists`` as in
+    :func:`adjacent`."""
     g = list(group)
-    dic = word_counts(tokens, word, g).filter(F.col("cnt") >= min_count)
-    n = neighbors(tokens.select(key, pos, word, *g), key, pos, [word], [1],
-                  keep=g)
-    n = n.filter(F.col(f"{word}_p1").isNotNull()).withColumn(
+    dic, _ = vocabulary(tokens, word, g, min_count)
+    n = adjacent(tokens, word, key, pos, g, lists).withColumn(
         "merged", F.concat(word, f"{word}_p1"))
     d = dic.select(*g, F.col("word").alias("_d"))
     known_l = d.select(*g, F.col("_d").alias(word))
@@ -117,15 +176,18 @@ def spell_merges(tokens: DataFrame, word: str = "w", key: str = "doc_id",
 
 def spell_splits(tokens: DataFrame, word: str = "w", key: str = "doc_id",
                  pos: str = "pos", group: Sequence[str] = (),
-                 min_count: int = 20, with_count: bool = False) -> DataFrame:
+                 min_count: int = 20, with_count: bool = False,
+                 lists: DataFrame | None = None,
+                 known: tuple[DataFrame, DataFrame] | None = None
+                 ) -> DataFrame:
     """A non-dictionary word cut into two dictionary words; best cut by
     corpus bigram count, then unigram count product, then earliest cut:
     ``(group..., word, left, right)``, and the bigram count ``bc`` if asked
-    for."""
+    for.  Bigrams are counted by a 64-bit hash; ``lists`` as in
+    :func:`adjacent`, ``known`` as in :func:`spell_corrections`."""
     g = list(group)
-    wc = word_counts(tokens, word, g)
-    dic = wc.filter(F.col("cnt") >= min_count)
-    probe = wc.filter(F.col("cnt") < min_count).filter(F.length("word") >= 2)
+    dic, probe = known or vocabulary(tokens, word, g, min_count)
+    probe = probe.filter(F.length("word") >= 2)
     cuts = probe.select(*g, "word", F.explode(F.sequence(
         F.lit(1), F.length("word") - 1)).alias("i"))
     cuts = cuts.select(*g, "word", "i",
@@ -135,14 +197,11 @@ def spell_splits(tokens: DataFrame, word: str = "w", key: str = "doc_id",
     dl = dic.select(*g, F.col("word").alias("left"), F.col("cnt").alias("cl"))
     dr = dic.select(*g, F.col("word").alias("right"), F.col("cnt").alias("cr"))
     c = cuts.join(dl, [*g, "left"]).join(dr, [*g, "right"])
-    nb = neighbors(tokens.select(key, pos, word, *g), key, pos, [word], [1],
-                   keep=g)
-    bigrams = (nb.filter(F.col(f"{word}_p1").isNotNull())
-               .groupBy(*g, F.col(word).alias("left"),
-                        F.col(f"{word}_p1").alias("right"))
+    bigrams = (adjacent(tokens, word, key, pos, g, lists)
+               .groupBy(F.xxhash64(*g, word, f"{word}_p1").alias("h"))
                .agg(F.count(F.lit(1)).alias("bc")))
-    c = c.join(bigrams, [*g, "left", "right"], "left").withColumn(
-        "bc", F.coalesce("bc", F.lit(0)))
+    c = c.withColumn("h", F.xxhash64(*g, "left", "right")).join(
+        bigrams, "h", "left").withColumn("bc", F.coalesce("bc", F.lit(0)))
     best = c.groupBy(*g, "word").agg(F.min_by(
         F.struct("left", "right", "bc"),
         F.struct(-F.col("bc"), -(F.col("cl") * F.col("cr")), F.col("i")))
@@ -163,14 +222,18 @@ def _pattern(text: str) -> re.Pattern:
 
 
 def word_changes(tokens: DataFrame, key: str = "doc_id",
-                 group: Sequence[str] = (), min_count: int = 20) -> DataFrame:
+                 group: Sequence[str] = (), min_count: int = 20,
+                 lists: DataFrame | None = None,
+                 known: tuple[DataFrame, DataFrame] | None = None
+                 ) -> DataFrame:
     """``(group..., word, new)``: the correction (T7) or the two parts (T9) of
     every word that has one.  A cut costs one edit; against a correction of
     one edit it wins if the corpus has the two words side by side."""
     g = list(group)
-    fixes = spell_corrections(tokens, "w", g, min_count)
+    known = known or vocabulary(tokens, "w", g, min_count)
+    fixes = spell_corrections(tokens, "w", g, min_count, known=known)
     cuts = spell_splits(tokens, "w", key, "pos", g, min_count,
-                        with_count=True)
+                        with_count=True, lists=lists, known=known)
     cut_wins = F.col("left").isNotNull() & (
         F.col("distance").isNull() | (F.col("distance") > 1)
         | (F.col("bc") > 0))
@@ -260,7 +323,8 @@ def _rewritten(text: str, odd: list[dict] | None, merged: list[str] | None,
 
 def correct_texts(docs: DataFrame, tokens: DataFrame, text: str = "text",
                   key: str = "doc_id", group: Sequence[str] = (),
-                  min_count: int = 20) -> DataFrame:
+                  min_count: int = 20, lists: DataFrame | None = None
+                  ) -> DataFrame:
     """``(key, text)``: T7-T9 applied to whole texts.  The words of a text
     are its runs of letters, looked up in lower case; casing and what stands
     between the words stay.
@@ -275,11 +339,10 @@ def correct_texts(docs: DataFrame, tokens: DataFrame, text: str = "text",
     word = T.StructField("w", T.StringType())
     docs = docs.filter(F.col(text).isNotNull()).select(
         F.col(text).alias("text"), key, *g)
-    dic = word_counts(tokens, "w", g).filter(F.col("cnt") >= min_count
-                                             ).select(*g, F.col("word")
-                                                      .alias("w"))
-    change = word_changes(tokens, key, g, min_count).withColumnRenamed(
-        "word", "w")
+    known = vocabulary(tokens, "w", g, min_count)
+    dic = known[0].select(*g, F.col("word").alias("w"))
+    change = word_changes(tokens, key, g, min_count, lists,
+                          known).withColumnRenamed("word", "w")
     odd = (_map_rows(docs, _words_of, T.StructType([*ids, word]))
            .join(dic, [*g, "w"], "left_anti").join(change, [*g, "w"], "left")
            .groupBy(key, *g).agg(F.collect_list(F.struct("w", "new"))
