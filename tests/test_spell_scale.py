@@ -88,3 +88,12 @@ def test_merges_and_cuts_by_texts_equal_those_by_positions(spark):
         got, want = (sorted(map(tuple, call(tokens, group=["lang"], lists=x)
                                 .collect()), key=repr) for x in (lists, None))
         assert got == want and got
+
+
+def test_pipelines_shuffle_texts_before_their_tokens(spark):
+    for query in (queries.q_clean_pipeline_lemmas,
+                  queries.q_clean_pipeline_vectors):
+        plan = query(spark, SMALL)._jdf.queryExecution().executedPlan()
+        shuffles = [x for x in plan.toString().splitlines()
+                    if "Exchange hashpartitioning" in x]
+        assert len(shuffles) == 1 and "REPARTITION" in shuffles[0]

@@ -349,9 +349,11 @@ def correct_texts(docs: DataFrame, tokens: DataFrame, text: str = "text",
                                  .alias("odd")))
     docs = cut_lineage(docs.join(odd, [key, *g], "left").select(
         "text", "odd", key, *g))
-    merged = (_map_rows(docs, _pairs_of, T.StructType([*ids, word]))
-              .join(dic, [*g, "w"], "left_semi").groupBy(key, *g)
-              .agg(F.collect_list("w").alias("merged")))
+    # merges are rare: a small stage table goes to the texts
+    merged = cut_lineage(
+        _map_rows(docs, _pairs_of, T.StructType([*ids, word]))
+        .join(dic, [*g, "w"], "left_semi").groupBy(key, *g)
+        .agg(F.collect_list("w").alias("merged")))
     docs = docs.join(merged, [key, *g], "left").select("text", "odd",
                                                        "merged", key)
     return _map_rows(docs, _rewritten, T.StructType(
