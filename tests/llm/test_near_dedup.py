@@ -136,3 +136,13 @@ def test_siblings_below_the_limit_cost_few_comparisons(spark, monkeypatch):
     assert got == {k: max(g) for k, g in want.items()}
     compared = sum(df.count() for name, df in seen if name == "pairs")
     assert compared < 200 * 199 / 4
+
+
+def test_dropping_copies_shuffles_no_text(spark):
+    rows = [(i, f"{w} " * 3 + "one two three four five six seven")
+            for i, w in enumerate(["x", "x", "y", "z"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = drop_near_copies(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    assert {0, 1} & {r.doc_id for r in kept.collect()} == {1}

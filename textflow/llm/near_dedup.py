@@ -574,9 +574,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id",
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """One row of each group of near-duplicates, with all columns."""
+    """One row of each group of near-duplicates, with all columns.
+
+    The ids of those that go are a stage table of their own: its size is
+    known, and while it is small no text is shuffled."""
     groups, signed = near_groups(docs, id_col, text_col)
-    gone = groups.filter(~F.col("kept")).select("uid")
+    gone = written(groups.filter(~F.col("kept")).select("uid"), "gone")
     return signed.join(gone, "uid", "left_anti").select("row.*")
 
 
