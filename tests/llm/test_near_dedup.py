@@ -146,3 +146,70 @@ def test_dropping_copies_shuffles_no_text(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
     assert {0, 1} & {r.doc_id for r in kept.collect()} == {1}
+
+
+def _lost_original(groups, each, changes=6, length=150):
+    """Copies of lost originals; ``each`` of them share most changes."""
+    rnd = random.Random(21)
+    vocab = [f"w{i}" for i in range(5000)]
+    rows = []
+    for g in range(groups):
+        words = [rnd.choice(vocab) for _ in range(length)]
+        for k in range(120):
+            own = random.Random(g * 1000 + k // each)
+            copy = list(words)
+            for _ in range(changes):
+                copy[own.randrange(length)] = own.choice(vocab)
+            for _ in range(k % each):
+                copy[rnd.randrange(length)] = rnd.choice(vocab)
+            rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+def test_rests_are_a_row_of_a_member_and_slot(spark, monkeypatch):
+    """The hashes of rests go in lists; members of the same hashes meet once,
+    and slots of a star lose no pair."""
+    rows = _lost_original(2, 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {k: max(g) for k, g in near_classes(rows).items()}
+    met, plain = [], near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, name: met.append(
+        (name, plain(df, name))) or met[-1][1])
+    for slot in (near_dedup.SLOT, 64):
+        monkeypatch.setattr(near_dedup, "SLOT", slot)
+        met.clear()
+        got = near_groups(docs)[0].collect()
+        assert {r.id: r.class_id for r in got} == want
+        # one size class each, and no row for every hash of a rest
+        rest = sum(df.selectExpr("sum(size(rest)) n").first().n or 0
+                   for name, df in met if name == "rests")
+        parts = sum(df.count() for name, df in met if name == "parts")
+        assert rest > 0 and parts < rest / 2
+
+
+def test_texts_of_other_documents_are_not_shuffled(spark, monkeypatch):
+    """Pairs that are few go to the texts."""
+    rows = _lost_original(1, 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plans, plain = [], near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, name: plans.append(
+        (name, df._jdf.queryExecution().optimizedPlan().toString()))
+        or plain(df, name))
+    near_groups(docs)[0].collect()
+    pairs = [p for name, p in plans if name == "pairs"]
+    assert pairs and all("strategy=broadcast" in p for p in pairs)
+
+
+def test_meetings_of_the_same_members_come_once():
+    import pyarrow as pa
+    rows = pa.table({
+        "g": [0] * 4, "hs": [[1, 2, 3, 9], [2, 3, 1], [3, 7], [7, 8]],
+        "a": [10, 11, 12, 13], "n": [5] * 4, "both": [1] * 4, "more": [4] * 4,
+        "label": [1, 2, 3, 3], "seeks": [True, False, False, True]})
+    got = sorted((r["h"], r["a"], r["seekers"])
+                 for r in near_dedup._meetings(rows).to_pylist())
+    # 1 and 2 have the same members, 7 is of one label, 8 and 9 of one member
+    assert [x for x in got if x[0] == 3] == [(3, 10, 1), (3, 11, 1),
+                                             (3, 12, 1)]
+    assert [x[1:] for x in got if x[0] in (1, 2)] == [(10, 1), (11, 1)]
+    assert len(got) == 5

@@ -47,6 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -372,7 +373,12 @@ def _labels(links: DataFrame) -> DataFrame:
 FEW, MORE = 64, 64       # so many may look for partners in a bucket directly,
 #                         and how many times as many in each further round
 SIZE_STEP = 1.05        # ratio of the size classes
+FEW_PAIRS = 1 << 18     # so many pairs of ids (4 MB) are broadcast
 HUB = 5                 # members of a star in its hub, besides the centre
+SLOT, SLOTS = 1 << 18, 256      # hashes of a star in a slot; slots of a star
+FOUND = ["h", "seekers", "a", "n", "both", "more", "label", "seeks"]
+_FOUND = T.StructType([T.StructField(c, T.BooleanType() if c == "seeks" else
+                                     T.LongType()) for c in FOUND])
 
 
 def _size_class(n):
@@ -390,6 +396,35 @@ def _undecided(stars: DataFrame) -> DataFrame:
     return united.join(mixed, "b", "left_semi")
 
 
+def _meetings(rows: pa.Table) -> pa.Table:
+    """``FOUND`` of the members that meet in a hash of their lists ``hs``:
+    hashes with a seeker and with classes not known to be connected, of those
+    with the same members one."""
+    hs = rows.column("hs").combine_chunks()
+    row = pc.list_parent_indices(hs).to_numpy()
+    h = pc.list_flatten(hs).to_numpy()
+    order = np.argsort(h)
+    h, row = h[order], row[order]
+    start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    count = np.diff(np.append(start, len(h)))
+    label = rows.column("label").to_numpy()[row]
+    seeks = rows.column("seeks").to_numpy()[row]
+    seekers = np.add.reduceat(seeks.astype(np.int64), start)
+    useful = (seekers > 0) & (np.minimum.reduceat(label, start)
+                              < np.maximum.reduceat(label, start))
+    # hashes of one change have the same members, who need to meet once only
+    who = mix(row.astype(np.uint64) + np.uint64(1))
+    sets = np.stack([np.add.reduceat(who, start), np.add.reduceat(
+        mix(who), start)], 1)
+    once = np.zeros(len(start), bool)
+    once[np.unique(sets, axis=0, return_index=True)[1]] = True
+    kept = np.repeat(useful & once, count)
+    found = rows.select(FOUND[2:]).take(pa.array(row[kept]))
+    return pa.table([pa.array(h[kept]), pa.array(np.repeat(seekers, count)
+                                                 [kept]),
+                     *found.columns], FOUND)
+
+
 def _refined(live: DataFrame) -> DataFrame:
     """``h, seekers, a, n, both, more, label, seeks`` of the finer buckets of
     members and hubs (a, b, n, both, rest, label, alone): who is alone seeks
@@ -403,28 +438,48 @@ def _refined(live: DataFrame) -> DataFrame:
     # What is needed follows from the partners' sizes, by class, and the most
     # that one of a class has in common with the hub (a bounded list)
     star = live.groupBy("b", _size_class(F.col("n")).alias("c")).agg(
-        F.max("both").alias("any"),
-        F.max(F.when(F.col("alone"), F.col("both"))).alias("only")).groupBy(
-        "b").agg(F.collect_list(F.struct("c", "any", "only")).alias("sizes"))
+        *(f(F.when(who, of)).alias(f"{name}_{what}")
+          for what, who in (("any", F.lit(True)), ("only", F.col("alone")))
+          for f, of, name in ((F.min, F.col("n"), "least"),
+                              (F.max, F.col("both"), "both"),
+                              (F.max, F.size("rest"), "rest"))),
+        F.sum(F.size("rest")).alias("values")).groupBy("b").agg(
+        F.sum("values").alias("total"), F.collect_list(F.struct("c", *(
+            f"{name}_{what}" for what in ("any", "only")
+            for name in ("least", "both", "rest")))).alias("sizes"))
     shortest = F.ceil(F.col("n") * SIMILAR_NUM / SIMILAR_DEN)
     tallest = F.floor(F.col("n") * SIMILAR_DEN / SIMILAR_NUM)
 
+    def of(c: Column, name: str) -> Column:
+        return F.when(F.col("alone"), c[f"{name}_any"]).otherwise(
+            c[f"{name}_only"])
+
     def needed(c: Column) -> Column:
-        least = F.floor(F.pow(F.lit(SIZE_STEP), c["c"]) * 0.999)
-        most = F.when(F.col("alone"), c["any"]).otherwise(c["only"])
-        return F.ceil((F.col("n") + F.greatest(least, shortest))
-                      * SIMILAR_NUM / whole) - F.least("both", most)
+        return F.ceil((F.col("n") + F.greatest(of(c, "least"), shortest))
+                      * SIMILAR_NUM / whole) - F.least(F.col("both"),
+                                                       of(c, "both"))
 
+    # a class with too short rests has no partner either
     partners = F.filter("sizes", lambda c: c["c"].between(
         _size_class(shortest) - 1, _size_class(tallest) + 1) & (
-        F.col("alone") | c["only"].isNotNull()))
+        F.col("alone") | c["both_only"].isNotNull()) & (
+        needed(c) <= of(c, "rest")))
     need = F.coalesce(F.array_min(F.transform(partners, needed)),
                       F.size("rest") + 1)       # none: no partner at all
     first = F.slice("rest", 1, F.greatest(F.size("rest") + 1 - F.greatest(
         need, F.lit(1)), F.lit(0)).cast("int"))
-    by_rest = live.join(star, "b").select(
-        *cols, F.col("alone").alias("seeks"), F.explode(first).alias("value"),
-        F.lit(0).alias("kind"))
+    # the hashes of a star meet in slots, each some of the hashes of all members
+    hashed = live.join(star, "b").select(
+        "b", *FOUND[2:5], (F.col("n") - F.col("both")).alias("more"), "label",
+        F.col("alone").alias("seeks"), F.transform(
+            first, lambda v: F.xxhash64("b", v, F.lit(0))).alias("hs"),
+        F.least(F.ceil(F.col("total") / SLOT), F.lit(SLOTS)).alias("slots"))
+    picked = hashed.select("*", F.explode(F.array_distinct(F.transform(
+        "hs", lambda h: F.pmod(h, F.col("slots"))))).alias("slot"))
+    by_rest = picked.withColumn("hs", F.filter("hs", lambda h: F.pmod(
+        h, F.col("slots")) == F.col("slot"))).select(
+        F.xxhash64("b", "slot").alias("g"), "hs", *FOUND[2:]).groupBy(
+        "g").applyInArrow(_meetings, _FOUND)
     # similar by the common part alone: (both >= 4/9 of the two sizes)
     longest = F.floor(F.col("both") * whole / SIMILAR_NUM) - F.col("n")
     own = _size_class(F.col("n"))
@@ -438,18 +493,14 @@ def _refined(live: DataFrame) -> DataFrame:
         .alias("value")).select(
         *cols, F.array_contains("c", F.col("value")).alias("seeks"), "value",
         F.lit(1).alias("kind"))
-    # what their rests may add to the common part
-    rows = by_rest.withColumn("more", F.col("n") - F.col("both")).union(
-        by_size.withColumn("more", F.lit(0).cast("long")))
-    rows = written(rows.select(
-        F.xxhash64("b", "value", "kind").alias("h"), "a", "n", "both", "more",
-        "label", "seeks"), "parts")
+    rows = written(by_size.select(
+        F.xxhash64("b", "value", "kind").alias("h"), "a", "n", "both",
+        F.lit(0).cast("long").alias("more"), "label", "seeks"), "parts")
     useful = rows.groupBy("h").agg(
         F.sum(F.col("seeks").cast("int")).alias("seekers"),
         F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
         "seekers > 0 and lo < hi").select("h", "seekers")
-    return rows.join(useful, "h").select("h", "seekers", "a", "n", "both",
-                                         "more", "label", "seeks")
+    return by_rest.union(rows.join(useful, "h").select(*FOUND))
 
 
 def find_links(signed: DataFrame, text_col: str) -> DataFrame | None:
@@ -477,8 +528,17 @@ def find_links(signed: DataFrame, text_col: str) -> DataFrame | None:
     columns = ["a", "b", "n", "n_b", "text_a", "text_b"]
 
     def compared(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) with their overlap and sizes."""
-        p = pairs.join(text_a, "a").join(text_b, "b").select(*columns)
+        """The pairs (a, b) with their overlap and sizes.
+
+        The pairs are a stage table first: while they are few, they go to the
+        texts, and only the texts that they name are shuffled."""
+        pairs = written(pairs, "found")
+        named = text_b
+        if pairs.count() <= FEW_PAIRS:
+            named = text_b.join(F.broadcast(pairs.select("b")), "b",
+                                "left_semi")
+            pairs = F.broadcast(pairs)
+        p = text_a.join(pairs, "a").join(named, "b").select(*columns)
         return written(p.mapInArrow(_verify(False), _PAIR).drop("rest"),
                        "pairs")
 
