@@ -213,3 +213,34 @@ def test_meetings_of_the_same_members_come_once():
                                              (3, 12, 1)]
     assert [x[1:] for x in got if x[0] in (1, 2)] == [(10, 1), (11, 1)]
     assert len(got) == 5
+
+
+def test_small_tables_take_few_tasks(spark, monkeypatch):
+    """Not one for each shuffle partition, and with no other result than as
+    if the tables were large."""
+    rows = _lost_original(1, 3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {k: max(g) for k, g in near_classes(rows).items()}
+    conf = {"spark.sql.shuffle.partitions": "61",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    most = 2 * spark.sparkContext.defaultParallelism
+    seen, plain = [], near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, name: seen.append(
+        (name, plain(df, name))) or seen[-1][1])
+    for large in (False, True):
+        if large:
+            monkeypatch.setattr(near_dedup, "FEW_ROWS", 0)
+            monkeypatch.setattr(near_dedup, "TASK_ROWS", 8)
+            monkeypatch.setattr(near_dedup, "TASK_TEXTS", 8)
+        try:
+            for k, v in conf.items():
+                spark.conf.set(k, v)
+            got = near_groups(docs)[0].collect()
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+        assert {r.id: r.class_id for r in got} == want
+        if not large:
+            assert max(len(df.inputFiles()) for name, df in seen
+                       if name not in ("signed", "texts", "parts")) <= most

@@ -303,6 +303,20 @@ def _verify(with_rest: bool):
     return run
 
 
+def _sized(df: DataFrame, rows: int, each: int | None = None) -> DataFrame:
+    """``df``, made of about ``rows`` rows, in no more tasks than they need:
+    a task for each shuffle partition costs more than the rows of a small
+    table."""
+    least = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, -(-rows // (each or TASK_ROWS))))
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which holds ``rows`` rows at most, is broadcast if they are
+    few."""
+    return F.broadcast(df) if rows <= FEW_ROWS else df
+
+
 def _are_stars(edges: DataFrame) -> bool:
     """Does every ``u`` have one ``v`` that is no ``u`` itself?"""
     ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"),
@@ -321,24 +335,26 @@ def components(links: DataFrame) -> DataFrame:
     the smallest neighbour, so a centre with any number of links is an
     aggregate and a join, which AQE splits.
     """
-    edges = written(links.select(
+    edges = written(_sized(links.select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .filter("u <> v").distinct(), "cc")
+        .filter("u <> v").distinct(), links.count()), "cc")
     while not _are_stars(edges):
+        rows = 2 * edges.count()
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(
             "u", F.least("m", "u").alias("m"))
         # large star: every larger neighbour is linked to the smallest
-        large = (both.filter(F.col("v") > F.col("u")).join(low, "u")
+        large = (both.filter(F.col("v") > F.col("u"))
+                 .join(_small(low, rows), "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = large.filter(F.col("u") != F.col("v")).distinct()
         # small star: the node and its smaller neighbours to the smallest
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u")
+        small = (large.join(_small(low, rows), "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))))
-        edges = written(small.filter(F.col("u") != F.col("v")).distinct(),
-                        "cc")
+        edges = written(_sized(small.filter(F.col("u") != F.col("v"))
+                               .distinct(), rows), "cc")
     return edges.select(F.col("u").alias("uid"), F.col("v").alias("comp"))
 
 
@@ -357,8 +373,9 @@ def _may_be_similar(x: str, y: str):
         SIMILAR_DEN * most >= SIMILAR_NUM * (n[0] + n[1] - most))
 
 
-def _labels(links: DataFrame) -> DataFrame:
-    """(uid, label): the smallest uid within two links, itself included.
+def _labels(links: DataFrame, nodes: int) -> DataFrame:
+    """(uid, label): the smallest uid within two links of so many nodes at
+    most, itself included.
 
     Equal labels mean connected; connected nodes may still differ, which
     costs a comparison and loses nothing."""
@@ -366,7 +383,7 @@ def _labels(links: DataFrame) -> DataFrame:
         links.select("b", "a"))
     near = both.groupBy("u").agg(F.min("v").alias("m")).select(
         F.col("u").alias("v"), F.least("m", "u").alias("m"))
-    return both.join(near, "v").groupBy("u").agg(F.min("m").alias("m")).select(
+    return both.join(_small(near, nodes), "v").groupBy("u").agg(F.min("m").alias("m")).select(
         F.col("u").alias("uid"), F.least("m", "u").alias("label"))
 
 
@@ -374,6 +391,8 @@ FEW, MORE = 64, 64       # so many may look for partners in a bucket directly,
 #                         and how many times as many in each further round
 SIZE_STEP = 1.05        # ratio of the size classes
 FEW_PAIRS = 1 << 18     # so many pairs of ids (4 MB) are broadcast
+FEW_ROWS = 1 << 15      # and so many rows of other tables (1 to 3 MB)
+TASK_ROWS, TASK_TEXTS = 1 << 14, 1 << 8     # rows or pairs of texts of a task
 HUB = 5                 # members of a star in its hub, besides the centre
 SLOT, SLOTS = 1 << 18, 256      # hashes of a star in a slot; slots of a star
 FOUND = ["h", "seekers", "a", "n", "both", "more", "label", "seeks"]
@@ -385,15 +404,16 @@ def _size_class(n):
     return F.floor(F.log(F.greatest(n, F.lit(1))) / math.log(SIZE_STEP))
 
 
-def _undecided(stars: DataFrame) -> DataFrame:
+def _undecided(stars: DataFrame, rows: int) -> DataFrame:
     """``a, b, n, rank, label, alone``: the stars (with label_b) united by
     the label of their centre, now ``b``, where some member is ``alone``, not
     known to be connected to it."""
     united = stars.select(
         "a", F.col("label_b").alias("b"), "n", "rank", "label",
         (F.col("label") != F.col("label_b")).alias("alone")).distinct()
+    united = written(_sized(united, rows), "united")
     mixed = united.filter("alone").select("b").distinct()
-    return united.join(mixed, "b", "left_semi")
+    return united.join(_small(mixed, rows), "b", "left_semi")
 
 
 def _meetings(rows: pa.Table) -> pa.Table:
@@ -469,7 +489,8 @@ def _refined(live: DataFrame) -> DataFrame:
     first = F.slice("rest", 1, F.greatest(F.size("rest") + 1 - F.greatest(
         need, F.lit(1)), F.lit(0)).cast("int"))
     # the hashes of a star meet in slots, each some of the hashes of all members
-    hashed = live.join(star, "b").select(
+    count = live.count()
+    hashed = live.join(_small(star, count), "b").select(
         "b", *FOUND[2:5], (F.col("n") - F.col("both")).alias("more"), "label",
         F.col("alone").alias("seeks"), F.transform(
             first, lambda v: F.xxhash64("b", v, F.lit(0))).alias("hs"),
@@ -500,109 +521,124 @@ def _refined(live: DataFrame) -> DataFrame:
         F.sum(F.col("seeks").cast("int")).alias("seekers"),
         F.min("label").alias("lo"), F.max("label").alias("hi")).filter(
         "seekers > 0 and lo < hi").select("h", "seekers")
-    return by_rest.union(rows.join(useful, "h").select(*FOUND))
+    sizes = rows.count()
+    return _sized(by_rest.union(rows.join(_small(useful, sizes), "h").select(
+        *FOUND)), count + sizes)
 
 
 def find_links(signed: DataFrame, text_col: str) -> DataFrame | None:
     """(uid, comp) of the representatives that are similar to others."""
-    first = signed.groupBy("key").agg(F.min("uid").alias("uid"))
-    reps = written(signed.select("uid", "n", "bands").join(
-        first.select("uid"), "uid", "left_semi"), "reps")
+    reps = written(_sized(signed.groupBy("key").agg(F.min(F.struct(
+        "uid", "n", "bands")).alias("rep")).select("rep.*"),
+        signed.count()), "reps")
     # most buckets hold one class only: they go before anything is joined
     filed = reps.select("uid", F.explode("bands").alias("h"))
     sizes = filed.groupBy("h").agg(F.count(F.lit(1)).alias("size")
                                    ).filter("size > 1")
-    shared = written(filed.join(sizes, "h"), "shared")
-    if shared.isEmpty():
+    shared = written(_sized(filed.join(sizes, "h"), reps.count()), "shared")
+    filled = shared.count()
+    if not filled:
         return None
     # a class's rank as a centre: how many others share bands with it
-    nodes = written(shared.groupBy("uid").agg(F.sum("size").alias("rank"))
-                    .join(reps.select("uid", "n"), "uid"), "nodes")
+    ranks = written(_sized(shared.groupBy("uid").agg(F.sum("size").alias(
+        "rank")), filled), "ranks")
+    many = ranks.count()
+    nodes = written(_sized(reps.select("uid", "n").join(_small(
+        ranks, many), "uid"), many), "nodes")
     texts = written(signed.select(
         "uid", F.col("row").getField(text_col).alias("text")).join(
-        nodes, "uid"), "texts")
+        _small(nodes, many), "uid"), "texts")
     text_a = texts.select(F.col("uid").alias("a"), "n",
                           F.col("text").alias("text_a"))
     text_b = texts.select(F.col("uid").alias("b"), F.col("n").alias("n_b"),
                           F.col("text").alias("text_b"))
     columns = ["a", "b", "n", "n_b", "text_a", "text_b"]
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) with their overlap and sizes.
+    def compared(pairs: DataFrame, rows: int) -> DataFrame:
+        """The pairs (a, b), made of so many rows, with their overlap and
+        sizes.
 
         The pairs are a stage table first: while they are few, they go to the
         texts, and only the texts that they name are shuffled."""
-        pairs = written(pairs, "found")
-        named = text_b
-        if pairs.count() <= FEW_PAIRS:
+        pairs = written(_sized(pairs, rows), "found")
+        named, count = text_b, pairs.count()
+        if count <= FEW_PAIRS:
             named = text_b.join(F.broadcast(pairs.select("b")), "b",
                                 "left_semi")
             pairs = F.broadcast(pairs)
         p = text_a.join(pairs, "a").join(named, "b").select(*columns)
-        return written(p.mapInArrow(_verify(False), _PAIR).drop("rest"),
-                       "pairs")
+        return written(_sized(p, count, TASK_TEXTS).mapInArrow(
+            _verify(False), _PAIR).drop("rest"), "pairs")
 
-    def with_hubs(live: DataFrame) -> DataFrame:
+    def with_hubs(live: DataFrame, rows: int) -> DataFrame:
         """Overlap with the star's hub, and the rest."""
         first = Window.partitionBy("b").orderBy(F.desc("rank"), "a")
         some = live.select("a", "b", "rank").withColumn(
             "r", F.row_number().over(first)).filter(F.col("r") <= HUB)
-        some = some.select("a", "b").union(
-            some.select(F.col("b").alias("a"), "b").distinct())
+        some = some.select("b", F.explode(F.when(
+            F.col("r") == 1, F.array("a", "b")).otherwise(
+            F.array("a"))).alias("a"))
         # at most HUB + 1 texts
-        hubs = some.join(text_a, "a").groupBy("b").agg(
+        hubs = text_a.join(_small(some, 2 * rows), "a").groupBy("b").agg(
             F.concat_ws("\n", F.collect_list("text_a")).alias("text_b"))
-        p = live.select("a", "b").join(text_a, "a").join(hubs, "b").select(
-            "a", "b", "n", F.lit(0).cast("long").alias("n_b"), "text_a",
-            "text_b")
-        return p.mapInArrow(_verify(True), _PAIR).drop("n", "n_b").join(
-            live.drop("rank"), ["a", "b"])
+        p = text_a.join(_small(live.select("a", "b"), rows), "a").join(
+            hubs, "b").select("a", "b", "n", F.lit(0).cast("long").alias(
+                "n_b"), "text_a", "text_b")
+        return _sized(p, rows, TASK_TEXTS).mapInArrow(
+            _verify(True), _PAIR).drop("n", "n_b").join(
+            _small(live.drop("rank"), rows), ["a", "b"])
 
     def similar(pairs: DataFrame) -> DataFrame:
         return pairs.filter(_similar("both", "n", "n_b")).select("a", "b")
 
-    buckets = shared.select("h", "uid")
+    buckets, rank = shared.select("h", "uid"), nodes.select("uid", "rank")
     links, used, enough = None, None, FEW
     while True:
-        ranked = buckets.join(nodes.select("uid", "rank"), "uid")
+        ranked = buckets.join(_small(rank, many), "uid")
         if used is not None:
-            ranked = ranked.join(used, "uid", "left_anti")
-        centres = written(ranked.groupBy("h").agg(
+            ranked = ranked.join(_small(used, used.count()), "uid",
+                                 "left_anti")
+        centres = written(_sized(ranked.groupBy("h").agg(
             F.max(F.struct("rank", (-F.col("uid")).alias("neg"))).alias("top"))
-            .select("h", (-F.col("top.neg")).alias("b")), "centres")
-        stars = compared(buckets.join(centres, "h").filter("uid <> b").select(
-            F.col("uid").alias("a"), "b").distinct())
-        # buckets of which every class has been a centre before
-        stuck = buckets.join(centres, "h", "left_anti")
-        pairs = stuck.toDF("h", "a").join(stuck.toDF("h", "b"), "h").filter(
-            "a < b").select("a", "b")
+            .select("h", (-F.col("top.neg")).alias("b")), filled), "centres")
+        centre = _small(centres, centres.count())
+        stars = compared(buckets.join(centre, "h").filter("uid <> b").select(
+            F.col("uid").alias("a"), "b").distinct(), filled)
         links = similar(stars) if links is None else links.union(
             similar(stars))
-        label = written(_labels(links), "labels").select(
+        label = written(_sized(_labels(links, many), many), "labels").select(
             F.col("uid").alias("a"), "label")
-        named = stars.join(label, "a", "left").join(
-            label.toDF("b", "label_b"), "b", "left").join(
-            nodes.select(F.col("uid").alias("a"), "rank"), "a")
+        labels, compares = label.count(), stars.count()
+        named = stars.join(_small(label, labels), "a", "left").join(
+            _small(label.toDF("b", "label_b"), labels), "b", "left").join(
+            _small(rank.toDF("a", "rank"), many), "a")
         live = written(_undecided(named.withColumn(
             "label", F.coalesce("label", "a")).withColumn(
-            "label_b", F.coalesce("label_b", "b"))), "live")
-        finer = written(_refined(written(with_hubs(live), "rests")), "finer")
+            "label_b", F.coalesce("label_b", "b")), compares), "live")
+        finer = written(_refined(written(with_hubs(live, live.count()),
+                                         "rests")), "finer")
+        filled = finer.count()
         few = finer.filter(F.col("seekers") <= enough)
-        x, y = few.filter("seeks").alias("x"), few.alias("y")
-        direct = x.join(y, (F.col("x.h") == F.col("y.h"))
-                        & (F.col("x.label") != F.col("y.label"))
-                        & ((F.col("x.a") < F.col("y.a")) | ~F.col("y.seeks"))
-                        & _may_be_similar("x", "y")).select(F.least("x.a", "y.a").alias("a"),
-                                 F.greatest("x.a", "y.a").alias("b"))
-        links = links.union(similar(compared(
-            direct.union(pairs).distinct())))
+        x, y = _small(few.filter("seeks"), filled).alias("x"), few.alias("y")
+        pairs = y.join(x, (F.col("x.h") == F.col("y.h"))
+                       & (F.col("x.label") != F.col("y.label"))
+                       & ((F.col("x.a") < F.col("y.a")) | ~F.col("y.seeks"))
+                       & _may_be_similar("x", "y")).select(
+            F.least("x.a", "y.a").alias("a"),
+            F.greatest("x.a", "y.a").alias("b"))
+        if used is not None:
+            # buckets of which every class has been a centre before
+            stuck = buckets.join(centre, "h", "left_anti")
+            pairs = pairs.union(stuck.toDF("h", "a").join(
+                stuck.toDF("h", "b"), "h").filter("a < b").select("a", "b"))
+        links = links.union(similar(compared(pairs.distinct(), filled)))
         buckets = finer.filter(F.col("seekers") > enough).select(
             "h", F.col("a").alias("uid"))
         if buckets.isEmpty():
             return components(links)
         mine = centres.select(F.col("b").alias("uid")).distinct()
-        used = written(mine if used is None else used.union(mine).distinct(),
-                       "used")
+        used = written(_sized(mine if used is None else used.union(
+            mine).distinct(), many), "used")
         enough *= MORE
 
 
@@ -622,11 +658,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id",
         reps = reps.select("key", F.col("rep").alias("cls"))
     ids = signed.select("uid", "key", F.col("n").alias("n_shingles"),
                         F.col("row").getField(id_col).alias("id"))
-    rows = written(ids.join(reps, "key").drop("key"), "classes")
+    count = signed.count()
+    rows = written(_sized(ids.join(reps, "key").drop("key"), count), "classes")
     stays = rows.groupBy("cls").agg(
         F.max(F.struct("id", (-F.col("uid")).alias("neg"))).alias("top"),
         F.count(F.lit(1)).alias("group_size"))
-    return rows.join(stays, "cls").select(
+    return _sized(rows.join(stays, "cls"), count).select(
         "uid", "id", "n_shingles", F.col("top.id").alias("class_id"),
         "group_size", (F.col("uid") == -F.col("top.neg")).alias("kept")), \
         signed
