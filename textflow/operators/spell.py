@@ -1,11 +1,12 @@
 """Spelling correction as vocabulary-level Spark jobs.
 
 The reference corrects each review with an in-memory symmetric-delete index.
-Here the index is a join: every distinct word (not every token) expands to
-the delete keys of its first twelve letters (all strings left after removing
-up to two characters, as hashes), rare words meet dictionary words on equal
-keys -- a plain equi-join, split by AQE when a key is hot -- and candidates are
-verified with ``levenshtein(a, b, 2)`` on the whole words.  Two words within
+Here every distinct word (not every token) expands to the delete keys of its
+first twelve letters (all strings left after removing up to two characters, as
+hashes), and rare words meet dictionary words on equal keys.  The keys are some
+sixty times the words, so they are neither shuffled nor broadcast: blocks of
+words meet blocks of the dictionary, each pair of blocks makes and compares its
+keys in one task, and candidates are verified on the whole words.  Two words within
 edit distance 2 always share a key of their prefixes, whatever their length,
 so no pair is lost, and a word of any length has at most 79 keys.  (Words of
 one corpus begin alike: with seven letters the candidates grow almost with the
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textflow.functions.constants import CONTRACTIONS
+from textflow.operators.edits import block_matches
 from textflow.plans.lineage import cut_lineage
 from textflow.plans.sequence import neighbors
 
@@ -54,6 +56,8 @@ def delete_keys(w: Column, max_deletes: int = 2) -> Column:
 
 KEY_PREFIX = 7
 LONG_PREFIX = 12        # of the corrections
+#: words of a block, on average: a task makes the keys of one of each
+DICTIONARY_BLOCK, WORD_BLOCK = 1 << 15, 1 << 16
 
 
 def prefix_keys(w: Column, max_deletes: int = 2, prefix: int = KEY_PREFIX
@@ -126,23 +130,46 @@ def spell_corrections(tokens: DataFrame, word: str = "w",
     """``(group..., word, correction, distance)`` for every word below
     ``min_count`` that has a dictionary word within ``max_distance``.
 
-    Best = smallest distance, then most frequent, then alphabetical.
+    Best = smallest distance, then most frequent, then alphabetical.  Words
+    and dictionary meet by blocks of a group (:mod:`textflow.operators.edits`):
+    what is shuffled are the words, once for a block of the other side, never
+    their keys.
     ``known`` is the :func:`vocabulary`, if the caller has it.
     """
     g = list(group)
     dic, probe = known or vocabulary(tokens, word, g, min_count)
-    dk = dic.select(*g, F.col("word").alias("cand"), F.col("cnt").alias("cc"),
-                    F.explode(hashed_keys(F.col("word"), max_distance))
-                    .alias("key"))
-    pk = probe.select(*g, "word",
-                      F.explode(hashed_keys(F.col("word"), max_distance))
-                      .alias("key"))
-    pairs = (pk.join(dk, ["key", *g])
-             .filter(F.abs(F.length("word") - F.length("cand")) <= max_distance)
-             .select(*g, "word", "cand", "cc"))
-    pairs = pairs.withColumn("dist", F.levenshtein("word", "cand",
-                                                   max_distance))
-    pairs = pairs.filter(F.col("dist") >= 0)
+    dic, probe = (x.filter(F.col("word").isNotNull()) for x in (dic, probe))
+
+    def blocks(words: DataFrame, name: str, size: int) -> DataFrame:
+        return words.groupBy(*g).agg(F.ceil(F.count(F.lit(1)) / size)
+                                     .cast("long").alias(name))
+
+    # every block of words meets every block of its group's dictionary
+    sizes = blocks(dic, "_nd", DICTIONARY_BLOCK)
+    of = blocks(probe, "_np", WORD_BLOCK)
+    sizes = cut_lineage((sizes.join(of, g) if g else sizes.crossJoin(of))
+                        .filter("_nd > 0 and _np > 0"))
+
+    def dealt(words: DataFrame, own: str, other: str) -> DataFrame:
+        x = words.join(sizes, g) if g else words.crossJoin(sizes)
+        return x.withColumn("_b" + own, F.pmod(F.xxhash64("word"),
+                                               F.col("_n" + own))).withColumn(
+            "_b" + other, F.explode(F.sequence(
+                F.lit(0).cast("long"), F.col("_n" + other) - 1)))
+
+    keys = [*g, "_bp", "_bd"]
+    left = dealt(probe, "p", "d").select(*keys, "word").groupBy(*keys)
+    right = dealt(dic, "d", "p").select(
+        *[F.col(c).alias(f"_of_{c}") for c in keys],
+        F.col("word").alias("_cand"), F.col("cnt").alias("_cc")).groupBy(
+            *[f"_of_{c}" for c in keys])
+    pairs = left.cogroup(right).applyInArrow(
+        block_matches(max_distance, g), T.StructType([
+            *[probe.schema[c] for c in g],
+            T.StructField("word", T.StringType()),
+            T.StructField("cand", T.StringType()),
+            T.StructField("cc", T.LongType()),
+            T.StructField("dist", T.IntegerType())]))
     best = pairs.groupBy(*g, "word").agg(F.min_by(
         F.struct("cand", "dist"),
         F.struct("dist", -F.col("cc"), "cand")).alias("b"))
