@@ -60,3 +60,28 @@ def test_no_vector_for_every_pair(spark):
     plan = vectors.doc_mean_vectors(tokens, vecs)._jdf.queryExecution(
         ).optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "Summarizer" not in plan
+
+
+@pytest.mark.parametrize("pairs", [5, 1 << 23])
+def test_means_of_whole_texts(spark, monkeypatch, pairs):
+    """The words of a text travel as one row, not a row for each."""
+    monkeypatch.setattr(vectors, "SHARD_PAIRS", pairs)
+    monkeypatch.setattr(vectors, "WORDS_AT_ONCE", 7)
+    tokens, vecs = _frames(spark)
+    twice = vecs.union(vecs.filter("word = 'w2'"))
+    lists = spark.createDataFrame(
+        [(d, ws[x:x + 50]) for d, ws in DOCS.items()
+         for x in range(0, max(len(ws), 1), 50)] + [(1234, None)],
+        "doc_id long, words array<string>").repartition(5)
+    table = [(w, v) for w, v in VECTORS] + [
+        (w, v) for w, v in VECTORS if w == "w2"]
+    for frame, known in ((vecs, VECTORS), (twice, table)):
+        means = vectors.doc_mean_vectors(tokens, frame, lists=lists)
+        got = {r.doc_id: r.mean for r in means.collect()}
+        want = {d: np.mean([v for w in ws for x, v in known if x == w], axis=0)
+                for d, ws in DOCS.items() if any(w in dict(known) for w in ws)}
+        assert set(got) == set(want)
+        for d, mean in want.items():
+            assert np.allclose(got[d], mean, atol=1e-6), d
+    plan = means._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "explode" not in plan
